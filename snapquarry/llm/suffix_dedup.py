@@ -18,7 +18,9 @@ MATCH, GRAM, RUN = 50, 20, 31
 #: Different strings under one name above which its windows are dealt one by one.
 HOT = 2000
 #: Bytes that one suffix array takes.
-SHARD = 4 << 20
+SHARD = 1 << 20
+#: Bytes of text looked at in one go.
+SLICE = 1 << 20
 _LAST = np.iinfo(np.int64).max
 
 
@@ -143,7 +145,7 @@ def _named(shards: int):
     def made(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for block, rows in grouped(batches, "block"):
             ids, found = _ids(rows.column("doc_id").combine_chunks()), []
-            for a, b, buf, offs in slices(rows.column("text")):
+            for a, b, buf, offs in slices(rows.column("text"), SLICE):
                 r = Runs(buf, offs)
                 found.append((r.name, r.content, ids[a:b][r.row]))
             name, content, doc = (np.concatenate([f[k] for f in found]) for k in range(3))
@@ -220,7 +222,7 @@ def _strings(shards: int):
         names, often = _full_names(told, "names", shards), _full_names(told, "often", shards)
         ids, found, data = _ids(rows.column("doc_id").combine_chunks()), [], []
         block = rows.column("block")[0].as_py() if rows.num_rows else 0
-        for a, b, buf, offs in slices(rows.column("text")) if len(names) else ():
+        for a, b, buf, offs in slices(rows.column("text"), SLICE) if len(names) else ():
             r = _chosen(buf, offs, names, often, shards)
             doc = ids[a:b][r.row]
             order, at = _groups(r.content, r.name)
@@ -248,108 +250,127 @@ def _strings(shards: int):
     return made
 
 
+#: An answer on a string whose windows all have one smallest document; its bytes as they are sent.
+_ONE = np.dtype([("content", "<u8"), ("doc", "<i8"), ("parent", "<u8")])
+
+
 def _owners(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     """For each shard: the smallest document of every window, by suffix arrays over its different strings, and back to
-    each block the strings that lose windows there: content, number of stretches, and for each stretch its first window
-    and the smallest document."""
+    each block what it loses: strings with one smallest document (`ones`), and strings in several stretches (`many`:
+    content, parent, number of stretches, and for each its first window and its smallest document)."""
     for _, rows in grouped(batches, "shard"):
         heads = [np.frombuffer(h, dtype="<u8").reshape(-1, 5) for h in rows.column("heads").to_pylist()]
-        owner = np.repeat(np.arange(len(heads)), [len(h) for h in heads])
+        edge = np.concatenate([[0], np.cumsum([len(h) for h in heads])])
         head = np.concatenate(heads)
-        texts: list[bytes] = []
-        for sizes, data in zip(rows.column("sizes").to_pylist(), rows.column("data").to_pylist()):
-            ends = np.cumsum(np.frombuffer(sizes, dtype="<u2").astype(np.int64)).tolist()
-            texts += [data[a:b] for a, b in zip([0, *ends[:-1]], ends)]
-        name, content, low = head[:, 0], head[:, 1], head[:, 2].astype(np.int64)
-        order, at = _groups(content, name)
-        least = np.minimum.reduceat(low[order], at)
+        data = rows.column("data").to_pylist()
+        sizes = np.concatenate([np.frombuffer(x, dtype="<u2") for x in rows.column("sizes").to_pylist()]).astype(np.int64)
+        owner = np.repeat(np.arange(len(heads)), np.diff(edge))
+        begin = np.cumsum(sizes) - sizes
+        begin -= begin[np.minimum(edge[:-1], len(sizes) - 1)][owner]
+        order, at = _groups(head[:, 1], head[:, 0])
+        least = np.minimum.reduceat(head[order, 2].astype(np.int64), at)
         which = np.empty(len(order), dtype=np.int64)  # of the different strings
         which[order] = np.repeat(np.arange(len(at)), np.diff(np.append(at, len(order))))
-        strings = [texts[i] for i in order[at].tolist()]
-        stretches = _stretches(strings, least, name[order[at]])
-        high = head[:, 3].astype(np.int64)
-        blocks, edge = rows.column("block").to_pylist(), np.searchsorted(owner, np.arange(len(heads) + 1))
-        out_block, out_data = [], []
-        for i, block in enumerate(blocks):
+        first = order[at]
+
+        def string(i: int) -> bytes:
+            j = first[i]  # noqa: B023
+            return data[owner[j]][begin[j] : begin[j] + sizes[j]]  # noqa: B023
+
+        many = _stretches(string, sizes[first], least, head[first, 0])
+        lowest = least.copy()
+        for i, (_, docs) in many.items():
+            lowest[i] = docs.min()
+        several = np.zeros(len(at), dtype=bool)
+        several[list(many)] = True
+        told = lowest[which] < head[:, 3].astype(np.int64)
+        out: list[tuple[int, bytes, bytes]] = []
+        for i, block in enumerate(rows.column("block").to_pylist()):
+            own = np.arange(edge[i], edge[i + 1])[told[edge[i] : edge[i + 1]]]
+            one = own[~several[which[own]]]
+            ones = np.empty(len(one), dtype=_ONE)
+            ones["content"], ones["doc"], ones["parent"] = head[one, 1], least[which[one]], head[one, 4]
             parts = []
-            for j in range(edge[i], edge[i + 1]):
-                first, doc = stretches[which[j]]
-                if doc.min() < high[j]:
-                    parts.append(head[j, 1].tobytes() + bytes([len(first)]) + first.astype(np.uint8).tobytes() + doc.astype("<i8").tobytes() + head[j, 4].tobytes())
-            if parts:
-                out_block.append(block)
-                out_data.append(b"".join(parts))
-        yield pa.RecordBatch.from_arrays([pa.array(out_block, pa.int32()), pa.array(out_data, pa.binary())], names=["block", "data"])
-
-
-def _stretches(strings: list[bytes], least: np.ndarray, name: np.ndarray) -> list[tuple[np.ndarray, np.ndarray]]:
-    """For each string: where stretches of windows with one smallest document begin, and these documents. Strings with
-    a name that no other has share windows with none; the others go through suffix arrays, names kept together."""
-    out = [(np.zeros(1, dtype=np.int64), least[i : i + 1]) for i in range(len(strings))]
+            for j in own[several[which[own]]].tolist():
+                starts, docs = many[int(which[j])]
+                parts.append(head[j, [1, 4]].tobytes() + bytes([len(starts)]) + starts.astype(np.uint8).tobytes() + docs.astype("<i8").tobytes())
+            if len(own):
+                out.append((block, ones.tobytes(), b"".join(parts)))
+        yield pa.RecordBatch.from_arrays([pa.array([o[0] for o in out], pa.int32()), *[pa.array([o[k] for o in out], pa.binary()) for k in (1, 2)]], names=["block", "ones", "many"])
+
+
+def _stretches(string, sizes: np.ndarray, least: np.ndarray, name: np.ndarray) -> dict[int, tuple[np.ndarray, np.ndarray]]:
+    """Of the different strings, those whose windows differ in smallest document: where its stretches begin and these
+    documents. `least` is set to the smallest of those in one stretch. A string whose name no other has shares windows
+    with none; all others go through suffix arrays, names kept together."""
+    out: dict[int, tuple[np.ndarray, np.ndarray]] = {}
     _, place, count = np.unique(name, return_inverse=True, return_counts=True)
     todo = np.flatnonzero(count[place] > 1)
     todo = todo[np.argsort(name[todo], kind="stable")]
-    sizes = np.array([len(strings[i]) for i in todo], dtype=np.int64)
+    total, last = np.cumsum(sizes[todo]), np.flatnonzero(np.append(name[todo][1:] != name[todo][:-1], True)) if len(todo) else np.zeros(0, dtype=np.int64)
     at = 0
     while at < len(todo):
-        end = int(np.searchsorted(np.cumsum(sizes[at:]), SHARD)) + 1 + at
-        end = min(end, len(todo))
-        while end < len(todo) and name[todo[end]] == name[todo[end - 1]]:
-            end += 1
+        full = int(np.searchsorted(total, (total[at - 1] if at else 0) + SHARD))
+        end = int(last[min(np.searchsorted(last, min(full, len(todo) - 1)), len(last) - 1)]) + 1
         part = todo[at:end]
-        group = shared_windows([strings[i] for i in part], MATCH)
-        doc = np.repeat(least[part], sizes[at:end] + 1)
-        doc = np.append(doc, np.full(len(group) - len(doc), _LAST))
+        group = shared_windows([string(i) for i in part.tolist()], MATCH)
+        doc = np.full(len(group), _LAST)
+        doc[: int((sizes[part] + 1).sum())] = np.repeat(least[part], sizes[part] + 1)
         smallest = np.full(len(group) + 1, _LAST)
         np.minimum.at(smallest, group, doc)  # places without a window have group -1, the last entry
         value = smallest[group]
-        begins = np.cumsum(sizes[at:end] + 1) - sizes[at:end] - 1
-        for i, b, n in zip(part.tolist(), begins.tolist(), (sizes[at:end] - MATCH + 1).tolist()):
-            v = value[b : b + n]
+        begins = np.cumsum(sizes[part] + 1) - sizes[part] - 1
+        windows = sizes[part] - MATCH + 1
+        change = np.zeros(len(group) + 1, dtype=np.int64)
+        change[1:-1] = np.cumsum(value[1:] != value[:-1])
+        change[0] = 0
+        least[part] = value[begins]
+        for k in np.flatnonzero(change[begins + windows - 1] != change[begins]).tolist():
+            v = value[begins[k] : begins[k] + windows[k]]
             first = np.flatnonzero(np.append(True, v[1:] != v[:-1]))
-            out[i] = (first, v[first])
+            out[int(part[k])] = (first, v[first])
         at = end
     return out
 
 
-def _lost(runs: Runs, doc: np.ndarray, replies: dict[int, tuple[np.ndarray, np.ndarray]], cover: np.ndarray) -> None:
-    for content, begin, count, own in zip(runs.content.tolist(), runs.begin.tolist(), runs.count.tolist(), doc.tolist()):
-        told = replies.get(content)
-        if told is None:
-            continue
-        first, least = told
-        for k in range(len(first)):
-            if least[k] < own:
-                stop = first[k + 1] if k + 1 < len(first) else count
-                cover[begin + first[k]] += 1
-                cover[begin + stop + MATCH - 1] -= 1
-
-
 def _cut(keep: list[str], shards: int):
     def made(rows: pa.Table, told: pa.Table) -> pa.Table:
-        replies: dict[int, tuple[list, list]] = {}
-        parents = []
-        for data in told.column("data").to_pylist():
+        ones = np.frombuffer(b"".join(told.column("ones").to_pylist()), dtype=_ONE)
+        ones = ones[np.argsort(ones["content"], kind="stable")]
+        many: dict[int, tuple[list, list]] = {}
+        parents = [ones["parent"]]
+        for data in told.column("many").to_pylist():
             at = 0
             while at < len(data):
-                content, n = int.from_bytes(data[at : at + 8], "little"), data[at + 8]
-                docs = np.frombuffer(data, dtype="<i8", count=n, offset=at + 9 + n).tolist()
-                replies[content] = (list(data[at + 9 : at + 9 + n]), docs)
-                parents.append(data[at + 9 + 9 * n : at + 17 + 9 * n])
+                content, parent, n = int.from_bytes(data[at : at + 8], "little"), data[at + 8 : at + 16], data[at + 16]
+                many[content] = list(data[at + 17 : at + 17 + n]), np.frombuffer(data, dtype="<i8", count=n, offset=at + 17 + n).tolist()
+                parents.append(np.frombuffer(parent, dtype="<u8"))
                 at += 17 + 9 * n
-        apart = np.unique(np.frombuffer(b"".join(parents), dtype="<u8"))
+        several = np.sort(np.fromiter(many, dtype=np.uint64, count=len(many)))
+        apart = np.unique(np.concatenate(parents))
         apart = apart[apart > 0]
-        known = np.sort(np.fromiter(replies, dtype=np.uint64, count=len(replies)))
+        contents = np.ascontiguousarray(ones["content"])
         ids = _ids(rows.column("doc_id").combine_chunks())
         n_bytes, spans, kept = [], [], []
-        for a, b, buf, offs in slices(rows.column("text")):
+        for a, b, buf, offs in slices(rows.column("text"), SLICE):
             cover = np.zeros(len(buf) + 1, dtype=np.int32)
-            if len(known):
+            if len(ones) or many:
                 runs = Runs(buf, offs)
                 if len(apart):
                     runs = runs.split(apart)
-                own = runs.only(_among(runs.content, known))
-                _lost(own, ids[a:b][own.row], replies, cover)
+                doc = ids[a:b][runs.row] if len(runs.row) else runs.row
+                hit = np.flatnonzero(_among(runs.content, contents))
+                if len(hit):
+                    hit = hit[ones["doc"][np.searchsorted(contents, runs.content[hit])] < doc[hit]]
+                    np.add.at(cover, runs.begin[hit], 1)
+                    np.add.at(cover, runs.begin[hit] + runs.count[hit] + MATCH - 1, -1)
+                for j in np.flatnonzero(_among(runs.content, several)).tolist():
+                    first, least = many[int(runs.content[j])]
+                    first = [*first, int(runs.count[j])]
+                    for k, d in enumerate(least):
+                        if d < doc[j]:
+                            cover[runs.begin[j] + first[k]] += 1
+                            cover[runs.begin[j] + first[k + 1] + MATCH - 1] -= 1
             gone = np.cumsum(cover)[:-1] > 0
             for x, y in zip(offs[:-1].tolist(), offs[1:].tolist()):
                 part = gone[x:y]
@@ -381,13 +402,13 @@ def dedupe(docs: DataFrame, *keep: str, block_bytes: int = 8 << 20, hot: int = H
     cut each other, so repeated rows stay alike; an empty table gives no rows.
     """
     size = text_bytes(docs)
-    blocks, shards = blocks_for(size, block_bytes), max(16, blocks_for(size, 12 << 20))
+    blocks, shards = blocks_for(size, block_bytes), max(16, blocks_for(size, 3 << 20))
     cols = list(dict.fromkeys(["doc_id", *keep]))
     dealt = docs.select(*cols, "text", F.pmod(F.xxhash64("doc_id"), F.lit(blocks)).cast("int").alias("block")).repartition("block")
     named = dealt.select("block", "doc_id", "text").sortWithinPartitions("block").mapInArrow(_named(shards), "shard int, block int, plain binary, more binary, marks binary")
     told = named.repartition("shard").sortWithinPartitions("shard").mapInArrow(_repeated(hot), "block int, shard int, names binary, often binary")
     strings = dealt.groupBy("block").cogroup(told.groupBy("block")).applyInArrow(_strings(shards), "shard int, block int, heads binary, sizes binary, data binary")
-    replies = strings.repartition("shard").sortWithinPartitions("shard").mapInArrow(_owners, "block int, data binary")
+    replies = strings.repartition("shard").sortWithinPartitions("shard").mapInArrow(_owners, "block int, ones binary, many binary")
     schema = ", ".join(f"`{c}` {docs.schema[c].dataType.simpleString()}" for c in cols)
     return dealt.groupBy("block").cogroup(replies.groupBy("block")).applyInArrow(_cut(cols, shards), f"{schema}, n_bytes long, spans array<struct<start: long, end: long>>, kept binary")
 
