@@ -244,7 +244,7 @@ def _strings(shards: int):
             for s in np.flatnonzero(np.diff(edge)):
                 a, b = edge[s], edge[s + 1]
                 own = [data[i] for i in first[a:b].tolist()]
-                for k, v in zip(columns, (int(s), block, heads[a:b].astype("<u8").tobytes(), np.array([len(x) for x in own], dtype="<u2").tobytes(), b"".join(own))):
+                for k, v in zip(columns, (int(s), block, heads[a:b].astype("<u8").tobytes(), np.array([len(x) for x in own], dtype="<u2").tobytes(), pa.compress(b"".join(own), codec="zstd", asbytes=True))):
                     columns[k].append(v)
         return pa.table([pa.array(columns["shard"], pa.int32()), pa.array(columns["block"], pa.int32()), *[pa.array(columns[k], pa.binary()) for k in ("heads", "sizes", "data")]], names=list(columns))
     return made
@@ -263,7 +263,9 @@ def _owners(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         edge = np.concatenate([[0], np.cumsum([len(h) for h in heads])])
         head = np.concatenate(heads)
         data = rows.column("data").to_pylist()
-        sizes = np.concatenate([np.frombuffer(x, dtype="<u2") for x in rows.column("sizes").to_pylist()]).astype(np.int64)
+        each = [np.frombuffer(x, dtype="<u2").astype(np.int64) for x in rows.column("sizes").to_pylist()]
+        data = [pa.decompress(d, decompressed_size=int(x.sum()), codec="zstd", asbytes=True) for d, x in zip(data, each)]
+        sizes = np.concatenate(each)
         owner = np.repeat(np.arange(len(heads)), np.diff(edge))
         begin = np.cumsum(sizes) - sizes
         begin -= begin[np.minimum(edge[:-1], len(sizes) - 1)][owner]
