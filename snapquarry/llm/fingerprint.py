@@ -129,11 +129,10 @@ def with_next(docs: DataFrame, part_bytes: int = 4 << 20) -> DataFrame:
             opens = ~known
         return pd.Series([[p, (p - 1) % parts] if o else [p] for p, o in zip(np.maximum(part, 0).tolist(), opens.tolist())])
 
-    rows = docs.select("doc_id", F.coalesce("text", F.lit("")).alias("text"), places("doc_id").alias("_p"))
+    rows = docs.select(F.col("doc_id").cast("long").alias("doc_id"), F.coalesce("text", F.lit("")).alias("text"), places("doc_id").alias("_p"))
     dealt = rows.select("doc_id", "text", F.posexplode("_p").alias("extra", "part"))
     order = ["part", "extra", F.col("doc_id").desc_nulls_last(), "text"]
-    kind = docs.schema["doc_id"].dataType.simpleString()
-    return dealt.repartition("part").sortWithinPartitions(*order).mapInArrow(_pairs, f"doc_id {kind}, text string, next_text string")
+    return dealt.repartition("part").sortWithinPartitions(*order).mapInArrow(_pairs, "doc_id long, text string, next_text string")
 
 
 def _pairs(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -159,7 +158,7 @@ def _pairs(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
 
 
 def _batch(ids: list, texts: list, after: list) -> pa.RecordBatch:
-    return pa.RecordBatch.from_arrays([pa.array(ids), pa.array(texts, pa.string()), pa.array(after, pa.string())], names=["doc_id", "text", "next_text"])
+    return pa.RecordBatch.from_arrays([pa.array(ids, pa.int64()), pa.array(texts, pa.string()), pa.array(after, pa.string())], names=["doc_id", "text", "next_text"])
 
 
 def compare(docs: DataFrame) -> DataFrame:
@@ -177,5 +176,4 @@ def compare(docs: DataFrame) -> DataFrame:
                  pa.array(own, pa.string()), pa.array(other, pa.string()), pa.array(likeness(own, other)), pa.array(likeness(own, after))],
                 names=["doc_id", "n_chars", "edited_sha256", "fingerprint", "edited_fingerprint", "near_edited", "near_next"])
 
-    kind = docs.schema["doc_id"].dataType.simpleString()
-    return with_next(docs).mapInArrow(made, f"doc_id {kind}, n_chars long, edited_sha256 string, fingerprint string, edited_fingerprint string, near_edited double, near_next double")
+    return with_next(docs).mapInArrow(made, "doc_id long, n_chars long, edited_sha256 string, fingerprint string, edited_fingerprint string, near_edited double, near_next double")

@@ -68,12 +68,12 @@ def plan(docs: DataFrame, *, cycle: tuple[float, ...] = (1, 2, 3), most: float =
 
 def mix(docs: DataFrame, **options) -> DataFrame:
     """The documents of the mix, each as often as it is taken. Rows with one doc_id are told apart by their order of text."""
-    planned = plan(docs, **options).filter("copies > 0").groupBy("doc_id", "source", "size").agg(F.sum("copies").alias("copies"), F.count(F.lit(1)).alias("alike"))
-    keyed = sized(docs)
-    same = keyed.doc_id.eqNullSafe(planned.doc_id) & keyed.source.eqNullSafe(planned.source) & (keyed["size"] == planned["size"])
-    one = Window.partitionBy("doc_id", "source", "size").orderBy("text")
-    joined = keyed.join(planned, same).select(*[keyed[c] for c in keyed.columns], planned["copies"], planned["alike"])
-    turn = joined.withColumn("_n", F.when(F.col("alike") > 1, F.row_number().over(one)).otherwise(1))
-    times = F.floor(F.col("copies") * F.col("_n") / F.col("alike")) - F.floor(F.col("copies") * (F.col("_n") - 1) / F.col("alike"))
-    repeated = turn.withColumn("_copy", F.explode(F.array_repeat(F.lit(1), times.cast("int"))))
-    return repeated.select(*docs.columns)
+    planned = plan(docs, **options).filter("copies > 0").groupBy("doc_id", "source", "size").agg(F.sum("copies").alias("_mix_copies"), F.count(F.lit(1)).alias("_mix_alike"))
+    planned = planned.select(F.col("doc_id").alias("_mix_id"), F.col("source").alias("_mix_source"), F.col("size").alias("_mix_size"), "_mix_copies", "_mix_alike")
+    rows = docs.withColumn("_mix_own", F.coalesce(F.regexp_count("text", F.lit(WORD)), F.lit(0)).cast("long"))
+    same = F.col("doc_id").eqNullSafe(F.col("_mix_id")) & F.col("source").eqNullSafe(F.col("_mix_source")) & (F.col("_mix_own") == F.col("_mix_size"))
+    one = Window.partitionBy("_mix_id", "_mix_source", "_mix_size").orderBy("text")
+    turn = rows.join(planned, same).withColumn("_mix_n", F.when(F.col("_mix_alike") > 1, F.row_number().over(one)).otherwise(1))
+    upto = lambda n: F.floor(F.col("_mix_copies") * n / F.col("_mix_alike"))
+    times = (upto(F.col("_mix_n")) - upto(F.col("_mix_n") - 1)).cast("int")
+    return turn.withColumn("_mix_copy", F.explode(F.array_repeat(F.lit(1), times))).select(*docs.columns)
