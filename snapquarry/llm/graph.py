@@ -9,28 +9,20 @@ from .common import store
 
 
 def components(edges: DataFrame) -> DataFrame:
-    """node, root for each end of edges(a, b), both long; nodes are connected iff their roots are equal.
+    """node, root for each end of edges(a, b), both long hashes; nodes are connected iff their roots are equal.
 
-    Each round hangs every node under the neighbour that comes first in a random order of its own, or leaves it, and
-    goes on with the edges between different parents. Only minima per node are taken, so a node with very many
-    neighbours is summed up before it is shuffled. Rounds are few (their number grows with the logarithm of the longest
-    path) and each is written to the shared folder."""
+    Each round hangs every node under its smallest neighbour, if that is smaller than itself, and goes on with the edges
+    between different parents. Nodes are hashes, so their order is random along a path and rounds are few; a star whose
+    hub is smallest takes one. Only minima per node are taken, so a node with very many neighbours is summed up before
+    it is shuffled. What each round leaves is written to the shared folder, and no plan grows with the rounds."""
     left = store(edges.filter("a <> b").distinct(), "edges")
-    steps: list[DataFrame] = []
+    label = store(left.select(F.explode(F.array("a", "b")).alias("node")).distinct().withColumn("root", F.col("node")), "labels")
     while not left.isEmpty():
-        rank = lambda c: F.struct(F.xxhash64(F.lit(len(steps)), c).alias("r"), F.col(c).alias("n"))  # noqa: B023, E731
-        ends = left.select("a", "b").unionByName(left.select(F.col("b").alias("a"), F.col("a").alias("b")))
-        near = ends.groupBy("a").agg(F.min(rank("b")).alias("m"))
-        parent = store(near.select(F.col("a").alias("node"), F.when(F.col("m") < rank("a"), F.col("m.n")).otherwise(F.col("a")).alias("up")), "parents")
-        steps.append(parent)
+        ends = left.select(F.explode(F.array(F.struct("a", "b"), F.struct(F.col("b").alias("a"), F.col("a").alias("b")))).alias("e")).select("e.*")
+        parent = store(ends.groupBy("a").agg(F.min("b").alias("m")).select(F.col("a").alias("node"), F.least("a", "m").alias("up")), "parents")
         one, two = parent.select(F.col("node").alias("a"), F.col("up").alias("x")), parent.select(F.col("node").alias("b"), F.col("up").alias("y"))
         moved = left.join(one, "a").join(two, "b").filter("x <> y")
         left = store(moved.select(F.least("x", "y").alias("a"), F.greatest("x", "y").alias("b")).distinct(), "edges")
-    if not steps:
-        return left.select(F.col("a").alias("node"), F.col("a").alias("root"))
-    # nodes of a later round are among the parents of the one before
-    root = steps[-1].select("node", F.col("up").alias("root"))
-    for parent in reversed(steps[:-1]):
-        upper = root.withColumnRenamed("node", "up")
-        root = parent.join(upper, "up", "left").select("node", F.coalesce("root", "up").alias("root"))
-    return root
+        up = parent.select(F.col("node").alias("root"), "up")
+        label = store(label.join(up, "root", "left").select("node", F.coalesce("up", "root").alias("root")), "labels")
+    return label
