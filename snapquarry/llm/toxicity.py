@@ -71,16 +71,20 @@ class Model:
     def windows(self, grams: Subwords) -> tuple[np.ndarray, np.ndarray]:
         """Logit of the window that starts at each word (fewer words at a row's end), and each word's row."""
         n = len(grams.at) - 1
-        total = np.concatenate([[0.0], np.cumsum(self.worth[grams.ids])])
+        total = np.zeros(n + 1)
+        for lo in range(0, n, 1 << 16):
+            part = grams.at[lo : lo + (1 << 16) + 1]
+            total[lo + 1 : lo + len(part)] = np.add.reduceat(self.worth[grams.ids[part[0] : part[-1]]], part[:-1] - part[0])
+        total = np.cumsum(total)
         row = np.repeat(np.arange(len(grams.first) - 1), np.diff(grams.first))
         last = np.minimum(np.arange(n) + WIDTH, grams.first[1:][row]) if n else np.zeros(0, dtype=np.int64)
         size = np.maximum(grams.at[last] - grams.at[:-1], 1)
-        return (total[grams.at[last]] - total[grams.at[:-1]]) / size + self.bias, row
+        return (total[last] - total[:-1]) / size + self.bias, row
 
     def logits(self, column: pa.Array) -> np.ndarray:
         """Largest window logit of each text; texts without words get the lowest."""
         out = []
-        for _, _, buf, offs in slices(column, 1 << 20):
+        for _, _, buf, offs in slices(column, 1 << 18):
             z, row = self.windows(subwords(buf, offs))
             top = np.full(len(offs) - 1, -30.0)
             np.maximum.at(top, row, z)
@@ -97,19 +101,21 @@ def fit(texts: list[str], y: np.ndarray, *, dim: int = 16, epochs: int = 8, seed
     the text's worst window so far (for clean texts also to a random one). Which windows of toxic texts come first is
     told from how many clean texts hold their words' n-grams."""
     rng = np.random.default_rng(seed)
-    parts = [subwords(buf, offs) for _, _, buf, offs in slices(pa.array(texts, pa.string()), 1 << 20)]
+    size = 1 << BITS
+    a, b = np.zeros(size, dtype=np.int64), np.zeros(size, dtype=np.int64)
     ids, at, first = [], [np.zeros(1, dtype=np.int64)], [np.zeros(1, dtype=np.int64)]
-    for g in parts:
-        ids.append(g.ids)
+    for row, _, buf, offs in slices(pa.array(texts, pa.string()), 1 << 19):
+        g = subwords(buf, offs)
+        of_gram = np.repeat(np.repeat(np.arange(len(g.first) - 1), np.diff(g.first)), np.diff(g.at))
+        pairs = np.unique(of_gram * size + g.ids)
+        bad = y[row + pairs // size] == 1
+        a += np.bincount((pairs % size)[bad], minlength=size)
+        b += np.bincount((pairs % size)[~bad], minlength=size)
+        ids.append(g.ids.astype(np.uint16))
         at.append(g.at[1:] + at[-1][-1])
         first.append(g.first[1:] + first[-1][-1])
-    grams = Subwords(np.concatenate(ids) if ids else np.zeros(0, dtype=np.int64), np.concatenate(at), np.concatenate(first))
-    row_of_word = np.repeat(np.arange(len(grams.first) - 1), np.diff(grams.first))
-    row_of_gram = np.repeat(row_of_word, np.diff(grams.at))
-    size = 1 << BITS
-    pairs = np.unique(row_of_gram * size + grams.ids)
-    bad, ok = y[pairs // size] == 1, y[pairs // size] == 0
-    a, b = np.bincount((pairs % size)[bad], minlength=size), np.bincount((pairs % size)[ok], minlength=size)
+    grams = Subwords(np.concatenate(ids) if ids else np.zeros(0, dtype=np.uint16), np.concatenate(at), np.concatenate(first))
+    del ids
     start = np.log((a + 0.2) / (max((y == 1).sum(), 1) + 1)) - np.log((b + 0.2) / (max((y == 0).sum(), 1) + 1))
     model = Model(np.where(a + b >= 2, start, 0.0), 0.0)
     embed = np.concatenate([model.worth[:, None] * 0.5, rng.normal(0, 0.05, (size, dim - 1))], axis=1)
