@@ -55,7 +55,7 @@ def signatures(buf: np.ndarray, offs: np.ndarray) -> tuple[np.ndarray, list[byte
 def fingerprints(column: pa.Array) -> list[str]:
     """"block size:signature:signature at twice the size" of each text."""
     out = []
-    for _, _, buf, offs in slices(column, 1 << 20):
+    for _, _, buf, offs in slices(column, 1 << 18):
         size, one, two = signatures(buf, offs)
         out += [f"{LEAST << int(s)}:{a.decode()}:{b.decode()}" for s, a, b in zip(size, one, two)]
     return out
@@ -108,9 +108,9 @@ def edited(text: str, following: str) -> str:
     return text[: len(text) - n] + following[:n]
 
 
-def with_next(docs: DataFrame, part_bytes: int = 4 << 20) -> DataFrame:
-    """doc_id, text, and next_text: that of the next row by descending doc_id (ties by text, null ids last), of the
-    first after the last. Bounds of id ranges, one value for each `part_bytes` of text, cut the order into parts; a row
+def in_order(docs: DataFrame, part_bytes: int = 4 << 20) -> DataFrame:
+    """part, extra, doc_id, text: rows by descending doc_id (ties by text, null ids last), from which `_pairs` tells the
+    text of the next row, or of the first after the last. Bounds of id ranges, one value for each `part_bytes` of text, cut the order into parts; a row
     that opens a part is also sent to the part before, so one shuffle of the texts is enough."""
     spark = docs.sparkSession
     n = max(blocks_for(text_bytes(docs), part_bytes), int(spark.conf.get("spark.sql.shuffle.partitions")))
@@ -132,7 +132,7 @@ def with_next(docs: DataFrame, part_bytes: int = 4 << 20) -> DataFrame:
     rows = docs.select(F.col("doc_id").cast("long").alias("doc_id"), F.coalesce("text", F.lit("")).alias("text"), places("doc_id").alias("_p"))
     dealt = rows.select("doc_id", "text", F.posexplode("_p").alias("extra", "part"))
     order = ["part", "extra", F.col("doc_id").desc_nulls_last(), "text"]
-    return dealt.repartition("part").sortWithinPartitions(*order).mapInArrow(_pairs, "doc_id long, text string, next_text string")
+    return dealt.repartition("part").sortWithinPartitions(*order)
 
 
 def _pairs(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -150,7 +150,7 @@ def _pairs(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
             after.append(row[3])
             size += len(held[3])
         held = row if not row[1] else None
-        if size > 1 << 21:
+        if size > 1 << 20:
             yield _batch(ids, texts, after)
             ids, texts, after, size = [], [], [], 0
     if ids:
@@ -167,7 +167,7 @@ def compare(docs: DataFrame) -> DataFrame:
 
     Null texts count as empty; null ids come last; a table of one row follows itself; an empty table gives no rows."""
     def made(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in batches:
+        for batch in _pairs(batches):
             text, following = batch.column("text").to_pylist(), batch.column("next_text").to_pylist()
             changed = [edited(a, b) for a, b in zip(text, following)]
             own, other, after = fingerprints(batch.column("text")), fingerprints(pa.array(changed, pa.large_string())), fingerprints(batch.column("next_text"))
@@ -176,4 +176,4 @@ def compare(docs: DataFrame) -> DataFrame:
                  pa.array(own, pa.string()), pa.array(other, pa.string()), pa.array(likeness(own, other)), pa.array(likeness(own, after))],
                 names=["doc_id", "n_chars", "edited_sha256", "fingerprint", "edited_fingerprint", "near_edited", "near_next"])
 
-    return with_next(docs).mapInArrow(made, "doc_id long, n_chars long, edited_sha256 string, fingerprint string, edited_fingerprint string, near_edited double, near_next double")
+    return in_order(docs).mapInArrow(made, "doc_id long, n_chars long, edited_sha256 string, fingerprint string, edited_fingerprint string, near_edited double, near_next double")
