@@ -53,7 +53,7 @@ def text_bytes(docs: DataFrame) -> int:
     return int(docs.agg(F.sum(F.octet_length("text"))).first()[0] or 0)
 
 
-def slices(column: pa.Array, most: int = 1 << 21) -> Iterator[tuple[int, int, np.ndarray, np.ndarray]]:
+def slices(column: pa.Array, most: int = 1 << 18) -> Iterator[tuple[int, int, np.ndarray, np.ndarray]]:
     """(first row, end row, bytes, offsets) of consecutive rows with about `most` bytes of text; a null counts as empty."""
     if isinstance(column, pa.ChunkedArray):
         column = column.combine_chunks()
