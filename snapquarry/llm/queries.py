@@ -31,6 +31,10 @@ def op5_ngram_join(spark: SparkSession, sf_dir: str) -> DataFrame:
     return ngram_join.join(read(spark, sf_dir, "documents"), width=4, percent=85).select("doc_id", "n_shingles", "component_id")
 
 
+def op5_ngram_links(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return ngram_join.join(read(spark, sf_dir, "documents"), width=4, percent=85)
+
+
 def op6_content_store(spark: SparkSession, sf_dir: str) -> DataFrame:
     return content_store.read_back(*content_store.write(read(spark, sf_dir, "documents")))
 
@@ -60,7 +64,7 @@ def pipeline(spark: SparkSession, sf_dir: str) -> DataFrame:
     return corpus_pipeline.run(spark, sf_dir)
 
 
-QUERIES = {f.__name__: f for f in (op1_quality, op2_mixing, op3_packing, op4_fingerprint, op5_ngram_join, op6_content_store, op7_toxicity, op8_token_counts, op9_rules, op10_suffix_dedup, pipeline)}
+QUERIES = {f.__name__: f for f in (op1_quality, op2_mixing, op3_packing, op4_fingerprint, op5_ngram_join, op5_ngram_links, op6_content_store, op7_toxicity, op8_token_counts, op9_rules, op10_suffix_dedup, pipeline)}
 
 _WORDS = r"regexp_extract_all(t, '[^\x20\x09-\x0D]+')"
 
@@ -78,6 +82,14 @@ SELECT w.doc_id, coalesce(n.n, 0) AS n_shingles, c.component_id
 FROM w LEFT JOIN n USING (doc_id) JOIN (SELECT a, min(b) AS component_id FROM r GROUP BY 1) c ON c.a = w.doc_id
 """
 
+OP5_LINKS = f"""
+{OP5.partition("SELECT w.doc_id, coalesce")[0]}
+SELECT w.doc_id, coalesce(n.n, 0) AS n_shingles, c.component_id, coalesce(k.n_links, 0) AS n_links
+FROM w LEFT JOIN n USING (doc_id) JOIN (SELECT a, min(b) AS component_id FROM r GROUP BY 1) c ON c.a = w.doc_id
+LEFT JOIN (SELECT l.a, count(DISTINCT y.text) AS n_links FROM l JOIN documents x ON x.doc_id = l.a JOIN documents y ON y.doc_id = l.b
+           WHERE x.text <> y.text GROUP BY 1) k ON k.a = w.doc_id
+"""
+
 _RATIO = "CASE r WHEN 'word_length' THEN word_chars * 100 WHEN 'symbols' THEN n_symbols * 1000 WHEN 'dup_lines' THEN n_dup_lines * 1000 ELSE n_repeat_words * 1000 END"
 _SLACK = "CASE r WHEN 'dup_lines' THEN 30 ELSE 150 END"
 
@@ -124,4 +136,4 @@ SELECT d.doc_id, strlen(d.h) // 2 AS n_bytes, coalesce(a.n_removed, 0) AS n_remo
 FROM d LEFT JOIN a USING (doc_id) LEFT JOIN t USING (doc_id)
 """
 
-ORACLE_SQL = {"op5_ngram_join": OP5, "op9_rules": OP9, "op10_suffix_dedup": OP10}
+ORACLE_SQL = {"op5_ngram_join": OP5, "op5_ngram_links": OP5_LINKS, "op9_rules": OP9, "op10_suffix_dedup": OP10}

@@ -174,6 +174,23 @@ def test_ngram_join(docs, none, rows, width, percent):
     assert ngram_join.join(none).count() == 0
 
 
+@pytest.mark.parametrize("block", [256, 3])
+def test_ngram_join_links(spark, docs, rows, monkeypatch, block):
+    monkeypatch.setattr(ngram_join, "BLOCK", block)
+    base = [f"w{i}" for i in range(60)]
+    close = [(i, " ".join([*base, f"tail{i}"])) for i in range(4)]  # each links with the three others
+    close += [(4, close[0][1]), (5, close[0][1].upper()), (6, "alone in the whole table"), (7, None), (8, " ")]
+    for given, width, percent in ((close, 5, 80), (rows, 2, 60)):
+        sets = word_sets([(i, t or "") for i, t in given], width)
+        linked = lambda a, b: bool(sets[a] and sets[b]) and 100 * len(sets[a] & sets[b]) >= percent * len(sets[a] | sets[b])
+        want = [(d, len({u for b, (_, u) in enumerate(given) if u != t and linked(a, b)})) for a, (d, t) in enumerate(given)]
+        table = spark.createDataFrame(close, "doc_id long, text string").repartition(3) if given is close else docs
+        got = [(r.doc_id, r.n_links) for r in ngram_join.join(table, width=width, percent=percent).collect()]
+        assert sorted(got, key=repr) == sorted(want, key=repr)
+        if given is close:
+            assert dict(got) == {0: 4, 1: 4, 2: 4, 3: 4, 4: 4, 5: 4, 6: 0, 7: 0, 8: 0}
+
+
 def test_keep_one(docs):
     kept = ngram_join.keep_one(docs)
     ids = [r.doc_id for r in kept.collect() if r.doc_id is not None]
