@@ -17,9 +17,21 @@ from .tokens import encoder, some, tokenizer_path
 ROOM = 2048
 
 
-def pieces(docs: DataFrame, *, path: str | None = None, room: int = ROOM, end_id: int = 0, with_ids: bool = True) -> DataFrame:
-    """doc_id, piece, start, length, ids_crc32 and (with_ids) ids, little-endian unsigned 32-bit: each text's ids and
-    the end id, cut every `room` ids. Null texts are empty, that is the end id alone; repeated rows are cut alike."""
+def narrow(ids: bytes) -> bytes:
+    """Ids given in four bytes each, in two bytes each where all of them fit."""
+    wide = np.frombuffer(ids, dtype="<u4")
+    return wide.astype("<u2").tobytes() if wide.max(initial=0) < 1 << 16 else ids
+
+
+def widen(ids: bytes, length: int) -> bytes:
+    """`length` ids of two or four bytes each, as little-endian unsigned 32-bit."""
+    return np.frombuffer(ids, dtype="<u2").astype("<u4").tobytes() if len(ids) == 2 * length else ids
+
+
+def pieces(docs: DataFrame, *, path: str | None = None, room: int = ROOM, end_id: int = 0) -> DataFrame:
+    """doc_id, piece, start, length, ids_crc32 (of little-endian unsigned 32-bit) and ids, little-endian, of two bytes
+    each where they fit, else four: each text's ids and the end id, cut every `room` ids. Null texts are empty, that is
+    the end id alone; repeated rows are cut alike."""
     path = path or tokenizer_path("word_bpe_49k.json")
     close = np.uint32(end_id).tobytes()
 
@@ -31,14 +43,10 @@ def pieces(docs: DataFrame, *, path: str | None = None, room: int = ROOM, end_id
                 whole = [t + close for t in enc.encode(texts[a:b])]
                 made = [(a + i, k, t[4 * k : 4 * (k + room)]) for i, t in enumerate(whole) for k in range(0, len(t) // 4, room)]
                 columns = [ids.take(pa.array([m[0] for m in made], pa.int64())), pa.array([m[1] // room for m in made], pa.int32()), pa.array([m[1] for m in made], pa.int64()),
-                           pa.array([len(m[2]) // 4 for m in made], pa.int64()), pa.array([zlib.crc32(m[2]) for m in made], pa.int64())]
-                names = ["doc_id", "piece", "start", "length", "ids_crc32"]
-                if with_ids:
-                    columns.append(pa.array([m[2] for m in made], pa.binary()))
-                    names.append("ids")
-                yield pa.RecordBatch.from_arrays(columns, names=names)
-
-    schema = f"doc_id {docs.schema['doc_id'].dataType.simpleString()}, piece int, start long, length long, ids_crc32 long" + ", ids binary" * with_ids
+                           pa.array([len(m[2]) // 4 for m in made], pa.int64()), pa.array([zlib.crc32(m[2]) for m in made], pa.int64()), pa.array([narrow(m[2]) for m in made], pa.binary())]
+                yield pa.RecordBatch.from_arrays(columns, names=["doc_id", "piece", "start", "length", "ids_crc32", "ids"])
+
+    schema = f"doc_id {docs.schema['doc_id'].dataType.simpleString()}, piece int, start long, length long, ids_crc32 long, ids binary"
     return docs.select("doc_id", "text").mapInArrow(cut, schema)
 
 
@@ -117,28 +125,63 @@ def _swap(bins: list, fill: list, lengths: list, low: int, high: int, up: list,
 
 
 def pack(cut: DataFrame, *, room: int = ROOM, group: int = 4096, n_pieces: int | None = None) -> DataFrame:
-    """cut with sequence_id and offset. Pieces are dealt at random over groups of about `group`, which are packed
-    apart; a group leaves about one bin underfull, so the sequences exceed the fewest possible by about one in a
-    thousand. A piece longer than `room` is an error; pieces without a document keep a null id."""
+    """One row a packed sequence: sequence_id, length, ids (the joined ids of its pieces, two bytes each where all fit,
+    else four) and pieces, array of (doc_id, piece, start, length) in the order in which they stand. Pieces are dealt at
+    random over groups of about `group`, which are packed apart; a group leaves about one bin underfull, so the
+    sequences exceed the fewest possible by about one in a thousand. A piece longer than `room` is an error; pieces
+    without a document keep a null id."""
     n = cut.count() if n_pieces is None else n_pieces
     groups = max(1, round(n / group))
-    names = [f.name for f in cut.schema]
     dealt = cut.withColumn("_group", F.pmod(F.xxhash64("doc_id", "piece", "ids_crc32"), F.lit(groups)))
     dealt = dealt.repartition("_group").sortWithinPartitions("_group", "doc_id", "piece", "ids_crc32")
+    names = ["doc_id", "piece", "start", "length"]
 
     def filled(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for g, rows in grouped(batches, "_group"):
-            lengths = rows.column("length").to_pylist()
-            bins = search(lengths, room)
-            seq, place = np.zeros(len(lengths), dtype=np.int64), np.zeros(len(lengths), dtype=np.int64)
-            for b, members in enumerate(bins):
-                seq[members] = (g << 24) + b
-                sizes = [lengths[i] for i in members]
-                place[members] = np.cumsum(sizes) - sizes
-            yield from pa.Table.from_arrays([*[rows.column(c) for c in names], pa.array(seq), pa.array(place)], names=[*names, "sequence_id", "offset"]).to_batches()
-
-    schema = ", ".join(f"`{f.name}` {f.dataType.simpleString()}" for f in cut.schema)
-    return dealt.mapInArrow(filled, f"{schema}, sequence_id long, offset long")
+            lengths, ids = rows.column("length").to_pylist(), rows.column("ids").to_pylist()
+            if max(lengths) > room:
+                raise ValueError(f"a piece is longer than {room}")
+            bins = [b for b in search(lengths, room) if b]
+            joined = []
+            for b in bins:
+                same = len({len(ids[i]) == 2 * lengths[i] for i in b}) == 1
+                joined.append(b"".join(ids[i] if same else widen(ids[i], lengths[i]) for i in b))
+            inner = rows.select(names).take(pa.array([i for b in bins for i in b], pa.int64())).combine_chunks()
+            structs = pa.StructArray.from_arrays([inner.column(c).combine_chunks() for c in names], names=names)
+            ends = pa.array(np.cumsum([0, *map(len, bins)]), pa.int32())
+            made = [pa.array([(g << 24) + k for k in range(len(bins))], pa.int64()), pa.array([sum(lengths[i] for i in b) for b in bins], pa.int64()), pa.array(joined, pa.binary()), pa.ListArray.from_arrays(ends, structs)]
+            yield pa.RecordBatch.from_arrays(made, names=["sequence_id", "length", "ids", "pieces"])
+
+    inside = ", ".join(f"{c}: {cut.schema[c].dataType.simpleString()}" for c in names)
+    return dealt.mapInArrow(filled, f"sequence_id long, length long, ids binary, pieces array<struct<{inside}>>")
+
+
+def members(packed: DataFrame) -> DataFrame:
+    """doc_id, piece, start, length, ids_crc32, ids, sequence_id, offset: the pieces as they are found in packed
+    sequences, ids cut out of the sequence's own (and as wide), from which the crc is taken."""
+    def found(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            lists = batch.column("pieces")
+            inner, counts = lists.flatten(), np.diff(lists.offsets.to_numpy())
+            lengths = iter(inner.field("length").to_pylist())
+            ids, crc, offset = [], [], []
+            for whole, total, k in zip(batch.column("ids").to_pylist(), batch.column("length").to_pylist(), counts.tolist()):
+                width, at = len(whole) // total, 0
+                for _ in range(k):
+                    n = next(lengths)
+                    own = whole[width * at : width * (at + n)]
+                    ids.append(own)
+                    crc.append(zlib.crc32(widen(own, n)))
+                    offset.append(at)
+                    at += n
+                if at != total or width * total != len(whole):
+                    raise ValueError("a sequence's pieces don't fill it")
+            names = ["doc_id", "piece", "start", "length"]
+            seq = np.repeat(batch.column("sequence_id").to_numpy(), counts)
+            yield pa.RecordBatch.from_arrays([*[inner.field(c) for c in names], pa.array(crc, pa.int64()), pa.array(ids, pa.binary()), pa.array(seq, pa.int64()), pa.array(offset, pa.int64())], names=[*names, "ids_crc32", "ids", "sequence_id", "offset"])
+
+    kind = packed.schema["pieces"].dataType.elementType["doc_id"].dataType.simpleString()
+    return packed.mapInArrow(found, f"doc_id {kind}, piece int, start long, length long, ids_crc32 long, ids binary, sequence_id long, offset long")
 
 
 def grouped(batches: Iterator[pa.RecordBatch], key: str) -> Iterator[tuple]:
@@ -158,12 +201,15 @@ def grouped(batches: Iterator[pa.RecordBatch], key: str) -> Iterator[tuple]:
         yield held[0].column(key)[0].as_py(), pa.Table.from_batches(held)
 
 
-def sequences(packed: DataFrame) -> DataFrame:
-    """sequence_id, length, ids: the packed sequences themselves, from pieces that carry ids."""
-    joined = F.expr("reduce(transform(array_sort(collect_list(struct(offset, ids))), x -> x.ids), cast('' as binary), (a, b) -> concat(a, b))")
-    return packed.groupBy("sequence_id").agg(F.sum("length").alias("length"), joined.alias("ids"))
+def sequences(found: DataFrame) -> DataFrame:
+    """sequence_id, length, ids (little-endian unsigned 32-bit): sequences put together again from rows of members."""
+    whole = F.udf(lambda parts: b"".join(widen(bytes(p["ids"]), p["length"]) for p in parts), "binary")
+    parts = F.array_sort(F.collect_list(F.struct("offset", "length", "ids")))
+    return found.groupBy("sequence_id").agg(F.sum("length").alias("length"), parts.alias("parts")).select("sequence_id", "length", whole("parts").alias("ids"))
 
 
-def pack_documents(docs: DataFrame, *, path: str | None = None, with_ids: bool = False) -> DataFrame:
-    """Cut and pack whole texts. Tokens are made once; what is packed is read from the shared folder."""
-    return pack(store(pieces(docs, path=path, with_ids=with_ids), "pieces"))
+def pack_documents(docs: DataFrame, *, path: str | None = None, with_ids: bool = True) -> DataFrame:
+    """Cut and pack whole texts. Tokens are made once; the packed sequences are written to the shared folder with their
+    ids, and what is returned is read from these."""
+    found = members(store(pack(store(pieces(docs, path=path), "pieces")), "sequences"))
+    return found if with_ids else found.drop("ids")

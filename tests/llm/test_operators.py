@@ -97,6 +97,37 @@ def test_packing(docs, none, rows):
     assert packing.pack_documents(none).count() == 0
 
 
+def test_packed_ids(docs, rows, spark):
+    from tokenizers import Tokenizer
+
+    import corpus_pipeline
+
+    tok = Tokenizer.from_file(packing.tokenizer_path("word_bpe_49k.json"))
+    whole = {i: np.array(tok.encode(t, add_special_tokens=False).ids + [0], dtype="<u2").tobytes() for i, t in rows if i is not None}
+    last = corpus_pipeline.pack_sequences(spark, docs, "").collect()
+    assert all(len(r.ids) == 2 * r.length for r in last)
+    for r in last:
+        if r.doc_id is not None:
+            assert bytes(r.ids) == whole[r.doc_id][2 * r.start : 2 * (r.start + r.length)]
+    made = packing.pack(packing.pieces(docs)).collect()
+    assert sum(r.length for r in made) == sum(r.length for r in last) and all(len(r.ids) == 2 * r.length <= 4096 for r in made)
+    for r in made:
+        at = 0
+        for p in r.pieces:
+            if p.doc_id is not None:
+                assert bytes(r.ids)[2 * at : 2 * (at + p.length)] == whole[p.doc_id][2 * p.start : 2 * (p.start + p.length)]
+            at += p.length
+        assert at == r.length
+
+
+def test_packed_wide_ids(spark):
+    many = [np.array([70_000, 1, k], dtype="<u4").tobytes() if k % 2 else np.array([5, k], dtype="<u2").tobytes() for k in range(9)]
+    cut = spark.createDataFrame([(k, 0, 0, 3 if k % 2 else 2, k, bytearray(b)) for k, b in enumerate(many)], "doc_id long, piece int, start long, length long, ids_crc32 long, ids binary")
+    got = packing.members(packing.pack(cut, room=16)).collect()
+    assert sorted((r.doc_id, packing.widen(bytes(r.ids), r.length)) for r in got) == [(k, packing.widen(b, 3 if k % 2 else 2)) for k, b in enumerate(many)]
+    assert all(r.ids_crc32 == zlib.crc32(packing.widen(bytes(r.ids), r.length)) for r in got)
+
+
 def test_local_search():
     rng = random.Random(2)
     sizes = [rng.randint(1, 1400) for _ in range(300)]
