@@ -176,14 +176,14 @@ def script_calls(pages: DataFrame) -> DataFrame:
 
 
 def i18n_refs(pages: DataFrame, languages: DataFrame | None = None) -> DataFrame:
-    """page_id, kind (lang, key, file), value; ${lang} in a file name stands for each of a few given languages."""
+    """page_id, kind (lang, key, file), value; ${lang} in a file name stands for each of the given languages."""
     of = lambda kind, p: F.transform(F.regexp_extract_all("html", F.lit(p), F.lit(1)), lambda v: F.struct(F.lit(kind).alias("kind"), v.alias("value")))
     rows = pages.select("page_id", F.explode(F.concat(of("lang", r'<html[^>]*\slang="([^"]+)"'), of("key", r'data-i18n="([^"]+)"'), of("file", r'["\']([^"\']+\.json)["\']'))).alias("r")).select("page_id", "r.kind", "r.value")
     if languages is None:
         return rows
-    names = [r[0] for r in languages.select("lang").distinct().orderBy("lang").limit(64).collect()]
-    filled = F.when(F.col("value").contains("${lang}"), F.transform(F.array(*[F.lit(n) for n in names]), lambda n: F.replace("value", F.lit("${lang}"), n))).otherwise(F.array("value"))
-    return rows.select("page_id", "kind", F.explode(filled).alias("value"))
+    template = F.col("value").contains("${lang}")
+    filled = rows.filter(template).crossJoin(languages.select("lang").distinct())
+    return rows.filter(~template).unionByName(filled.select("page_id", "kind", F.replace("value", F.lit("${lang}"), "lang").alias("value")))
 
 
 def page_shell(pages: DataFrame) -> DataFrame:

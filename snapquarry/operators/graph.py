@@ -1,8 +1,9 @@
-"""Iteration to a fixed point over link and asset graphs (I01, I02). Rounds are bounded and each is checkpointed."""
+"""Iteration to a fixed point over link and asset graphs (I01, I02). Each round is checkpointed."""
 
 from __future__ import annotations
 
 import tempfile
+from itertools import count
 
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
@@ -25,12 +26,12 @@ def frontier(links: DataFrame, manifested: DataFrame, available: DataFrame, reje
     return each.select("route", state.alias("state"), "links", "pages", "first_page")
 
 
-def reachable(edges: DataFrame, start: DataFrame, max_rounds: int = 8) -> DataFrame:
-    """Node, depth of everything reached from start(node) over edges(src, dst) in at most max_rounds steps;
-    each round follows only what the one before found."""
+def reachable(edges: DataFrame, start: DataFrame, max_rounds: int | None = 8) -> DataFrame:
+    """Node, depth of everything reached from start(node) over edges(src, dst) in at most max_rounds steps, or,
+    if that is None, in any number; each round follows only what the one before found."""
     seen = _cut(start.select("node").distinct().withColumn("depth", F.lit(0)))
     last = seen
-    for depth in range(1, max_rounds + 1):
+    for depth in count(1) if max_rounds is None else range(1, max_rounds + 1):
         new = edges.join(last.select(F.col("node").alias("src")), "src").select(F.col("dst").alias("node")).distinct()
         last = _cut(new.join(seen.select("node"), "node", "left_anti").withColumn("depth", F.lit(depth)))
         if last.isEmpty():
@@ -39,6 +40,7 @@ def reachable(edges: DataFrame, start: DataFrame, max_rounds: int = 8) -> DataFr
     return seen
 
 
-def asset_closure(page_refs: DataFrame, sheet_refs: DataFrame, max_rounds: int = 8) -> DataFrame:
-    """Assets that pages(url) refer to, and those that style sheets among them refer to, until none is new."""
+def asset_closure(page_refs: DataFrame, sheet_refs: DataFrame, max_rounds: int | None = None) -> DataFrame:
+    """Assets that pages(url) refer to, and those that style sheets among them refer to, until none is new; with
+    max_rounds, at most so many steps deep."""
     return reachable(sheet_refs.select(F.col("url").alias("src"), F.col("ref").alias("dst")), page_refs.select(F.col("url").alias("node")), max_rounds)

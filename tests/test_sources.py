@@ -6,6 +6,7 @@ import pytest
 from pyspark.sql import functions as F
 
 from snapquarry.operators import modifiers
+from snapquarry.operators.extract import i18n_refs
 from snapquarry.operators.graph import asset_closure, reachable
 from snapquarry.sources import readers, sinks
 from snapquarry.streaming import incremental
@@ -88,3 +89,18 @@ def test_fixed_points(spark):
     assert sorted(tuple(r) for r in reachable(e, spark.createDataFrame([(1,)], "node long")).collect()) == [(1, 0), (2, 1), (3, 2)]
     sheets = spark.createDataFrame([("a", "b"), ("b", "c")], "url string, ref string")
     assert sorted(r.node for r in asset_closure(spark.createDataFrame([("a",)], "url string"), sheets).collect()) == ["a", "b", "c"]
+
+
+def test_closure_to_the_end(spark):
+    chain = spark.createDataFrame([(f"s{i}", f"s{i + 1}") for i in range(10)] + [("s10", "s3")], "url string, ref string")
+    pages = spark.createDataFrame([("s0",)], "url string")
+    assert {r.node: r.depth for r in asset_closure(pages, chain).collect()} == {f"s{i}": i for i in range(11)}
+    assert asset_closure(pages, chain, max_rounds=2).count() == 3
+
+
+def test_all_languages(spark):
+    pages = spark.createDataFrame([(1, """<html lang="en"><script>load('/i18n/${lang}.json'); load('plain.json')</script>""")], "page_id long, html string")
+    langs = spark.createDataFrame([(f"l{i}",) for i in range(70)] + [("l0",)], "lang string")
+    got = sorted((r.kind, r.value) for r in i18n_refs(pages, langs).collect())
+    assert got == sorted([("lang", "en"), ("file", "plain.json"), *[("file", f"/i18n/l{i}.json") for i in range(70)]])
+    assert i18n_refs(pages, langs.limit(0)).count() == 2
