@@ -2,16 +2,35 @@
 
 from __future__ import annotations
 
-import tempfile
+import ctypes
+import hashlib
+import re
 import uuid
 from collections.abc import Iterator
 from dataclasses import dataclass
 
 import numpy as np
+import pandas as pd
 import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+
+
+def _give_back() -> None:
+    """Python workers live on between tasks: let large arrays go back to the system when they are freed, so that idle
+    workers don't hold the most that any task of theirs once took."""
+    pa.set_memory_pool(pa.system_memory_pool())
+    try:
+        libc = ctypes.CDLL("libc.so.6")
+        libc.mallopt(-3, 4 << 20)  # M_MMAP_THRESHOLD
+        libc.mallopt(-1, 8 << 20)  # M_TRIM_THRESHOLD
+    except (OSError, AttributeError):  # another C library: it keeps its own ways
+        return
+
+
+_give_back()
+
 #: A word is a run of characters other than these six (ASCII space, and tab to carriage return).
 WORD = r"[^\x20\x09-\x0D]+"
 _BLANK = np.zeros(256, dtype=bool)
@@ -21,39 +40,82 @@ _LOWER[65:91] += 32
 
 _BASE = 0x9E3779B97F4A7C15 | 1
 _TABLE = np.random.default_rng(20240607).integers(1, 2**63, 256, dtype=np.uint64) * np.uint64(2) + np.uint64(1)
+_MASKS = np.array([(1 << 8 * k) - 1 for k in range(9)], dtype=np.uint64)
 _powers: dict[str, np.ndarray] = {}
 
 
+#: Bytes in one Arrow batch on its way to Python.
+BATCH_BYTES = 4 << 20
+
+
+def bounded(df: DataFrame) -> DataFrame:
+    """df, after making sure that Arrow batches are bounded by bytes, as some texts are long: the session's bound is lowered
+    to BATCH_BYTES if it is above, and never raised."""
+    conf, key = df.sparkSession.conf, "spark.sql.execution.arrow.maxBytesPerBatch"
+    now = as_bytes(conf.get(key))
+    if not 0 < now <= BATCH_BYTES:
+        conf.set(key, str(BATCH_BYTES))
+    return df
+
+
+def as_bytes(text: str) -> int:
+    """Bytes of a setting such as 64MB or 4194304; -1 if it isn't such a number."""
+    found = re.fullmatch(r"(\d+)\s*([kmgt]?)i?b?", text.strip().lower())
+    return int(found[1]) << 10 * " kmgt".index(found[2] or " ") if found else -1
+
+
 def read(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
-    """One input table. Arrow batches are kept small, as some texts are long."""
-    spark.conf.set("spark.sql.execution.arrow.maxRecordsPerBatch", "2000")
-    spark.conf.set("spark.sql.execution.arrow.maxBytesPerBatch", str(8 << 20))
-    return spark.read.parquet(f"{sf_dir}/{name}.parquet")
+    """One input table."""
+    return bounded(spark.read.parquet(f"{sf_dir}/{name}.parquet"))
 
 
-def store(df: DataFrame, name: str) -> DataFrame:
-    """Write df to the folder that the cluster shares (spark.checkpoint.dir) and read it back: cuts the
-    lineage, so a lost executor costs no recomputation of what came before."""
-    spark = df.sparkSession
+def shared_folder(spark: SparkSession) -> str:
+    """The folder that all executors share (spark.checkpoint.dir). Where it isn't set, a local session takes one of its
+    own; a cluster would lose what executors write to their own disks, so it is an error there."""
     root = spark.conf.get("spark.checkpoint.dir", "")
     if not root:
-        root = tempfile.mkdtemp(prefix="spark-llm-")
-        spark.conf.set("spark.checkpoint.dir", root)
-    path = f"{root.rstrip('/')}/{name}-{uuid.uuid4().hex}"
+        if not spark.sparkContext.master.startswith("local[") and spark.sparkContext.master != "local":
+            raise ValueError("set spark.checkpoint.dir to a folder that all executors share")
+        root = f"{spark.conf.get('spark.sql.warehouse.dir').rstrip('/')}/snapquarry-stored"
+    return root.rstrip("/")
+
+
+def store(df: DataFrame, name: str) -> DataFrame:
+    """Write df to the folder that the cluster shares and read it back: cuts the lineage, so a lost executor costs no
+    recomputation of what came before. The files stay until `discard` or the cluster's own cleaning, as lazily
+    computed results still read them."""
+    spark = df.sparkSession
+    path = f"{shared_folder(spark)}/{name}-{uuid.uuid4().hex}"
     df.write.option("compression", "zstd").parquet(path)
-    return spark.read.schema(df.schema).parquet(path)
+    out = spark.read.schema(df.schema).parquet(path)
+    out._stored_at = path
+    return out
+
+
+def discard(*tables: DataFrame) -> None:
+    """Delete stored tables that nothing reads any more."""
+    for df in tables:
+        if path := getattr(df, "_stored_at", ""):
+            jvm, conf = df.sparkSession._jvm, df.sparkSession._jsc.hadoopConfiguration()
+            where = jvm.org.apache.hadoop.fs.Path(path)
+            where.getFileSystem(conf).delete(where, True)
 
 
 def blocks_for(n_bytes: int, each: int) -> int:
     return max(1, -(-int(n_bytes) // each))
 
 
+def tasks_for(spark: SparkSession, groups: int) -> int:
+    """Partitions for a shuffle by a key with so many values: it grows with the input, and is no less than the session's."""
+    return max(int(groups), int(spark.conf.get("spark.sql.shuffle.partitions")))
+
+
 def text_bytes(docs: DataFrame) -> int:
     """Bytes of all texts: the figure from which block and bucket counts are set."""
     return int(docs.agg(F.sum(F.octet_length("text"))).first()[0] or 0)
 
 
-def slices(column: pa.Array, most: int = 1 << 18) -> Iterator[tuple[int, int, np.ndarray, np.ndarray]]:
+def slices(column: pa.Array, most: int = 1 << 17) -> Iterator[tuple[int, int, np.ndarray, np.ndarray]]:
     """(first row, end row, bytes, offsets) of consecutive rows with about `most` bytes of text; a null counts as empty."""
     if isinstance(column, pa.ChunkedArray):
         column = column.combine_chunks()
@@ -120,9 +182,11 @@ def _power(name: str, base: int, n: int) -> np.ndarray:
 
 
 def prefix_hash(buf: np.ndarray) -> np.ndarray:
-    """Running polynomial hash of bytes (mod 2^64), one entry more than bytes."""
+    """Running polynomial hash of bytes or whole numbers (mod 2^64), one entry more than bytes. For spans of some hundred bytes at most:
+    patterned ones from about a thousand bytes on can collide, see hash_spans."""
     out = np.zeros(len(buf) + 1, dtype=np.uint64)
-    np.cumsum(_TABLE[buf] * _power("up", _BASE, len(buf) + 1)[: len(buf)], out=out[1:])
+    values = _TABLE[buf] if buf.dtype == np.uint8 else mix(buf.astype(np.uint64) + np.uint64(1))
+    np.cumsum(values * _power("up", _BASE, len(buf) + 1)[: len(buf)], out=out[1:])
     return out
 
 
@@ -132,6 +196,28 @@ def span_hash(prefix: np.ndarray, start: np.ndarray, end: np.ndarray) -> np.ndar
     return mix((prefix[end] - prefix[start]) * down[start] + (end - start).astype(np.uint64))
 
 
+def hash_spans(buf: np.ndarray, start: np.ndarray, end: np.ndarray) -> np.ndarray:
+    """64-bit hash of each span's bytes, wherever it stands: eight bytes at a time go through `mix`, so no texts are known
+    to collide by their pattern (as they do under a polynomial mod 2^64); long spans are left to blake2b."""
+    size = end - start
+    out = mix(size.astype(np.uint64) + np.uint64(0x51AFD7ED558CCD25))
+    padded = np.zeros(len(buf) + 8, dtype=np.uint8)
+    padded[: len(buf)] = buf
+    eight = np.ndarray(shape=(len(buf) + 1,), dtype="<u8", buffer=padded, strides=(1,))
+    live, at, left = np.flatnonzero(size > 0), None, None
+    for step in range(32):
+        if not len(live):
+            return out
+        at, left = start[live] + 8 * step, size[live] - 8 * step
+        value = eight[at] & _MASKS[np.minimum(left, 8)]
+        out[live] = mix((out[live] ^ value) + np.uint64(0x9E3779B97F4A7C15))
+        live = live[left > 8]
+    for i in live.tolist():
+        name = hashlib.blake2b(memoryview(buf[start[i] : end[i]]), digest_size=8).digest()
+        out[i] = int.from_bytes(name, "little")
+    return out
+
+
 def windows_of(values: np.ndarray, width: int) -> np.ndarray:
     """Hash of each run of `width` neighbouring values; shorter input gives none."""
     if len(values) < width:
@@ -146,3 +232,59 @@ def running(df: DataFrame, order: list, name: str) -> DataFrame:
     """df in a total order dealt over range partitions, each sorted, with part and pos (place in the part)."""
     out = df.repartitionByRange(*order).sortWithinPartitions(*order)
     return store(out.withColumn("part", F.spark_partition_id()).withColumn("pos", F.monotonically_increasing_id().bitwiseAND((1 << 33) - 1)), name)
+
+
+#: Most bits of a filter: 16 MB. With more keys than it has room for, more rows pass it to the exact join behind.
+MOST_BITS, BIT_SLICES = 1 << 27, 64
+
+
+def maybe_among(keys: DataFrame, most: int = MOST_BITS):
+    """A Boolean column function over xxhash64 of the columns of `keys`: false for no row whose columns equal a row of
+    keys, true for few others. The bits are set by executors, each slice is put together by one task, and their size is
+    bounded, so the driver gets at most `most` / 8 bytes. What passes is to be joined exactly."""
+    bits = 1 << max(16, min((16 * keys.count()).bit_length(), most.bit_length() - 1))
+    each = bits // BIT_SLICES
+
+    def set_bits(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        flags = np.zeros(bits, dtype=bool)
+        for batch in batches:
+            flags[batch.column(0).to_numpy() & (bits - 1)] = True
+        used = [k for k in range(BIT_SLICES) if flags[k * each : (k + 1) * each].any()]
+        yield pa.RecordBatch.from_arrays([pa.array(used, pa.int32()), pa.array([np.packbits(flags[k * each : (k + 1) * each]).tobytes() for k in used], pa.binary())], names=["slice", "bits"])
+
+    def united(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for k, rows in grouped(batches, "slice"):
+            total = np.zeros(each // 8, dtype=np.uint8)
+            for part in rows.column("bits").to_pylist():
+                total |= np.frombuffer(part, dtype=np.uint8)
+            yield pa.RecordBatch.from_arrays([pa.array([k], pa.int32()), pa.array([total.tobytes()], pa.binary())], names=["slice", "bits"])
+
+    made = keys.select(F.xxhash64(*keys.columns).alias("h")).coalesce(64).mapInArrow(set_bits, "slice int, bits binary")
+    rows = made.repartition(BIT_SLICES, "slice").sortWithinPartitions("slice").mapInArrow(united, "slice int, bits binary").collect()
+    packed = np.zeros(bits // 8, dtype=np.uint8)
+    for r in rows:
+        packed[r["slice"] * each // 8 : (r["slice"] + 1) * each // 8] = np.frombuffer(r["bits"], dtype=np.uint8)
+
+    @F.pandas_udf("boolean")
+    def maybe(h: pd.Series) -> pd.Series:
+        at = h.to_numpy() & (bits - 1)
+        return pd.Series((packed[at >> 3] >> (7 - (at & 7)).astype(np.uint8)) & 1).astype(bool)
+
+    return lambda *columns: maybe(F.xxhash64(*columns))
+
+
+def grouped(batches: Iterator[pa.RecordBatch], key: str) -> Iterator[tuple]:
+    """(key, rows) of batches that come sorted by a whole-number key."""
+    held: list[pa.RecordBatch] = []
+    for batch in batches:
+        if not batch.num_rows:
+            continue
+        keys = batch.column(key).to_numpy(zero_copy_only=False)
+        edges = [0, *(np.flatnonzero(keys[1:] != keys[:-1]) + 1).tolist(), len(keys)]
+        for a, b in zip(edges[:-1], edges[1:]):
+            if held and held[0].column(key)[0].as_py() != int(keys[a]):
+                yield held[0].column(key)[0].as_py(), pa.Table.from_batches(held)
+                held = []
+            held.append(batch.slice(a, b - a))
+    if held:
+        yield held[0].column(key)[0].as_py(), pa.Table.from_batches(held)

@@ -11,8 +11,8 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from .common import store
-from .tokens import encoder, some, tokenizer_path
+from .common import bounded, discard, grouped, store, tasks_for
+from .tokens import encoded, tokenizer_path
 
 ROOM = 2048
 
@@ -31,29 +31,42 @@ def widen(ids: bytes, length: int) -> bytes:
 def pieces(docs: DataFrame, *, path: str | None = None, room: int = ROOM, end_id: int = 0) -> DataFrame:
     """doc_id, piece, start, length, ids_crc32 (of little-endian unsigned 32-bit) and ids, little-endian, of two bytes
     each where they fit, else four: each text's ids and the end id, cut every `room` ids. Null texts are empty, that is
-    the end id alone; repeated rows are cut alike."""
+    the end id alone; repeated rows are cut alike; other columns of docs are ignored, whatever their names; texts of any
+    length are encoded whole."""
     path = path or tokenizer_path("word_bpe_49k.json")
-    close = np.uint32(end_id).tobytes()
 
     def cut(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        enc = encoder(path)
         for batch in batches:
-            texts, ids = batch.column("text").fill_null("").to_pylist(), batch.column("doc_id")
-            for a, b in some(texts):
-                whole = [t + close for t in enc.encode(texts[a:b])]
-                made = [(a + i, k, t[4 * k : 4 * (k + room)]) for i, t in enumerate(whole) for k in range(0, len(t) // 4, room)]
-                columns = [ids.take(pa.array([m[0] for m in made], pa.int64())), pa.array([m[1] // room for m in made], pa.int32()), pa.array([m[1] for m in made], pa.int64()),
-                           pa.array([len(m[2]) // 4 for m in made], pa.int64()), pa.array([zlib.crc32(m[2]) for m in made], pa.int64()), pa.array([narrow(m[2]) for m in made], pa.binary())]
+            doc_ids = batch.column("doc_id")
+            for a, _, ids, bounds in encoded(batch.column("text"), path, end_id):
+                size = np.diff(bounds)
+                many = -(-size // room)
+                row = np.repeat(np.arange(len(size)), many)
+                k = np.arange(len(row)) - np.repeat(np.cumsum(many) - many, many)
+                begin = bounds[row] + k * room
+                length = np.minimum(bounds[row + 1] - begin, room)
+                wide, fits = ids.tobytes(), ids < 1 << 16
+                slim = ids.astype("<u2").tobytes() if fits.all() else None
+                crc, own = [], []
+                for x, n in zip(begin.tolist(), length.tolist()):
+                    part = wide[4 * x : 4 * (x + n)]
+                    crc.append(zlib.crc32(part))
+                    own.append(slim[2 * x : 2 * (x + n)] if slim is not None else narrow(part))
+                columns = [doc_ids.take(pa.array(row + a)), pa.array(k, pa.int32()), pa.array(k * room, pa.int64()), pa.array(length, pa.int64()), pa.array(crc, pa.int64()), pa.array(own, pa.binary())]
                 yield pa.RecordBatch.from_arrays(columns, names=["doc_id", "piece", "start", "length", "ids_crc32", "ids"])
 
     schema = f"doc_id {docs.schema['doc_id'].dataType.simpleString()}, piece int, start long, length long, ids_crc32 long, ids binary"
-    return docs.select("doc_id", "text").mapInArrow(cut, schema)
+    return bounded(docs).select("doc_id", "text").mapInArrow(cut, schema)
 
 
-def search(lengths: list[int], room: int = ROOM, rounds: int = 200) -> list[list[int]]:
+def search(lengths: list[int], room: int = ROOM, exchanges: int = 20_000) -> list[list[int]]:
     """Bins of indices, each with at most `room` in sum. Starts from best fit by falling length, then exchanges
-    between underfull bins, one for one, two for one, or one moved, whenever the sum of squared fills grows; a bin that
-    runs empty goes."""
+    between all underfull bins, one for one, two for one, or one moved, always from a bin to a fuller one, so that the sum
+    of squared fills grows; a bin that runs empty goes. Ends when no exchange is left, when no fewer bins are possible,
+    or after `exchanges` of them (each grows the sum, so there is an end without it too; 20,000 were never reached in
+    groups of 4,096 pieces). Ties go to the earlier piece; a length over `room` is an error."""
+    if lengths and max(lengths) > room:
+        raise ValueError(f"a piece is longer than {room}")
     bins: list[list[int]] = []
     fill: list[int] = []
     at: dict[int, list[int]] = {}
@@ -78,41 +91,58 @@ def search(lengths: list[int], room: int = ROOM, rounds: int = 200) -> list[list
                 at[gap - n] = []
                 bisect.insort(left, gap - n)
             at[gap - n].append(b)
-    total = sum(lengths)
-    for _ in range(rounds):
-        if len(bins) <= -(-total // room):
-            break
-        under = sorted((b for b in range(len(bins)) if fill[b] < room and bins[b]), key=lambda b: fill[b])[:64]
-        if not any(_better(bins, fill, lengths, room, low, high) for low in under for high in reversed(under) if low != high and bins[low] and bins[high]):
-            break
-        keep = [b for b in range(len(bins)) if bins[b]]
-        bins, fill = [bins[b] for b in keep], [fill[b] for b in keep]
-    return bins
-
-
-def _better(bins: list, fill: list, lengths: list, room: int, low: int, high: int) -> bool:
-    """Make the fuller of two bins fuller still: by one document moved, or exchanged for one or for two smaller."""
-    if fill[low] > fill[high]:
-        return False
-    gap = room - fill[high]
-    small = sorted(bins[low], key=lambda i: -lengths[i])
-    for i in small:
-        if lengths[i] <= gap:
-            _swap(bins, fill, lengths, low, high, [i], [])
-            return True
-    best: tuple[int, list, list] = (0, [], [])
-    for j in bins[high]:
-        most = gap + lengths[j]
-        for x, i in enumerate(small):
-            if lengths[i] <= most and lengths[i] - lengths[j] > best[0]:
-                best = (lengths[i] - lengths[j], [i], [j])
-            for k in small[x + 1 :]:
-                two = lengths[i] + lengths[k]
-                if two <= most and two - lengths[j] > best[0]:
-                    best = (two - lengths[j], [i, k], [j])
-    if best[0]:
-        _swap(bins, fill, lengths, low, high, best[1], best[2])
-    return bool(best[0])
+    least, used, again = -(-sum(lengths) // room), len(bins), True
+    while again and used > least and exchanges > 0:
+        again, inside = False, None
+        for low in sorted((b for b in range(len(bins)) if 0 < fill[b] < room), key=lambda b: fill[b]):
+            while fill[low] and used > least and exchanges > 0:
+                inside = inside or _Inside(bins, fill, lengths, room)
+                found = inside.partner(low)
+                if found is None:
+                    break
+                high, up, down = found
+                _swap(bins, fill, lengths, low, high, up, down)
+                again, inside, exchanges = True, None, exchanges - 1
+                used -= not fill[low]
+    return [b for b in bins if b]
+
+
+class _Inside:
+    """What stands in underfull bins, as arrays, with a piece of no length in each, for which one may be moved in."""
+
+    def __init__(self, bins: list, fill: list, lengths: list, room: int):
+        self.bins, self.fill, self.lengths = bins, fill, lengths
+        under = [b for b in range(len(bins)) if 0 < fill[b] < room]
+        self.owner = np.array([b for b in under for _ in range(len(bins[b]) + 1)], dtype=np.int64)
+        self.item = np.array([i for b in under for i in (-1, *bins[b])], dtype=np.int64)
+        self.size = np.where(self.item >= 0, np.array(lengths, dtype=np.int64)[self.item], 0)
+        self.own_fill = np.array(fill, dtype=np.int64)[self.owner]
+        self.space = room - self.own_fill + self.size  # the most that may come in for each
+
+    def partner(self, low: int) -> tuple[int, list, list] | None:
+        """The fuller bin that takes most from bin `low`, what goes up to it and what comes down."""
+        able = np.flatnonzero((self.owner != low) & (self.own_fill >= self.fill[low]))
+        size, space = self.size[able], self.space[able]
+        small = sorted({self.lengths[i]: i for i in reversed(self.bins[low])}.items(), reverse=True)
+        twice = {n: [i for i in self.bins[low] if self.lengths[i] == n] for n, _ in small}
+        ups = {n: [i] for n, i in small}
+        for x, (n, i) in enumerate(small):
+            if len(twice[n]) > 1:
+                ups.setdefault(2 * n, twice[n][:2])
+            for m, j in small[x + 1 :]:
+                ups.setdefault(n + m, [i, j])
+        best: tuple[int, int, list] = (0, -1, [])
+        for n, up in sorted(ups.items(), reverse=True):
+            if n <= best[0]:
+                break
+            gain = np.where((space >= n) & (size < n), n - size, 0)
+            k = int(gain.argmax()) if len(gain) else 0
+            if len(gain) and gain[k] > best[0]:
+                best = (int(gain[k]), int(able[k]), up)
+        if not best[0]:
+            return None
+        down = [int(self.item[best[1]])] if self.item[best[1]] >= 0 else []
+        return int(self.owner[best[1]]), best[2], down
 
 
 def _swap(bins: list, fill: list, lengths: list, low: int, high: int, up: list, down: list) -> None:
@@ -128,20 +158,18 @@ def pack(cut: DataFrame, *, room: int = ROOM, group: int = 4096, n_pieces: int |
     """One row a packed sequence: sequence_id, length, ids (the joined ids of its pieces, two bytes each where all fit,
     else four) and pieces, array of (doc_id, piece, start, length) in the order in which they stand. Pieces are dealt at
     random over groups of about `group`, which are packed apart; a group leaves about one bin underfull, so the
-    sequences exceed the fewest possible by about one in a thousand. A piece longer than `room` is an error; pieces
-    without a document keep a null id."""
+    sequences exceed the fewest possible by about one in a thousand. A group takes at most 16 MB of ids. A piece longer
+    than `room` is an error; pieces without a document keep a null id; other columns of `cut` are left out; equal pieces
+    are packed each for itself; no pieces give no sequences."""
     n = cut.count() if n_pieces is None else n_pieces
-    groups = max(1, round(n / group))
-    dealt = cut.withColumn("_group", F.pmod(F.xxhash64("doc_id", "piece", "ids_crc32"), F.lit(groups)))
-    dealt = dealt.repartition("_group").sortWithinPartitions("_group", "doc_id", "piece", "ids_crc32")
-    names = ["doc_id", "piece", "start", "length"]
+    groups, names = max(1, round(n / group)), ["doc_id", "piece", "start", "length"]
+    dealt = cut.select(*names, "ids", F.col("ids_crc32").alias("_crc"), F.pmod(F.xxhash64("doc_id", "piece", "ids_crc32"), F.lit(groups)).alias("_group"))
+    dealt = dealt.repartition(tasks_for(cut.sparkSession, groups), "_group").sortWithinPartitions("_group", "doc_id", "piece", "_crc")
 
     def filled(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for g, rows in grouped(batches, "_group"):
             lengths, ids = rows.column("length").to_pylist(), rows.column("ids").to_pylist()
-            if max(lengths) > room:
-                raise ValueError(f"a piece is longer than {room}")
-            bins = [b for b in search(lengths, room) if b]
+            bins = search(lengths, room)
             joined = []
             for b in bins:
                 same = len({len(ids[i]) == 2 * lengths[i] for i in b}) == 1
@@ -184,23 +212,6 @@ def members(packed: DataFrame) -> DataFrame:
     return packed.mapInArrow(found, f"doc_id {kind}, piece int, start long, length long, ids_crc32 long, ids binary, sequence_id long, offset long")
 
 
-def grouped(batches: Iterator[pa.RecordBatch], key: str) -> Iterator[tuple]:
-    """(key, rows) of batches that come sorted by a whole-number key."""
-    held: list[pa.RecordBatch] = []
-    for batch in batches:
-        if not batch.num_rows:
-            continue
-        keys = batch.column(key).to_numpy(zero_copy_only=False)
-        edges = [0, *(np.flatnonzero(keys[1:] != keys[:-1]) + 1).tolist(), len(keys)]
-        for a, b in zip(edges[:-1], edges[1:]):
-            if held and held[0].column(key)[0].as_py() != int(keys[a]):
-                yield held[0].column(key)[0].as_py(), pa.Table.from_batches(held)
-                held = []
-            held.append(batch.slice(a, b - a))
-    if held:
-        yield held[0].column(key)[0].as_py(), pa.Table.from_batches(held)
-
-
 def sequences(found: DataFrame) -> DataFrame:
     """sequence_id, length, ids (little-endian unsigned 32-bit): sequences put together again from rows of members."""
     whole = F.udf(lambda parts: b"".join(widen(bytes(p["ids"]), p["length"]) for p in parts), "binary")
@@ -210,6 +221,10 @@ def sequences(found: DataFrame) -> DataFrame:
 
 def pack_documents(docs: DataFrame, *, path: str | None = None, with_ids: bool = True) -> DataFrame:
     """Cut and pack whole texts. Tokens are made once; the packed sequences are written to the shared folder with their
-    ids, and what is returned is read from these."""
-    found = members(store(pack(store(pieces(docs, path=path), "pieces")), "sequences"))
+    ids, and what is returned is read from these. Nulls, empty and long texts, repeated rows, empty tables and further
+    columns as in `pieces`."""
+    cut = store(pieces(docs, path=path), "pieces")
+    packed = store(pack(cut), "sequences")
+    discard(cut)
+    found = members(packed)
     return found if with_ids else found.drop("ids")

@@ -36,7 +36,7 @@ def op5_ngram_links(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def op6_content_store(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return content_store.read_back(*content_store.write(read(spark, sf_dir, "documents")))
+    return content_store.read_back(content_store.write(read(spark, sf_dir, "documents")))
 
 
 def op7_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
