@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from .common import store
+from .common import discard, store
 
 
 def components(edges: DataFrame) -> DataFrame:
@@ -22,7 +22,9 @@ def components(edges: DataFrame) -> DataFrame:
         parent = store(ends.groupBy("a").agg(F.min("b").alias("m")).select(F.col("a").alias("node"), F.least("a", "m").alias("up")), "parents")
         one, two = parent.select(F.col("node").alias("a"), F.col("up").alias("x")), parent.select(F.col("node").alias("b"), F.col("up").alias("y"))
         moved = left.join(one, "a").join(two, "b").filter("x <> y")
-        left = store(moved.select(F.least("x", "y").alias("a"), F.greatest("x", "y").alias("b")).distinct(), "edges")
+        last, left = left, store(moved.select(F.least("x", "y").alias("a"), F.greatest("x", "y").alias("b")).distinct(), "edges")
         up = parent.select(F.col("node").alias("root"), "up")
-        label = store(label.join(up, "root", "left").select("node", F.coalesce("up", "root").alias("root")), "labels")
+        old, label = label, store(label.join(up, "root", "left").select("node", F.coalesce("up", "root").alias("root")), "labels")
+        discard(last, parent, old)
+    discard(left)
     return label
