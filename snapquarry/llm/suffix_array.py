@@ -1,4 +1,5 @@
-"""Suffix arrays of byte strings by induced sorting, in steps over whole buckets, and their permuted common prefixes."""
+"""Suffix arrays of byte strings by recursive induced sorting, in stretches of whole arrays, and their permuted common
+prefixes."""
 
 from __future__ import annotations
 
@@ -18,76 +19,74 @@ def types(text: np.ndarray) -> np.ndarray:
     return out
 
 
-def _ranks(chars: np.ndarray, width: int) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
-    """Stable order by character, each one's number within its character in that order, and the counts."""
+def _by_char(chars: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """Stable order by character, and each one's number within its character in that order."""
     order = np.argsort(chars, kind="stable")
-    count = np.bincount(chars, minlength=width)
-    return order, np.arange(len(chars)) - (np.cumsum(count) - count)[chars[order]], count
+    ordered = chars[order]
+    first = np.flatnonzero(np.append(True, ordered[1:] != ordered[:-1]))
+    return order, np.arange(len(chars)) - np.repeat(first, np.diff(np.append(first, len(chars))))
 
 
 def induce(text: np.ndarray, small: np.ndarray, lms: np.ndarray) -> np.ndarray:
     """Suffix order induced from leftmost-smaller suffixes given in their order (or sorted by first character only, to
-    get their substrings sorted). Each bucket is read in a few steps, one for each run of its own character."""
+    get their substrings sorted). The array is read once from the left for larger and once from the right for smaller
+    suffixes, in stretches as long as nothing that a stretch induces falls into itself."""
     n, width = len(text), int(text.max()) + 1
-    count = np.bincount(text, minlength=width)
-    end = np.cumsum(count)
-    begin = end - count
+    end = np.cumsum(np.bincount(text, minlength=width))
+    seeds = np.bincount(text[lms], minlength=width)
     out = np.full(n, -1, dtype=np.int64)
-    order, rank, seeds = _ranks(text[lms], width)
+    order, rank = _by_char(text[lms])
     chosen = lms[order]
     out[(end - seeds)[text[chosen]] + rank] = chosen
-    head = begin.copy()
-
-    def larger(found: np.ndarray) -> None:
-        j = found[found > 0] - 1
-        j = j[~small[j]]
+    head = np.append(0, end[:-1])
+    at, step = 0, max(256, n >> 6)
+    while at < n:
+        stop = min(at + step, n)
+        place = np.flatnonzero(out[at:stop] > 0)
+        j = out[at + place] - 1
+        larger = ~small[j]
+        place, j = place[larger], j[larger]
+        step *= 2
         if len(j):
-            order, rank, count = _ranks(text[j], width)
-            j = j[order]
-            out[head[text[j]] + rank] = j
-            head[:] += count
-
-    for c in np.flatnonzero(count):
-        at = begin[c]
-        while at < head[c]:
-            at, upto = head[c], (at, head[c])
-            larger(out[upto[0] : upto[1]].copy())
-        larger(out[end[c] - seeds[c] : end[c]].copy())
+            order, rank = _by_char(text[j])
+            target = head[text[j[order]]] + rank
+            if (least := int(target.min())) < stop:
+                stop = least
+                inside = place[order] < stop - at
+                order, target = order[inside], target[inside]
+                step = max(256, 2 * (stop - at))
+            out[target] = j[order]
+            np.maximum.at(head, text[j[order]], target + 1)
+        at = stop
+    first = end - seeds
+    out[np.repeat(first - (np.cumsum(seeds) - seeds), seeds) + np.arange(seeds.sum())] = -1
     tail = end.copy()
-
-    def smaller(found: np.ndarray) -> None:
-        j = found[found > 0] - 1
-        j = j[small[j]]
+    at, step = n, max(256, n >> 6)
+    while at > 0:
+        stop = max(at - step, 0)
+        place = np.flatnonzero(out[stop:at] > 0)[::-1] + stop
+        j = out[place] - 1
+        smaller = small[j]
+        place, j = place[smaller], j[smaller]
+        step *= 2
         if len(j):
-            order, rank, count = _ranks(text[j], width)
-            j = j[order]
-            out[tail[text[j]] - 1 - rank] = j
-            tail[:] -= count
-
-    for c in np.flatnonzero(count)[::-1]:
-        at = end[c]
-        while at > tail[c]:
-            at, upto = tail[c], (tail[c], at)
-            smaller(out[upto[0] : upto[1]][::-1].copy())
-        smaller(out[begin[c] : head[c]][::-1].copy())
+            order, rank = _by_char(text[j])
+            target = tail[text[j[order]]] - 1 - rank
+            if (most := int(target.max())) >= stop:
+                stop = most + 1
+                inside = place[order] >= stop
+                order, target = order[inside], target[inside]
+                step = max(256, 2 * (at - stop))
+            out[target] = j[order]
+            np.minimum.at(tail, text[j[order]], target)
+        at = stop
     out[0] = n - 1
     return out
 
 
-def order_names(names: np.ndarray, reach: int, span: int = 1) -> np.ndarray:
-    """Ranks of the suffixes of a string of names, told apart by their first `reach` names: names are joined in pairs
-    and named anew, and so on, until all differ."""
-    if span >= reach or len(names) < 2 or names.max() + 1 == len(names):
-        return names
-    behind = np.zeros(len(names), dtype=np.int64)
-    behind[:-span] = names[span:] + 1
-    _, named = np.unique(names * (int(names.max()) + 2) + behind, return_inverse=True)
-    return order_names(named.astype(np.int64), reach, 2 * span)
-
-
-def suffix_array(text: np.ndarray, reach: int = 128) -> np.ndarray:
-    """Suffix array of a text whose last character is its only smallest; suffixes that agree in `reach`
-    leftmost-smaller substrings may come in any order."""
+def suffix_array(text: np.ndarray) -> np.ndarray:
+    """Suffix array of a text of whole numbers whose last one is its only smallest: leftmost-smaller substrings are sorted
+    and named, the string of their names is sorted in the same way unless all differ, and all else is induced."""
     if len(text) < 2:
         return np.arange(len(text))
     small = types(text)
@@ -102,7 +101,8 @@ def suffix_array(text: np.ndarray, reach: int = 128) -> np.ndarray:
     value = span_hash(prefix_hash(text), lms, stop)[number[sorted_lms]]
     names = np.empty(len(lms), dtype=np.int64)
     names[number[sorted_lms]] = np.cumsum(np.append(False, value[1:] != value[:-1]))
-    return induce(text, small, lms[np.argsort(order_names(names, reach), kind="stable")])
+    order = np.argsort(names) if names.max() + 1 == len(names) else suffix_array(names)
+    return induce(text, small, lms[order])
 
 
 def permuted_prefixes(text: np.ndarray, order: np.ndarray, begins: np.ndarray, most: int = 128) -> np.ndarray:
@@ -138,7 +138,7 @@ def permuted_prefixes(text: np.ndarray, order: np.ndarray, begins: np.ndarray, m
 
 def shared_windows(strings: list[bytes], width: int) -> np.ndarray:
     """For all strings joined, each followed by one mark: the number of the group of equal `width`-byte windows that
-    starts at each place, -1 where none fits. Strings are at most twice `width` long or so (see `reach`, `most`)."""
+    starts at each place, -1 where none fits. Strings are at most twice `width` long or so (see `most`)."""
     sizes = np.array([len(s) for s in strings], dtype=np.int64)
     begins = np.cumsum(sizes + 1) - sizes - 1
     text = np.frombuffer(b"\0".join(strings) + b"\0\0", dtype=np.uint8).copy()

@@ -6,11 +6,11 @@ from collections.abc import Iterator
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
-from .common import blocks_for, mix, prefix_hash, slices, span_hash, text_bytes
-from .packing import grouped
+from .common import blocks_for, bounded, grouped, mix, prefix_hash, running, slices, span_hash, tasks_for, text_bytes
 from .suffix_array import shared_windows
 
 #: Bytes of a match, of the grams whose smallest hash names a window, most windows in one string.
@@ -18,9 +18,9 @@ MATCH, GRAM, RUN = 50, 20, 31
 #: Different strings under one name above which its windows are dealt one by one.
 HOT = 2000
 #: Bytes that one suffix array takes.
-SHARD = 1 << 20
+SHARD = 1 << 18
 #: Bytes of text looked at in one go.
-SLICE = 1 << 20
+SLICE = 1 << 17
 _LAST = np.iinfo(np.int64).max
 
 
@@ -47,7 +47,7 @@ class Runs:
             self.name = self.content = self.parent = np.zeros(0, dtype=np.uint64)
             return
         at = np.arange(len(buf) - GRAM + 1)
-        name = _smallest(span_hash(self.prefix, at, at + GRAM), MATCH - GRAM + 1)
+        name = mix(_smallest(span_hash(self.prefix, at, at + GRAM), MATCH - GRAM + 1))  # a smallest hash is small: spread over all shards
         new = np.ones(n, dtype=bool)
         new[1:] = name[1:] != name[:-1]
         ends = np.minimum(offs[1:] - MATCH + 1, n)
@@ -110,13 +110,21 @@ def _shards(names: np.ndarray, shards: int) -> np.ndarray:
     return ((names >> np.uint64(40)) * np.uint64(shards) >> np.uint64(24)).astype(np.int64)
 
 
+def _stretched(values: np.ndarray) -> list[tuple[int, int, int]]:
+    """(value, begin, end) of each run of a sorted array."""
+    if not len(values):
+        return []
+    at = np.flatnonzero(np.append(True, values[1:] != values[:-1]))
+    return list(zip(values[at].tolist(), at.tolist(), np.append(at[1:], len(values)).tolist()))
+
+
 def _low(names: np.ndarray) -> np.ndarray:
     return names & np.uint64((1 << 40) - 1)
 
 
 def _ids(column: pa.Array) -> np.ndarray:
-    """Row ids; a null comes after all."""
-    return column.cast(pa.int64()).fill_null(_LAST).to_numpy(zero_copy_only=False)
+    """Places of rows in the order of ids."""
+    return column.to_numpy(zero_copy_only=False)
 
 
 def _packed5(low: np.ndarray) -> bytes:
@@ -144,7 +152,7 @@ def _named(shards: int):
     have the name."""
     def made(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for block, rows in grouped(batches, "block"):
-            ids, found = _ids(rows.column("doc_id").combine_chunks()), []
+            ids, found = _ids(rows.column("_place").combine_chunks()), []
             for a, b, buf, offs in slices(rows.column("text"), SLICE):
                 r = Runs(buf, offs)
                 found.append((r.name, r.content, ids[a:b][r.row]))
@@ -157,15 +165,12 @@ def _named(shards: int):
             low_id, high_id = (f.reduceat(doc[by_name], at) if len(at) else doc for f in (np.minimum, np.maximum))
             several = low_id != high_id
             mark = np.minimum(strings, 30_000) * 2 + several
-            shard = _shards(one, shards)
-            edge = np.searchsorted(shard, np.arange(shards + 1))
             out: list[tuple] = []
-            for s in range(shards):
-                part = slice(edge[s], edge[s + 1])
+            for s, a, b in _stretched(_shards(one, shards)):
+                part = slice(a, b)
                 names, marks = _low(one[part]), mark[part]
-                if len(names):
-                    plain = marks == 2
-                    out.append((s, _packed5(names[plain]), _packed5(names[~plain]), marks[~plain].astype("<u2").tobytes()))
+                plain = marks == 2
+                out.append((s, _packed5(names[plain]), _packed5(names[~plain]), marks[~plain].astype("<u2").tobytes()))
             yield pa.RecordBatch.from_arrays([pa.array([o[0] for o in out], pa.int32()), pa.array([block] * len(out), pa.int32()), *[pa.array([o[k] for o in out], pa.binary()) for k in (1, 2, 3)]], names=["shard", "block", "plain", "more", "marks"])
     return made
 
@@ -220,7 +225,7 @@ def _strings(shards: int):
     """For each block and shard: each different string of a repeated name once, with the smallest and largest id."""
     def made(rows: pa.Table, told: pa.Table) -> pa.Table:
         names, often = _full_names(told, "names", shards), _full_names(told, "often", shards)
-        ids, found, data = _ids(rows.column("doc_id").combine_chunks()), [], []
+        ids, found, data = _ids(rows.column("_place").combine_chunks()), [], []
         block = rows.column("block")[0].as_py() if rows.num_rows else 0
         for a, b, buf, offs in slices(rows.column("text"), SLICE) if len(names) else ():
             r = _chosen(buf, offs, names, often, shards)
@@ -238,13 +243,10 @@ def _strings(shards: int):
             order, at = _groups(content, name)
             first, low, high = order[at], np.minimum.reduceat(low[order], at), np.maximum.reduceat(high[order], at)
             name, content = name[first], content[first]
-            shard = _shards(name, shards)
-            edge = np.searchsorted(shard, np.arange(shards + 1))
             heads = np.stack([name, content, low.astype(np.uint64), high.astype(np.uint64), parent[first]], axis=1)
-            for s in np.flatnonzero(np.diff(edge)):
-                a, b = edge[s], edge[s + 1]
+            for s, a, b in _stretched(_shards(name, shards)):
                 own = [data[i] for i in first[a:b].tolist()]
-                for k, v in zip(columns, (int(s), block, heads[a:b].astype("<u8").tobytes(), np.array([len(x) for x in own], dtype="<u2").tobytes(), pa.compress(b"".join(own), codec="zstd", asbytes=True))):
+                for k, v in zip(columns, (s, block, heads[a:b].astype("<u8").tobytes(), np.array([len(x) for x in own], dtype="<u2").tobytes(), pa.compress(b"".join(own), codec="zstd", asbytes=True))):
                     columns[k].append(v)
         return pa.table([pa.array(columns["shard"], pa.int32()), pa.array(columns["block"], pa.int32()), *[pa.array(columns[k], pa.binary()) for k in ("heads", "sizes", "data")]], names=list(columns))
     return made
@@ -303,8 +305,9 @@ def _owners(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
 
 def _stretches(string, sizes: np.ndarray, least: np.ndarray, name: np.ndarray) -> dict[int, tuple[np.ndarray, np.ndarray]]:
     """Of the different strings, those whose windows differ in smallest document: where its stretches begin and these
-    documents. `least` is set to the smallest of those in one stretch. A string whose name no other has shares windows
-    with none; all others go through suffix arrays, names kept together."""
+    documents. `least` is set to the smallest of those in one stretch. A different string whose name no other has
+    shares windows with none, so its smallest document is known already; all others go through suffix arrays of about
+    SHARD bytes, strings with one name, which alone can share windows, kept together."""
     out: dict[int, tuple[np.ndarray, np.ndarray]] = {}
     _, place, count = np.unique(name, return_inverse=True, return_counts=True)
     todo = np.flatnonzero(count[place] > 1)
@@ -352,7 +355,7 @@ def _cut(keep: list[str], shards: int):
         apart = np.unique(np.concatenate(parents))
         apart = apart[apart > 0]
         contents = np.ascontiguousarray(ones["content"])
-        ids = _ids(rows.column("doc_id").combine_chunks())
+        ids = _ids(rows.column("_place").combine_chunks())
         n_bytes, spans, kept = [], [], []
         for a, b, buf, offs in slices(rows.column("text"), SLICE):
             cover = np.zeros(len(buf) + 1, dtype=np.int32)
@@ -400,21 +403,38 @@ def dedupe(docs: DataFrame, *keep: str, block_bytes: int = 8 << 20, hot: int = H
     common prefixes and answers with the smallest document of each window. What very many strings share in name alone
     is dealt window by window, so neither common phrases nor groups of copies meet in one task as a whole.
 
-    Null texts are empty; texts under 50 bytes stay; a null doc_id comes after all others and rows with equal ids don't
-    cut each other, so repeated rows stay alike; an empty table gives no rows.
+    Null texts are empty; texts under 50 bytes stay; a text of any length is one row of its block and taken in by one task,
+    in about 50 times its bytes. doc_id may be of any orderable type; a null comes after all others, and rows with equal
+    ids don't cut each other, so repeated rows stay alike; an empty table gives no rows; only doc_id, text and the kept
+    columns are read.
     """
-    size = text_bytes(docs)
+    size, spark = text_bytes(docs), docs.sparkSession
     blocks, shards = blocks_for(size, block_bytes), max(16, blocks_for(size, 3 << 20))
+    n_blocks, n_shards = tasks_for(spark, blocks), tasks_for(spark, shards)
     cols = list(dict.fromkeys(["doc_id", *keep]))
-    dealt = docs.select(*cols, "text", F.pmod(F.xxhash64("doc_id"), F.lit(blocks)).cast("int").alias("block")).repartition("block")
-    named = dealt.select("block", "doc_id", "text").sortWithinPartitions("block").mapInArrow(_named(shards), "shard int, block int, plain binary, more binary, marks binary")
-    told = named.repartition("shard").sortWithinPartitions("shard").mapInArrow(_repeated(hot), "block int, shard int, names binary, often binary")
+    rows = _placed(bounded(docs).select(*cols, "text"))
+    dealt = rows.withColumn("block", F.pmod(F.xxhash64("doc_id", "text"), F.lit(blocks)).cast("int")).repartition(n_blocks, "block")
+    # all columns go along each time, so that the texts are shuffled once and the exchange is used again
+    named = dealt.sortWithinPartitions("block").mapInArrow(_named(shards), "shard int, block int, plain binary, more binary, marks binary")
+    told = named.repartition(n_shards, "shard").sortWithinPartitions("shard").mapInArrow(_repeated(hot), "block int, shard int, names binary, often binary")
     strings = dealt.groupBy("block").cogroup(told.groupBy("block")).applyInArrow(_strings(shards), "shard int, block int, heads binary, sizes binary, data binary")
-    replies = strings.repartition("shard").sortWithinPartitions("shard").mapInArrow(_owners, "block int, ones binary, many binary")
+    replies = strings.repartition(n_shards, "shard").sortWithinPartitions("shard").mapInArrow(_owners, "block int, ones binary, many binary")
     schema = ", ".join(f"`{c}` {docs.schema[c].dataType.simpleString()}" for c in cols)
     return dealt.groupBy("block").cogroup(replies.groupBy("block")).applyInArrow(_cut(cols, shards), f"{schema}, n_bytes long, spans array<struct<start: long, end: long>>, kept binary")
 
 
+def _placed(rows: DataFrame) -> DataFrame:
+    """rows with _place, a whole number in the order of doc_id: the id itself where it is one, else its rank (ids alone are
+    sorted, and joined). A null comes after all."""
+    if isinstance(rows.schema["doc_id"].dataType, (T.ByteType, T.ShortType, T.IntegerType, T.LongType)):
+        return rows.withColumn("_place", F.coalesce(F.col("doc_id").cast("long"), F.lit(_LAST)))
+    ids = running(rows.select("doc_id").filter("doc_id is not null").distinct(), ["doc_id"], "ids")
+    parts = ids.groupBy("part").agg(F.count(F.lit(1)).alias("n"))
+    before = parts.select("part", (F.sum("n").over(Window.orderBy("part")) - F.col("n")).alias("before"))  # one row a part
+    ranks = ids.join(before, "part").select(F.col("doc_id").alias("_id"), (F.col("before") + F.col("pos")).alias("_place"))
+    return rows.join(ranks, rows["doc_id"] == ranks["_id"], "left").drop("_id").withColumn("_place", F.coalesce("_place", F.lit(_LAST)))
+
+
 def cut_documents(docs: DataFrame) -> DataFrame:
     """docs with the passages cut out of text (a character cut in two goes) and n_chars made anew; no row is dropped."""
     others = [c for c in docs.columns if c not in ("doc_id", "text")]
