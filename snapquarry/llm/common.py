@@ -106,8 +106,8 @@ def blocks_for(n_bytes: int, each: int) -> int:
 
 
 def tasks_for(spark: SparkSession, groups: int) -> int:
-    """Partitions for a shuffle by a key with so many values: it grows with the input, and is no less than the session's."""
-    return max(int(groups), int(spark.conf.get("spark.sql.shuffle.partitions")))
+    """Partitions for a shuffle by a key with so many values: it grows with the input, and is no less than the cores."""
+    return max(int(groups), spark.sparkContext.defaultParallelism)
 
 
 def text_bytes(docs: DataFrame) -> int:

@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from .common import store
+from .common import bounded, store
 from .textstats import COUNTS, count_batches
 
 #: Ratios that the rules look at, each a whole number: name -> (numerator, factor). The denominator is n_words.
@@ -30,7 +30,7 @@ def cell_value(cell: Column, bits: int = 6) -> Column:
 
 def base_counts(docs: DataFrame, *keep: str) -> DataFrame:
     """doc_id, lang, source, further kept columns, and the five counts; whole texts, null as empty."""
-    kept = docs.select("doc_id", "lang", "source", *keep, "text")
+    kept = bounded(docs).select("doc_id", "lang", "source", *keep, "text")
     schema = ", ".join(f"`{f.name}` {f.dataType.simpleString()}" for f in kept.schema if f.name != "text")
     return kept.mapInArrow(count_batches, f"{schema}, " + ", ".join(f"{c} long" for c in COUNTS))
 
@@ -85,7 +85,8 @@ def verdicts(counts: DataFrame, limits: DataFrame) -> DataFrame:
 
 def judge(docs: DataFrame) -> DataFrame:
     """Counts and verdict of each document. Null texts have no words and fail; null languages and sources are groups
-    of their own; repeated rows are judged alike; an empty table gives no rows."""
+    of their own; repeated rows are judged alike, ties at a threshold are kept; a text of any length is read whole, in
+    about 25 times its bytes; an empty table gives no rows; other columns are ignored, whatever their names."""
     counts = store(base_counts(docs), "rules")
     return verdicts(counts, store(thresholds(sketches(counts)), "limits"))
 

@@ -9,7 +9,7 @@ import numpy as np
 import pyarrow as pa
 from pyspark.sql import DataFrame
 
-from .common import _BLANK, lower_ascii, mix, prefix_hash, slices, span_hash
+from .common import _BLANK, bounded, lower_ascii, mix, prefix_hash, slices, span_hash
 from .quality import held_out, sample
 
 GRAMS = (3, 4, 5)
@@ -60,6 +60,24 @@ def subwords(buf: np.ndarray, offs: np.ndarray) -> Subwords:
     return Subwords(ids[order], np.searchsorted(where[order], np.arange(len(start) + 1)), first)
 
 
+def stretches(buf: np.ndarray, offs: np.ndarray, most: int = 1 << 18) -> Iterator[tuple[np.ndarray, np.ndarray, bool]]:
+    """Bytes and offsets as they are, or, for one long row, stretches of about `most` bytes cut at white space, each
+    beginning WIDTH - 1 words before the end of the one before it; and whether it is the last. A single word is never
+    cut."""
+    if len(offs) != 2 or len(buf) <= 2 * most:
+        yield buf, offs, True
+        return
+    opens = np.flatnonzero(_BLANK[buf[:-1]] & ~_BLANK[buf[1:]]) + 1  # where words begin
+    at = 0
+    while len(buf) - at > 2 * most:
+        k = int(np.searchsorted(opens, at + most))
+        if k >= len(opens) or k < WIDTH or opens[k - WIDTH + 1] <= at:
+            break
+        yield buf[at : opens[k]], np.array([0, opens[k] - at]), False
+        at = int(opens[k - WIDTH + 1])
+    yield buf[at:], np.array([0, len(buf) - at]), True
+
+
 @dataclass
 class Model:
     """worth: for each n-gram bucket, its embedding times the softmax weights' difference; bias: the classes' difference."""
@@ -84,10 +102,12 @@ class Model:
     def logits(self, column: pa.Array) -> np.ndarray:
         """Largest window logit of each text; texts without words get the lowest."""
         out = []
-        for _, _, buf, offs in slices(column, 1 << 18):
-            z, row = self.windows(subwords(buf, offs))
+        for _, _, buf, offs in slices(column):
             top = np.full(len(offs) - 1, -30.0)
-            np.maximum.at(top, row, z)
+            for part, edges, last in stretches(buf, offs):
+                z, row = self.windows(subwords(part, edges))
+                whole = len(z) if last else max(len(z) - WIDTH + 1, 0)  # windows cut short by the end of a stretch come whole in the next
+                np.maximum.at(top, row[:whole], z[:whole])
             out.append(top)
         return np.concatenate(out) if out else np.zeros(0)
 
@@ -176,11 +196,12 @@ def train(docs: DataFrame, labels: DataFrame, *, fold: int = 2, of: int = 4, mos
 
 def score(docs: DataFrame, model: Model, *, fold: int = 2, of: int = 4) -> DataFrame:
     """doc_id, held_out, score (0 to 1), predicted; null and empty texts have no window and score lowest. Repeated
-    rows score alike, an empty table gives no rows."""
+    rows score alike, equal scores are cut alike, an empty table gives no rows; a text of any length is read whole, in
+    stretches of whole words; other columns are ignored, whatever their names."""
     def scored(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             s = model.score(batch.column("text"))
             yield pa.RecordBatch.from_arrays([batch.column("doc_id"), batch.column("held_out"), pa.array(s), pa.array((s >= 0.3).astype(np.int32))], names=["doc_id", "held_out", "score", "predicted"])
 
-    kept = docs.select("doc_id", held_out(fold, of).alias("held_out"), "text")
+    kept = bounded(docs).select("doc_id", held_out(fold, of).alias("held_out"), "text")
     return kept.mapInArrow(scored, f"doc_id {docs.schema['doc_id'].dataType.simpleString()}, held_out boolean, score double, predicted int")

@@ -12,7 +12,7 @@ import numpy as np
 import pytest
 from pyspark.sql import functions as F
 
-from snapquarry.llm import content_store, fingerprint, mixing, ngram_join, packing, quality, queries, rules, suffix_dedup, token_scan, toxicity
+from snapquarry.llm import content_store, fingerprint, mixing, ngram_join, packing, quality, queries, rules, suffix_array, suffix_dedup, token_scan, toxicity
 from snapquarry.llm.common import read
 
 SCHEMA = "doc_id long, text string, lang string, source string, n_chars long, size long, copies long, part int, row string, n int, sig long"
@@ -30,6 +30,7 @@ def texts():
             for _ in range(k):
                 w[rng.randrange(len(w))] = "new" + str(rng.randrange(99))
             out.append(" ".join(w))
+    out += ["x <|endoftext|> y", "x <|startoftext|> y<|endoftext|>", "two  blanks\n\nfeeds \n x\u00a0y\u3000z tail ", "don't 12345 naïve—quote’s\nend", "nul \0 in it"]
     out += ["prefix " + base[2][40:160] + " suffix", "other " + base[2][60:200] + " end"]
     return out
 
@@ -61,7 +62,19 @@ def test_mixing(docs, none):
     for r in planned:
         by[r.source].append(r)
     for part in by.values():
-        assert abs(sum(r.taken for r in part) - part[0].target) <= 3 * max(r["size"] for r in part)
+        assert abs(sum(r.taken for r in part) - part[0].target) <= max(r["size"] for r in part)
+    # the copies themselves: of the seeded offsets, that which brings a source's words nearest to its target
+    draws = docs.select("source", *[(F.pmod(F.xxhash64(F.lit(17), F.lit(k), F.coalesce(F.concat(F.lit("v"), "source"), F.lit("n"))), F.lit(1_000_003)) / 1_000_003.0).alias(f"o{k}") for k in range(32)]).distinct().collect()
+    order = {(r.doc_id, r.text_hash): r.draw for r in docs.select("doc_id", F.xxhash64("text").alias("text_hash"), F.xxhash64(F.lit(17), "doc_id").alias("draw")).collect()}
+    for offsets in draws:
+        part = sorted(by[offsets.source], key=lambda r: (r["size"], order[r.doc_id, r.text_hash], r.doc_id is not None, r.doc_id or 0, r.text_hash))
+        each, tried = part[0].target / max(part[0].source_size, 1), []
+        for k in range(32):
+            total, crossed = offsets[f"o{k}"], []
+            for i in range(len(part)):
+                crossed.append(min(3, int(total + (i + 1) * each) - int(total + i * each)))
+            tried.append((abs(sum(c * r["size"] for c, r in zip(crossed, part)) - part[0].target), total, crossed))
+        assert [r.copies for r in part] == min(tried)[2]
     mixed = mixing.mix(docs)
     assert mixed.columns == docs.columns and mixed.count() == sum(r.copies for r in planned)
     assert mixing.plan(none).count() == 0 and mixing.mix(none).count() == 0
@@ -94,6 +107,10 @@ def test_packing(docs, none, rows):
         assert at <= 2048
     assert len(bins) == -(-sum(p[3] for p in pieces) // 2048)
     assert all(len(r.ids) == 4 * r.length for r in packing.sequences(got).collect())
+    clash = packing.pieces(docs).withColumn("sequence_id", F.lit(1)).withColumn("offset", F.lit(1)).withColumn("_group", F.lit(7)).withColumn("pieces", F.lit(1))
+    assert packing.pack(clash).agg(F.sum("length")).first()[0] == sum(p[3] for p in pieces)
+    with pytest.raises(ValueError, match="longer"):
+        packing.search([3000])
     assert packing.pack_documents(none).count() == 0
 
 
@@ -137,6 +154,11 @@ def test_local_search():
     assert packing.search([]) == []
     # best fit alone needs three bins here
     assert len(packing.search([6, 5, 4, 4, 4, 3, 2, 2], 15)) == 2
+    for k in range(30):  # pieces made by cutting full bins: the search comes close to them, and never over best fit
+        cut = [n for _ in range(40) for n in np.diff([0, *sorted(rng.sample(range(1, 100), rng.randint(1, 3))), 100]).tolist()]
+        found = packing.search(cut, 100)
+        assert sorted(i for b in found for i in b) == list(range(len(cut))) and all(sum(cut[i] for i in b) <= 100 for b in found)
+        assert len(found) <= min(len(packing.search(cut, 100, exchanges=0)), 42)
 
 
 def test_fingerprint(docs, none, spark, rows):
@@ -232,8 +254,9 @@ def test_content_store(docs, none, rows):
     from tokenizers import Tokenizer
 
     tok = Tokenizer.from_file(packing.tokenizer_path("byte_bpe_50k.json"))
-    chunks, recipes = content_store.write(docs)
-    got = content_store.read_back(chunks, recipes).collect()
+    kept = content_store.write(docs)
+    chunks, recipes, manifest = kept
+    got = content_store.read_back(kept).collect()
     assert len(got) == len(rows)
     by = sorted(got, key=lambda r: r.start)
     assert [r.doc_id for r in by if r.doc_id is not None] == sorted(d for d, _ in rows if d is not None)
@@ -243,27 +266,67 @@ def test_content_store(docs, none, rows):
         at += r.n_tokens
     want = sorted(((d, zlib.crc32(np.array(tok.encode(t, add_special_tokens=False).ids + [2], dtype="<u4").tobytes())) for d, t in rows), key=repr)
     assert sorted(((r.doc_id, r.ids_crc32) for r in got), key=repr) == want
-    whole = {r.doc_id: r.ids for r in content_store.documents(chunks, recipes).collect()}
+    whole = {r.doc_id: r.ids for r in content_store.documents(kept).collect()}
     assert whole[4] == tok.encode(dict(rows)[4], add_special_tokens=False).ids + [2]
     assert chunks.count() == chunks.select("digest").distinct().count()
-    assert content_store.manifest(recipes).count() >= 1
-    assert content_store.read_back(*content_store.write(none)).count() == 0
-    broken = chunks.withColumn("payload", F.concat("payload", F.lit(b"xx")))
-    with pytest.raises(Exception, match="damaged"):
-        content_store.read_back(broken, recipes).collect()
+    assert sum(r.documents for r in manifest.collect()) == len(rows)
+    assert content_store.read_back(content_store.write(none)).count() == 0
+    payloads = [r.payload for r in chunks.collect()]
+    lost = recipes.filter("doc_id = 4").select(F.explode("digests").alias("digest"))
+    for broken, said in (
+        (kept._replace(chunks=chunks.withColumn("payload", F.concat("payload", F.lit(b"xx")))), "damaged"),
+        (kept._replace(chunks=chunks.withColumn("payload", F.lit(payloads[0]))), "damaged"),  # exchanged
+        (kept._replace(chunks=chunks.join(lost, "digest", "left_anti")), "lost"),
+        (kept._replace(chunks=chunks.limit(0)), "lost"),
+        (kept._replace(recipes=recipes.filter("doc_id <> 4 or doc_id is null")), "manifest"),
+        (kept._replace(recipes=recipes.withColumn("start", F.col("start") + 1)), "manifest"),
+        (kept._replace(recipes=recipes.withColumn("digests", F.reverse("digests")).filter("size(digests) > 1 or doc_id > 0")), "recipe|manifest"),
+    ):
+        with pytest.raises(Exception, match=said):
+            content_store.read_back(broken).collect()
+    with pytest.raises(Exception, match="lost"):
+        content_store.documents(kept._replace(chunks=chunks.limit(0))).collect()
+
+
+def test_chunks():
+    rng = np.random.default_rng(3)
+    for sizes in ([1, 30_000, 5], [4096, 4097, 1], [1]):
+        ids, bounds = rng.integers(0, 9, sum(sizes)).astype("<u4"), np.cumsum([0, *sizes])
+        ends = content_store.cuts(ids, bounds)
+        assert set(bounds[1:]) <= set(ends.tolist()) and np.diff(np.append(0, ends)).max() <= content_store.MOST
+        for k in range(len(sizes)):  # a stream is cut alike wherever it stands
+            alone = content_store.cuts(ids[bounds[k] : bounds[k + 1]], np.array([0, sizes[k]]))
+            assert (alone + bounds[k]).tolist() == [e for e in ends.tolist() if bounds[k] < e <= bounds[k + 1]]
 
 
 def test_token_scan(docs, none, rows, spark, tmp_path):
     from tokenizers import Tokenizer
 
     tok = Tokenizer.from_file(packing.tokenizer_path("byte_bpe_50k.json"))
+    tok.encode_special_tokens = True  # their strings are text here
     want = sorted(((d, len(tok.encode(t, add_special_tokens=False).ids)) for d, t in rows), key=repr)
     assert sorted(((r.doc_id, r.n_tokens) for r in token_scan.count_tokens(docs).collect()), key=repr) == want
     assert token_scan.count_tokens(none).count() == 0
     ids = np.array([5, 6, 9, 9, 1, 2, 3, 4, 5, 6, 7, 9, 8], dtype="<u2")
     (tmp_path / "a.bin").write_bytes(ids.tobytes())
-    got = token_scan.scan(token_scan.read_flat(spark, str(tmp_path), block=6), end_id=9).orderBy("ordinal").collect()
-    assert [r.n_tokens for r in got] == [2, 0, 7]
+    for small in (1 << 20, 4):  # read whole, or as records of a fixed length
+        got = token_scan.scan(token_scan.read_flat(spark, str(tmp_path), block=6, small=small), end_id=9).orderBy("ordinal").collect()
+        assert [r.n_tokens for r in got] == [2, 0, 7]
+
+
+def test_token_scan_ranges(spark, monkeypatch):
+    monkeypatch.setattr(token_scan, "RANGE", 3)
+    rng = np.random.default_rng(1)
+    data, want = [], []
+    for f in ("a", "b"):
+        ids = np.where(rng.random(4000) < 0.01, 9, 1).astype("<u2")
+        ids[1000:2500] = 1
+        raw = ids.tobytes()
+        data += [(f, i // 40, bytearray(raw[i : i + 40])) for i in range(0, len(raw), 40)]
+        at = np.flatnonzero(ids == 9)
+        want += [(f, k, int(n)) for k, n in enumerate(np.diff(np.append(-1, at)) - 1)]
+    got = token_scan.scan(spark.createDataFrame(data, "file string, block long, payload binary").repartition(5), end_id=9).collect()
+    assert sorted((r.file, r.ordinal, r.n_tokens) for r in got) == want
 
 
 def test_rules(docs, none, rows):
@@ -304,6 +367,87 @@ def test_suffix_dedup(docs, none, rows, hot):
     assert suffix_dedup.dedupe(none).count() == 0
 
 
+def test_suffix_array():
+    rng = np.random.default_rng(1)
+    texts = [rng.integers(0, int(rng.integers(1, 6)), int(rng.integers(0, 60))) for _ in range(200)]
+    texts += [np.zeros(300, dtype=int), np.tile([0, 1], 200), np.tile([1, 0, 2, 0], 150), rng.integers(0, 100_000, 800), np.tile(rng.integers(0, 3, 37), 20)]
+    for t in texts:
+        t = np.append(t + 1, 0).astype(np.int64 if t.max(initial=0) > 250 else np.uint8)
+        s = t.tolist()
+        order = suffix_array.suffix_array(t)
+        assert order.tolist() == sorted(range(len(s)), key=lambda i: s[i:])
+        if t.dtype == np.uint8 and 1 < len(t) < 64:
+            common = suffix_array.permuted_prefixes(t, order, np.zeros(1, dtype=np.int64), most=64)
+            for a, b in zip(order[:-1].tolist(), order[1:].tolist()):
+                k = 0
+                while max(a, b) + k < len(s) and s[a + k] == s[b + k]:
+                    k += 1
+                assert common[b] == k or min(common[b], k) >= 64
+    strings = [bytes(rng.integers(97, 99, int(rng.integers(8, 20))).tolist()) for _ in range(60)]
+    group, at, seen = suffix_array.shared_windows(strings, 8), 0, {}
+    for s in strings:
+        for i in range(len(s) + 1):
+            if i + 8 <= len(s):
+                assert seen.setdefault(s[i : i + 8], group[at + i]) == group[at + i] >= 0
+            else:
+                assert group[at + i] == -1
+        at += len(s) + 1
+    assert len(set(seen.values())) == len(seen)
+
+
+def test_patterned_words_differ(spark):
+    """Words and lines whose polynomial hashes mod 2^64 are equal under any base are still told apart."""
+    one = "a"
+    while len(one) < 2048:
+        one += one.translate({97: "b", 98: "a"})
+    two = one.translate({97: "b", 98: "a"})
+    table = spark.createDataFrame([(1, one), (2, two), (3, f"{one}\n{two}")], "doc_id long, text string")
+    assert {r.doc_id: r.component_id for r in ngram_join.join(table).collect()} == {1: 1, 2: 2, 3: 3}
+    counted = {r.doc_id: r.n_dup_lines for r in rules.judge(table.withColumn("lang", F.lit("en")).withColumn("source", F.lit("s"))).collect()}
+    assert counted == {1: 0, 2: 0, 3: 0}
+
+
+@pytest.mark.parametrize("module", [fingerprint, suffix_dedup, token_scan, packing, content_store])
+def test_text_ids(spark, docs, module):
+    """doc_id as text, in the order of texts."""
+    named = docs.filter("doc_id is not null").dropDuplicates(["doc_id"]).withColumn("doc_id", F.lpad(F.col("doc_id").cast("string"), 4, "0"))
+    plain = named.withColumn("doc_id", F.col("doc_id").cast("long"))
+    run = {fingerprint: fingerprint.compare, suffix_dedup: suffix_dedup.dedupe, token_scan: token_scan.count_tokens, packing: packing.pieces, content_store: lambda d: content_store.read_back(content_store.write(d))}[module]
+    drop = ["file", "ordinal"] if module is token_scan else []
+    told = lambda df: sorted((tuple(r) for r in df.drop(*drop).withColumn("doc_id", F.col("doc_id").cast("long")).collect()), key=repr)
+    assert told(run(named)) == told(run(plain))
+
+
+def test_fingerprint_parts(spark, docs):
+    """The same for any number of parts."""
+    table = docs.dropDuplicates(["doc_id"])
+    told = lambda df: sorted(map(tuple, df.collect()), key=repr)
+    assert told(fingerprint.compare(table, part_bytes=600)) == told(fingerprint.compare(table))
+
+
+def test_signature(rows):
+    """Against a plain reading of the rule, byte by byte."""
+    from snapquarry.llm.common import hash_spans, mix
+
+    for _, t in rows[:40]:
+        data = t.encode()
+        size, one, two = fingerprint.signatures(np.frombuffer(data, dtype=np.uint8), np.array([0, len(data)]))
+        levels = []
+        for end in range(1, len(data) + 1):
+            part = data[max(0, end - 7) : end]
+            roll = mix(np.array([(int.from_bytes(part, "little") + len(part) * 0x9E3779B97F4A7C15) % 2**64], dtype=np.uint64))
+            value = int(mix(roll)[0])
+            levels.append(-1 if int(roll[0]) % 3 else 30 if not value else min((value & -value).bit_length() - 1, 30))
+        k = next(k for k in range(31) if sum(x >= k for x in levels) < 64)
+        assert k == size[0]
+        for got, at in ((one[0], k), (two[0], k + 1)):
+            ends = sorted({i + 1 for i, x in enumerate(levels) if x >= at} | ({len(data)} if data else set()))
+            chunks = [data[a:b] for a, b in zip([0, *ends[:-1]], ends)]
+            digits = b"ABCDEFGHIJKLMNOPQRSTUVWXYZabcdefghijklmnopqrstuvwxyz0123456789+/"
+            hashes = [int(hash_spans(np.frombuffer(c, dtype=np.uint8), np.array([0]), np.array([len(c)]))[0]) for c in chunks]
+            assert got == bytes(digits[h & 63] for h in hashes)
+
+
 def accuracy(scored, labels, label):
     j = scored.filter("held_out").join(labels, "doc_id").select("predicted", label).collect()
     return sum(r.predicted == r[label] for r in j) / len(j)
