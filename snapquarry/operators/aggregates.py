@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-from ..functions.text import ratio
+from ..functions.text import clean_lines, ratio
 
 
 def distribution(df: DataFrame, column: str) -> DataFrame:
@@ -18,33 +18,47 @@ def source_distribution(df: DataFrame, array: str) -> DataFrame:
     return df.select(F.explode(array).alias("value")).groupBy("value").agg(F.count(F.lit(1)).alias("n"))
 
 
+def _alike(tooltips: DataFrame) -> DataFrame:
+    return tooltips.withColumns({c: F.nullif(clean_lines(F.col(c)), F.lit("")) for c in ("tooltip_title", "tooltip_text")})
+
+
 def definitions(tooltips: DataFrame) -> DataFrame:
     """Tooltips with a text as definitions: title and text, count, ids in order, entities and types in first-seen
-    order. Titles compare null-safe."""
-    rows = tooltips.filter("tooltip_text is not null")
+    order. White space is made alike line by line first; titles compare null-safe."""
+    rows = _alike(tooltips).filter("tooltip_text is not null")
     g = rows.groupBy("tooltip_title", "tooltip_text").agg(F.count(F.lit(1)).alias("n"), F.array_sort(F.collect_list(F.struct("occurrence_id", "source_entity_id", "source_type"))).alias("o"))
     return g.select("tooltip_title", "tooltip_text", "n", F.col("o.occurrence_id").alias("occurrence_ids"), F.array_distinct("o.source_entity_id").alias("entities"), F.array_distinct("o.source_type").alias("types"))
 
 
 def conflicts(tooltips: DataFrame) -> DataFrame:
-    """conflict_type, key, severity: same title with several texts, same text with several titles (null counts as
-    one), duplicate id, missing text, hash mismatch."""
+    """conflict_type, key, severity, occurrence_ids (in order): same title with several texts, same text with several
+    titles (null counts as one), duplicate id, missing text, hash mismatch (its key is the file). White space is made
+    alike line by line first."""
+    tooltips = _alike(tooltips)
     text = tooltips.filter("tooltip_text is not null")
-    kind = lambda df, name, key, severity: df.select(F.lit(name).alias("conflict_type"), F.col(key).cast("string").alias("key"), F.lit(severity).alias("severity"))
-    title = text.filter("tooltip_title is not null").groupBy("tooltip_title").agg(F.count_distinct("tooltip_text").alias("k")).filter("k > 1")
-    same = text.groupBy("tooltip_text").agg(F.count_distinct(F.coalesce(F.concat(F.lit("v"), "tooltip_title"), F.lit("n"))).alias("k")).filter("k > 1")
-    twice = tooltips.groupBy("occurrence_id").agg(F.count(F.lit(1)).alias("k")).filter("k > 1")
+    ids, own = F.array_sort(F.collect_list("occurrence_id")).alias("ids"), F.array("occurrence_id").alias("ids")
+    kind = lambda df, name, key, severity: df.select(F.lit(name).alias("conflict_type"), F.col(key).cast("string").alias("key"), F.lit(severity).alias("severity"), F.col("ids").alias("occurrence_ids"))
+    title = text.filter("tooltip_title is not null").groupBy("tooltip_title").agg(F.count_distinct("tooltip_text").alias("k"), ids).filter("k > 1")
+    same = text.groupBy("tooltip_text").agg(F.count_distinct(F.coalesce(F.concat(F.lit("v"), "tooltip_title"), F.lit("n"))).alias("k"), ids).filter("k > 1")
+    twice = tooltips.groupBy("occurrence_id").agg(F.count(F.lit(1)).alias("k"), ids).filter("k > 1")
     out = kind(title, "same_title_different_text", "tooltip_title", "review").unionByName(kind(same, "same_text_different_title", "tooltip_text", "review"))
-    out = out.unionByName(kind(twice, "duplicate_id", "occurrence_id", "error")).unionByName(kind(tooltips.filter("tooltip_text is null"), "missing_text", "occurrence_id", "review"))
-    return out.unionByName(kind(tooltips.filter("source.hash_match = false"), "hash_mismatch", "occurrence_id", "review"))
+    out = out.unionByName(kind(twice, "duplicate_occurrence_id", "occurrence_id", "error")).unionByName(kind(tooltips.filter("tooltip_text is null").withColumn("ids", own), "missing_tooltip_text", "occurrence_id", "review"))
+    return out.unionByName(kind(tooltips.filter("source.hash_match = false").withColumn("ids", own), "source_hash_mismatch", "source.html_file", "review"))
+
+
+def first_n(df: DataFrame, keys: list[str], value: str, n: int, spread: int = 64) -> DataFrame:
+    """Rows with the n smallest values of each key. They are found in `spread` parts of a key first, and then among what
+    these leave, so a key that most rows have is no single task's work."""
+    part = F.pmod(F.xxhash64(value), F.lit(spread))
+    some = df.withColumn("_part", part).withColumn("_n", F.row_number().over(Window.partitionBy(*keys, "_part").orderBy(value))).filter(F.col("_n") <= n)
+    return some.withColumn("_n", F.row_number().over(Window.partitionBy(*keys).orderBy(value))).filter(F.col("_n") <= n).drop("_part", "_n")
 
 
 def link_targets(links: DataFrame, n: int = 5) -> DataFrame:
     """Target, occurrences, pages, and the first n pages. Links are summed per page first, so a target that every
     page links to is spread before it is gathered."""
     page = links.groupBy("target", "page_id").agg(F.count(F.lit(1)).alias("k"))
-    first = page.withColumn("_n", F.row_number().over(Window.partitionBy("target").orderBy("page_id"))).filter(F.col("_n") <= n)
-    first = first.groupBy("target").agg(F.array_sort(F.collect_list("page_id")).alias("examples"))
+    first = first_n(page, ["target"], "page_id", n).groupBy("target").agg(F.array_sort(F.collect_list("page_id")).alias("examples"))
     total = page.groupBy("target").agg(F.sum("k").alias("occurrences"), F.count(F.lit(1)).alias("pages"))
     return total.join(first, "target")
 
@@ -52,7 +66,7 @@ def link_targets(links: DataFrame, n: int = 5) -> DataFrame:
 def assets(refs: DataFrame, n: int = 20) -> DataFrame:
     """Url, type, reference count, first n different pages that refer to it."""
     total = refs.groupBy("url").agg(F.count(F.lit(1)).alias("ref_count"), F.min("type").alias("type"))
-    some = refs.select("url", "page_id").distinct().withColumn("_n", F.row_number().over(Window.partitionBy("url").orderBy("page_id"))).filter(F.col("_n") <= n)
+    some = first_n(refs.select("url", "page_id").distinct(), ["url"], "page_id", n)
     return total.join(some.groupBy("url").agg(F.array_sort(F.collect_list("page_id")).alias("refs")), "url")
 
 

@@ -15,9 +15,9 @@ TEXT = {"title", "h1", "h2", "h3", "h4", "h5", "h6", "a", "td", "th", "p", "li",
 
 NODE = pa.schema([
     ("node_id", pa.int32()), ("parent_id", pa.int32()), ("last_id", pa.int32()), ("depth", pa.int32()), ("tag", pa.string()), ("attrs", pa.map_(pa.string(), pa.string())),
-    ("classes", pa.list_(pa.string())), ("own_text", pa.string()), ("text", pa.string()), ("anc_ids", pa.list_(pa.int32())), ("anc_tags", pa.list_(pa.string())), ("anc_classes", pa.list_(pa.string())),
+    ("classes", pa.list_(pa.string())), ("own_text", pa.string()), ("text", pa.string()), ("anc_ids", pa.list_(pa.int32())), ("anc_tags", pa.list_(pa.string())), ("anc_classes", pa.list_(pa.string())), ("anc_hints", pa.list_(pa.string())),
 ])
-SCHEMA = "node_id int, parent_id int, last_id int, depth int, tag string, attrs map<string,string>, classes array<string>, own_text string, text string, anc_ids array<int>, anc_tags array<string>, anc_classes array<string>"
+SCHEMA = "node_id int, parent_id int, last_id int, depth int, tag string, attrs map<string,string>, classes array<string>, own_text string, text string, anc_ids array<int>, anc_tags array<string>, anc_classes array<string>, anc_hints array<string>"
 
 
 class _Nodes(HTMLParser):
@@ -34,7 +34,7 @@ class _Nodes(HTMLParser):
         given = {k: v or "" for k, v in reversed(attrs)}
         row = {"node_id": n, "parent_id": self.open[-1]["node_id"] if self.open else None, "last_id": n, "depth": len(self.open), "tag": tag, "attrs": list(given.items()),
                "classes": given.get("class", "").split(), "own_text": own, "text": None, "anc_ids": [o["node_id"] for o in self.open], "anc_tags": [o["tag"] for o in self.open],
-               "anc_classes": [c for o in self.open for c in o["classes"]], "parts": []}
+               "anc_classes": [c for o in self.open for c in o["classes"]], "anc_hints": [h for o in self.open for h in o["hints"]], "hints": [given[k] for k in ("id", "role") if given.get(k)], "parts": []}
         self.rows.append(row)
         return row
 
@@ -88,8 +88,8 @@ def dom_nodes(pages: DataFrame) -> DataFrame:
 
 
 def in_navigation() -> Column:
-    """an ancestor is nav or header, or hints at navigation in its classes."""
-    hint = F.exists("anc_classes", lambda c: F.lower(c).rlike("nav|menu|sidebar|breadcrumb"))
+    """an ancestor is nav or header, or hints at navigation in its id, classes or role."""
+    hint = F.exists(F.concat("anc_classes", "anc_hints"), lambda c: F.lower(c).rlike("nav|menu|sidebar|breadcrumb"))
     return F.exists("anc_tags", lambda t: t.isin("nav", "header")) | hint
 
 

@@ -27,7 +27,7 @@ def links(nodes: DataFrame) -> DataFrame:
     """page_id, node_id, pos, href, anchor text of each a[href]."""
     a = nodes.filter((F.col("tag") == "a") & F.map_contains_key("attrs", F.lit("href")))
     pos = F.row_number().over(Window.partitionBy("page_id").orderBy("node_id")) - 1
-    return a.select("page_id", "node_id", pos.alias("pos"), F.col("attrs")["href"].alias("href"), F.coalesce("text", F.lit("")).alias("anchor_text"), "anc_tags", "anc_classes", "anc_ids")
+    return a.select("page_id", "node_id", pos.alias("pos"), F.col("attrs")["href"].alias("href"), F.coalesce("text", F.lit("")).alias("anchor_text"), "anc_tags", "anc_classes", "anc_hints", "anc_ids")
 
 
 def asset_refs(nodes: DataFrame) -> DataFrame:
@@ -164,8 +164,8 @@ def cards(nodes: DataFrame) -> DataFrame:
     above = lambda c: F.exists("anc_classes", lambda x: F.lower(x) == c)
     card = nodes.filter(has("card") | has("popupitem")).select("page_id", "node_id", "last_id", (has("previousitem") | above("previousitem")).alias("old"), (above("tab-pane") & ~above("active")).alias("pane"))
     heads = nodes.filter(has("card-header")).select("page_id", F.explode("anc_ids").alias("node_id"), F.col("node_id").alias("_h"), F.col("last_id").alias("_l"))
-    text = nodes.filter("tag = '#text'").select("page_id", "own_text", F.explode("anc_ids").alias("_h"))
-    title = heads.join(text, ["page_id", "_h"]).groupBy("page_id", "node_id").agg(F.lower(F.array_join(F.array_sort(F.collect_set("own_text")), " ")).alias("head"))
+    text = nodes.filter("tag = '#text'").select("page_id", F.struct("node_id", "own_text").alias("t"), F.explode("anc_ids").alias("_h"))
+    title = heads.join(text, ["page_id", "_h"]).groupBy("page_id", "node_id").agg(F.lower(F.array_join(F.transform(F.array_sort(F.collect_list("t")), lambda t: t["own_text"]), " ")).alias("head"))
     kind = F.when(F.col("old") | F.col("pane"), "historical").when(F.col("head").contains("corrosion"), "corrosion").when(F.col("head").contains("drop"), "drop_source").when(F.col("head").contains("related"), "related").otherwise("current")
     return card.join(title, ["page_id", "node_id"], "left").select("page_id", "node_id", "last_id", kind.alias("kind"))
 

@@ -2,7 +2,6 @@
 
 from __future__ import annotations
 
-import tempfile
 from itertools import count
 
 from pyspark.sql import DataFrame
@@ -10,10 +9,14 @@ from pyspark.sql import functions as F
 
 
 def _cut(df: DataFrame) -> DataFrame:
-    """checkpoint() in the folder that the cluster names, or, where none is named (tests), in a new one."""
+    """checkpoint() in the folder that the cluster names. Where none is named, a local session takes one beside its
+    warehouse; on a cluster that is an error, as executors share no local folder."""
     spark = df.sparkSession
     if spark.sparkContext.getCheckpointDir() is None:
-        spark.sparkContext.setCheckpointDir(spark.conf.get("spark.checkpoint.dir", "") or tempfile.mkdtemp(prefix="spark-graph-"))
+        root, master = spark.conf.get("spark.checkpoint.dir", ""), spark.sparkContext.master
+        if not root and master != "local" and not master.startswith("local["):
+            raise ValueError("set spark.checkpoint.dir to a folder that all executors share")
+        spark.sparkContext.setCheckpointDir(root or f"{spark.conf.get('spark.sql.warehouse.dir').rstrip('/')}/snapquarry-checkpoints")
     return df.checkpoint()
 
 

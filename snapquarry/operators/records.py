@@ -121,13 +121,16 @@ def contract_records(nodes: DataFrame) -> DataFrame:
     text = nodes.filter("tag = '#text' and trim(own_text) <> ''").select("page_id", "node_id", clean(F.col("own_text")).alias("t"), F.explode("anc_ids").alias("box"))
     texts = box.join(text, ["page_id", "box"]).groupBy("page_id", "box").agg(F.transform(F.array_sort(F.collect_list(F.struct("node_id", "t"))), lambda x: x["t"]).alias("texts"))
     out = image.join(texts, ["page_id", "box"]).filter("id is not null and level is not null and size(texts) >= 2")
-    out = out.withColumn("key", F.concat_ws(":", F.lit("contract"), "id", F.lit("level"), "level")).withColumn("text", F.array_join(F.slice("texts", 2, 1000), " ")).withColumn("section_name", F.get("texts", 0)).withColumn("row_index", F.col("box")).withColumn("table_no", F.lit(0))
+    out = out.withColumn("key", F.concat_ws(":", F.lit("contract"), "id", F.lit("level"), "level")).withColumn("text", F.array_join(F.slice("texts", F.lit(2), F.greatest(F.size("texts") - 1, F.lit(0))), " ")).withColumn("section_name", F.get("texts", 0)).withColumn("row_index", F.col("box")).withColumn("table_no", F.lit(0))
     return _finish(out, F.lit("contract"))
 
 
 def effect_or_description(cards: DataFrame) -> DataFrame:
-    """One record a page: the effect of its current card, else its description, located by section."""
-    best = cards.groupBy("page_id").agg(F.first(F.col("effect"), ignorenulls=True).alias("effect"), F.first(F.col("description"), ignorenulls=True).alias("description"))
+    """One record a page: the first effect of its current cards (by node_id, where they have one, then by text), else
+    the first description, located by section."""
+    at = F.col("node_id") if "node_id" in cards.columns else F.lit(0)
+    first = lambda c: F.min(F.when(F.col(c).isNotNull(), F.struct(at.alias("at"), F.col(c).alias("text"))))["text"].alias(c)
+    best = cards.groupBy("page_id").agg(first("effect"), first("description"))
     text, level = F.coalesce("effect", "description"), F.when(F.col("effect").isNotNull(), "record").otherwise("section")
     return best.select("page_id", text.alias("text"), level.alias("locator_level")).filter("text is not null")
 

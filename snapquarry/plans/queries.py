@@ -141,11 +141,11 @@ def rewritten_pages(s, d):
 
 
 @query(r"""SELECT doc_id, trim(regexp_replace(split_part(text, chr(10), 1), '[\s\x0B\x{85}\x{A0}]+', ' ', 'g')) AS title, regexp_matches(text, '[\x{3400}-\x{9fff}]') AS han,
-length(text) AS n_chars, replace(lower(substring(text, 1, 40)), 'ß', 'ss') AS folded FROM documents""")
+length(text) AS n_chars, sha256(replace(lower(text), 'ß', 'ss')) AS folded FROM documents""")
 def document_titles(s, d):
     """E06, E09, E13, E23"""
     t = F.col("text")
-    return table(s, d, "documents").select("doc_id", text.clean(F.split_part(t, F.lit("\n"), F.lit(1))).alias("title"), text.has_han(t).alias("han"), F.length(t).cast("long").alias("n_chars"), text.fold(F.substring(t, 1, 40)).alias("folded"))
+    return table(s, d, "documents").select("doc_id", text.clean(F.split_part(t, F.lit("\n"), F.lit(1))).alias("title"), text.has_han(t).alias("han"), F.length(t).cast("long").alias("n_chars"), F.sha2(text.fold(t), 256).alias("folded"))
 
 
 @query("""SELECT sha256(text) AS text_hash, count(*) AS n, min(doc_id) AS first_doc, count(DISTINCT source) AS sources FROM documents GROUP BY text HAVING count(*) > 1""")
@@ -183,12 +183,12 @@ def facet_distribution(s, d):
 
 
 def tooltips(s: SparkSession, d: str) -> DataFrame:
-    """Documents as tooltip occurrences: first 30 characters as text, source as title."""
+    """Documents as tooltip occurrences: the whole text, the source as title (none for one in seven)."""
     return table(s, d, "documents").select(F.concat(F.lit("o"), F.lpad(F.col("doc_id").cast("string"), 12, "0")).alias("occurrence_id"), F.when(F.col("doc_id") % 7 != 0, F.col("source")).alias("tooltip_title"),
-        F.nullif(F.substring("text", 1, 30), F.lit("")).alias("tooltip_text"), F.col("lang").alias("source_entity_id"), F.lit("doc").alias("source_type"), F.struct((F.length("text") == F.col("n_chars")).alias("hash_match")).alias("source"), F.col("doc_id").alias("page_id"))
+        F.col("text").alias("tooltip_text"), F.col("lang").alias("source_entity_id"), F.lit("doc").alias("source_type"), F.struct((F.length("text") == F.col("n_chars")).alias("hash_match"), F.concat(F.lit("f"), F.col("doc_id").cast("string")).alias("html_file")).alias("source"), F.col("doc_id").alias("page_id"))
 
 
-TIPS = "SELECT 'o' || lpad(doc_id::VARCHAR, 12, '0') AS o, CASE WHEN doc_id % 7 <> 0 THEN source END AS t, nullif(substring(text, 1, 30), '') AS x, length(text) = n_chars AS h, doc_id FROM documents"
+TIPS = r"SELECT 'o' || lpad(doc_id::VARCHAR, 12, '0') AS o, CASE WHEN doc_id % 7 <> 0 THEN source END AS t, nullif(array_to_string(list_filter(list_transform(string_split(text, chr(10)), lambda y: trim(regexp_replace(y, '[\s\x0B\x{85}\x{A0}]+', ' ', 'g'))), lambda y: y <> ''), chr(10)), '') AS x, length(text) = n_chars AS h, doc_id FROM documents"
 
 
 @query(f"WITH o AS ({TIPS}) SELECT t AS tooltip_title, x AS tooltip_text, count(*) AS n, min(o) AS first_id FROM o WHERE x IS NOT NULL GROUP BY 1, 2")
@@ -197,12 +197,12 @@ def tooltip_definitions(s, d):
     return agg.definitions(tooltips(s, d)).select("tooltip_title", "tooltip_text", "n", F.get("occurrence_ids", 0).alias("first_id"))
 
 
-@query(f"""WITH o AS ({TIPS}) SELECT 'same_title_different_text' AS conflict_type, t AS key, 'review' AS severity FROM o WHERE x IS NOT NULL AND t IS NOT NULL GROUP BY t HAVING count(DISTINCT x) > 1
-UNION ALL SELECT 'same_text_different_title', x, 'review' FROM o WHERE x IS NOT NULL GROUP BY x HAVING count(DISTINCT coalesce('v' || t, 'n')) > 1
-UNION ALL SELECT 'duplicate_id', o, 'error' FROM o GROUP BY o HAVING count(*) > 1 UNION ALL SELECT 'missing_text', o, 'review' FROM o WHERE x IS NULL UNION ALL SELECT 'hash_mismatch', o, 'review' FROM o WHERE NOT h""")
+@query(f"""WITH o AS ({TIPS}) SELECT 'same_title_different_text' AS conflict_type, t AS key, 'review' AS severity, count(*) AS n FROM o WHERE x IS NOT NULL AND t IS NOT NULL GROUP BY t HAVING count(DISTINCT x) > 1
+UNION ALL SELECT 'same_text_different_title', x, 'review', count(*) FROM o WHERE x IS NOT NULL GROUP BY x HAVING count(DISTINCT coalesce('v' || t, 'n')) > 1
+UNION ALL SELECT 'duplicate_occurrence_id', o, 'error', count(*) FROM o GROUP BY o HAVING count(*) > 1 UNION ALL SELECT 'missing_tooltip_text', o, 'review', 1 FROM o WHERE x IS NULL UNION ALL SELECT 'source_hash_mismatch', 'f' || doc_id, 'review', 1 FROM o WHERE NOT h""")
 def tooltip_conflicts(s, d):
     """G04"""
-    return agg.conflicts(tooltips(s, d))
+    return agg.conflicts(tooltips(s, d)).select("conflict_type", "key", "severity", F.size("occurrence_ids").cast("long").alias("n"))
 
 
 @query(f"WITH o AS ({TIPS}) SELECT count(*) AS pages, count(*) AS pages_with_rows, count(*) AS rows, count(*) FILTER (t IS NULL) AS missing_title, count(*) FILTER (x IS NULL) AS missing_text FROM o")
@@ -304,20 +304,26 @@ def unlabelled(s, d):
     return rel.not_in(table(s, d, "documents"), table(s, d, "labels"), ["doc_id"]).select("doc_id", "source")
 
 
+def order_sides(s: SparkSession, d: str) -> tuple[DataFrame, DataFrame]:
+    """Closed orders, and orders whose first line wasn't returned as accepted, with large ones at price zero."""
+    o = table(s, d, "orders").select(F.col("o_orderkey").alias("k"), F.col("o_totalprice").alias("v"), "o_orderstatus")
+    first = table(s, d, "lineitem").filter("l_linenumber = 1 and l_returnflag <> 'A'").groupBy(F.col("l_orderkey").alias("k")).agg(F.max("l_quantity").alias("q"))
+    right = o.join(first, "k").select("k", F.when(F.col("q") > 45, 0.0).otherwise(F.col("v")).alias("v"))
+    return o.filter("o_orderstatus <> 'O'").select("k", "v"), right
+
+
 @query("""SELECT coalesce(a.k, b.k) AS k, CASE WHEN b.k IS NULL THEN 'only_left' WHEN a.k IS NULL THEN 'only_right' WHEN a.v <> b.v THEN 'changed' ELSE 'same' END AS status
-FROM (SELECT o_orderkey AS k, o_totalprice AS v FROM orders WHERE o_orderkey % 5 <> 0) a FULL JOIN (SELECT o_orderkey AS k, CASE WHEN o_orderkey % 11 = 0 THEN 0 ELSE o_totalprice END AS v FROM orders WHERE o_orderkey % 7 <> 0) b ON a.k = b.k""")
+FROM (SELECT o_orderkey AS k, o_totalprice AS v FROM orders WHERE o_orderstatus <> 'O') a FULL JOIN (SELECT o_orderkey AS k, CASE WHEN q > 45 THEN 0 ELSE o_totalprice END AS v FROM orders JOIN (SELECT l_orderkey, max(l_quantity) AS q FROM lineitem WHERE l_linenumber = 1 AND l_returnflag <> 'A' GROUP BY 1) ON l_orderkey = o_orderkey) b ON a.k = b.k""")
 def order_comparison(s, d):
     """J06, Q10"""
-    o = table(s, d, "orders").select(F.col("o_orderkey").alias("k"), F.col("o_totalprice").alias("v"))
-    return rel.compared(o.filter("k % 5 <> 0"), o.filter("k % 7 <> 0").withColumn("v", F.when(F.col("k") % 11 == 0, 0.0).otherwise(F.col("v"))), ["k"], ["v"]).select("k", "status")
+    return rel.compared(*order_sides(s, d), ["k"], ["v"]).select("k", "status")
 
 
 @query("""SELECT difference, count(*) AS n FROM (SELECT CASE WHEN b.k IS NULL THEN 'extra' WHEN a.k IS NULL THEN 'missing' WHEN a.v <> b.v THEN 'v' END AS difference
-FROM (SELECT o_orderkey AS k, o_totalprice AS v FROM orders WHERE o_orderkey % 5 <> 0) a FULL JOIN (SELECT o_orderkey AS k, CASE WHEN o_orderkey % 11 = 0 THEN 0 ELSE o_totalprice END AS v FROM orders WHERE o_orderkey % 7 <> 0) b ON a.k = b.k) WHERE difference IS NOT NULL GROUP BY 1""")
+FROM (SELECT o_orderkey AS k, o_totalprice AS v FROM orders WHERE o_orderstatus <> 'O') a FULL JOIN (SELECT o_orderkey AS k, CASE WHEN q > 45 THEN 0 ELSE o_totalprice END AS v FROM orders JOIN (SELECT l_orderkey, max(l_quantity) AS q FROM lineitem WHERE l_linenumber = 1 AND l_returnflag <> 'A' GROUP BY 1) ON l_orderkey = o_orderkey) b ON a.k = b.k) WHERE difference IS NOT NULL GROUP BY 1""")
 def order_regression(s, d):
     """Q10"""
-    o = table(s, d, "orders").select(F.col("o_orderkey").alias("k"), F.col("o_totalprice").alias("v"))
-    return quality.regression(o.filter("k % 5 <> 0"), o.filter("k % 7 <> 0").withColumn("v", F.when(F.col("k") % 11 == 0, 0.0).otherwise(F.col("v"))), "k", ["v"])
+    return quality.regression(*order_sides(s, d), "k", ["v"])
 
 
 @query("""SELECT c_custkey, coalesce(a.v, b.v) AS v, CASE WHEN a.v IS NOT NULL THEN 0 WHEN b.v IS NOT NULL THEN 1 END AS from_lookup FROM customer c
@@ -497,11 +503,11 @@ def supplier_mechanics(s, d):
     return modifiers.resolve_mechanics(base, li.select("mechanic_id", (F.col("l_quantity") > 49).alias("matched")), li.filter("l_returnflag = 'R'").select("mechanic_id", F.lit(1).cast("long").alias("delta")))
 
 
-@query("""WITH c AS (SELECT l_orderkey AS h, l_linenumber AS c, sum(l_quantity) AS b FROM lineitem WHERE l_partkey % 3 = 0 GROUP BY 1, 2) SELECT h AS hit_id, round(sum(b * (1 + coalesce(i, 0)) * coalesce(e, 1)), 4) AS total
+@query("""WITH c AS (SELECT l_orderkey AS h, l_linenumber AS c, sum(l_quantity) AS b FROM lineitem GROUP BY 1, 2) SELECT h AS hit_id, round(sum(b * (1 + coalesce(i, 0)) * coalesce(e, 1)), 4) AS total
 FROM c LEFT JOIN (SELECT o_orderkey AS k, (o_custkey % 5) / 10.0 AS i, 1 + (o_custkey % 3) / 10.0 AS e FROM orders) ON k = h GROUP BY 1""")
 def hit_totals(s, d):
     """F07, G18"""
-    c = table(s, d, "lineitem").filter("l_partkey % 3 = 0").groupBy(F.col("l_orderkey").alias("hit_id"), F.col("l_linenumber").alias("component_id")).agg(F.sum("l_quantity").cast("double").alias("base_value")).select("hit_id", "component_id", "base_value", F.lit("physical").alias("current_type"), F.array(F.lit("physical")).alias("history"), F.array(F.lit("attack")).alias("hit_tags"))
+    c = table(s, d, "lineitem").groupBy(F.col("l_orderkey").alias("hit_id"), F.col("l_linenumber").alias("component_id")).agg(F.sum("l_quantity").cast("double").alias("base_value")).select("hit_id", "component_id", "base_value", F.lit("physical").alias("current_type"), F.array(F.lit("physical")).alias("history"), F.array(F.lit("attack")).alias("hit_tags"))
     o, none = table(s, d, "orders"), F.array().cast("array<string>")
     m = lambda kind, v: o.select(F.col("o_orderkey").alias("hit_id"), F.lit(kind).alias("kind"), F.lit(None).cast("string").alias("extra_group"), v.alias("value"), F.array(F.lit("attack")).alias("required_tags"), none.alias("required_types"))
     mods = m("increased", (F.col("o_custkey") % 5) / 10.0).unionByName(m("extra", (F.col("o_custkey") % 3) / 10.0))
@@ -519,13 +525,13 @@ def conversions(s, d):
 
 
 def listing(s: SparkSession, d: str) -> DataFrame:
-    """Documents as listing entries: route from the first 20 characters, system and role from the source."""
+    """Documents as listing entries: route from the whole first line, system and role from the source."""
     return table(s, d, "documents").select(
-        F.concat(F.lit("/en/"), F.substring(F.sha2(F.substring("text", 1, 20), 256), 1, 12), F.lit("/")).alias("route"), F.col("source").alias("system_id"), F.when(F.col("source").isin("src1", "src2", "src3", "src4", "src5"), "primary").otherwise("entry").alias("role"),
-        F.substring("text", 1, 20).alias("title"), F.col("lang").alias("category"), F.sha2(F.substring("text", 1, 20), 256).alias("title_hash"), F.sha2("text", 256).alias("body_hash"), F.col("doc_id").alias("source_order"), F.col("doc_id").alias("page_id"))
+        F.concat(F.lit("/en/"), F.substring(F.sha2(F.split_part("text", F.lit("\n"), F.lit(1)), 256), 1, 12), F.lit("/")).alias("route"), F.col("source").alias("system_id"), F.when(F.col("source").isin("src1", "src2", "src3", "src4", "src5"), "primary").otherwise("entry").alias("role"),
+        F.split_part("text", F.lit("\n"), F.lit(1)).alias("title"), F.col("lang").alias("category"), F.sha2(F.split_part("text", F.lit("\n"), F.lit(1)), 256).alias("title_hash"), F.sha2("text", 256).alias("body_hash"), F.col("doc_id").alias("source_order"), F.col("doc_id").alias("page_id"))
 
 
-ONCE = """WITH e AS (SELECT '/en/' || substring(sha256(substring(text, 1, 20)), 1, 12) || '/' AS route, source AS sys, source IN ('src1', 'src2', 'src3', 'src4', 'src5') AS prim, lang AS cat, sha256(text) AS b, doc_id FROM documents),
+ONCE = """WITH e AS (SELECT '/en/' || substring(sha256(split_part(text, chr(10), 1)), 1, 12) || '/' AS route, source AS sys, source IN ('src1', 'src2', 'src3', 'src4', 'src5') AS prim, lang AS cat, sha256(text) AS b, doc_id FROM documents),
 o AS (SELECT * FROM (SELECT *, row_number() OVER (PARTITION BY route, sys ORDER BY doc_id) AS k FROM e) WHERE k = 1),
 g AS (SELECT route, count(*) AS n, count(DISTINCT b) = 1 AS high, CASE WHEN count(DISTINCT cat) = 1 THEN min(cat) WHEN count(DISTINCT cat) > 1 THEN 'mixed' END AS category, count(*) FILTER (prim) AS np,
 arg_min(sys, doc_id) FILTER (prim) AS own FROM o GROUP BY 1)"""
@@ -545,12 +551,12 @@ def entity_index(s, d):
     return entities.build_entities(listing(s, d)).select("route", "category", "confidence", "owner")
 
 
-@query("""WITH p AS (SELECT '/en/' || substring(sha256(substring(text, 1, 20)), 1, 12) || '/' AS route, doc_id, source, n_chars FROM documents)
-SELECT reason, count(*) AS n FROM (SELECT CASE WHEN source = 'src0' THEN 'hidden_system' WHEN source NOT IN ('src1', 'src2', 'src3', 'src4', 'src5') THEN 'not_primary' WHEN row_number() OVER (PARTITION BY route ORDER BY doc_id) > 1 THEN 'duplicate' ELSE 'candidate' END AS reason FROM p) GROUP BY 1""")
+@query("""WITH p AS (SELECT '/en/' || substring(sha256(split_part(text, chr(10), 1)), 1, 12) || '/' AS route, doc_id, source, lang, n_chars FROM documents)
+SELECT reason, count(*) AS n FROM (SELECT CASE WHEN source = 'src0' THEN 'hidden_system' WHEN source NOT IN ('src1', 'src2', 'src3', 'src4', 'src5') THEN 'not_primary' WHEN route IN (SELECT route FROM p WHERE lang = 'de') THEN 'already_entity' WHEN row_number() OVER (PARTITION BY route ORDER BY doc_id) > 1 THEN 'duplicate' ELSE 'candidate' END AS reason FROM p) GROUP BY 1""")
 def entity_coverage(s, d):
     """N07"""
     p = listing(s, d).withColumn("hidden", F.col("system_id") == "src0").withColumn("title", F.lit("t"))
-    return entities.coverage(p, p.limit(0).select("route")).groupBy("reason").agg(F.count(F.lit(1)).alias("n"))
+    return entities.coverage(p, p.filter("category = 'de'").select("route")).groupBy("reason").agg(F.count(F.lit(1)).alias("n"))
 
 
 @query()
@@ -558,7 +564,7 @@ def entity_enrichment(s, d):
     """N09, N10, G24, W05"""
     e = entities.build_entities(listing(s, d))
     facts = listing(s, d).select("route", F.col("system_id").alias("kind"), F.when(F.col("role") == "primary", 0).otherwise(100).alias("priority"), "category", "title", F.lit("summary").alias("summary"))
-    out = entities.entity_visibility(entities.enrich(e, facts), listing(s, d).filter("source_order % 50 = 0")).withColumn("entity_id", F.col("route"))
+    out = entities.entity_visibility(entities.enrich(e, facts), listing(s, d).filter("role = 'primary'")).withColumn("entity_id", F.col("route"))
     return agg.entity_report(out)
 
 
@@ -569,10 +575,10 @@ def page_classification(s, d):
     return entities.classify(p).groupBy("reason").agg(F.count(F.lit(1)).alias("n"))
 
 
-@query("SELECT '/en/' || substring(sha256(substring(text, 1, 20)), 1, 12) || '/' AS route, count(DISTINCT text) AS contents, count(*) AS pages FROM documents GROUP BY 1 HAVING count(DISTINCT text) > 1")
+@query("SELECT '/en/' || substring(sha256(split_part(text, chr(10), 1)), 1, 12) || '/' AS route, count(DISTINCT text) AS contents, count(*) AS pages FROM documents GROUP BY 1 HAVING count(DISTINCT text) > 1")
 def route_conflicts(s, d):
     """Q11"""
-    docs = table(s, d, "documents").withColumn("route", F.concat(F.lit("/en/"), F.substring(F.sha2(F.substring("text", 1, 20), 256), 1, 12), F.lit("/")))
+    docs = table(s, d, "documents").withColumn("route", F.concat(F.lit("/en/"), F.substring(F.sha2(F.split_part("text", F.lit("\n"), F.lit(1)), 256), 1, 12), F.lit("/")))
     return quality.route_conflicts(docs, "route", "text")
 
 
@@ -685,12 +691,12 @@ def reachable_suppliers(s, d):
 
 
 @query(rf"""WITH l AS ({LINKS}), p AS (SELECT regexp_replace(regexp_extract(target, '^[a-z]+://[^/?#]*([^?#]*)', 1), '/+$', '') AS route, page_id FROM l)
-SELECT CASE WHEN length(route) % 3 = 0 THEN 'manifested' WHEN length(route) % 5 = 0 THEN 'recovered' ELSE 'pending' END AS state, count(DISTINCT route) AS routes, count(*) AS links FROM p GROUP BY 1""")
+SELECT CASE WHEN length(route) % 3 = 0 THEN 'manifested' WHEN length(route) % 5 = 0 THEN 'recovered' WHEN length(route) % 7 = 0 THEN 'rejected' ELSE 'pending' END AS state, count(DISTINCT route) AS routes, count(*) AS links FROM p GROUP BY 1""")
 def link_frontier(s, d):
     """I01, Q06, U04"""
     a = page_links(s, d).withColumn("route", F.regexp_replace(urls.path(F.col("target")), "/+$", "")).select("route", "page_id")
     r = a.select("route").distinct()
-    out = graph.frontier(a, r.filter("length(route) % 3 = 0"), r.filter("length(route) % 5 = 0"), r.limit(0))
+    out = graph.frontier(a, r.filter("length(route) % 3 = 0"), r.filter("length(route) % 5 = 0"), r.filter("length(route) % 7 = 0"))
     return out.groupBy("state").agg(F.count(F.lit(1)).alias("routes"), F.sum("links").alias("links"))
 
 
@@ -724,12 +730,14 @@ def visible_children(s, d):
     return search.visible_subcategories(t).withColumn("children", F.array_join("children", ","))
 
 
-@query("SELECT CASE WHEN doc_id % 11 = 0 THEN 'not_found' WHEN doc_id % 13 = 0 THEN 'network_error' WHEN doc_id % 17 = 0 THEN 'invalid' ELSE 'available' END AS status, count(*) AS n FROM documents GROUP BY 1")
+@query("SELECT CASE WHEN doc_id % 11 = 0 THEN 'not_found' WHEN doc_id % 13 = 0 THEN 'network_error' WHEN lang = 'de' THEN 'redirected' WHEN doc_id % 17 = 0 OR source = 'src3' THEN 'invalid' ELSE 'available' END AS status, count(*) AS n FROM documents GROUP BY 1")
 def fetch_classes(s, d):
     """F10, M07"""
     code = F.when(F.col("doc_id") % 11 == 0, 404).when(F.col("doc_id") % 13 == 0, 503).when(F.col("doc_id") % 17 == 0, 301).otherwise(200)
     u = F.concat(F.lit("https://a.example/en/"), F.col("doc_id").cast("string"))
-    return table(s, d, "documents").select(urls.classify_fetch(code, u, u, F.lit("text")).alias("status")).groupBy("status").agg(F.count(F.lit(1)).alias("n"))
+    final = F.when(F.col("lang") == "de", F.lit("https://a.example/en/home")).otherwise(u)
+    body = F.when(F.col("source") == "src3", F.lit("<h1>Page not found</h1>")).otherwise(F.lit("text"))
+    return table(s, d, "documents").select(urls.classify_fetch(code, u, final, body).alias("status")).groupBy("status").agg(F.count(F.lit(1)).alias("n"))
 
 
 @query("SELECT n_regionkey AS k, 'confirmed' AS discovery_status, count(*) AS n FROM nation WHERE n_regionkey < 3 GROUP BY 1")
