@@ -92,7 +92,7 @@ def pane_records(nodes: DataFrame, rows: DataFrame, cards: DataFrame, defs: Data
 def recipe_records(cards: DataFrame, materials: DataFrame) -> DataFrame:
     """One record a recipe card with its materials. cards(page_id, card_id, effect, talent_text), materials(page_id,
     card_id, pos, name, route, card_text); the quantity stands behind the name as x<digits>."""
-    quantity = F.coalesce(F.nullif(F.regexp_extract("card_text", F.concat(F.lit(r"\Q"), F.col("name"), F.lit(r"\E\s*x(\d+)")), 1), F.lit("")).cast("int"), F.lit(1))
+    quantity = F.coalesce(F.nullif(F.call_function("regexp_extract", F.col("card_text"), F.concat(F.lit(r"\Q"), F.col("name"), F.lit(r"\E\s*x(\d+)")), F.lit(1)), F.lit("")).cast("int"), F.lit(1))
     listed = materials.groupBy("page_id", "card_id").agg(F.array_sort(F.collect_list(F.struct("pos", "name", "route", quantity.alias("quantity")))).alias("materials"))
     out = cards.join(listed, ["page_id", "card_id"], "left").withColumn("talent_level", extract_number(F.col("talent_text"), r"Lv\.(\d+)"))
     out = out.withColumn("text", F.col("effect")).withColumn("section_name", F.lit("recipe")).withColumn("key", F.concat(F.lit("recipe:"), F.col("card_id").cast("string"))).withColumn("row_index", F.col("card_id")).withColumn("table_no", F.lit(0))

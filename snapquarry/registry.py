@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 from .plans import audits as _audits  # noqa: F401  adds its queries
+from .plans import record_queries as _records  # noqa: F401
 from .plans.queries import ORACLE_SQL, QUERIES
 
 __all__ = ["ORACLE_SQL", "QUERIES"]
