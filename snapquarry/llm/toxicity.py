@@ -44,9 +44,9 @@ def subwords(buf: np.ndarray, offs: np.ndarray) -> Subwords:
     where, ids = [np.arange(len(start))], []
     inner = np.concatenate([[0], np.cumsum(blank)])
     value = np.zeros(n, dtype=np.uint64)
-    for size in range(1, max(GRAMS) + 1):
+    for size in range(1, min(max(GRAMS), n) + 1):
         value[: n - size + 1] = value[: n - size + 1] * np.uint64(257) + text[size - 1 :]
-        if size in GRAMS and n >= size:
+        if size in GRAMS:
             p = np.arange(n - size + 1)
             own = index[word_of[p]]
             ok = (inner[p + size - 1] - inner[p + 1] == 0) & ((~blank[p]) | ~blank[np.minimum(p + 1, n - 1)]) & (own >= 0)

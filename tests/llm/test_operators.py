@@ -244,6 +244,29 @@ def test_ngram_join_links(spark, docs, rows, monkeypatch, block):
             assert dict(got) == {0: 4, 1: 4, 2: 4, 3: 4, 4: 4, 5: 4, 6: 0, 7: 0, 8: 0}
 
 
+def test_ngram_join_hot(spark, monkeypatch):
+    """More holders of a token than are listed, and a family of more members than two blocks take."""
+    monkeypatch.setattr(ngram_join, "BLOCK", 64)
+    base = [f"common{i}" for i in range(20)]
+    far = [(k, " ".join([*base, *[f"own{k}x{i}" for i in range(14)]])) for k in range(200)]  # share a passage, don't link
+    near = [(1000 + k, " ".join([*[f"near{i}" for i in range(60)], f"tail{k % 150}"])) for k in range(300)]  # all link
+    got = {r.doc_id: (r.component_id, r.n_links) for r in ngram_join.join(spark.createDataFrame(far + near, "doc_id long, text string").repartition(4)).collect()}
+    assert got == {**{k: (k, 0) for k in range(200)}, **{1000 + k: (1000, 149) for k in range(300)}}
+
+
+def test_long_text(spark):
+    """One text of 20 MB among short ones, through the operators that look into texts."""
+    rng = np.random.default_rng(5)
+    long = bytes(np.where(rng.random(20_000_000) < 0.16, 32, rng.integers(97, 123, 20_000_000)).astype(np.uint8)).decode()
+    table = spark.createDataFrame([(1, long), (2, long[5_000_000:5_000_400]), (3, "short text")], "doc_id long, text string").withColumn("lang", F.lit("en")).withColumn("source", F.lit("s"))
+    cut = {r.doc_id: (r.n_bytes, len(r.kept)) for r in suffix_dedup.dedupe(table).select("doc_id", "n_bytes", "kept").collect()}
+    assert cut[1] == (20_000_000, 20_000_000) and cut[2] == (400, 0)
+    assert {r.doc_id: r.n_chars for r in fingerprint.compare(table).collect()}[1] == 20_000_000
+    assert {r.doc_id: r.n_words for r in rules.judge(table).collect()}[1] == len(long.split())
+    model = toxicity.Model(rng.normal(size=1 << toxicity.BITS), 0.0)
+    assert toxicity.score(table, model).count() == 3
+
+
 def test_keep_one(docs):
     kept = ngram_join.keep_one(docs)
     ids = [r.doc_id for r in kept.collect() if r.doc_id is not None]
@@ -453,6 +476,48 @@ def accuracy(scored, labels, label):
     return sum(r.predicted == r[label] for r in j) / len(j)
 
 
+def test_stretches():
+    rng = random.Random(1)
+    model = toxicity.Model(np.random.default_rng(0).normal(size=1 << toxicity.BITS), 0.1)
+    text = " ".join(rng.choice("abcdefg") * rng.randint(1, 9) for _ in range(5000)).encode()
+    buf, offs = np.frombuffer(text, dtype=np.uint8), np.array([0, len(text)])
+    whole = model.windows(toxicity.subwords(buf, offs))[0].max()
+    tops = []
+    for part, edges, last in toxicity.stretches(buf, offs, most=1000):
+        z = model.windows(toxicity.subwords(part, edges))[0]
+        tops.append(z[: len(z) if last else len(z) - toxicity.WIDTH + 1].max())
+    assert len(tops) > 5 and max(tops) == pytest.approx(whole)
+
+
+def test_scores_against_plain_code():
+    """Scores of both classifiers against a reading of the model word by word."""
+    rng = random.Random(7)
+    texts = [" ".join(rng.choice(["Good", "bad", "ugly!", "mis-spelt", "é", "x" * 20]) for _ in range(rng.randint(0, 12))) for _ in range(40)]
+    y = np.array([i % 2 for i in range(40)])
+    import pyarrow as pa
+
+    model = toxicity.fit([t + (" vile scum" if k else "") for t, k in zip(texts, y)], y, epochs=2)
+    column = pa.array(texts)
+    alone = [model.logits(pa.array([t]))[0] for t in texts]
+    assert model.logits(column).tolist() == pytest.approx(alone)
+    for t, z in zip(texts, alone):
+        words = t.split()
+        each = []
+        for w in words:
+            g = toxicity.subwords(np.frombuffer(w.encode(), dtype=np.uint8), np.array([0, len(w.encode())]))
+            padded = b" " + w.lower().encode() + b" " if w.isascii() else None
+            if padded:
+                assert len(g.ids) == 1 + sum(max(len(padded) - n + 1, 0) for n in toxicity.GRAMS)
+            each.append([model.worth[i] for i in g.ids])
+        windows = [sum(each[i : i + toxicity.WIDTH], []) for i in range(len(each))]
+        assert z == pytest.approx(max((sum(v) / len(v) + model.bias for v in windows), default=-30.0))
+    ranker = quality.fit(quality.features(column), y, rounds=30)
+    x = quality.features(column)
+    for row, got in zip(x, ranker.raw(x)):
+        plain = sum(ranker.weights[i][sum(e <= v for e in ranker.edges[i])] for i, v in enumerate(row))
+        assert got == pytest.approx(plain)
+
+
 def test_models(spark, docs, none):
     data = "/root/testdata/sf0.01"
     documents, labels = read(spark, data, "documents"), read(spark, data, "labels")
