@@ -102,7 +102,7 @@ def dom_profile(s, d):
 @query(r"""SELECT page_id, trim(replace(replace(replace(regexp_extract(html, '<title>([^<]*)</title>', 1), '&lt;', '<'), '&gt;', '>'), '&amp;', '&')) AS title,
 trim(replace(replace(replace(regexp_extract(html, '<h1>([^<]*)</h1>', 1), '&lt;', '<'), '&gt;', '>'), '&amp;', '&')) AS heading FROM pages""")
 def page_headings(s, d):
-    """T01, T08, E18"""
+    """T01, T08"""
     return extract.headings(dom.dom_nodes(table(s, d, "pages"))).select("page_id", "title", "heading")
 
 
@@ -127,7 +127,7 @@ def nearest_list(s, d):
 
 @query()
 def page_entries(s, d):
-    """Entries of directory pages with confidence"""
+    """Entries of directory pages with confidence"""
     entries, report = directory.entries_from_pages(table(s, d, "pages"))
     return report.join(entries.groupBy("page_id").agg(F.count(F.lit(1)).alias("entries")), "page_id", "left")
 
@@ -143,14 +143,14 @@ def rewritten_pages(s, d):
 @query(r"""SELECT doc_id, trim(regexp_replace(split_part(text, chr(10), 1), '[\s\x0B\x{85}\x{A0}]+', ' ', 'g')) AS title, regexp_matches(text, '[\x{3400}-\x{9fff}]') AS han,
 length(text) AS n_chars, sha256(replace(lower(text), 'ß', 'ss')) AS folded FROM documents""")
 def document_titles(s, d):
-    """E06, E09, E13, E23"""
+    """E06, E09, E23"""
     t = F.col("text")
     return table(s, d, "documents").select("doc_id", text.clean(F.split_part(t, F.lit("\n"), F.lit(1))).alias("title"), text.has_han(t).alias("han"), F.length(t).cast("long").alias("n_chars"), F.sha2(text.fold(t), 256).alias("folded"))
 
 
 @query("""SELECT sha256(text) AS text_hash, count(*) AS n, min(doc_id) AS first_doc, count(DISTINCT source) AS sources FROM documents GROUP BY text HAVING count(*) > 1""")
 def duplicate_texts(s, d):
-    """G07, E05, Q05"""
+    """G07"""
     docs = table(s, d, "documents").withColumn("text_hash", F.sha2("text", 256))
     groups = agg.duplicate_groups(docs, ["text_hash"], "doc_id")
     sources = docs.groupBy("text_hash").agg(F.count_distinct("source").alias("sources"))
@@ -165,7 +165,7 @@ def shared_texts(s, d):
 
 @query("""SELECT event_id, (props::JSON ->> 'k')::INT AS k, '{"k":' || (props::JSON ->> 'k') || ',"type":"' || event_type || '"}' AS canonical FROM events""")
 def event_props(s, d):
-    """E11, E16, E17"""
+    """E17"""
     e = table(s, d, "events").withColumn("p", nested.parsed(F.col("props"), "k int"))
     return e.select("event_id", F.col("p.k").alias("k"), nested.canonical_json({"k": F.col("p.k"), "type": F.col("event_type")}).alias("canonical"))
 
@@ -363,7 +363,7 @@ def part_paths(s, d):
 
 @query("SELECT k, count(*) AS n, string_agg(DISTINCT m, ',' ORDER BY m) AS modules FROM (SELECT s_nationkey AS k, 'supplier' AS m FROM supplier UNION ALL SELECT c_nationkey, 'customer' FROM customer) GROUP BY 1 HAVING count(*) > 1")
 def nation_modules(s, d):
-    """U01, Q05"""
+    """U01"""
     _, twice = rel.union_unique({"supplier": table(s, d, "supplier").select(F.col("s_nationkey").alias("k")), "customer": table(s, d, "customer").select(F.col("c_nationkey").alias("k"))}, "k")
     return twice.withColumn("modules", F.array_join("modules", ","))
 
@@ -377,7 +377,7 @@ def document_evidence(s, d):
 
 @query("SELECT c_custkey AS k, 'missing' AS side FROM customer WHERE c_custkey NOT IN (SELECT o_custkey FROM orders) UNION ALL SELECT DISTINCT o_custkey, 'extra' FROM orders WHERE o_custkey NOT IN (SELECT c_custkey FROM customer)")
 def customer_difference(s, d):
-    """U03, Q04"""
+    """Q04"""
     return quality.coverage_gate(table(s, d, "customer").select(F.col("c_custkey").alias("k")), table(s, d, "orders").select(F.col("o_custkey").alias("k")), "k")
 
 
@@ -389,14 +389,14 @@ def labelled_common(s, d):
 
 @query("SELECT o_custkey AS k, arg_max(o_orderstatus, o_orderkey) AS v FROM orders GROUP BY 1 UNION ALL SELECT c_custkey, c_mktsegment FROM customer WHERE c_custkey NOT IN (SELECT o_custkey FROM orders)")
 def customer_state(s, d):
-    """U05, X03"""
+    """U05"""
     state = table(s, d, "customer").select(F.col("c_custkey").alias("k"), F.col("c_mktsegment").alias("v"))
     return rel.upsert(state, table(s, d, "orders").select(F.col("o_custkey").alias("k"), F.col("o_orderstatus").alias("v"), F.col("o_orderkey").alias("seq")), "k")
 
 
 @query("SELECT doc_id, 'label' AS origin FROM labels UNION ALL SELECT doc_id, 'document' FROM documents WHERE doc_id NOT IN (SELECT doc_id FROM labels)")
 def supplemented(s, d):
-    """U06, S04"""
+    """U06"""
     return rel.append_missing(table(s, d, "labels").select("doc_id", F.lit("label").alias("origin")), table(s, d, "documents").select("doc_id", F.lit("document").alias("origin")), "doc_id")
 
 
@@ -415,7 +415,7 @@ def best_suppliers(s, d):
 
 @query("SELECT doc_id, coalesce(nullif(trim(CASE WHEN quality = 1 THEN split_part(text, chr(10), 1) END), ''), source) AS title, CASE WHEN nullif(trim(CASE WHEN quality = 1 THEN split_part(text, chr(10), 1) END), '') IS NOT NULL THEN 'heading' ELSE 'source' END AS title_from FROM documents LEFT JOIN labels USING (doc_id)")
 def document_title_chain(s, d):
-    """W04, E10"""
+    """W04"""
     j = table(s, d, "documents").join(table(s, d, "labels"), "doc_id", "left").withColumn("head", F.when(F.col("quality") == 1, F.split_part("text", F.lit("\n"), F.lit(1))))
     return rel.with_title(j, [("heading", "head"), ("source", "source")]).select("doc_id", "title", "title_from")
 
@@ -477,7 +477,7 @@ FROM lineitem l CROSS JOIN (VALUES ('c1', ['A', 'N']), ('c2', ['R', 'O'])) AS c(
 
 @query(f"SELECT context_id, coalesce(reason, 'matched') AS reason, count(*) AS n FROM ({MATCH}) GROUP BY 1, 2")
 def modifier_trace(s, d):
-    """F06, J10, E20"""
+    """F06, J10"""
     m = modifiers.match_filters(line_modifiers(s, d), contexts(s))
     return m.groupBy("context_id", F.coalesce("reason", F.lit("matched")).alias("reason")).agg(F.count(F.lit(1)).alias("n"))
 
@@ -547,7 +547,7 @@ def entity_groups(s, d):
 @query(f"""{ONCE} SELECT route, category, CASE WHEN n >= 2 THEN CASE WHEN high THEN 'high' ELSE 'medium' END ELSE 'primary' END AS confidence, coalesce(own, any_own) AS owner FROM g JOIN (SELECT route AS r2, arg_min(sys, doc_id) AS any_own FROM o GROUP BY 1) ON r2 = route
 WHERE (n >= 2 AND (high OR (category <> 'mixed' AND np >= 2))) OR (n = 1 AND np > 0)""")
 def entity_index(s, d):
-    """N05, N06, W02, W03"""
+    """N06, W02, W03"""
     return entities.build_entities(listing(s, d)).select("route", "category", "confidence", "owner")
 
 
@@ -598,7 +598,7 @@ def order_audit(s, d):
 @query("""SELECT doc_id, 'missing quality' AS issue FROM documents LEFT JOIN labels USING (doc_id) WHERE quality IS NULL UNION ALL SELECT doc_id, 'duplicate effect' FROM (SELECT doc_id, unnest(string_split(text, chr(10))) AS t FROM documents) WHERE t <> '' GROUP BY doc_id, t HAVING count(*) > 1
 UNION ALL SELECT doc_id, 'empty effect' FROM (SELECT doc_id, unnest(string_split(text, chr(10))) AS t FROM documents) WHERE t = ''""")
 def document_issues(s, d):
-    """Q14, E14"""
+    """Q14"""
     docs = table(s, d, "documents").join(table(s, d, "labels"), "doc_id", "left")
     return quality.document_issues(docs, "doc_id", ["quality"], docs.select("doc_id", F.explode(F.split("text", "\n")).alias("text")))
 
@@ -693,7 +693,7 @@ def reachable_suppliers(s, d):
 @query(rf"""WITH l AS ({LINKS}), p AS (SELECT regexp_replace(regexp_extract(target, '^[a-z]+://[^/?#]*([^?#]*)', 1), '/+$', '') AS route, page_id FROM l)
 SELECT CASE WHEN length(route) % 3 = 0 THEN 'manifested' WHEN length(route) % 5 = 0 THEN 'recovered' WHEN length(route) % 7 = 0 THEN 'rejected' ELSE 'pending' END AS state, count(DISTINCT route) AS routes, count(*) AS links FROM p GROUP BY 1""")
 def link_frontier(s, d):
-    """I01, Q06, U04"""
+    """I01, U04"""
     a = page_links(s, d).withColumn("route", F.regexp_replace(urls.path(F.col("target")), "/+$", "")).select("route", "page_id")
     r = a.select("route").distinct()
     out = graph.frontier(a, r.filter("length(route) % 3 = 0"), r.filter("length(route) % 5 = 0"), r.filter("length(route) % 7 = 0"))
@@ -702,7 +702,7 @@ def link_frontier(s, d):
 
 @query("SELECT p.l_partkey AS url, 'line' AS type, coalesce(r.n, 0) AS ref_count FROM (SELECT DISTINCT l_partkey FROM lineitem) p LEFT JOIN (SELECT l_partkey, count(*) AS n FROM lineitem WHERE l_returnflag = 'R' GROUP BY 1) r USING (l_partkey)")
 def carried_assets(s, d):
-    """X04, G06"""
+    """X04"""
     li = table(s, d, "lineitem")
     before = li.filter("l_returnflag <> 'R'").select(F.col("l_partkey").cast("string").alias("url"), F.sha2(F.col("l_partkey").cast("string"), 256).alias("asset_id"), F.lit("line").alias("type")).distinct()
     out = incremental.carry_forward(before, li.filter("l_returnflag = 'R'").select(F.col("l_partkey").cast("string").alias("url"), F.lit("line").alias("type")))
@@ -725,14 +725,14 @@ def noise_report(s, d):
 
 @query("SELECT l_returnflag AS category_id, string_agg(DISTINCT l_linestatus, ',' ORDER BY l_linestatus) AS children FROM lineitem WHERE l_quantity > 10 GROUP BY 1")
 def visible_children(s, d):
-    """F09, S06"""
+    """F09"""
     t = table(s, d, "lineitem").select(F.col("l_returnflag").alias("category_id"), F.col("l_linestatus").alias("child_id"), (F.col("l_quantity") > 10).alias("visible"))
     return search.visible_subcategories(t).withColumn("children", F.array_join("children", ","))
 
 
 @query("SELECT CASE WHEN doc_id % 11 = 0 THEN 'not_found' WHEN doc_id % 13 = 0 THEN 'network_error' WHEN lang = 'de' THEN 'redirected' WHEN doc_id % 17 = 0 OR source = 'src3' THEN 'invalid' ELSE 'available' END AS status, count(*) AS n FROM documents GROUP BY 1")
 def fetch_classes(s, d):
-    """F10, M07"""
+    """F10"""
     code = F.when(F.col("doc_id") % 11 == 0, 404).when(F.col("doc_id") % 13 == 0, 503).when(F.col("doc_id") % 17 == 0, 301).otherwise(200)
     u = F.concat(F.lit("https://a.example/en/"), F.col("doc_id").cast("string"))
     final = F.when(F.col("lang") == "de", F.lit("https://a.example/en/home")).otherwise(u)
