@@ -76,13 +76,21 @@ def dom_nodes(pages: DataFrame) -> DataFrame:
     and html go to Python."""
     kind = pages.schema["page_id"].dataType.simpleString()
 
+    def told(ids: list, rows: list[dict], page_type: pa.DataType) -> pa.RecordBatch:
+        return pa.RecordBatch.from_arrays([pa.array(ids, page_type), *[pa.array([r[f.name] for r in rows], f.type) for f in NODE]], names=["page_id", *NODE.names])
+
     def parsed(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            for page, html in zip(batch.column("page_id"), batch.column("html").to_pylist()):
-                rows = _Nodes().nodes(html) if html else []
-                if rows:
-                    columns = [pa.array([r[f.name] for r in rows], f.type) for f in NODE]
-                    yield pa.RecordBatch.from_arrays([pa.array([page.as_py()] * len(rows), page.type), *columns], names=["page_id", *NODE.names])
+            ids, rows, page_type = [], [], batch.schema.field("page_id").type
+            for page, html in zip(batch.column("page_id").to_pylist(), batch.column("html").to_pylist()):
+                own = _Nodes().nodes(html) if html else []
+                ids += [page] * len(own)
+                rows += own
+                if len(rows) >= 5000:  # many short pages share a batch
+                    yield told(ids, rows, page_type)
+                    ids, rows = [], []
+            if rows:
+                yield told(ids, rows, page_type)
 
     return pages.select("page_id", "html").mapInArrow(parsed, f"page_id {kind}, {SCHEMA}")
 
