@@ -2,31 +2,15 @@
 
 from __future__ import annotations
 
-from urllib.parse import urldefrag, urljoin
-
-import pandas as pd
 from pyspark.sql import Column
 from pyspark.sql import functions as F
-from pyspark.sql.types import StringType
 
 # Fixed values.
-STATIC_SUFFIXES = ["css", "js", "png", "jpg", "jpeg", "gif", "svg", "webp", "ico", "woff", "woff2", "ttf", "json", "xml", "pdf", "zip", "mp4"]
-TRACKING_PARTS = ["google-analytics", "googletagmanager", "doubleclick", "googlesyndication", "adservice", "facebook.net", "hotjar", "clarity.ms", "cloudflareinsights", "analytics"]
+STATIC_SUFFIXES = ["css", "js", "png", "jpg", "jpeg", "gif", "webp", "svg", "ico", "woff", "woff2", "ttf", "otf", "eot", "mp3", "mp4", "webm", "pdf", "json", "xml", "txt", "map"]
+TRACKING_PARTS = ["google-analytics", "googletagmanager", "doubleclick", "facebook.net", "hotjar", "clarity.ms", "adservice", "analytics", "nitropay", "cloudflareinsights"]
 SKIPPED_SCHEMES = ["#", "data:", "blob:", "javascript:", "mailto:"]
 
 
-@F.pandas_udf(StringType())
-def _joined(base: pd.Series, href: pd.Series) -> pd.Series:
-    def one(b, h):
-        if b is None or h is None:
-            return None
-        try:
-            return urldefrag(urljoin(b, h))[0]
-        except ValueError:
-            return None
-    return pd.Series([one(b, h) for b, h in zip(base, href)], dtype=object)
-
-
 def skipped(href: Column) -> Column:
     """Links that are not resolved."""
     low = F.lower(F.trim(href))
@@ -36,19 +20,33 @@ def skipped(href: Column) -> Column:
     return out
 
 
+def _without_dots(parts: Column) -> Column:
+    """Path of segments with . and .. carried out; one that ends in them ends in a slash."""
+    none = F.array().cast("array<string>")
+    kept = F.aggregate(parts, none, lambda a, s: F.when(s == ".", a).when(s == "..", F.slice(a, F.lit(1), F.greatest(F.size(a) - 1, F.lit(0)))).otherwise(F.array_append(a, s)))
+    return F.concat(F.lit("/"), F.array_join(F.when(F.element_at(parts, -1).isin(".", ".."), F.array_append(kept, F.lit(""))).otherwise(kept), "/"))
+
+
 def resolve_url(href: Column, base: Column) -> Column:
-    """Href resolved against base, without fragment. Built-in expressions serve links without dot segments
-    (absolute, scheme-relative, rooted); only the others go through the Arrow function."""
+    """Href resolved against base, without fragment, by built-in expressions alone. A link with a scheme stays as it
+    is, one that begins with // takes the base's scheme; dot segments of other links are carried out."""
     h = F.split_part(F.trim(href), F.lit("#"), F.lit(1))
     site = F.regexp_extract(base, r"^([A-Za-z][A-Za-z0-9+.-]*://[^/?#]*)", 1)
     scheme = F.regexp_extract(base, r"^([A-Za-z][A-Za-z0-9+.-]*):", 1)
-    dotted = h.rlike(r"(^|/)\.\.?(/|$|\?)")
+    own, rest = F.split_part(h, F.lit("?"), F.lit(1)), F.regexp_extract(h, r"(?s)(\?.*)$", 1)
+    folder = F.slice(F.split(path(base), "/"), F.lit(2), F.greatest(F.size(F.split(path(base), "/")) - 2, F.lit(0)))
+    rooted = F.split(F.substr(own, F.lit(2)), "/")
+    joined = F.concat(folder, F.split(own, "/"))
+    last = F.size(joined)
+    relative = F.filter(joined, lambda s, i: (s != "") | (i == last - 1))
     return (
         F.when(skipped(href), None)
-        .when(~dotted & h.rlike(r"^[A-Za-z][A-Za-z0-9+.-]*://"), h)
-        .when(~dotted & h.startswith("//"), F.concat(scheme, F.lit(":"), h))
-        .when(~dotted & h.startswith("/"), F.concat(site, h))
-        .otherwise(_joined(base, h))
+        .when(h.rlike(r"^[A-Za-z][A-Za-z0-9+.-]*:"), h)
+        .when(h.startswith("//"), F.concat(scheme, F.lit(":"), h))
+        .when(h.startswith("/") & ~own.rlike(r"/\.\.?(/|$)"), F.concat(site, h))
+        .when(h.startswith("/"), F.concat(site, _without_dots(rooted), rest))
+        .when(own == "", F.concat(site, path(base), rest))
+        .otherwise(F.concat(site, _without_dots(relative), rest))
     )
 
 

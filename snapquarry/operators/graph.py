@@ -7,16 +7,14 @@ from itertools import count
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from ..sources.scratch import shared_root
+
 
 def _cut(df: DataFrame) -> DataFrame:
-    """checkpoint() in the folder that the cluster names. Where none is named, a local session takes one beside its
-    warehouse; on a cluster that is an error, as executors share no local folder."""
-    spark = df.sparkSession
-    if spark.sparkContext.getCheckpointDir() is None:
-        root, master = spark.conf.get("spark.checkpoint.dir", ""), spark.sparkContext.master
-        if not root and master != "local" and not master.startswith("local["):
-            raise ValueError("set spark.checkpoint.dir to a folder that all executors share")
-        spark.sparkContext.setCheckpointDir(root or f"{spark.conf.get('spark.sql.warehouse.dir').rstrip('/')}/snapquarry-checkpoints")
+    """checkpoint() in the folder that all executors share."""
+    context = df.sparkSession.sparkContext
+    if context.getCheckpointDir() is None:
+        context.setCheckpointDir(shared_root(df.sparkSession))
     return df.checkpoint()
 
 

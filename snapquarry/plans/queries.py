@@ -48,7 +48,7 @@ def link_targets(s, d):
     return agg.link_targets(page_links(s, d)).withColumn("examples", F.array_join(F.transform("examples", lambda x: x.cast("string")), ","))
 
 
-@query(rf"""SELECT CASE WHEN h IS NULL OR trim(h) = '' THEN 'empty' WHEN regexp_matches(lower(h), '\.(css|js|png|jpg|jpeg|gif|svg|webp|ico|woff|woff2|ttf|json|xml|pdf|zip|mp4)$') THEN 'static_resource'
+@query(rf"""SELECT CASE WHEN h IS NULL OR trim(h) = '' THEN 'empty' WHEN regexp_matches(lower(h), '\.(css|js|png|jpg|jpeg|gif|webp|svg|ico|woff|woff2|ttf|otf|eot|mp3|mp4|webm|pdf|json|xml|txt|map)$') THEN 'static_resource'
 WHEN NOT regexp_matches(h, '^(/[^/]+){{1,2}}/?$') THEN 'invalid_path' ELSE 'accepted' END AS reason, count(*) AS n FROM (SELECT href AS h FROM ({LINKS})) GROUP BY 1""")
 def href_reasons(s, d):
     """F01, F02"""

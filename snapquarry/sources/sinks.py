@@ -9,21 +9,23 @@ from pyspark.sql import functions as F
 
 
 def publish(df: DataFrame, path: str, version: str, gates: list[Callable[[DataFrame], None]] = ()) -> str:
-    """Writes df as a new version under path, checks what was written, and then names it as the current one. A
-    failed write or gate leaves the old version current."""
+    """Writes df as a new version under path, checks what was written, and then names it as the current one: the
+    name is added beside the older ones, and the newest counts. A failed write or gate leaves the old version current."""
     spark = df.sparkSession
     target = f"{path.rstrip('/')}/version={version}"
     df.write.mode("errorifexists").parquet(target)
     written = spark.read.parquet(target)
     for gate in gates:
         gate(written)
-    spark.createDataFrame([(version,)], "version string").coalesce(1).write.mode("overwrite").json(f"{path.rstrip('/')}/_current")
+    named = spark.createDataFrame([(version,)], "version string").withColumn("at", F.unix_micros(F.current_timestamp()))
+    named.coalesce(1).write.mode("append").json(f"{path.rstrip('/')}/_current")
     return target
 
 
 def current(spark: SparkSession, path: str) -> DataFrame:
     """The current version."""
-    version = spark.read.schema("version string").json(f"{path.rstrip('/')}/_current").first().version
+    names = spark.read.schema("version string, at long").json(f"{path.rstrip('/')}/_current")
+    version = names.agg(F.max_by("version", F.struct("at", "version")).alias("version")).first().version
     return spark.read.parquet(f"{path.rstrip('/')}/version={version}")
 
 
