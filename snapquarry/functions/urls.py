@@ -8,6 +8,7 @@ from pyspark.sql import functions as F
 # Fixed values.
 STATIC_SUFFIXES = ["css", "js", "png", "jpg", "jpeg", "gif", "webp", "svg", "ico", "woff", "woff2", "ttf", "otf", "eot", "mp3", "mp4", "webm", "pdf", "json", "xml", "txt", "map"]
 TRACKING_PARTS = ["google-analytics", "googletagmanager", "doubleclick", "facebook.net", "hotjar", "clarity.ms", "adservice", "analytics", "nitropay", "cloudflareinsights"]
+NON_CONTENT = ["api", "cache", "login", "logout", "search", "signin", "signup"]
 SKIPPED_SCHEMES = ["#", "data:", "blob:", "javascript:", "mailto:"]
 
 
@@ -98,6 +99,11 @@ def is_tracking(url: Column) -> Column:
     return F.exists(F.array(*[F.lit(p) for p in TRACKING_PARTS]), lambda p: F.contains(host(url), p))
 
 
+def is_non_content(url: Column) -> Column:
+    """the page id is one that holds no content."""
+    return F.coalesce(F.lower(F.regexp_extract(path(url), r"([^/]+)/?$", 1)).isin(*NON_CONTENT), F.lit(False))
+
+
 def href_reason(href: Column, base: Column, resolved: Column) -> Column:
     """the first reason that applies: empty, anchor, javascript, mailto, external_domain, static_resource,
     invalid_path, self, accepted."""

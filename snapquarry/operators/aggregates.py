@@ -6,6 +6,7 @@ from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from ..functions.text import clean_lines, ratio
+from ..functions.urls import host
 
 
 def distribution(df: DataFrame, column: str) -> DataFrame:
@@ -70,6 +71,14 @@ def assets(refs: DataFrame, n: int = 20) -> DataFrame:
     return total.join(some.groupBy("url").agg(F.array_sort(F.collect_list("page_id")).alias("refs")), "url")
 
 
+def asset_summary(assets: DataFrame) -> DataFrame:
+    """Kind, value, n: assets by type and by host, and how many references are to an asset that has one already."""
+    each = F.array(F.struct(F.lit("type").alias("kind"), F.col("type").alias("value")), F.struct(F.lit("host").alias("kind"), host(F.col("url")).alias("value")))
+    parts = assets.select(F.explode(each).alias("r")).groupBy("r.kind", "r.value").agg(F.count(F.lit(1)).alias("n"))
+    more = assets.agg(F.coalesce(F.sum(F.col("ref_count") - 1), F.lit(0)).alias("n"))
+    return parts.unionByName(more.select(F.lit("duplicates").alias("kind"), F.lit(None).cast("string").alias("value"), "n"))
+
+
 def duplicate_groups(df: DataFrame, keys: list[str], value: str, n: int = 5) -> DataFrame:
     """Keys with more than one row: row count and smallest examples."""
     each = df.groupBy(*keys).agg(F.count(F.lit(1)).alias("n")).filter("n > 1")
@@ -113,6 +122,11 @@ def extract_report(pages: DataFrame, tooltips: DataFrame) -> DataFrame:
     return j.agg(F.count(F.lit(1)).alias("pages"), F.count("n").alias("pages_with_rows"), F.coalesce(F.sum("n"), F.lit(0)).alias("rows"), F.coalesce(F.sum("t"), F.lit(0)).alias("missing_title"), F.coalesce(F.sum("x"), F.lit(0)).alias("missing_text"))
 
 
+def extract_methods(tooltips: DataFrame) -> DataFrame:
+    """Tooltips by the way they were read."""
+    return tooltips.groupBy("method").agg(F.count(F.lit(1)).alias("n"))
+
+
 def ordered_summary(rows: DataFrame, keys: list[str], order: str, text: str, separator: str = " ") -> DataFrame:
     """The different texts of a group in order of first appearance, joined."""
     first = rows.filter(F.col(text).isNotNull()).groupBy(*keys, text).agg(F.min(order).alias("_o"))
@@ -132,6 +146,13 @@ def feature_report(features: DataFrame, key: str, names: list[str], n: int = 10)
     return stacked.groupBy("feature").agg(F.count(F.lit(1)).alias("pages")).join(some.groupBy("feature").agg(F.array_sort(F.collect_list(key)).alias("examples")), "feature")
 
 
+def shell_report(pages: DataFrame) -> DataFrame:
+    """Shell, pages, hosts, dominant (most pages, then the greatest signature) of pages(url, shell)."""
+    each = pages.groupBy("shell").agg(F.count(F.lit(1)).alias("pages"), F.count_distinct(host(F.col("url"))).alias("hosts"))
+    top = each.agg(F.max(F.struct("pages", "shell")).alias("top"))
+    return each.withColumn("dominant", F.struct("pages", "shell") == top.scalar())
+
+
 def keyword_counts(df: DataFrame, words: str, categories: dict[str, list[str]]) -> DataFrame:
     """Rows per category; a row counts in each category one of whose words it holds."""
     hits = [F.when(F.arrays_overlap(F.col(words), F.array(*[F.lit(w) for w in v])), F.lit(k)) for k, v in categories.items()]

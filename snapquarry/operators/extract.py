@@ -8,13 +8,22 @@ from pyspark.sql import functions as F
 
 from ..functions.hashing import signature
 from ..functions.text import clean, extract_number, has_han
-from ..functions.urls import resolve_url
+from ..functions.urls import is_tracking, resolve_url
 from .dom import dom_nodes
 
 # Elements that part lines, elements without visible text, kinds of script calls.
 BLOCKS = ["address", "article", "aside", "blockquote", "br", "dd", "div", "dl", "dt", "footer", "h1", "h2", "h3", "h4", "h5", "h6", "header", "hr", "li", "nav", "ol", "p", "section", "table", "td", "th", "tr", "ul"]
 INVISIBLE = ["script", "style", "nav", "footer"]
-CALLS = {"fetch": r"\bfetch\s*\(", "xhr": r"XMLHttpRequest", "axios": r"\baxios\b", "jquery": r"\$\.(?:ajax|get|post|getJSON)\s*\(", "websocket": r"new\s+WebSocket", "beacon": r"sendBeacon\s*\(", "dynamic_import": r"\bimport\s*\(", "track": r"\btrack\s*\("}
+CALLS = {
+    "fetch": r"(?i)\bfetch\s*\(", "xhr": r"\bXMLHttpRequest\b", "ajax": r"(?i)\$\.ajax\s*\(", "get": r"(?i)\$\.get\s*\(", "post": r"(?i)\$\.post\s*\(",
+    "axios": r"(?i)\baxios(?:\.|\s*\()", "websocket": r"(?i)\bWebSocket\s*\(", "eventsource": r"(?i)\bEventSource\s*\(",
+    "beacon": r"sendBeacon\s*\(", "dynamic_import": r"\bimport\s*\(", "track": r"\btrack\s*\("}
+HINTS = ["/api/", "/ajax/", "/search", "/cn/", "/tooltip", "/json"]
+CALL_URLS = [
+    r"(?i)(?:fetch|axios(?:\.get|\.post)?|\$\.(?:get|post))\s*\(\s*['\"]([^'\"]+)", r"(?i)\.open\s*\(\s*['\"][A-Z]+['\"]\s*,\s*['\"]([^'\"]+)",
+    r"(?is)\$\.ajax\s*\(\s*\{[^}]*?\burl\s*:\s*['\"]([^'\"]+)", r"(?i)(?:WebSocket|EventSource)\s*\(\s*['\"]([^'\"]+)"]
+NAVIGATES = r"(?i)(?:window\.)?location(?:\.href)?\s*=|window\.open\s*\("
+LINK_LISTS = ["alts", "related skills", "关联技能"]
 HREF = r'<a\s[^>]*?href="([^"]*)"'
 
 
@@ -57,8 +66,8 @@ def css_refs(sheets: DataFrame) -> DataFrame:
     return sheets.select("url", F.explode(every).alias("r")).select("url", "r.kind", "r.ref")
 
 
-def tooltip_occurrences(pages: DataFrame, season: str = "s1") -> DataFrame:
-    """page_id, occurrence_id, method (missing, text or html), title, lines, text of every tooltip trigger. The
+def tooltip_occurrences(pages: DataFrame, season: str = "s1", source_type: str = "page") -> DataFrame:
+    """page_id, occurrence_id (season, source type, page, number in the page), method (missing, text or html), title, lines, text of every tooltip trigger. The
     payload of an attribute is parsed as a page of its own: with two or more children its first is the title."""
     nodes = dom_nodes(pages)
     t = nodes.filter(F.try_element_at("attrs", F.lit("data-bs-toggle")) == "tooltip").select("page_id", "node_id", F.try_element_at("attrs", F.lit("data-bs-title")).alias("payload"))
@@ -76,13 +85,12 @@ def tooltip_occurrences(pages: DataFrame, season: str = "s1") -> DataFrame:
         F.transform(F.array_sort(F.collect_list(F.when(~F.col("titled"), F.struct("line_no", "line")))), lambda x: x["line"]).alias("lines"))
     parts = parts.select(F.col("page_id.page_id").alias("page_id"), F.col("page_id.n").alias("n"), F.nullif("title", F.lit("")).alias("title"), "lines")
     out = t.join(parts, ["page_id", "n"], "left").withColumn("lines", F.when(F.col("method") == "text", F.array(clean(F.col("payload")))).otherwise(F.coalesce("lines", F.array().cast("array<string>"))))
-    return out.select("page_id", F.concat_ws(".", F.lit(season), F.lit("tooltip"), "page_id", "n").alias("occurrence_id"), "method", "title", "lines", F.nullif(F.array_join("lines", "\n"), F.lit("")).alias("text"))
+    return out.select("page_id", F.concat_ws(".", F.lit(season), F.lit("tooltip"), F.lit(source_type), "page_id", "n").alias("occurrence_id"), "method", "title", "lines", F.nullif(F.array_join("lines", "\n"), F.lit("")).alias("text"))
 
 
 def visible_text(nodes: DataFrame, excluded_ids: list[str] | None = None, strict: bool = False) -> DataFrame:
     """page_id, text: texts outside invisible elements and excluded sections, in order. strict leaves out inactive
-    panes, historical cards, data tables and hidden nodes too, and cards whose header names a link list is left to the
-    caller as an excluded id."""
+    panes, historical cards, data tables and hidden nodes too, and whole cards whose header names a link list."""
     at = lambda k: F.lower(F.coalesce(F.try_element_at("attrs", F.lit(k)), F.lit("")))
     has = lambda *c: F.exists("classes", lambda x: F.lower(x).isin(*c))
     gone = F.col("tag").isin(*INVISIBLE) | at("id").isin(*[i.lower() for i in excluded_ids or ["\0"]])
@@ -91,6 +99,11 @@ def visible_text(nodes: DataFrame, excluded_ids: list[str] | None = None, strict
         gone = gone | ((F.col("tag") == "table") & has("datatable")) | has("previousitem", "history", "historical", "d-none")
         gone = gone | F.map_contains_key("attrs", F.lit("hidden")) | (at("aria-hidden") == "true") | at("style").rlike(r"display:\s*none|visibility:\s*hidden")
     hidden = nodes.filter(gone & (F.col("tag") != "#text")).select("page_id", F.col("node_id").alias("_a"))
+    if strict:
+        named = nodes.filter((F.col("tag") == "#text") & F.lower(F.trim("own_text")).isin(*LINK_LISTS)).select("page_id", F.col("parent_id").alias("_h"))
+        heads = nodes.filter(has("card-header")).select("page_id", F.col("node_id").alias("_h"), F.explode("anc_ids").alias("_a")).join(named, ["page_id", "_h"])
+        near = heads.join(nodes.filter(has("card")).select("page_id", F.col("node_id").alias("_a")), ["page_id", "_a"])
+        hidden = hidden.unionByName(near.groupBy("page_id", "_h").agg(F.max("_a").alias("_a")).drop("_h")).distinct()
     texts = nodes.filter((F.col("tag") == "#text") & (F.trim("own_text") != ""))
     covered = texts.select("page_id", "node_id", F.explode("anc_ids").alias("_a")).join(hidden, ["page_id", "_a"]).select("page_id", "node_id").distinct()
     kept = texts.join(covered, ["page_id", "node_id"], "left_anti")
@@ -171,8 +184,24 @@ def cards(nodes: DataFrame) -> DataFrame:
 
 
 def script_calls(pages: DataFrame) -> DataFrame:
-    """page_id and how often each kind of call occurs in the page."""
-    return pages.select("page_id", *[F.regexp_count("html", F.lit(p)).alias(k) for k, p in CALLS.items()])
+    """page_id, how often each kind of call occurs in the page, whether scripts navigate, whether tooltips are named."""
+    counts = [F.regexp_count("html", F.lit(p)).alias(k) for k, p in CALLS.items()]
+    return pages.select("page_id", *counts, F.rlike("html", F.lit(NAVIGATES)).alias("navigates"), F.rlike("html", F.lit(r"(?i)\btooltip\b")).alias("tooltips"))
+
+
+def call_urls(pages: DataFrame) -> DataFrame:
+    """page_id, target, kind (endpoint or tracking) of each URL that a script of a page(page_id, url, html) calls."""
+    found = F.concat(*[F.regexp_extract_all("html", F.lit(p), F.lit(1)) for p in CALL_URLS])
+    rows = pages.select("page_id", "url", F.explode(found).alias("href"))
+    rows = rows.withColumn("target", resolve_url(F.col("href"), F.col("url"))).filter("target is not null")
+    return rows.select("page_id", "target", F.when(is_tracking(F.col("target")), "tracking").otherwise("endpoint").alias("kind"))
+
+
+def url_hints(pages: DataFrame) -> DataFrame:
+    """Hint, n: how often each part of a URL that hints at a server occurs, in any case."""
+    low = pages.select(F.lower("html").alias("html"))
+    each = F.array(*[F.struct(F.lit(h).alias("hint"), F.regexp_count("html", F.lit(rf"\Q{h}\E")).alias("n")) for h in HINTS])
+    return low.select(F.explode(each).alias("h")).groupBy("h.hint").agg(F.sum("h.n").alias("n"))
 
 
 def i18n_refs(pages: DataFrame, languages: DataFrame | None = None) -> DataFrame:

@@ -138,5 +138,22 @@ def template_group(features: DataFrame, rules: list[tuple[str, Column]]) -> Data
     return features.withColumn("template", out.otherwise("other"))
 
 
+def skill_templates() -> list[tuple[str, Column]]:
+    """kinds of skill pages, over modifiers, active_panes, has_cache_pane."""
+    return [("skill_modifier_growth", F.col("modifiers") > 0), ("skill_tabbed_cache_history", (F.col("active_panes") > 0) & F.col("has_cache_pane")),
+            ("skill_tabbed_variants", F.col("active_panes") > 0), ("skill_standalone_card", F.lit(True))]
+
+
+def legendary_templates() -> list[tuple[str, Column]]:
+    """kinds of pages of legendary items, over current_cards, drop_source_cards, historical_cards."""
+    return [("multi_variant_current_and_history", F.col("current_cards") > 1), ("current_history_without_drop_source", F.col("drop_source_cards") == 0),
+            ("current_only_with_corrosion", F.col("historical_cards") == 0), ("standard_current_history_corrosion_drop", F.lit(True))]
+
+
+def talent_templates(root: list[str], nested: list[str]) -> list[tuple[str, Column]]:
+    """kinds of talent pages, by lists of slugs."""
+    return [("talent_root_container", F.col("slug").isin(*root)), ("talent_active_pane_with_nested_modifiers", F.col("slug").isin(*nested)), ("talent_active_pane", F.lit(True))]
+
+
 def numbered(df: DataFrame, group: list[str], order: list) -> DataFrame:
     return df.withColumn("n", F.row_number().over(Window.partitionBy(*group).orderBy(*order)))

@@ -66,6 +66,14 @@ def asset_table(s, d):
     return out.select("url", "type", "ref_count", F.array_join(F.transform("refs", lambda x: x.cast("string")), ",").alias("refs"))
 
 
+@query(f"""WITH r AS (SELECT r.u AS url, count(*) AS k, CASE WHEN r.u LIKE '%.css' THEN 'style' WHEN r.u LIKE '%.js' THEN 'script' ELSE 'image' END AS type FROM ({ASSETS}) GROUP BY 1)
+SELECT 'type' AS kind, type AS value, count(*) AS n FROM r GROUP BY 2 UNION ALL SELECT 'host', 'w.example', count(*) FROM r UNION ALL SELECT 'duplicates', NULL, (sum(k) - count(*))::BIGINT FROM r""")
+def asset_summary(s, d):
+    """Assets by type and host, and references beyond the first"""
+    refs = extract.asset_refs(dom.dom_nodes(asset_pages(s, d))).select("page_id", F.concat(F.lit("https://w.example"), "url").alias("url"), text.asset_type(F.col("url")).alias("type"))
+    return agg.asset_summary(agg.assets(refs))
+
+
 @query("""SELECT s_suppkey AS url, unnest(['import', 'font', 'url']) AS kind, unnest(['/i' || (s_suppkey % 9) || '.css', '/f' || s_suppkey || '.woff', '/g' || s_nationkey || '.png']) AS ref FROM supplier""")
 def css_references(s, d):
     """References of style sheets"""
@@ -74,7 +82,7 @@ def css_references(s, d):
     return extract.css_refs(table(s, d, "supplier").select(F.col("s_suppkey").alias("url"), css.alias("css")))
 
 
-@query("""SELECT doc_id AS page_id, 's1.tooltip.' || doc_id || '.0' AS occurrence_id, CASE WHEN doc_id % 3 = 0 THEN 'missing' WHEN doc_id % 3 = 1 THEN 'text' ELSE 'html' END AS method,
+@query("""SELECT doc_id AS page_id, 's1.tooltip.page.' || doc_id || '.0' AS occurrence_id, CASE WHEN doc_id % 3 = 0 THEN 'missing' WHEN doc_id % 3 = 1 THEN 'text' ELSE 'html' END AS method,
 CASE WHEN doc_id % 3 = 2 THEN source END AS title, CASE WHEN doc_id % 3 = 1 THEN source || ' ' || lang WHEN doc_id % 3 = 2 THEN lang || chr(10) || n_chars END AS text FROM documents""")
 def tooltip_occurrences(s, d):
     """Tooltips of three kinds"""
@@ -85,6 +93,47 @@ def tooltip_occurrences(s, d):
     return extract.tooltip_occurrences(pages).select("page_id", "occurrence_id", "method", "title", "text")
 
 
+@query("""WITH o AS (SELECT o_orderkey AS k, o_custkey AS c, o_orderstatus AS st FROM orders)
+SELECT 'endpoint' AS kind, 'https://w.example/api/c' || c AS value, count(*) AS n FROM o GROUP BY 2 UNION ALL SELECT 'endpoint', 'https://w.example/en/list?k=' || c, count(*) FROM o GROUP BY 2
+UNION ALL SELECT 'tracking', 'wss://www.google-analytics.example/s', count(*) FROM o WHERE st = 'F' HAVING count(*) > 0 UNION ALL SELECT 'hint', '/api/', count(*) FROM o
+UNION ALL SELECT 'hint', unnest(['/ajax/', '/search', '/cn/', '/tooltip', '/json']), 0 UNION ALL SELECT 'navigates', (st = 'O')::VARCHAR, count(*) FROM o GROUP BY 2""")
+def runtime_calls(s, d):
+    """What scripts call, hints in URLs, pages whose scripts navigate"""
+    c = F.col("o_custkey").cast("string")
+    more = F.when(F.col("o_orderstatus") == "F", 'new WebSocket("wss://www.google-analytics.example/s")').when(F.col("o_orderstatus") == "O", "location.href = x").otherwise("")
+    html = F.concat(F.lit("<script>fetch('/api/c"), c, F.lit("'); r.open('GET', 'list?k="), c, F.lit("');"), more, F.lit("</script>"))
+    pages = table(s, d, "orders").select(F.col("o_orderkey").alias("page_id"), F.concat(F.lit("https://w.example/en/o"), F.col("o_orderkey").cast("string")).alias("url"), html.alias("html"))
+    called = extract.call_urls(pages).groupBy("kind", F.col("target").alias("value")).agg(F.count(F.lit(1)).alias("n"))
+    hints = extract.url_hints(pages).select(F.lit("hint").alias("kind"), F.col("hint").alias("value"), "n")
+    moves = extract.script_calls(pages).groupBy(F.col("navigates").cast("string").alias("value")).agg(F.count(F.lit(1)).alias("n"))
+    return called.unionByName(hints).unionByName(moves.select(F.lit("navigates").alias("kind"), "value", "n"))
+
+
+@query("""SELECT CASE WHEN doc_id % 3 = 0 THEN 'missing' WHEN doc_id % 3 = 1 THEN 'text' ELSE 'html' END AS method, count(*) AS n FROM documents GROUP BY 1""")
+def tooltip_methods(s, d):
+    """Tooltips by the way they were read"""
+    k = F.col("doc_id") % 3
+    title = F.when(k == 0, "").when(k == 1, ' data-bs-title="plain"').otherwise(' data-bs-title="&lt;b&gt;x&lt;/b&gt;"')
+    pages = table(s, d, "documents").select(F.col("doc_id").alias("page_id"), F.concat(F.lit("<i data-bs-toggle='tooltip'"), title, F.lit(">t</i>")).alias("html"))
+    return agg.extract_methods(extract.tooltip_occurrences(pages))
+
+
+@query("""SELECT lang AS shell, count(*) AS pages, count(DISTINCT source) AS hosts, row_number() OVER (ORDER BY count(*) DESC, lang DESC) = 1 AS dominant FROM documents WHERE lang IS NOT NULL GROUP BY 1""")
+def shell_report(s, d):
+    """Shells of pages, their hosts, and the one that most pages have"""
+    docs = table(s, d, "documents").filter("lang is not null")
+    return agg.shell_report(docs.select(F.concat(F.lit("https://"), "source", F.lit("/p")).alias("url"), F.col("lang").alias("shell")))
+
+
+@query("""SELECT page_id, string_agg(t, ' ' ORDER BY i) AS text FROM (SELECT o_orderkey AS page_id, unnest(['shown ' || o_custkey, CASE WHEN o_orderstatus <> 'F' THEN 'Head list' END, CASE WHEN o_orderpriority LIKE '5%' THEN 'pane' END]) AS t, unnest([1, 2, 3]) AS i FROM orders) WHERE t IS NOT NULL GROUP BY 1""")
+def strict_text(s, d):
+    """Strict visible text; link-list cards and inactive panes are left out"""
+    head = F.when(F.col("o_orderstatus") == "F", "Related Skills").otherwise("Head")
+    active = F.when(F.col("o_orderpriority").startswith("5"), " active").otherwise("")
+    html = F.concat(F.lit("<p>shown "), F.col("o_custkey").cast("string"), F.lit('</p><div class="card"><div class="card-header">'), head, F.lit('</div><ul><li>list</li></ul></div><div class="tab-pane'), active, F.lit('">pane</div><p hidden>gone</p>'))
+    return extract.visible_text(dom.dom_nodes(table(s, d, "orders").select(F.col("o_orderkey").alias("page_id"), html.alias("html"))), strict=True)
+
+
 @query("""SELECT CASE WHEN o_orderpriority LIKE '1%' THEN 'historical' WHEN o_orderstatus = 'F' THEN 'corrosion' WHEN o_orderstatus = 'O' THEN 'related' WHEN o_custkey % 2 = 0 THEN 'drop_source' ELSE 'current' END AS kind, count(*) AS n, min(o_orderkey) AS first_page FROM orders GROUP BY 1""")
 def card_kinds(s, d):
     """Kinds of cards"""

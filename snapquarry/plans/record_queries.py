@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from pyspark.sql import functions as F
 
-from ..operators import directory, dom, extract, records
+from ..operators import directory, dom, extract, quality, records
 from .audits import line_pages
 from .queries import query, table
 
@@ -73,13 +73,29 @@ def trait_keys(s, d):
     return records.trait_records(e).select("entity_id", "key", "text")
 
 
-@query("SELECT p_partkey AS talent_id, k || ' Talent ' || p_partkey AS name, (p_size % 7)::INT AS points, (p_partkey % 4)::INT AS allocated, 5 AS maximum, 'adds ' || p_size AS effect, CASE k WHEN 'Legendary' THEN 'legendary' WHEN 'Medium' THEN 'medium' ELSE 'small' END AS kind FROM (SELECT *, (['Small', 'Medium', 'Legendary'])[(p_partkey % 3) + 1] AS k FROM part)")
+@query("""SELECT page_id, talent_id, row_index, name, CASE WHEN row_index = 0 THEN p_size % 7 END::INT AS points, (p_partkey % 4)::INT AS allocated, 5 AS maximum, 'adds ' || p_size AS effect,
+CASE WHEN name LIKE '小型%' THEN 'minor' WHEN name LIKE '中型%' THEN 'medium' WHEN name LIKE '传奇中型%' THEN 'legendary_medium' ELSE 'major_named' END AS kind
+FROM (SELECT p_partkey AS page_id, p_partkey, p_size, unnest([0, 1])::INT AS row_index, unnest(['a', 'b']) || p_partkey AS talent_id,
+unnest([(['小型', '中型', '传奇中型', 'Own'])[(p_partkey % 4) + 1] || ' ' || p_brand, 'Second']) AS name FROM part)""")
 def talent_texts(s, d):
-    """Talents from their texts"""
-    kind = F.element_at(F.array(F.lit("Small"), F.lit("Medium"), F.lit("Legendary")), (F.col("p_partkey") % 3 + 1).cast("int"))
-    t = F.concat(kind, F.lit(" Talent "), F.col("p_partkey").cast("string"), F.lit("  ("), (F.col("p_size") % 7).cast("string"), F.lit("pts) "), (F.col("p_partkey") % 4).cast("string"), F.lit("/5\n adds  "), F.col("p_size").cast("string"))
-    talents = table(s, d, "part").select(F.lit(1).alias("page_id"), F.col("p_partkey").alias("talent_id"), t.alias("text"))
-    return records.talent_records(talents).drop("page_id")
+    """Talents of pages, those in inactive panes left out"""
+    k, size = F.col("p_partkey").cast("string"), F.col("p_size").cast("string")
+    kind = F.element_at(F.array(*[F.lit(x) for x in ("小型", "中型", "传奇中型", "Own")]), (F.col("p_partkey") % 4 + 1).cast("int"))
+    card = lambda letter, name, points: F.concat(F.lit(f'<div class="col"><b data-talent-id="{letter}'), k, F.lit('">'), name, F.lit("</b> "), points, (F.col("p_partkey") % 4).cast("string"), F.lit("/5<br>adds  "), size, F.lit("</div>"))
+    first = card("a", F.concat(kind, F.lit(" "), "p_brand"), F.concat((F.col("p_size") % 7).cast("string"), F.lit("pts ")))
+    html = F.concat(F.lit('<div class="tab-pane active show">'), first, card("b", F.lit("Second"), F.lit("")), F.lit('<div class="col">none</div></div><div class="tab-pane">'), card("c", F.lit("Old"), F.lit("")), F.lit("</div>"))
+    return records.talent_records(dom.dom_nodes(table(s, d, "part").select(F.col("p_partkey").alias("page_id"), html.alias("html"))))
+
+
+@query("""SELECT o_orderkey AS page_id, CASE WHEN o_orderstatus = 'F' THEN 'fate_entity_effect' ELSE 'fate_effect' END AS record_type, CASE WHEN o_orderstatus = 'F' THEN 'section:current_description2' ELSE 'modifier:' || o_custkey END AS key,
+CASE WHEN o_orderstatus = 'F' THEN 'tells ' || o_orderpriority ELSE 'gives ' || o_orderpriority END AS text, CASE WHEN o_orderstatus = 'F' THEN 'section' ELSE 'record' END AS locator_level,
+CASE WHEN o_orderstatus = 'F' THEN 'medium' ELSE 'high' END AS confidence FROM orders""")
+def fate_cards(s, d):
+    """The effect of current cards, else their description"""
+    old = F.lit('<div class="ui_item popupItem previousItem"><p data-modifier-id="old">was</p></div><div class="ui_item popupItem"><div data-block="description2">tells ')
+    more = F.when(F.col("o_orderstatus") == "F", "").otherwise(F.concat(F.lit('<p data-modifier-id="'), F.col("o_custkey").cast("string"), F.lit('">gives <i data-modifier-id="in">'), "o_orderpriority", F.lit("</i></p>")))
+    html = F.concat(old, "o_orderpriority", F.lit("</div>"), more, F.lit("</div>"))
+    return records.fate_records(dom.dom_nodes(table(s, d, "orders").select(F.col("o_orderkey").alias("page_id"), html.alias("html"))))
 
 
 @query("SELECT l_suppkey::VARCHAR AS entity_id, 'modifier:' || l_partkey || CASE WHEN count(*) OVER (PARTITION BY l_suppkey, l_partkey) > 1 THEN ':tier:' || l_linenumber ELSE '' END AS key, l_returnflag AS text FROM lineitem")
@@ -121,11 +137,29 @@ def section_shapes(s, d):
     return records.structure_signature(extract.section_descriptor(line_rows(s, d))).groupBy("signature").agg(F.count(F.lit(1)).alias("pages")).select("pages")
 
 
-@query("SELECT o_orderkey AS page_id, 'status' AS \"check\", 'F' AS expected, o_orderstatus AS value FROM orders WHERE o_orderstatus <> 'F' UNION ALL SELECT o_orderkey, 'year', '1995', NULL FROM orders")
+@query("""SELECT o_orderkey AS page_id, 'status' AS "check", 'F' AS expected, o_orderstatus AS value, 'mismatch' AS severity FROM orders WHERE o_orderstatus <> 'F'
+UNION ALL SELECT o_orderkey, 'year', '1995', NULL, 'warning' FROM orders""")
 def structure_mismatches(s, d):
     """Q03: checks that a page fails, and those that it has no value for"""
     seen = table(s, d, "orders").select(F.col("o_orderkey").alias("page_id"), F.lit("status").alias("check"), F.col("o_orderstatus").alias("value"))
-    return records.structure_check(seen, s.createDataFrame([("status", "F"), ("year", "1995")], "check string, expected string")).select("page_id", "check", "expected", "value")
+    return records.structure_check(seen, {"status": "F", "year": "1995"}, ("year",)).select("page_id", "check", "expected", "value", "severity")
+
+
+@query("""SELECT CASE WHEN n_lines > 6 THEN 'skill_modifier_growth' WHEN flags > 1 AND cached THEN 'skill_tabbed_cache_history' WHEN flags > 1 THEN 'skill_tabbed_variants' ELSE 'skill_standalone_card' END AS template, 'skill' AS family, count(*) AS n
+FROM (SELECT l_orderkey, count(*) AS n_lines, count(DISTINCT l_returnflag) AS flags, bool_or(l_returnflag = 'R') AS cached FROM lineitem GROUP BY 1) GROUP BY 1
+UNION ALL SELECT CASE WHEN n > 4 THEN 'multi_variant_current_and_history' WHEN r = 0 THEN 'current_history_without_drop_source' WHEN a = 0 THEN 'current_only_with_corrosion' ELSE 'standard_current_history_corrosion_drop' END, 'legendary', count(*)
+FROM (SELECT l_orderkey, count(*) AS n, count(*) FILTER (l_returnflag = 'R') AS r, count(*) FILTER (l_returnflag = 'A') AS a FROM lineitem GROUP BY 1) GROUP BY 1
+UNION ALL SELECT CASE p_brand WHEN 'Brand#1' THEN 'talent_root_container' WHEN 'Brand#2' THEN 'talent_active_pane_with_nested_modifiers' ELSE 'talent_active_pane' END, 'talent', count(*) FROM part GROUP BY 1""")
+def family_templates(s, d):
+    """kinds of pages in three families"""
+    flag = lambda f: F.count_if(F.col("l_returnflag") == f)
+    g = table(s, d, "lineitem").groupBy("l_orderkey").agg(F.count(F.lit(1)).alias("k"), F.count_distinct("l_returnflag").alias("flags"), flag("R").alias("drop_source_cards"), flag("A").alias("historical_cards"))
+    skills = g.select(F.when(F.col("k") > 6, 1).otherwise(0).alias("modifiers"), (F.col("flags") - 1).alias("active_panes"), (F.col("drop_source_cards") > 0).alias("has_cache_pane"))
+    items = g.select(F.when(F.col("k") > 4, 2).otherwise(1).alias("current_cards"), "drop_source_cards", "historical_cards")
+    talents = table(s, d, "part").select(F.col("p_brand").alias("slug"))
+    counted = lambda rows, rules, name: quality.template_group(rows, rules).groupBy("template").agg(F.count(F.lit(1)).alias("n")).withColumn("family", F.lit(name))
+    out = counted(skills, quality.skill_templates(), "skill").unionByName(counted(items, quality.legendary_templates(), "legendary"))
+    return out.unionByName(counted(talents, quality.talent_templates(["Brand#1"], ["Brand#2"]), "talent"))
 
 
 @query("""WITH p AS (SELECT o_custkey AS page_id, count(*) AS n, count(DISTINCT o_orderpriority) AS u FROM orders GROUP BY 1)

@@ -123,8 +123,7 @@ def extractor_records(s, d):
         shape = extract.section_descriptor(extract.section_rows(dom.dom_nodes(pages)))
         return shape.select("page_id", F.lit("rows").alias("check"), F.when(F.col("rows") >= 3, "several").otherwise("few").alias("value"))
 
-    rules = s.createDataFrame([("rows", "several")], "check string, expected string")
-    family = records.Extractor("lines", "1", describe, rules, lambda pages: records.section_affixes(extract.section_rows(dom.dom_nodes(pages)), "lines"))
+    family = records.Extractor("lines", "1", describe, {"rows": "several"}, lambda pages: records.section_affixes(extract.section_rows(dom.dom_nodes(pages)), "lines"))
     found, wrong = family.run(line_pages(s, d))
     failed = wrong.select(F.col("page_id").cast("string").alias("entity_id"), F.col("check").alias("key"), F.lit(None).cast("string").alias("parser"))
     return found.select("entity_id", "key", "parser").unionByName(failed)

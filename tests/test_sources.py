@@ -46,6 +46,8 @@ def test_publish_keeps_the_old_version(spark, tmp_path):
     with pytest.raises(ValueError, match="gate"):
         sinks.publish(spark.range(5), path, "b", [fail])
     assert sinks.current(spark, path).count() == 3
+    sinks.publish(spark.range(7), path, "c")
+    assert sinks.current(spark, path).count() == 7
     out = sinks.export_partitioned(spark.range(4).withColumn("k", F.col("id") % 2), "k", str(tmp_path / "e")).collect()
     assert {r.file.split("/")[0] for r in out} == {"k=0", "k=1"} and all(len(r.sha256) == 64 for r in out)
 
@@ -104,3 +106,26 @@ def test_all_languages(spark):
     got = sorted((r.kind, r.value) for r in i18n_refs(pages, langs).collect())
     assert got == sorted([("lang", "en"), ("file", "plain.json"), *[("file", f"/i18n/l{i}.json") for i in range(70)]])
     assert i18n_refs(pages, langs.limit(0)).count() == 2
+
+
+def test_links_resolve_like_the_standard_library(spark):
+    from urllib.parse import urldefrag, urljoin
+
+    from snapquarry.functions.urls import resolve_url
+
+    bases = ["https://w.example/en/a/p", "https://w.example/", "https://w.example", "https://w.example/a/b/", "http://w.example/x?q=1"]
+    hrefs = ["a", "./a", "../a", "../../../a", "/a/../b", "/a/./b/..", "?x=1", "a?x=../1", "a/", "a//b", "//h/x/../y", "http://h/a/../b", "a/b/../../c", "..", ".", "./", "../", "tel:1", "a#f", "/", "parent:x", "a;b/c", "/../a", "a/.", "/a//b", "..a/..."]
+    df = spark.createDataFrame([(b, h) for b in bases for h in hrefs], "b string, h string").withColumn("u", resolve_url(F.col("h"), F.col("b")))
+    assert "Python" not in df._jdf.queryExecution().toString()
+    assert [(r.b, r.h, r.u) for r in df.collect() if r.u != urldefrag(urljoin(r.b, r.h))[0]] == []
+    skipped = spark.createDataFrame([("#x",), ("",), (None,), ("javascript:x",), ("data:x",)], "h string")
+    assert [r.u for r in skipped.select(resolve_url(F.col("h"), F.lit("https://w.example/")).alias("u")).collect()] == [None] * 5
+
+
+def test_structure_rules(spark):
+    from snapquarry.operators.records import structure_check
+
+    seen = spark.createDataFrame([(1, "a", "x"), (1, "b", "y"), (2, "a", "z"), (3, "c", "x"), (4, "a", None)], "page_id long, check string, value string")
+    got = sorted(tuple(r) for r in structure_check(seen, {"a": "x", "b": "y"}, ("b",)).select("page_id", "check", "severity").collect())
+    assert got == [(2, "a", "mismatch"), (2, "b", "warning"), (3, "a", "mismatch"), (3, "b", "warning"), (4, "a", "mismatch"), (4, "b", "warning")]
+    assert structure_check(seen.limit(0), {"a": "x"}).count() == 0
