@@ -8,14 +8,15 @@ from pyspark.sql import functions as F
 from ..functions.text import clean, extract_number
 from ..functions.urls import canonical_page, href_reason, resolve_url
 from .aggregates import discovery_confidence
-from .dom import dom_nodes, in_navigation
+from .dom import dom_nodes, in_navigation, stored_nodes
 from .extract import links
 from .relational import append_missing, first_by, unique_ids
 
 
-def classified_links(pages: DataFrame) -> DataFrame:
-    """Links of pages(page_id, url, html) with target, reason, route and whether they stand in navigation."""
-    a = links(dom_nodes(pages)).join(pages.select("page_id", "url"), "page_id")
+def classified_links(pages: DataFrame, nodes: DataFrame | None = None) -> DataFrame:
+    """Links of pages(page_id, url, html) with target, reason, route and whether they stand in navigation; nodes: the pages'
+    nodes, where they are known."""
+    a = links(dom_nodes(pages) if nodes is None else nodes).join(pages.select("page_id", "url"), "page_id")
     a = a.withColumn("target", resolve_url(F.col("href"), F.col("url"))).withColumn("reason", href_reason(F.col("href"), F.col("url"), F.col("target")))
     return a.withColumn("route", canonical_page(F.col("target"))).withColumn("nav", in_navigation())
 
@@ -52,8 +53,8 @@ def list_container(nodes: DataFrame, eligible: DataFrame) -> DataFrame:
 def entries_from_pages(pages: DataFrame) -> tuple[DataFrame, DataFrame]:
     """(entries of each directory page: different accepted links in its container, in order; report with counts and
     confidence G22)."""
-    nodes = dom_nodes(pages)
-    ok = classified_links(pages).filter("reason = 'accepted' and not nav")
+    nodes = stored_nodes(pages)
+    ok = classified_links(pages, nodes).filter("reason = 'accepted' and not nav")
     box = list_container(nodes, ok)
     inside = ok.join(box, "page_id").filter(F.array_contains("anc_ids", F.col("container")))
     once = first_by(inside, ["page_id", "route"], ["pos"]).select("page_id", "route", "pos", clean(F.col("anchor_text")).alias("name"))

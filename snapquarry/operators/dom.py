@@ -9,6 +9,8 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from ..sources.scratch import new_folder
+
 # Elements without an end tag, and elements whose whole text is kept on the node.
 VOID = {"area", "base", "br", "col", "embed", "hr", "img", "input", "link", "meta", "param", "source", "track", "wbr"}
 TEXT = {"title", "h1", "h2", "h3", "h4", "h5", "h6", "a", "td", "th", "p", "li", "span", "b", "button", "label", "option"}
@@ -95,6 +97,15 @@ def dom_nodes(pages: DataFrame) -> DataFrame:
     return pages.select("page_id", "html").mapInArrow(parsed, f"page_id {kind}, {SCHEMA}")
 
 
+def stored_nodes(pages: DataFrame) -> DataFrame:
+    """The same, written to the shared folder and read back: for operators that look at the nodes several times, as
+    parsing is the dearest step and Spark would do it for each look. Only the columns that are asked for are read."""
+    path = new_folder(pages.sparkSession, "nodes")
+    nodes = dom_nodes(pages)
+    nodes.write.parquet(path)
+    return pages.sparkSession.read.schema(nodes.schema).parquet(path)
+
+
 def in_navigation() -> Column:
     """an ancestor is nav or header, or hints at navigation in its id, classes or role."""
     hint = F.exists(F.concat("anc_classes", "anc_hints"), lambda c: F.lower(c).rlike("nav|menu|sidebar|breadcrumb"))

@@ -9,7 +9,7 @@ from pyspark.sql import functions as F
 from ..functions.hashing import signature
 from ..functions.text import clean, extract_number, has_han
 from ..functions.urls import is_tracking, resolve_url
-from .dom import dom_nodes
+from .dom import dom_nodes, stored_nodes
 
 # Elements that part lines, elements without visible text, kinds of script calls.
 BLOCKS = ["address", "article", "aside", "blockquote", "br", "dd", "div", "dl", "dt", "footer", "h1", "h2", "h3", "h4", "h5", "h6", "header", "hr", "li", "nav", "ol", "p", "section", "table", "td", "th", "tr", "ul"]
@@ -74,7 +74,7 @@ def tooltip_occurrences(pages: DataFrame, season: str = "s1", source_type: str =
     t = t.withColumn("n", F.row_number().over(Window.partitionBy("page_id").orderBy("node_id")) - 1)
     plain = F.trim("payload") != ""
     t = t.withColumn("method", F.when(F.col("payload").isNull(), "missing").when(plain & ~F.col("payload").contains("<"), "text").otherwise("html"))
-    inner = dom_nodes(t.filter("method = 'html'").select(F.struct("page_id", "n").alias("page_id"), F.col("payload").alias("html")))
+    inner = stored_nodes(t.filter("method = 'html'").select(F.struct("page_id", "n").alias("page_id"), F.col("payload").alias("html")))
     elements = inner.filter("tag <> '#text' and tag <> 'br'")
     root = elements.filter("depth = 0").groupBy("page_id").agg(F.count(F.lit(1)).alias("roots"))
     level = elements.join(root, "page_id").filter(F.col("depth") == F.when(F.col("roots") == 1, 1).otherwise(0))

@@ -103,7 +103,7 @@ def dom_profile(s, d):
 trim(replace(replace(replace(regexp_extract(html, '<h1>([^<]*)</h1>', 1), '&lt;', '<'), '&gt;', '>'), '&amp;', '&')) AS heading FROM pages""")
 def page_headings(s, d):
     """T01, T08"""
-    return extract.headings(dom.dom_nodes(table(s, d, "pages"))).select("page_id", "title", "heading")
+    return extract.headings(dom.stored_nodes(table(s, d, "pages"))).select("page_id", "title", "heading")
 
 
 @query()
@@ -115,13 +115,13 @@ def page_lines(s, d):
 @query()
 def dom_text(s, d):
     """T06 over nodes"""
-    return extract.visible_text(dom.dom_nodes(table(s, d, "pages")))
+    return extract.visible_text(dom.stored_nodes(table(s, d, "pages")))
 
 
 @query()
 def nearest_list(s, d):
     """Links by tag of the nearest list above them"""
-    n = dom.nearest_ancestor(dom.dom_nodes(table(s, d, "pages")), F.col("tag").isin("ul", "ol"), "list_id")
+    n = dom.nearest_ancestor(dom.stored_nodes(table(s, d, "pages")), F.col("tag").isin("ul", "ol"), "list_id")
     return n.filter("tag = 'a'").groupBy(F.col("list_id").isNotNull().alias("in_list")).agg(F.count(F.lit(1)).alias("links"))
 
 

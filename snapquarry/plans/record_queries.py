@@ -12,7 +12,7 @@ LINES = "SELECT *, row_number() OVER (PARTITION BY l_orderkey ORDER BY l_linenum
 
 
 def line_rows(s, d):
-    return extract.section_rows(dom.dom_nodes(line_pages(s, d)))
+    return extract.section_rows(dom.stored_nodes(line_pages(s, d)))
 
 
 @query(f"SELECT l_orderkey::VARCHAR AS entity_id, 'affix' AS record_type, 'lines' AS section_name, l_linenumber::VARCHAR AS text, 'modifier:' || l_partkey AS key, i::INT AS row_index, 'high' AS confidence FROM ({LINES})")
@@ -45,7 +45,7 @@ def card_stats(s, d):
     c = F.col("o_custkey").cast("string")
     html = F.concat(F.lit('<div class="card'), F.when(F.col("o_orderpriority").startswith("1"), " previousItem").otherwise(""), F.lit('"><div class="card-header">Item</div><p data-modifier-id="b'), c, F.lit('">base '), "o_orderstatus",
                     F.lit('</p><div class="tierParent"><p data-modifier-id="a'), c, F.lit('">affix <b>'), "o_orderpriority", F.lit("</b></p></div></div>"))
-    nodes = dom.dom_nodes(table(s, d, "orders").select(F.col("o_orderkey").alias("page_id"), html.alias("html")))
+    nodes = dom.stored_nodes(table(s, d, "orders").select(F.col("o_orderkey").alias("page_id"), html.alias("html")))
     return records.card_records(nodes, extract.cards(nodes)).select("entity_id", "record_type", "key", "text", "variant")
 
 
@@ -55,7 +55,7 @@ def contract_boxes(s, d):
     k, n = F.col("s_suppkey").cast("string"), F.col("s_nationkey").cast("string")
     box = F.concat(F.lit('<div class="d-flex border rounded"><img data-id="'), k, F.lit('" data-level="'), n, F.lit('"><p>S'), k, F.lit("</p><p>level "), n, F.lit("</p><b>end</b></div>"))
     html = F.when(F.col("s_nationkey") % 5 == 0, F.concat(F.lit('<div class="tab-pane" id="x_NPC">'), box, F.lit("</div>"))).otherwise(box)
-    r = records.contract_records(dom.dom_nodes(table(s, d, "supplier").select(F.col("s_suppkey").alias("page_id"), html.alias("html"))))
+    r = records.contract_records(dom.stored_nodes(table(s, d, "supplier").select(F.col("s_suppkey").alias("page_id"), html.alias("html"))))
     return r.select("entity_id", "key", "section_name", "text")
 
 
@@ -84,7 +84,7 @@ def talent_texts(s, d):
     card = lambda letter, name, points: F.concat(F.lit(f'<div class="col"><b data-talent-id="{letter}'), k, F.lit('">'), name, F.lit("</b> "), points, (F.col("p_partkey") % 4).cast("string"), F.lit("/5<br>adds  "), size, F.lit("</div>"))
     first = card("a", F.concat(kind, F.lit(" "), "p_brand"), F.concat((F.col("p_size") % 7).cast("string"), F.lit("pts ")))
     html = F.concat(F.lit('<div class="tab-pane active show">'), first, card("b", F.lit("Second"), F.lit("")), F.lit('<div class="col">none</div></div><div class="tab-pane">'), card("c", F.lit("Old"), F.lit("")), F.lit("</div>"))
-    return records.talent_records(dom.dom_nodes(table(s, d, "part").select(F.col("p_partkey").alias("page_id"), html.alias("html"))))
+    return records.talent_records(dom.stored_nodes(table(s, d, "part").select(F.col("p_partkey").alias("page_id"), html.alias("html"))))
 
 
 @query("""SELECT o_orderkey AS page_id, CASE WHEN o_orderstatus = 'F' THEN 'fate_entity_effect' ELSE 'fate_effect' END AS record_type, CASE WHEN o_orderstatus = 'F' THEN 'section:current_description2' ELSE 'modifier:' || o_custkey END AS key,
@@ -95,7 +95,7 @@ def fate_cards(s, d):
     old = F.lit('<div class="ui_item popupItem previousItem"><p data-modifier-id="old">was</p></div><div class="ui_item popupItem"><div data-block="description2">tells ')
     more = F.when(F.col("o_orderstatus") == "F", "").otherwise(F.concat(F.lit('<p data-modifier-id="'), F.col("o_custkey").cast("string"), F.lit('">gives <i data-modifier-id="in">'), "o_orderpriority", F.lit("</i></p>")))
     html = F.concat(old, "o_orderpriority", F.lit("</div>"), more, F.lit("</div>"))
-    return records.fate_records(dom.dom_nodes(table(s, d, "orders").select(F.col("o_orderkey").alias("page_id"), html.alias("html"))))
+    return records.fate_records(dom.stored_nodes(table(s, d, "orders").select(F.col("o_orderkey").alias("page_id"), html.alias("html"))))
 
 
 @query("SELECT l_suppkey::VARCHAR AS entity_id, 'modifier:' || l_partkey || CASE WHEN count(*) OVER (PARTITION BY l_suppkey, l_partkey) > 1 THEN ':tier:' || l_linenumber ELSE '' END AS key, l_returnflag AS text FROM lineitem")

@@ -119,12 +119,12 @@ def exported_customers(s, d):
 UNION ALL SELECT l_orderkey::VARCHAR, 'rows', NULL FROM lineitem GROUP BY 1 HAVING count(*) < 3""")
 def extractor_records(s, d):
     """An extractor's records of the pages that fit its rules, and the checks that the others fail"""
-    def describe(pages):
-        shape = extract.section_descriptor(extract.section_rows(dom.dom_nodes(pages)))
+    def describe(rows):
+        shape = extract.section_descriptor(rows)
         return shape.select("page_id", F.lit("rows").alias("check"), F.when(F.col("rows") >= 3, "several").otherwise("few").alias("value"))
 
-    family = records.Extractor("lines", "1", describe, {"rows": "several"}, lambda pages: records.section_affixes(extract.section_rows(dom.dom_nodes(pages)), "lines"))
-    found, wrong = family.run(line_pages(s, d))
+    family = records.Extractor("lines", "1", describe, {"rows": "several"}, lambda rows: records.section_affixes(rows, "lines"))
+    found, wrong = family.run(extract.section_rows(dom.stored_nodes(line_pages(s, d))))
     failed = wrong.select(F.col("page_id").cast("string").alias("entity_id"), F.col("check").alias("key"), F.lit(None).cast("string").alias("parser"))
     return found.select("entity_id", "key", "parser").unionByName(failed)
 
