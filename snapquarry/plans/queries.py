@@ -488,11 +488,11 @@ def modifier_sums(s, d):
     return modifiers.aggregate_modifiers(modifiers.match_filters(line_modifiers(s, d), contexts(s)))
 
 
-@query("SELECT l_suppkey, round(product(1 + t), 4) AS multiplier FROM (SELECT l_suppkey, l_returnflag, sum(round(l_discount * 100)::BIGINT) / 100.0 AS t FROM lineitem GROUP BY 1, 2) GROUP BY 1")
+@query("SELECT l_suppkey, round(product(1 + t), 6) AS multiplier FROM (SELECT l_suppkey, l_returnflag, sum(round(l_discount * 100)::BIGINT) / 100.0 AS t FROM lineitem GROUP BY 1, 2) GROUP BY 1")
 def supplier_multiplier(s, d):
     """G16"""
     sums = table(s, d, "lineitem").groupBy("l_suppkey", "l_returnflag").agg((F.sum(F.round(F.col("l_discount") * 100).cast("long")) / 100.0).alias("total"))
-    return modifiers.extra_multiplier(sums, ["l_suppkey"]).withColumn("multiplier", F.round("multiplier", 4))
+    return modifiers.extra_multiplier(sums, ["l_suppkey"]).withColumn("multiplier", F.round("multiplier", 6))
 
 
 @query("SELECT s_suppkey AS mechanic_id, 10 + coalesce(m.x, 0)::BIGINT AS maximum, coalesce(a.ok, false) AS acquired, CASE WHEN coalesce(a.ok, false) THEN 10 + coalesce(m.x, 0)::BIGINT ELSE 0 END AS assumed FROM supplier LEFT JOIN (SELECT l_suppkey AS k, bool_or(l_quantity > 49) AS ok FROM lineitem GROUP BY 1) a ON a.k = s_suppkey LEFT JOIN (SELECT l_suppkey AS k, count(*) AS x FROM lineitem WHERE l_returnflag = 'R' GROUP BY 1) m ON m.k = s_suppkey")
