@@ -41,7 +41,7 @@ def test_section_rows_and_records(spark, nodes):
     assert len({r.record_id for r in out}) == 2
     assert records.validate_records(records.affix_records(rows, defs).withColumn("route", F.lit("/x/"))).filter("size(reasons) > 0").count() == 0
     assert extract.section_descriptor(rows).first().keyed == 1
-    wrong = records.structure_check(spark.createDataFrame([(1, "tables", "1")], "page_id long, check string, value string"), spark.createDataFrame([("tables", "2"), ("rows", "3")], "check string, expected string"))
+    wrong = records.structure_check(spark.createDataFrame([(1, "tables", "1")], "page_id long, check string, value string"), {"tables": "2", "rows": "3"})
     assert sorted(r.check for r in wrong.collect()) == ["rows", "tables"]
 
 
