@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from . import content_store, fingerprint, mixing, ngram_join, packing, quality, rules, suffix_dedup, token_scan, toxicity
+from . import content_store, fingerprint, mixing, ngram_join, packing, quality, resampling, rules, simhash, suffix_dedup, token_scan, toxicity, whitening
 from .common import read
 
 
@@ -58,13 +58,25 @@ def op10_suffix_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
         "doc_id", F.col("n_bytes"), lost.alias("n_removed"), F.size("spans").cast("long").alias("n_spans"), F.sha2("kept", 256).alias("kept_sha256"))
 
 
+def op11_whitening(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return whitening.whiten(read(spark, sf_dir, "embeddings"))
+
+
+def op12_simhash(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return simhash.near_duplicates(read(spark, sf_dir, "documents"))
+
+
+def op13_resampling(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return resampling.resample(read(spark, sf_dir, "documents"), read(spark, sf_dir, "benchmark"))
+
+
 def pipeline(spark: SparkSession, sf_dir: str) -> DataFrame:
     import corpus_pipeline
 
     return corpus_pipeline.run(spark, sf_dir)
 
 
-QUERIES = {f.__name__: f for f in (op1_quality, op2_mixing, op3_packing, op4_fingerprint, op5_ngram_join, op5_ngram_links, op6_content_store, op7_toxicity, op8_token_counts, op9_rules, op10_suffix_dedup, pipeline)}
+QUERIES = {f.__name__: f for f in (op1_quality, op2_mixing, op3_packing, op4_fingerprint, op5_ngram_join, op5_ngram_links, op6_content_store, op7_toxicity, op8_token_counts, op9_rules, op10_suffix_dedup, op11_whitening, op12_simhash, op13_resampling, pipeline)}
 
 _WORDS = r"regexp_extract_all(t, '[^\x20\x09-\x0D]+')"
 
