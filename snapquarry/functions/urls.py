@@ -116,11 +116,30 @@ def href_reason(href: Column, base: Column, resolved: Column) -> Column:
     )
 
 
-def classify_fetch(status: Column, requested: Column, final: Column, html: Column) -> Column:
-    """not_found, network_error, redirected, invalid or available."""
-    soft = F.lower(F.substring(html, 1, 20_000)).rlike(r"page not found|404 not found|does not exist")
+# What a page says that is an error though it was served.
+ERROR_MARKS = ["<title>404", "not found</title>", "页面不存在"]
+ERROR_TERMS = ["404", "not found", "error response", "页面不存在"]
+
+
+def classify_fetch(status: Column, requested: Column, final: Column, html: Column, look: int = 20_000) -> Column:
+    """not_found, network_error, redirected (the final URL, if there is one, is another page), invalid (another status than 200,
+    or an error mark in the first `look` characters, beyond which a page isn't looked at) or available."""
+    low = F.lower(F.substring(F.coalesce(html, F.lit("")), 1, look))
+    marked = F.exists(F.array(*map(F.lit, ERROR_MARKS)), lambda m: F.contains(low, m))
+    there = canonical_page(final)
     return (
         F.when(status == 404, "not_found").when(status >= 500, "network_error")
-        .when(~canonical_page(final).eqNullSafe(canonical_page(requested)), "redirected")
-        .when((status != 200) | status.isNull() | F.coalesce(soft, F.lit(False)), "invalid").otherwise("available")
+        .when(there.isNotNull() & ((there != canonical_page(requested)) | (host(final) != host(requested))), "redirected")
+        .when((status != 200) | status.isNull() | marked, "invalid").otherwise("available")
     )
+
+
+def is_content_page(status: Column, requested: Column, final: Column, title: Column, canonical: Column, text: Column) -> Column:
+    """served with 200 at its own path, with a title, no error term in title or text, and a canonical link, if there is one, to
+    itself."""
+    own = lambda u: F.regexp_replace(path(u), "/+$", "")
+    low = F.lower(F.concat_ws(" ", title, text))
+    said = F.exists(F.array(*map(F.lit, ERROR_TERMS)), lambda m: F.contains(low, m))
+    named = F.nullif(F.trim(canonical), F.lit(""))
+    fits = named.isNull() | (own(resolve_url(named, final)) == own(requested))
+    return F.coalesce((status == 200) & (own(final) == own(requested)) & fits & (F.coalesce(F.trim(title), F.lit("")) != "") & ~said, F.lit(False))

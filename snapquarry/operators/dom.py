@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from collections.abc import Iterator
+from collections.abc import Callable, Iterator
 from html.parser import HTMLParser
 
 import pyarrow as pa
@@ -13,6 +13,7 @@ from ..sources.scratch import new_folder
 
 # Elements without an end tag, and elements whose whole text is kept on the node.
 VOID = {"area", "base", "br", "col", "embed", "hr", "img", "input", "link", "meta", "param", "source", "track", "wbr"}
+BLOCKS = {"address", "article", "aside", "blockquote", "br", "dd", "div", "dl", "dt", "footer", "h1", "h2", "h3", "h4", "h5", "h6", "header", "hr", "li", "nav", "ol", "p", "section", "table", "td", "th", "tr", "ul"}
 TEXT = {"title", "h1", "h2", "h3", "h4", "h5", "h6", "a", "td", "th", "p", "li", "span", "b", "button", "label", "option"}
 
 NODE = pa.schema([
@@ -118,3 +119,123 @@ def nearest_ancestor(nodes: DataFrame, condition: Column, name: str) -> DataFram
     steps = nodes.select("page_id", "node_id", F.explode("anc_ids").alias("_h")).join(holders, ["page_id", "_h"])
     near = steps.groupBy("page_id", "node_id").agg(F.max("_h").alias(name))
     return nodes.join(near, ["page_id", "node_id"], "left")
+
+
+#: Tells whether an element (tag, attributes, classes) is marked: null, or the value that what is inside gets to know.
+Mark = Callable[[str, dict[str, str], set[str]], "str | None"]
+_FLAT = pa.schema([
+    ("node_id", pa.int32()), ("parent_id", pa.int32()), ("last_id", pa.int32()), ("parent_last", pa.int32()), ("depth", pa.int32()), ("tag", pa.string()), ("attrs", pa.map_(pa.string(), pa.string())),
+    ("own_text", pa.string()), ("text", pa.string()), ("line", pa.int32())])
+_FLAT_SQL = "node_id int, parent_id int, last_id int, parent_last int, depth int, tag string, attrs map<string,string>, own_text string, text string, line int"
+_PLACE = pa.struct([("node", pa.int32()), ("top", pa.int32()), ("value", pa.string()), ("outer", pa.int32())])
+
+
+class _Marked(HTMLParser):
+    """Elements and texts in document order; each knows, of every mark, the nearest and the outermost marked element that
+    it stands in, itself included. A node takes as much room as there are marks, however deep it stands."""
+
+    def __init__(self, marks: dict[str, Mark]) -> None:
+        super().__init__(convert_charrefs=True)
+        self.marks = marks
+        self.rows: list[list] = []
+        self.open: list[tuple] = []  # (node id, tag, places, whether its text is wanted)
+        self.parts: dict[int, list[str]] = {}
+        self.wanted: list[int] = []  # open elements whose text is wanted
+        self.line = 0
+
+    def _add(self, tag: str, attrs: dict | None, own: str | None) -> tuple:
+        n = len(self.rows)
+        parent, places = (self.open[-1][0], self.open[-1][2]) if self.open else (None, (None,) * len(self.marks))
+        marked = False
+        if attrs is not None:
+            classes = set(attrs.get("class", "").split())
+            found = [m(tag, attrs, classes) for m in self.marks.values()]
+            marked = any(v is not None for v in found)
+            if marked:
+                places = tuple(p if v is None else (n, p[1] if p else n, v, p[0] if p else None) for p, v in zip(places, found))
+        if tag in BLOCKS:
+            self.line += 1
+        self.rows.append([n, parent, n, None, len(self.open), tag, list(attrs.items()) if attrs else [], own, None, self.line, places])
+        return n, tag, places, marked
+
+    def handle_starttag(self, tag, attrs):
+        given = {k: v or "" for k, v in reversed(attrs)}
+        frame = self._add(tag, given, None)
+        if tag not in VOID:
+            self.open.append(frame)
+            if frame[3]:
+                self.wanted.append(frame[0])
+                self.parts[frame[0]] = []
+
+    def handle_startendtag(self, tag, attrs):
+        self._add(tag, {k: v or "" for k, v in reversed(attrs)}, None)
+
+    def _shut(self, k: int) -> None:
+        for n, tag, _, marked in reversed(self.open[k:]):
+            self.rows[n][2] = len(self.rows) - 1
+            self.line += tag in BLOCKS
+            if marked:
+                self.wanted.pop()
+                self.rows[n][8] = " ".join(" ".join(self.parts.pop(n)).split())
+        del self.open[k:]
+
+    def handle_endtag(self, tag):
+        for k in range(len(self.open) - 1, -1, -1):
+            if self.open[k][1] == tag:
+                self._shut(k)
+                return
+
+    def handle_data(self, data):
+        if not any(f[1] in ("script", "style") for f in self.open[-1:]):
+            for n in self.wanted:
+                self.parts[n].append(data)
+        self._add("#text", None, data)
+
+    def nodes(self, html: str) -> list[list]:
+        self.feed(html)
+        self.close()
+        self._shut(0)
+        for row in self.rows:
+            row[3] = None if row[1] is None else self.rows[row[1]][2]
+        return self.rows
+
+
+def marked_nodes(pages: DataFrame, marks: dict[str, Mark], keep: set[str] | None = None) -> DataFrame:
+    """T01 for operators that look at what stands in what: page_id, node_id, parent_id, last_id, parent_last (the parent's
+    last_id), depth, tag, attrs, own_text (of texts, tag #text), text (of marked elements: all text inside, with single
+    blanks; scripts and styles are passed over), line (a number that goes up where a block element begins or ends), and for
+    each mark a struct of that name: node and top, the nearest and the outermost marked element around the node, itself
+    included, the nearest one's value, and outer, the nearest one around that; null outside.
+
+    Containment is settled while the page is parsed, so no rows carry their ancestors and nothing is joined to tell what
+    holds what; a page of any depth gives rows of bounded size. A batch ends after 5,000 rows. `keep` names marks: only nodes in one
+    of these are given out. Null pages give no rows."""
+    kind = pages.schema["page_id"].dataType.simpleString()
+    names = list(marks)
+    chosen = [i for i, m in enumerate(names) if keep and m in keep]
+
+    def told(ids: list, rows: list[list], page_type: pa.DataType) -> pa.RecordBatch:
+        columns = list(zip(*rows))
+        places = [[None if p[i] is None else dict(zip(("node", "top", "value", "outer"), p[i])) for p in columns[10]] for i in range(len(names))]
+        arrays = [pa.array(columns[k], f.type) for k, f in enumerate(_FLAT)] + [pa.array(p, _PLACE) for p in places]
+        return pa.RecordBatch.from_arrays([pa.array(ids, page_type), *arrays], names=["page_id", *_FLAT.names, *names])
+
+    def parsed(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            ids, rows, page_type = [], [], batch.schema.field("page_id").type
+            for page, html in zip(batch.column("page_id").to_pylist(), batch.column("html").to_pylist()):
+                own = _Marked(marks).nodes(html) if html else []
+                if chosen:
+                    own = [r for r in own if any(r[10][i] is not None for i in chosen)]
+                for at in range(0, len(own), 5000):
+                    part = own[at : at + 5000]
+                    ids += [page] * len(part)
+                    rows += part
+                    if len(rows) >= 5000:
+                        yield told(ids, rows, page_type)
+                        ids, rows = [], []
+            if rows:
+                yield told(ids, rows, page_type)
+
+    places = ", ".join(f"{m} struct<node: int, top: int, value: string, outer: int>" for m in names)
+    return pages.select("page_id", "html").mapInArrow(parsed, f"page_id {kind}, {_FLAT_SQL}" + (f", {places}" if places else ""))

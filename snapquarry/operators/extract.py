@@ -171,22 +171,11 @@ def level_tables(rows: DataFrame, name: str = "level") -> DataFrame:
     return t.withColumn("_n", F.row_number().over(w)).filter("_n = 1").drop("_n")
 
 
-def cards(nodes: DataFrame) -> DataFrame:
-    """page_id, node_id, last_id, kind of every card: historical, corrosion, drop_source, related or current."""
-    has = lambda c: F.exists("classes", lambda x: F.lower(x) == c)
-    above = lambda c: F.exists("anc_classes", lambda x: F.lower(x) == c)
-    card = nodes.filter(has("card") | has("popupitem")).select("page_id", "node_id", "last_id", (has("previousitem") | above("previousitem")).alias("old"), (above("tab-pane") & ~above("active")).alias("pane"))
-    heads = nodes.filter(has("card-header")).select("page_id", F.explode("anc_ids").alias("node_id"), F.col("node_id").alias("_h"), F.col("last_id").alias("_l"))
-    text = nodes.filter("tag = '#text'").select("page_id", F.struct("node_id", "own_text").alias("t"), F.explode("anc_ids").alias("_h"))
-    title = heads.join(text, ["page_id", "_h"]).groupBy("page_id", "node_id").agg(F.lower(F.array_join(F.transform(F.array_sort(F.collect_list("t")), lambda t: t["own_text"]), " ")).alias("head"))
-    kind = F.when(F.col("old") | F.col("pane"), "historical").when(F.col("head").contains("corrosion"), "corrosion").when(F.col("head").contains("drop"), "drop_source").when(F.col("head").contains("related"), "related").otherwise("current")
-    return card.join(title, ["page_id", "node_id"], "left").select("page_id", "node_id", "last_id", kind.alias("kind"))
-
-
-def script_calls(pages: DataFrame) -> DataFrame:
-    """page_id, how often each kind of call occurs in the page, whether scripts navigate, whether tooltips are named."""
+
+def script_calls(pages: DataFrame, keep: bool = False) -> DataFrame:
+    """page_id (keep: all columns), how often each kind of call occurs in the page, whether scripts navigate, whether tooltips are named."""
     counts = [F.regexp_count("html", F.lit(p)).alias(k) for k, p in CALLS.items()]
-    return pages.select("page_id", *counts, F.rlike("html", F.lit(NAVIGATES)).alias("navigates"), F.rlike("html", F.lit(r"(?i)\btooltip\b")).alias("tooltips"))
+    return pages.select("*" if keep else "page_id", *counts, F.rlike("html", F.lit(NAVIGATES)).alias("navigates"), F.rlike("html", F.lit(r"(?i)\btooltip\b")).alias("tooltips"))
 
 
 def call_urls(pages: DataFrame) -> DataFrame:
@@ -204,15 +193,38 @@ def url_hints(pages: DataFrame) -> DataFrame:
     return low.select(F.explode(each).alias("h")).groupBy("h.hint").agg(F.sum("h.n").alias("n"))
 
 
-def i18n_refs(pages: DataFrame, languages: DataFrame | None = None) -> DataFrame:
-    """page_id, kind (lang, key, file), value; ${lang} in a file name stands for each of the given languages."""
-    of = lambda kind, p: F.transform(F.regexp_extract_all("html", F.lit(p), F.lit(1)), lambda v: F.struct(F.lit(kind).alias("kind"), v.alias("value")))
-    rows = pages.select("page_id", F.explode(F.concat(of("lang", r'<html[^>]*\slang="([^"]+)"'), of("key", r'data-i18n="([^"]+)"'), of("file", r'["\']([^"\']+\.json)["\']'))).alias("r")).select("page_id", "r.kind", "r.value")
-    if languages is None:
-        return rows
-    template = F.col("value").contains("${lang}")
-    filled = rows.filter(template).crossJoin(languages.select("lang").distinct())
-    return rows.filter(~template).unionByName(filled.select("page_id", "kind", F.replace("value", F.lit("${lang}"), "lang").alias("value")))
+#: Most languages that a template of a file name is filled with.
+MOST_LANGUAGES = 1000
+
+
+def i18n_refs(pages: DataFrame) -> DataFrame:
+    """page_id, kind (lang, key, file), value: text keys of a page, the language of a page that has some, and the JSON files that it names,
+    if i18n, lang, locale or translation stand in their path; ${lang} in a name stays."""
+    of = lambda kind, values: F.transform(values, lambda v: F.struct(F.lit(kind).alias("kind"), v.alias("value")))
+    found = lambda p: F.regexp_extract_all("html", F.lit(p), F.lit(1))
+    keys = F.filter(found(r"""\sdata-i18n=["']([^"']+)["']"""), lambda k: k != "")
+    langs = F.when(F.size(keys) > 0, F.filter(found(r"""(?i)<html[^>]*?\slang=["']([^"']+)["']"""), lambda v: v != "")).otherwise(F.array().cast("array<string>"))
+    files = F.filter(found(r"""((?:https?:)?//[^\s"'`]+\.json(?:\?[^\s"'`]*)?|/?[A-Za-z0-9_./${}-]+\.json(?:\?[^\s"'`]*)?)"""), lambda v: F.rlike(v, F.lit("(?i)/i18n/|^i18n/|lang|locale|translation")))
+    return pages.select("page_id", F.explode(F.concat(of("lang", langs), of("key", keys), of("file", files))).alias("r")).select("page_id", "r.kind", "r.value")
+
+
+def i18n_resources(pages: DataFrame, base: str) -> DataFrame:
+    """resource_url (resolved against base), reference_type (direct_json or runtime_language_loader), pages, source_pages (the first five
+    that name it). A name with ${lang} is filled with each language that pages with text keys have; more than MOST_LANGUAGES
+    of these are an error."""
+    refs = i18n_refs(pages)
+    langs = [r.value for r in refs.filter("kind = 'lang'").select("value").distinct().orderBy("value").limit(MOST_LANGUAGES + 1).collect()]
+    if len(langs) > MOST_LANGUAGES:
+        raise ValueError(f"more than {MOST_LANGUAGES} languages")
+    named = refs.filter("kind = 'file'").select("page_id", F.col("value").alias("raw"))
+    template = F.col("raw").contains("${lang}")
+    filled = F.transform(F.array(*map(F.lit, langs)).cast("array<string>"), lambda v: F.replace("raw", F.lit("${lang}"), v))
+    each = named.select("page_id", F.when(template, "runtime_language_loader").otherwise("direct_json").alias("type"), F.explode(F.when(template, filled).otherwise(F.array("raw"))).alias("name"))
+    each = each.select("page_id", "type", resolve_url(F.col("name"), F.lit(base)).alias("resource_url")).distinct()
+    w = Window.partitionBy("resource_url").orderBy("page_id")
+    ranked = each.groupBy("resource_url", "page_id").agg(F.min("type").alias("type")).withColumn("_n", F.row_number().over(w))
+    first = F.array_sort(F.collect_list(F.when(F.col("_n") <= 5, F.col("page_id"))))
+    return ranked.groupBy("resource_url").agg(F.min("type").alias("reference_type"), F.count(F.lit(1)).alias("pages"), first.alias("source_pages"))
 
 
 def page_shell(pages: DataFrame) -> DataFrame:
@@ -223,10 +235,10 @@ def page_shell(pages: DataFrame) -> DataFrame:
         nav=F.col("html").contains("<nav"), side=F.col("html").contains("sidebar"), footer=F.col("html").contains("<footer")).alias("shell"))
 
 
-def page_features(pages: DataFrame) -> DataFrame:
-    """page_id and flags."""
+def page_features(pages: DataFrame, keep: bool = False) -> DataFrame:
+    """page_id (keep: all columns) and flags."""
     html = F.col("html")
-    return pages.select("page_id", html.contains("data-bs-toggle=\"tooltip\"").alias("has_tooltip"), html.contains("collapse").alias("has_collapse"), html.contains("tab-pane").alias("has_tab"),
+    return pages.select("*" if keep else "page_id", html.contains("data-bs-toggle=\"tooltip\"").alias("has_tooltip"), html.contains("collapse").alias("has_collapse"), html.contains("tab-pane").alias("has_tab"),
                         html.contains("dropdown").alias("has_dropdown"), html.rlike("(?i)datatable").alias("has_table"), html.contains('class="ad"').alias("has_ad"), html.contains("<nav").alias("has_nav"))
 
 

@@ -8,6 +8,7 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from ..functions.text import asset_type, clean, ratio
+from ..functions.urls import canonical_page, host, is_static, path
 from .aggregates import count_profile, duplicate_groups, same_text_groups, template_summary
 
 
@@ -38,20 +39,28 @@ def unique_gate(df: DataFrame, key: str, owner: str) -> DataFrame:
 
 
 def route_audit(links: DataFrame, routes: DataFrame) -> DataFrame:
-    """Q06: links(page_id, route) with result existing, encoding_mismatch, wrong_directory, wrong_namespace or missing."""
-    plain = lambda c: F.coalesce(F.try_url_decode(c), c)
-    known = routes.select("route", F.lit(True).alias("_k")).distinct()
-    alike = routes.select(plain(F.col("route")).alias("_p"), F.lit(True).alias("_a")).distinct()
-    flat = routes.select(F.regexp_extract("route", r"([^/]+)/?$", 1).alias("_f"), F.lit(True).alias("_n")).distinct()
-    j = links.withColumn("_p", plain(F.col("route"))).withColumn("_f", F.regexp_extract("route", r"([^/]+)/?$", 1)).join(known, "route", "left").join(alike, "_p", "left").join(flat, "_f", "left")
-    deep = F.size(F.filter(F.split("route", "/"), lambda s: s != "")) > 2
-    result = F.when(F.col("_k"), "existing").when(F.col("_a"), "encoding_mismatch").when(deep & F.col("_f").startswith("parent:"), "wrong_directory").when(F.col("_n"), "wrong_namespace").otherwise("missing")
-    return j.withColumn("result", result).drop("_k", "_a", "_n", "_p", "_f")
-
-
-def external_audit(links: DataFrame, catalog: DataFrame) -> DataFrame:
-    """Q07: pages of the own site that are linked by absolute URL: route, in_catalog, links."""
-    j = links.filter(F.lower("href").rlike("^https?://")).join(catalog.select("route", F.lit(True).alias("_c")).distinct(), "route", "left")
+    """Q06: links(page_id, route) with result, and suggested, the route that was meant: existing; encoding_mismatch (a known route
+    in other encoding); wrong_directory, if a route of three parts or more ends in a page that is named after the part before it
+    (/en/Sword/Sword:Blade); wrong_namespace, if the last part alone is known below the first one; else missing."""
+    plain = lambda c: F.coalesce(F.try_url_decode(F.replace(c, F.lit("+"), F.lit("%2B"))), c)
+    known = routes.select("route").distinct()
+    alike = known.groupBy(plain(F.col("route")).alias("_p")).agg(F.min("route").alias("_alike"))
+    parts = F.filter(F.split("route", "/"), lambda s: s != "")
+    flat = F.when(F.size(parts) > 2, F.concat(F.lit("/"), F.get(parts, F.lit(0)), F.lit("/"), F.element_at(parts, -1)))
+    own = F.startswith(plain(F.element_at(parts, -1)), F.concat(plain(F.get(parts, F.size(parts) - 2)), F.lit(":")))
+    rows = links.withColumn("_p", plain(F.col("route"))).withColumn("_flat", flat).withColumn("_own", F.col("_flat").isNotNull() & own)
+    j = rows.join(known.withColumn("_k", F.lit(True)), "route", "left").join(alike, "_p", "left").join(known.select(F.col("route").alias("_flat"), F.lit(True).alias("_n")), "_flat", "left")
+    result = F.when(F.col("_k"), "existing").when(F.col("_alike").isNotNull(), "encoding_mismatch").when(F.col("_own"), "wrong_directory").when(F.col("_n"), "wrong_namespace").otherwise("missing")
+    suggested = F.when(result == "encoding_mismatch", F.col("_alike")).when(result.isin("wrong_directory", "wrong_namespace"), F.col("_flat"))
+    return j.withColumn("result", result).withColumn("suggested", suggested).drop("_k", "_alike", "_n", "_p", "_flat", "_own")
+
+
+def external_audit(links: DataFrame, catalog: DataFrame, hosts: list[str], prefix: str = "/") -> DataFrame:
+    """Q07: pages of the own site (its hosts, below the prefix, no static files) that links(href) name by absolute URL: route,
+    in_catalog, links."""
+    href = F.trim("href")
+    own = F.lower(href).rlike("^https?://") & host(href).isin(*hosts) & F.startswith(path(href), F.lit(prefix)) & ~is_static(href)
+    j = links.filter(own).select(canonical_page(href).alias("route")).filter("route is not null").join(catalog.select("route", F.lit(True).alias("_c")).distinct(), "route", "left")
     return j.groupBy("route").agg(F.coalesce(F.bool_or("_c"), F.lit(False)).alias("in_catalog"), F.count(F.lit(1)).alias("links"))
 
 

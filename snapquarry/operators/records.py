@@ -1,4 +1,5 @@
-"""Structured records: extractors over section rows, cards and nodes, with rule tables."""
+"""Structured records: extractors over section rows and nodes, with rule tables (R01, R04, R06, R08, R10, R12-R15, V01, Q02, Q03);
+`regions` has those of cards and panes."""
 
 from __future__ import annotations
 
@@ -59,44 +60,8 @@ def merged_page_records(records: DataFrame, entity: str) -> DataFrame:
     return records.withColumn("entity_id", F.lit(entity)).withColumn("record_id", record_id("record", entity=F.lit(entity), kind=F.col("record_type"), section=F.col("section_name"), key=F.col("key")))
 
 
-def keyed_lines(nodes: DataFrame, cards: DataFrame) -> DataFrame:
-    """Outermost elements with data-modifier-id inside each card, with their text; of nested ones the outer counts."""
-    keyed = nodes.filter(F.map_contains_key("attrs", F.lit("data-modifier-id"))).select("page_id", "node_id", "last_id", "anc_ids", "anc_classes", F.col("attrs")["data-modifier-id"].alias("modifier_id"))
-    inside = keyed.select("page_id", "node_id", F.explode("anc_ids").alias("_k")).join(keyed.select("page_id", F.col("node_id").alias("_k")), ["page_id", "_k"]).select("page_id", "node_id").distinct()
-    outer = keyed.join(inside, ["page_id", "node_id"], "left_anti")
-    text = nodes.filter("tag = '#text'").select("page_id", F.col("node_id").alias("_t"), "own_text", F.explode("anc_ids").alias("node_id"))
-    said = outer.join(text, ["page_id", "node_id"]).groupBy("page_id", "node_id").agg(clean(F.array_join(F.transform(F.array_sort(F.collect_list(F.struct("_t", "own_text"))), lambda x: x["own_text"]), " ")).alias("text"))
-    own = outer.select("page_id", "node_id", "modifier_id", "anc_classes", F.explode("anc_ids").alias("card_id"))
-    placed = own.join(cards.select("page_id", F.col("node_id").alias("card_id"), "kind"), ["page_id", "card_id"])
-    near = placed.groupBy("page_id", "node_id", "modifier_id", "anc_classes").agg(F.max_by(F.struct("card_id", "kind"), "card_id").alias("c"))
-    return near.join(said, ["page_id", "node_id"]).select("page_id", "node_id", "modifier_id", "anc_classes", "text", "c.card_id", "c.kind")
-
-
-def card_records(nodes: DataFrame, cards: DataFrame) -> DataFrame:
-    """Records of current and corrosion cards: base stat outside tierParent, else affix; the variant of a card is its
-    first base stat."""
-    rows = keyed_lines(nodes, cards).filter(F.col("kind").isin("current", "corrosion"))
-    kind = F.when(F.exists("anc_classes", lambda c: c == "tierParent"), "affix").otherwise("base_stat")
-    rows = rows.withColumn("type", kind)
-    first = F.min(F.when(F.col("type") == "base_stat", F.struct("node_id", "text"))).over(Window.partitionBy("page_id", "card_id"))
-    rows = rows.withColumn("variant", first["text"]).withColumn("row_index", F.row_number().over(Window.partitionBy("page_id", "card_id").orderBy("node_id")) - 1)
-    out = rows.withColumn("key", F.concat_ws(":", F.lit("modifier"), "modifier_id")).withColumn("section_name", F.col("kind")).withColumn("table_no", F.col("card_id"))
-    return _finish(out, F.col("type"), "variant")
 
 
-def pane_records(nodes: DataFrame, rows: DataFrame, cards: DataFrame, defs: DataFrame) -> DataFrame:
-    """Records of pages with several panes: the cards' modifiers and the tables' affixes in one table."""
-    return card_records(nodes, cards).withColumn("tier", F.lit(None).cast("string")).unionByName(affix_records(rows, defs), allowMissingColumns=True)
-
-
-def recipe_records(cards: DataFrame, materials: DataFrame) -> DataFrame:
-    """One record a recipe card with its materials. cards(page_id, card_id, effect, talent_text), materials(page_id,
-    card_id, pos, name, route, card_text); the quantity stands behind the name as x<digits>."""
-    quantity = F.coalesce(F.nullif(F.call_function("regexp_extract", F.col("card_text"), F.concat(F.lit(r"\Q"), F.col("name"), F.lit(r"\E\s*x(\d+)")), F.lit(1)), F.lit("")).cast("int"), F.lit(1))
-    listed = materials.groupBy("page_id", "card_id").agg(F.array_sort(F.collect_list(F.struct("pos", "name", "route", quantity.alias("quantity")))).alias("materials"))
-    out = cards.join(listed, ["page_id", "card_id"], "left").withColumn("talent_level", extract_number(F.col("talent_text"), r"Lv\.(\d+)"))
-    out = out.withColumn("text", F.col("effect")).withColumn("section_name", F.lit("recipe")).withColumn("key", F.concat(F.lit("recipe:"), F.col("card_id").cast("string"))).withColumn("row_index", F.col("card_id")).withColumn("table_no", F.lit(0))
-    return _finish(out, F.lit("recipe"), "talent_level", "materials")
 
 
 def nested_key_records(rows: DataFrame, nested: DataFrame) -> DataFrame:
@@ -107,23 +72,6 @@ def nested_key_records(rows: DataFrame, nested: DataFrame) -> DataFrame:
     return _finish(out, F.lit("prism"), "nested_keys")
 
 
-def contract_records(nodes: DataFrame) -> DataFrame:
-    """Nodes div.d-flex.border.rounded outside inactive NPC panes, with id and level on their image and two texts or
-    more; key contract:<id>:level:<n>."""
-    has = lambda c: F.array_contains("classes", c)
-    attr = lambda k: F.try_element_at("attrs", F.lit(k))
-    blocked = nodes.filter(has("tab-pane") & ~has("active") & attr("id").endswith("_NPC")).select("page_id", F.col("node_id").alias("_a"))
-    box = nodes.filter((F.col("tag") == "div") & has("d-flex") & has("border") & has("rounded"))
-    covered = box.select("page_id", "node_id", F.explode("anc_ids").alias("_a")).join(blocked, ["page_id", "_a"]).select("page_id", "node_id")
-    box = box.join(covered, ["page_id", "node_id"], "left_anti").select("page_id", F.col("node_id").alias("box"))
-    image = nodes.filter("tag = 'img'").select("page_id", attr("data-id").alias("id"), attr("data-level").cast("int").alias("level"), F.explode("anc_ids").alias("box"))
-    image = box.join(image, ["page_id", "box"]).groupBy("page_id", "box").agg(F.max("id").alias("id"), F.max("level").alias("level"))
-    text = nodes.filter("tag = '#text' and trim(own_text) <> ''").select("page_id", "node_id", clean(F.col("own_text")).alias("t"), F.explode("anc_ids").alias("box"))
-    texts = box.join(text, ["page_id", "box"]).groupBy("page_id", "box").agg(F.transform(F.array_sort(F.collect_list(F.struct("node_id", "t"))), lambda x: x["t"]).alias("texts"))
-    out = image.join(texts, ["page_id", "box"]).filter("id is not null and level is not null and size(texts) >= 2")
-    out = out.withColumn("key", F.concat_ws(":", F.lit("contract"), "id", F.lit("level"), "level")).withColumn("text", F.array_join(F.slice("texts", F.lit(2), F.greatest(F.size("texts") - 1, F.lit(0))), " ")).withColumn("section_name", F.get("texts", 0)).withColumn("row_index", F.col("box")).withColumn("table_no", F.lit(0))
-    return _finish(out, F.lit("contract"))
-
 
 def effect_or_description(cards: DataFrame) -> DataFrame:
     """One record a page: the first effect of its current cards (by node_id, where they have one, then by text), else
@@ -169,13 +117,6 @@ def fate_records(nodes: DataFrame) -> DataFrame:
                        F.when(known, "record").otherwise("section").alias("locator_level"), F.when(known, "high").otherwise("medium").alias("confidence"))
 
 
-def trait_records(effects: DataFrame) -> DataFrame:
-    """effects(page_id, order, icon, level, text): key asset:<icon>:occurrence:<n>:level:<l>, n counting the icon's
-    nodes on the page in order."""
-    n = F.dense_rank().over(Window.partitionBy("page_id", "icon").orderBy("order"))
-    out = effects.withColumn("n", n).withColumn("key", F.concat_ws(":", F.lit("asset"), "icon", F.lit("occurrence"), "n", F.lit("level"), "level"))
-    return _finish(out.withColumn("section_name", F.lit("trait")).withColumn("row_index", F.col("order")).withColumn("table_no", F.lit(0)), F.lit("trait"))
-
 
 def talent_records(nodes: DataFrame, named_kinds: bool = False) -> DataFrame:
     """R10, from the DOM: talents of a page in order. A talent is an outermost div.col outside inactive panes that holds an
@@ -205,18 +146,6 @@ def talent_records(nodes: DataFrame, named_kinds: bool = False) -> DataFrame:
                                                  F.trim(F.regexp_replace("rest", pattern, "")).alias("effect"), kind.alias("kind"))
 
 
-def skill_records(growth: DataFrame) -> DataFrame:
-    """Growth modifiers (page_id, order, modifier_id, tier, text): an id that repeats on its page gets :tier:<t>."""
-    many = F.count(F.lit(1)).over(Window.partitionBy("page_id", "modifier_id")) > 1
-    key = F.concat(F.lit("modifier:"), F.col("modifier_id"), F.when(many, F.concat(F.lit(":tier:"), F.col("tier").cast("string"))).otherwise(""))
-    return _finish(growth.withColumn("key", key).withColumn("section_name", F.lit("growth")).withColumn("row_index", F.col("order")).withColumn("table_no", F.lit(0)), F.lit("growth"))
-
-
-def skill_effects(parts: DataFrame) -> DataFrame:
-    """One effect record a page: title, tags, restrictions, attributes and the different effects, joined in order.
-    parts(page_id, rank, order, text)."""
-    listed = F.array_distinct(F.transform(F.array_sort(F.collect_list(F.struct("rank", "order", "text"))), lambda x: x["text"]))
-    return parts.filter("text <> ''").groupBy("page_id").agg(F.array_join(listed, " ").alias("text"))
 
 
 def record_documents(records: DataFrame, entities: DataFrame) -> DataFrame:

@@ -134,15 +134,6 @@ def strict_text(s, d):
     return extract.visible_text(dom.stored_nodes(table(s, d, "orders").select(F.col("o_orderkey").alias("page_id"), html.alias("html"))), strict=True)
 
 
-@query("""SELECT CASE WHEN o_orderpriority LIKE '1%' THEN 'historical' WHEN o_orderstatus = 'F' THEN 'corrosion' WHEN o_orderstatus = 'O' THEN 'related' WHEN o_custkey % 2 = 0 THEN 'drop_source' ELSE 'current' END AS kind, count(*) AS n, min(o_orderkey) AS first_page FROM orders GROUP BY 1""")
-def card_kinds(s, d):
-    """Kinds of cards"""
-    head = F.when(F.col("o_orderstatus") == "F", "Corrosion base").when(F.col("o_orderstatus") == "O", "Related items").when(F.col("o_custkey") % 2 == 0, "Drop source").otherwise("Item")
-    html = F.concat(F.lit('<div class="card'), F.when(F.col("o_orderpriority").startswith("1"), " previousItem").otherwise(""), F.lit('"><div class="card-header">'), head, F.lit("</div>x</div>"))
-    cards = extract.cards(dom.stored_nodes(table(s, d, "orders").select(F.col("o_orderkey").alias("page_id"), html.alias("html"))))
-    return cards.groupBy("kind").agg(F.count(F.lit(1)).alias("n"), F.min("page_id").alias("first_page"))
-
-
 @query("""SELECT event_type AS system_id, count(*) AS pages, count(*) FILTER (value >= 10) AS ok, count(*) FILTER (value < 10 OR value IS NULL) AS failed FROM events GROUP BY ROLLUP (event_type)""")
 def event_batches(s, d):
     """Outcomes by system and in total"""

@@ -95,27 +95,6 @@ def trace_texts(s, d):
     return modifiers.trace_lines(rows)
 
 
-@query("""WITH l AS (SELECT s_nationkey AS k, min(s_suppkey) AS first FROM supplier GROUP BY 1), n AS (SELECT n_nationkey AS k FROM nation)
-SELECT 'sys' || k AS system_id, 'Shop ' || first AS name, '/en/S' || k AS route, 'confirmed' AS discovery_status FROM l WHERE k % 2 = 0
-UNION ALL SELECT 's' || k, 'Shop ' || first, '/en/S' || k, 'candidate' FROM l WHERE k % 2 = 1 UNION ALL SELECT 'sys' || k, 'Known', '/en/S' || k, 'confirmed' FROM n WHERE k % 2 = 0 AND k NOT IN (SELECT k FROM l)""")
-def navigation_systems(s, d):
-    """Systems from the navigation of pages; utility links and links of the body are none"""
-    k, n = F.col("s_suppkey"), F.col("s_nationkey")
-    html = told('<nav><a href="/en/S', n, '">Shop ', k, '</a><a href="/en/login">In</a></nav><p><a href="/en/body', k, '">Body</a></p>')
-    pages = table(s, d, "supplier").select(k.alias("page_id"), told(SITE, "p", k).alias("url"), html.alias("html"))
-    even = table(s, d, "nation").filter("n_nationkey % 2 = 0")
-    known = even.select(told("sys", F.col("n_nationkey")).alias("system_id"), F.lit("Known").alias("name"), told("/en/S", F.col("n_nationkey")).alias("route"))
-    return directory.systems_from_pages(pages, known, ["login"])
-
-
-@query("SELECT l_orderkey AS page_id, count(DISTINCT l_partkey) AS entries, count(*) AS markers FROM lineitem GROUP BY 1 HAVING count(DISTINCT l_partkey) >= 3 AND count(*) >= 3")
-def flat_directories(s, d):
-    """Pages with many flat links and item markers"""
-    link = told('<a class="item" href="p', F.col("l_partkey"), '">x</a><a href="/en/p">y</a>')
-    pages = table(s, d, "lineitem").groupBy(F.col("l_orderkey").alias("page_id")).agg(F.array_join(F.collect_list(link), "").alias("html"))
-    return directory.flat_directory(pages, 3, 3).select("page_id", "entries", F.col("markers").cast("long").alias("markers"))
-
-
 @query("""WITH o AS (SELECT '/en/c' || o_custkey AS route, count(*) AS pages, min(o_orderkey) AS first_page FROM orders GROUP BY 1), c AS (SELECT '/en/c' || c_custkey AS route FROM customer WHERE c_nationkey < 20)
 SELECT coalesce(o.route, c.route) AS route, coalesce(pages, 0) AS pages, first_page, CASE WHEN c.route IS NULL THEN 'snapshot' WHEN o.route IS NULL THEN 'index' ELSE 'index,snapshot' END AS evidence
 FROM o FULL JOIN c ON o.route = c.route""")
@@ -151,27 +130,6 @@ def shared_suppliers(s, d):
     return quality.unique_gate(table(s, d, "lineitem"), "l_suppkey", "l_returnflag").withColumn("owners", F.array_join("owners", ","))
 
 
-@query("""SELECT result, count(*) AS links FROM (SELECT CASE WHEN o_custkey NOT IN (SELECT c_custkey FROM customer) OR o_orderkey % 5 = 4 THEN 'missing' WHEN o_orderkey % 5 = 0 THEN 'existing'
-WHEN o_orderkey % 5 = 1 THEN 'encoding_mismatch' WHEN o_orderkey % 5 = 2 THEN 'wrong_directory' ELSE 'wrong_namespace' END AS result FROM orders) GROUP BY 1""")
-def customer_routes(s, d):
-    """Q06: links against the known routes: existing, encoded otherwise, in a wrong directory or namespace, missing"""
-    c, k = F.col("o_custkey"), F.col("o_orderkey") % 5
-    there = F.when(k == 0, told("/en/parent:c", c)).when(k == 1, told("/en/parent%3Ac", c)).when(k == 2, told("/en/x/parent:c", c)).when(k == 3, told("/de/parent:c", c)).otherwise(told("/en/none", c))
-    links = table(s, d, "orders").select(F.col("o_orderkey").alias("page_id"), there.alias("route"))
-    routes = table(s, d, "customer").select(told("/en/parent:c", F.col("c_custkey")).alias("route"))
-    return quality.route_audit(links, routes).groupBy("result").agg(F.count(F.lit(1)).alias("links"))
-
-
-@query("""SELECT '/en/c' || o_custkey AS route, o_custkey IN (SELECT c_custkey FROM customer WHERE c_nationkey < 20) AS in_catalog, count(*) AS links FROM orders
-WHERE o_orderstatus <> 'O' GROUP BY o_custkey""")
-def external_links(s, d):
-    """Q07: own pages that are linked by absolute URL, and whether the catalog has them"""
-    route = told("/en/c", F.col("o_custkey"))
-    href = F.when(F.col("o_orderstatus") == "O", route).otherwise(told("HTTPS://w.example", route))
-    catalog = table(s, d, "customer").filter("c_nationkey < 20").select(told("/en/c", F.col("c_custkey")).alias("route"))
-    return quality.external_audit(table(s, d, "orders").select(href.alias("href"), route.alias("route")), catalog)
-
-
 @query("""SELECT c_custkey AS k, 'missing' AS side FROM customer WHERE c_custkey NOT IN (SELECT user_id FROM events WHERE user_id IS NOT NULL) UNION ALL
 SELECT DISTINCT user_id, 'extra' FROM events WHERE user_id NOT IN (SELECT c_custkey FROM customer)""")
 def customers_and_users(s, d):
@@ -180,12 +138,6 @@ def customers_and_users(s, d):
     return rel.set_difference(table(s, d, "customer").select(F.col("c_custkey").alias("k")), users.select(F.col("user_id").alias("k")), "k")
 
 
-@query("SELECT l_orderkey AS page_id, greatest(count(*) + 1, 2) AS repeats FROM lineitem GROUP BY 1")
-def repeated_rows(s, d):
-    """The most frequent kind of child of any container of a page"""
-    return directory.max_repeat(dom.dom_nodes(line_pages(s, d))).groupBy("page_id").agg(F.max("repeats").alias("repeats"))
-
-
 @query("""SELECT s_suppkey, CASE s_suppkey % 4 WHEN 0 THEN 'https://w.example/f' || s_suppkey WHEN 1 THEN 'https://w.example/u' || s_suppkey WHEN 2 THEN 'https://w.example/s' || s_suppkey
 ELSE 'https://w.example/x' || s_suppkey END AS url FROM supplier""")
 def base_urls(s, d):

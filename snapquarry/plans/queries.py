@@ -73,11 +73,10 @@ def visible_text(s, d):
 
 @query(r"""SELECT page_id, regexp_extract(html, '<html lang="([^"]*)"', 1) AS lang, (length(html) - length(replace(html, 'track(', ''))) // 6 AS track, contains(html, '<nav') AS has_nav, contains(html, 'class="ad"') AS has_ad FROM pages""")
 def script_calls(s, d):
-    """T12, T13, T15"""
+    """T12, T15"""
     p = table(s, d, "pages")
-    calls = extract.script_calls(p).select("page_id", F.col("track").cast("long").alias("track"))
-    langs = extract.i18n_refs(p).filter("kind = 'lang'").select("page_id", F.col("value").alias("lang"))
-    return calls.join(extract.page_features(p).select("page_id", "has_nav", "has_ad"), "page_id").join(langs, "page_id")
+    lang = F.regexp_extract("html", '<html lang="([^"]*)"', 1)
+    return extract.page_features(extract.script_calls(p, keep=True), keep=True).select("page_id", lang.alias("lang"), F.col("track").cast("long").alias("track"), "has_nav", "has_ad")
 
 
 @query("""SELECT f AS feature, count(*) AS pages, min(page_id) AS first_page FROM (SELECT page_id, unnest(list_filter([CASE WHEN contains(html, '<nav') THEN 'has_nav' END, CASE WHEN contains(html, 'class="ad"') THEN 'has_ad' END], lambda x: x IS NOT NULL)) AS f FROM pages) GROUP BY 1""")
@@ -687,7 +686,7 @@ def search_page_table(s, d):
 def reachable_suppliers(s, d):
     """I01, I02"""
     edges = table(s, d, "lineitem").select(F.col("l_suppkey").alias("src"), ((F.col("l_suppkey") * 7 + 1) % 100).alias("dst")).distinct()
-    return graph.reachable(edges, s.range(1).select(F.col("id").alias("node")), 8)
+    return graph.reachable(edges, s.range(1).select(F.col("id").alias("node")), 8, cut=True)
 
 
 @query(rf"""WITH l AS ({LINKS}), p AS (SELECT regexp_replace(regexp_extract(target, '^[a-z]+://[^/?#]*([^?#]*)', 1), '/+$', '') AS route, page_id FROM l)
@@ -700,13 +699,13 @@ def link_frontier(s, d):
     return out.groupBy("state").agg(F.count(F.lit(1)).alias("routes"), F.sum("links").alias("links"))
 
 
-@query("SELECT p.l_partkey AS url, 'line' AS type, coalesce(r.n, 0) AS ref_count FROM (SELECT DISTINCT l_partkey FROM lineitem) p LEFT JOIN (SELECT l_partkey, count(*) AS n FROM lineitem WHERE l_returnflag = 'R' GROUP BY 1) r USING (l_partkey)")
+@query("SELECT p.l_partkey AS url, sha256(p.l_partkey::VARCHAR) AS asset_id, 'line' AS type, coalesce(r.n, 0) AS ref_count FROM (SELECT DISTINCT l_partkey FROM lineitem) p LEFT JOIN (SELECT l_partkey, count(*) AS n FROM lineitem WHERE l_returnflag = 'R' GROUP BY 1) r USING (l_partkey)")
 def carried_assets(s, d):
     """X04"""
     li = table(s, d, "lineitem")
     before = li.filter("l_returnflag <> 'R'").select(F.col("l_partkey").cast("string").alias("url"), F.sha2(F.col("l_partkey").cast("string"), 256).alias("asset_id"), F.lit("line").alias("type")).distinct()
     out = incremental.carry_forward(before, li.filter("l_returnflag = 'R'").select(F.col("l_partkey").cast("string").alias("url"), F.lit("line").alias("type")))
-    return out.select(F.col("url").cast("long").alias("url"), "type", "ref_count")
+    return out.select(F.col("url").cast("long").alias("url"), "asset_id", "type", "ref_count")
 
 
 @query("SELECT doc_id FROM documents WHERE doc_id NOT IN (SELECT doc_id FROM labels WHERE quality = 1)")
@@ -730,16 +729,6 @@ def visible_children(s, d):
     return search.visible_subcategories(t).withColumn("children", F.array_join("children", ","))
 
 
-@query("SELECT CASE WHEN doc_id % 11 = 0 THEN 'not_found' WHEN doc_id % 13 = 0 THEN 'network_error' WHEN lang = 'de' THEN 'redirected' WHEN doc_id % 17 = 0 OR source = 'src3' THEN 'invalid' ELSE 'available' END AS status, count(*) AS n FROM documents GROUP BY 1")
-def fetch_classes(s, d):
-    """F10"""
-    code = F.when(F.col("doc_id") % 11 == 0, 404).when(F.col("doc_id") % 13 == 0, 503).when(F.col("doc_id") % 17 == 0, 301).otherwise(200)
-    u = F.concat(F.lit("https://a.example/en/"), F.col("doc_id").cast("string"))
-    final = F.when(F.col("lang") == "de", F.lit("https://a.example/en/home")).otherwise(u)
-    body = F.when(F.col("source") == "src3", F.lit("<h1>Page not found</h1>")).otherwise(F.lit("text"))
-    return table(s, d, "documents").select(urls.classify_fetch(code, u, final, body).alias("status")).groupBy("status").agg(F.count(F.lit(1)).alias("n"))
-
-
 @query("SELECT n_regionkey AS k, 'confirmed' AS discovery_status, count(*) AS n FROM nation WHERE n_regionkey < 3 GROUP BY 1")
 def confirmed_regions(s, d):
     """F03"""

@@ -39,26 +39,6 @@ def nested_keys(s, d):
     return r.select("entity_id", F.col("source_locator.row_index").alias("row_index"), "key", F.array_join("nested_keys", ",").alias("nested_keys"))
 
 
-@query("SELECT o_orderkey::VARCHAR AS entity_id, unnest(['base_stat', 'affix']) AS record_type, unnest(['modifier:b' || o_custkey, 'modifier:a' || o_custkey]) AS key, unnest(['base ' || o_orderstatus, 'affix ' || o_orderpriority]) AS text, 'base ' || o_orderstatus AS variant FROM orders WHERE o_orderpriority NOT LIKE '1%'")
-def card_stats(s, d):
-    """Base stats and affixes of current cards; historical ones give none"""
-    c = F.col("o_custkey").cast("string")
-    html = F.concat(F.lit('<div class="card'), F.when(F.col("o_orderpriority").startswith("1"), " previousItem").otherwise(""), F.lit('"><div class="card-header">Item</div><p data-modifier-id="b'), c, F.lit('">base '), "o_orderstatus",
-                    F.lit('</p><div class="tierParent"><p data-modifier-id="a'), c, F.lit('">affix <b>'), "o_orderpriority", F.lit("</b></p></div></div>"))
-    nodes = dom.stored_nodes(table(s, d, "orders").select(F.col("o_orderkey").alias("page_id"), html.alias("html")))
-    return records.card_records(nodes, extract.cards(nodes)).select("entity_id", "record_type", "key", "text", "variant")
-
-
-@query("SELECT s_suppkey::VARCHAR AS entity_id, 'contract:' || s_suppkey || ':level:' || s_nationkey AS key, 'S' || s_suppkey AS section_name, 'level ' || s_nationkey || ' end' AS text FROM supplier WHERE s_nationkey % 5 <> 0")
-def contract_boxes(s, d):
-    """Contract boxes, those in inactive NPC panes left out"""
-    k, n = F.col("s_suppkey").cast("string"), F.col("s_nationkey").cast("string")
-    box = F.concat(F.lit('<div class="d-flex border rounded"><img data-id="'), k, F.lit('" data-level="'), n, F.lit('"><p>S'), k, F.lit("</p><p>level "), n, F.lit("</p><b>end</b></div>"))
-    html = F.when(F.col("s_nationkey") % 5 == 0, F.concat(F.lit('<div class="tab-pane" id="x_NPC">'), box, F.lit("</div>"))).otherwise(box)
-    r = records.contract_records(dom.stored_nodes(table(s, d, "supplier").select(F.col("s_suppkey").alias("page_id"), html.alias("html"))))
-    return r.select("entity_id", "key", "section_name", "text")
-
-
 @query("""SELECT l_orderkey AS page_id, coalesce(arg_min(l_linestatus || l_linenumber, (l_linenumber, l_linestatus)) FILTER (l_returnflag = 'R'), min(l_linestatus)) AS text, CASE WHEN count(*) FILTER (l_returnflag = 'R') > 0 THEN 'record' ELSE 'section' END AS locator_level FROM lineitem GROUP BY 1""")
 def card_effects(s, d):
     """Effect of the first card that has one, else a description"""
@@ -66,13 +46,6 @@ def card_effects(s, d):
     return records.effect_or_description(cards)
 
 
-@query("SELECT l_orderkey::VARCHAR AS entity_id, 'asset:' || l_returnflag || ':occurrence:' || dense_rank() OVER (PARTITION BY l_orderkey, l_returnflag ORDER BY l_linenumber) || ':level:' || l_linestatus AS key, l_partkey::VARCHAR AS text FROM lineitem")
-def trait_keys(s, d):
-    """Traits by icon, occurrence and level"""
-    e = table(s, d, "lineitem").select(F.col("l_orderkey").alias("page_id"), F.col("l_linenumber").alias("order"), F.col("l_returnflag").alias("icon"), F.col("l_linestatus").alias("level"), F.col("l_partkey").cast("string").alias("text"))
-    return records.trait_records(e).select("entity_id", "key", "text")
-
-
 @query("""SELECT page_id, talent_id, row_index, name, CASE WHEN row_index = 0 THEN p_size % 7 END::INT AS points, (p_partkey % 4)::INT AS allocated, 5 AS maximum, 'adds ' || p_size AS effect,
 CASE WHEN name LIKE '小型%' THEN 'minor' WHEN name LIKE '中型%' THEN 'medium' WHEN name LIKE '传奇中型%' THEN 'legendary_medium' ELSE 'major_named' END AS kind
 FROM (SELECT p_partkey AS page_id, p_partkey, p_size, unnest([0, 1])::INT AS row_index, unnest(['a', 'b']) || p_partkey AS talent_id,
@@ -98,30 +71,6 @@ def fate_cards(s, d):
     return records.fate_records(dom.stored_nodes(table(s, d, "orders").select(F.col("o_orderkey").alias("page_id"), html.alias("html"))))
 
 
-@query("SELECT l_suppkey::VARCHAR AS entity_id, 'modifier:' || l_partkey || CASE WHEN count(*) OVER (PARTITION BY l_suppkey, l_partkey) > 1 THEN ':tier:' || l_linenumber ELSE '' END AS key, l_returnflag AS text FROM lineitem")
-def growth_keys(s, d):
-    """Growth modifiers, repeated ones told apart by tier"""
-    g = table(s, d, "lineitem").select(F.col("l_suppkey").alias("page_id"), F.col("l_orderkey").alias("order"), F.col("l_partkey").cast("string").alias("modifier_id"), F.col("l_linenumber").alias("tier"), F.col("l_returnflag").alias("text"))
-    return records.skill_records(g).select("entity_id", "key", "text")
-
-
-@query("SELECT k AS page_id, string_agg(p, ' ' ORDER BY f) AS text FROM (SELECT o_custkey AS k, o_orderpriority AS p, min((o_orderstatus, o_orderkey)) AS f FROM orders GROUP BY 1, 2) GROUP BY 1")
-def effect_texts(s, d):
-    """Different effects of a page, joined in order"""
-    return records.skill_effects(table(s, d, "orders").select(F.col("o_custkey").alias("page_id"), F.col("o_orderstatus").alias("rank"), F.col("o_orderkey").alias("order"), F.col("o_orderpriority").alias("text")))
-
-
-@query("""SELECT o_custkey::VARCHAR AS entity_id, 'recipe:' || o_orderkey AS key, o_orderpriority AS text, (o_orderkey % 5)::INT AS talent_level, m.materials FROM orders LEFT JOIN (SELECT l_orderkey, string_agg('m' || l_partkey || '*' || (l_linenumber + 1), ',' ORDER BY l_linenumber, 'm' || l_partkey) AS materials FROM lineitem GROUP BY 1) m ON l_orderkey = o_orderkey""")
-def recipe_cards(s, d):
-    """Recipes with materials and quantities"""
-    o = table(s, d, "orders").select(F.col("o_custkey").alias("page_id"), F.col("o_orderkey").alias("card_id"), F.col("o_orderpriority").alias("effect"), F.concat(F.lit("Lv."), (F.col("o_orderkey") % 5).cast("string")).alias("talent_text"))
-    name = F.concat(F.lit("m"), F.col("l_partkey").cast("string"))
-    li = table(s, d, "lineitem").select(F.col("l_orderkey").alias("card_id"), F.col("l_linenumber").alias("pos"), name.alias("name"), F.lit("/m").alias("route"), F.concat(name, F.lit(" x"), (F.col("l_linenumber") + 1).cast("string")).alias("card_text"))
-    r = records.recipe_records(o, li.join(o.select("page_id", "card_id"), "card_id"))
-    listed = F.transform("materials", lambda m: F.concat(m["name"], F.lit("*"), m["quantity"].cast("string")))
-    return r.select("entity_id", "key", "text", "talent_level", F.array_join(listed, ",").alias("materials"))
-
-
 @query(f"SELECT l_orderkey::VARCHAR AS entity_id, i::INT AS row_index, 'lines' AS anchor, 'modifier:' || l_partkey AS key, 'Order ' || l_orderkey || ' lines ' || l_linenumber AS search_text FROM ({LINES})")
 def record_landings(s, d):
     """Records with their entity, landing and search text"""
@@ -160,14 +109,3 @@ def family_templates(s, d):
     counted = lambda rows, rules, name: quality.template_group(rows, rules).groupBy("template").agg(F.count(F.lit(1)).alias("n")).withColumn("family", F.lit(name))
     out = counted(skills, quality.skill_templates(), "skill").unionByName(counted(items, quality.legendary_templates(), "legendary"))
     return out.unionByName(counted(talents, quality.talent_templates(["Brand#1"], ["Brand#2"]), "talent"))
-
-
-@query("""WITH p AS (SELECT o_custkey AS page_id, count(*) AS n, count(DISTINCT o_orderpriority) AS u FROM orders GROUP BY 1)
-SELECT page_id, CASE WHEN n % 11 = 0 THEN 'empty_or_invalid' WHEN u >= 2 AND n >= 6 THEN 'confirmed_directory' WHEN n >= 6 AND u = 1 THEN 'needs_review' WHEN n >= 2 AND n % 2 = 0 THEN 'navigation_only' ELSE 'needs_review' END AS page_type FROM p""")
-def directory_types(s, d):
-    """kinds of directory pages"""
-    p = table(s, d, "orders").groupBy(F.col("o_custkey").alias("page_id")).agg(F.count(F.lit(1)).alias("n_links"), F.count_distinct("o_orderpriority").alias("n_unique"))
-    n, no = F.col("n_links"), F.lit(False)
-    p = p.select("page_id", "n_links", "n_unique", F.when(n % 11 == 0, 404).otherwise(200).alias("status"), no.alias("redirected"), F.lit("x").alias("text"), F.when(n % 2 == 0, n).otherwise(0).alias("n_nav"), (n >= 6).alias("has_container"),
-                 F.when(n >= 6, 2).otherwise(0).alias("repeats"), no.alias("has_table"), no.alias("relation_hint"), F.lit(None).cast("int").alias("displayed"), F.lit(1).alias("n_paragraphs"), no.alias("flat"))
-    return directory.classify_directory(p).select("page_id", "page_type")

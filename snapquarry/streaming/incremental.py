@@ -59,4 +59,4 @@ def carry_forward(previous: DataFrame, refs: DataFrame) -> DataFrame:
     """Assets of before and of now, identity kept, counts made anew. previous(url, asset_id, type), refs(url, type)."""
     now = refs.groupBy("url").agg(F.count(F.lit(1)).alias("ref_count"), F.min("type").alias("_type"))
     j = previous.join(now, "url", "full_outer")
-    return j.select("url", F.coalesce("asset_id", F.substring(F.sha2("url", 256), 1, 16)).alias("asset_id"), F.coalesce("type", "_type").alias("type"), F.coalesce("ref_count", F.lit(0)).alias("ref_count"))
+    return j.select("url", F.coalesce("asset_id", F.sha2("url", 256)).alias("asset_id"), F.coalesce("type", "_type").alias("type"), F.coalesce("ref_count", F.lit(0)).alias("ref_count"))

@@ -57,13 +57,6 @@ def test_assets(spark, nodes):
     assert sorted((r.kind, r.ref) for r in extract.css_refs(css).collect()) == [("font", "/f.woff"), ("import", "/i.css"), ("url", "/p.png")]
 
 
-def test_cards(nodes):
-    cards = extract.cards(nodes)
-    assert sorted(r.kind for r in cards.collect()) == ["current", "historical"]
-    out = records.card_records(nodes, cards).orderBy("key").collect()
-    assert [(r.key, r.record_type, r.text, r.variant) for r in out] == [("modifier:a", "base_stat", "base", "base"), ("modifier:b", "affix", "affix in", "base")]
-
-
 def test_visible_text_and_lines(spark):
     p = spark.createDataFrame([(1, '<nav>no</nav><p>one <b>two</b></p>three<div id="skip">x</div><div class="tab-pane">y</div>')], "page_id long, html string")
     n = dom.dom_nodes(p)

@@ -100,12 +100,21 @@ def test_closure_to_the_end(spark):
     assert asset_closure(pages, chain, max_rounds=2).count() == 3
 
 
-def test_all_languages(spark):
-    pages = spark.createDataFrame([(1, """<html lang="en"><script>load('/i18n/${lang}.json'); load('plain.json')</script>""")], "page_id long, html string")
-    langs = spark.createDataFrame([(f"l{i}",) for i in range(70)] + [("l0",)], "lang string")
-    got = sorted((r.kind, r.value) for r in i18n_refs(pages, langs).collect())
-    assert got == sorted([("lang", "en"), ("file", "plain.json"), *[("file", f"/i18n/l{i}.json") for i in range(70)]])
-    assert i18n_refs(pages, langs.limit(0)).count() == 2
+def test_languages(spark):
+    """Only files of languages and translations; languages only from pages that have text keys."""
+    from snapquarry.operators.extract import i18n_resources
+
+    script = "<script>load(`/i18n/${lang}.json`); get('/data/prices.json'); get('i18n/x.json?v=1'); get(\"https://c.example/Locale_a.json\")</script>"
+    rows = [(1, f'<html lang="en"><b data-i18n="k|1">x</b>{script}'), (2, '<html lang="fr"><b>no key</b></html>'), (3, """<html class="a" lang='de'><i data-i18n='k|2'>y</i>"""), (4, None), (5, "")]
+    pages = spark.createDataFrame(rows, "page_id long, html string")
+    got = sorted((r.page_id, r.kind, r.value) for r in i18n_refs(pages).collect())
+    assert got == [(1, "file", "/i18n/${lang}.json"), (1, "file", "https://c.example/Locale_a.json"), (1, "file", "i18n/x.json?v=1"), (1, "key", "k|1"), (1, "lang", "en"), (3, "key", "k|2"), (3, "lang", "de")]
+    got = sorted(tuple(r) for r in i18n_resources(pages, "https://w.example/").collect())
+    runtime = "runtime_language_loader"
+    assert got == [("https://c.example/Locale_a.json", "direct_json", 1, [1]), ("https://w.example/i18n/de.json", runtime, 1, [1]), ("https://w.example/i18n/en.json", runtime, 1, [1]), ("https://w.example/i18n/x.json?v=1", "direct_json", 1, [1])]
+    many = spark.createDataFrame([(k, f'<html lang="l{k}"><b data-i18n="k">x</b> "/i18n/${{lang}}.json"') for k in range(70)], "page_id long, html string")
+    out = i18n_resources(many, "https://w.example/").collect()
+    assert len(out) == 70 and all(r.pages == 70 and r.source_pages == [0, 1, 2, 3, 4] for r in out)
 
 
 def test_links_resolve_like_the_standard_library(spark):
