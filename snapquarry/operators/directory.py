@@ -65,7 +65,7 @@ def systems_from_pages(pages: DataFrame, known: DataFrame, utility: list[str]) -
     a = anchors(pages).filter((F.col("reason") == "accepted") & (F.col("text") != "")).withColumn("slug", slug).filter(~F.lower("slug").isin(*utility or [""]))
     a = a.select("page_id", "node_id", "route", "slug", "text", "nav").join(known.select("route", F.col("system_id").alias("_id")), "route", "left").filter("nav or _id is not null")
     first = first_by(a, ["route"], ["page_id", "node_id"])
-    plain = F.nullif(F.regexp_replace(F.regexp_replace(F.lower("slug"), "[^a-z0-9]+", "_"), "^_+|_+$", ""), F.lit(""))
+    plain = F.nullif(F.regexp_replace(F.regexp_replace(F.lower(F.coalesce(F.try_url_decode("slug"), F.col("slug"))), "[^a-z0-9]+", "_"), "^_+|_+$", ""), F.lit(""))
     rows = first.select(F.coalesce("_id", F.concat(F.lit("candidate_"), F.coalesce(plain, F.lit("unknown")))).alias("system_id"), F.col("text").alias("name"), "route", F.when(F.col("_id").isNotNull(), "confirmed").otherwise("candidate").alias("discovery_status"), "page_id", "node_id")
     return append_missing(unique_ids(rows, "system_id", ["page_id", "node_id"]).drop("page_id", "node_id"), known.select("system_id", "name", "route", F.lit("confirmed").alias("discovery_status")), "route")
 
