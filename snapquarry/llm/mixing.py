@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import math
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
@@ -64,7 +65,7 @@ def plan(docs: DataFrame, *, cycle: tuple[float, ...] = (1, 2, 3), most: float =
     out = rows.join(known, ["part", "skey"]).withColumn("each", each).withColumn("rank", rank)
 
     def copies(shift: Column) -> Column:
-        return F.least(F.floor(shift + (F.col("rank") + 1) * F.col("each")) - F.floor(shift + F.col("rank") * F.col("each")), F.lit(int(most)))
+        return F.least(F.floor(shift + (F.col("rank") + 1) * F.col("each")) - F.floor(shift + F.col("rank") * F.col("each")), F.lit(math.ceil(most)))
 
     offset = lambda k: F.pmod(F.xxhash64(F.lit(seed), F.lit(k), "skey"), F.lit(1_000_003)) / F.lit(1_000_003.0)
     tried = out.groupBy("skey").agg(F.first("target").alias("goal"), *[F.sum(copies(offset(k)) * F.col("size")).alias(f"t{k}") for k in range(tries)])

@@ -59,12 +59,9 @@ def pieces(docs: DataFrame, *, path: str | None = None, room: int = ROOM, end_id
     return bounded(docs).select("doc_id", "text").mapInArrow(cut, schema)
 
 
-def search(lengths: list[int], room: int = ROOM, exchanges: int = 20_000) -> list[list[int]]:
-    """Bins of indices, each with at most `room` in sum. Starts from best fit by falling length, then exchanges
-    between all underfull bins, one for one, two for one, or one moved, always from a bin to a fuller one, so that the sum
-    of squared fills grows; a bin that runs empty goes. Ends when no exchange is left, when no fewer bins are possible,
-    or after `exchanges` of them (each grows the sum, so there is an end without it too; 20,000 were never reached in
-    groups of 4,096 pieces). Ties go to the earlier piece; a length over `room` is an error."""
+def best_fit(lengths: list[int], room: int = ROOM) -> tuple[list[list[int]], list[int]]:
+    """(bins of indices, their fills): the longest pieces first, each into the fullest bin that has room for it. Ties go to
+    the earlier piece; a length over `room` is an error."""
     if lengths and max(lengths) > room:
         raise ValueError(f"a piece is longer than {room}")
     bins: list[list[int]] = []
@@ -91,18 +88,27 @@ def search(lengths: list[int], room: int = ROOM, exchanges: int = 20_000) -> lis
                 at[gap - n] = []
                 bisect.insort(left, gap - n)
             at[gap - n].append(b)
+    return bins, fill
+
+
+def search(lengths: list[int], room: int = ROOM) -> list[list[int]]:
+    """Bins of indices, each with at most `room` in sum. Starts from best fit by falling length, then exchanges
+    between all underfull bins, one for one, two for one, or one moved, always from a bin to a fuller one, so that the sum
+    of squared fills grows; a bin that runs empty goes. Ends when no exchange is left (each grows the sum, so there is an
+    end) or when no fewer bins are possible."""
+    bins, fill = best_fit(lengths, room)
     least, used, again = -(-sum(lengths) // room), len(bins), True
-    while again and used > least and exchanges > 0:
+    while again and used > least:
         again, inside = False, None
         for low in sorted((b for b in range(len(bins)) if 0 < fill[b] < room), key=lambda b: fill[b]):
-            while fill[low] and used > least and exchanges > 0:
+            while fill[low] and used > least:
                 inside = inside or _Inside(bins, fill, lengths, room)
                 found = inside.partner(low)
                 if found is None:
                     break
                 high, up, down = found
                 _swap(bins, fill, lengths, low, high, up, down)
-                again, inside, exchanges = True, None, exchanges - 1
+                again, inside = True, None
                 used -= not fill[low]
     return [b for b in bins if b]
 
@@ -156,14 +162,16 @@ def _swap(bins: list, fill: list, lengths: list, low: int, high: int, up: list,
 
 def pack(cut: DataFrame, *, room: int = ROOM, group: int = 4096, n_pieces: int | None = None) -> DataFrame:
     """One row a packed sequence: sequence_id, length, ids (the joined ids of its pieces, two bytes each where all fit,
-    else four) and pieces, array of (doc_id, piece, start, length) in the order in which they stand. Pieces are dealt at
-    random over groups of about `group`, which are packed apart; a group leaves about one bin underfull, so the
+    else four) and pieces, array of (doc_id, piece, start, length) in the order in which they stand. Pieces are dealt by a
+    hash of their running number over groups of about `group`, which are packed apart, so equal ones spread as others do (a `cut` that isn't a stored
+    table is stored first, so that numbers stay when a task is run again); a group leaves about one bin underfull, so the
     sequences exceed the fewest possible by about one in a thousand. A group takes at most 16 MB of ids. A piece longer
     than `room` is an error; pieces without a document keep a null id; other columns of `cut` are left out; equal pieces
     are packed each for itself; no pieces give no sequences."""
+    cut = cut if getattr(cut, "_stored_at", "") else store(cut, "pieces")
     n = cut.count() if n_pieces is None else n_pieces
     groups, names = max(1, round(n / group)), ["doc_id", "piece", "start", "length"]
-    dealt = cut.select(*names, "ids", F.col("ids_crc32").alias("_crc"), F.pmod(F.xxhash64("doc_id", "piece", "ids_crc32"), F.lit(groups)).alias("_group"))
+    dealt = cut.select(*names, "ids", F.col("ids_crc32").alias("_crc"), F.pmod(F.xxhash64(F.monotonically_increasing_id()), F.lit(groups)).alias("_group"))
     dealt = dealt.repartition(tasks_for(cut.sparkSession, groups), "_group").sortWithinPartitions("_group", "doc_id", "piece", "_crc")
 
     def filled(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:

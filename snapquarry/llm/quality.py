@@ -91,22 +91,33 @@ def held_out(fold: int, of: int):
     return F.pmod(F.crc32(F.coalesce(F.col("doc_id").cast("string"), F.lit(""))), F.lit(of)) == fold
 
 
-def sample(docs: DataFrame, labels: DataFrame, label: str, fold: int, of: int, most: int) -> DataFrame:
-    """At most `most` labelled documents outside the held-out fold, by hash order: text and y. Only ids and labels
-    of this bounded sample are broadcast."""
-    ids = labels.filter(F.col(label).isNotNull() & ~held_out(fold, of)).select("doc_id", F.col(label).cast("int").alias("y"))
+def sample(docs: DataFrame, labels: DataFrame, label: str, fold: int, of: int, most: int, most_bytes: int) -> DataFrame:
+    """At most `most` different labelled documents outside the held-out fold, of `most_bytes` bytes in all: text and y.
+    Documents are taken in the order of a hash of their id, then id, then hash of the text, as long as they fit; rows with
+    equal id and text count once, and an id with several labels has the greatest. What goes through the driver is a row of fixed size for each
+    of them, and only these rows are broadcast."""
+    spark = docs.sparkSession
+    ids = labels.filter(F.col(label).isNotNull() & ~held_out(fold, of)).groupBy("doc_id").agg(F.max(F.col(label).cast("int")).alias("y"))
     ids = ids.orderBy(F.xxhash64(F.lit(3), "doc_id"), "doc_id").limit(most)
-    return docs.select("doc_id", "text").join(F.broadcast(ids), "doc_id").select("text", "y")
-
-
-def train(docs: DataFrame, labels: DataFrame, *, fold: int = 0, of: int = 5, most: int = 6000) -> Ranker:
-    """Fit on at most `most` labelled rows outside the fold; their features are made on the executors."""
+    named = docs.select("doc_id", "text").withColumn("named", F.xxhash64("text"))
+    known = named.join(F.broadcast(ids), "doc_id").select("doc_id", "named", "y", F.coalesce(F.octet_length("text"), F.lit(0)).alias("size")).distinct()
+    chosen, left = [], most_bytes
+    for r in known.orderBy(F.xxhash64(F.lit(3), "doc_id"), "doc_id", "named").limit(most).collect():
+        if r["size"] <= left:
+            chosen.append((r.doc_id, r.named, r.y))
+            left -= r["size"]
+    keys = spark.createDataFrame(chosen, f"doc_id {docs.schema['doc_id'].dataType.simpleString()}, named long, y int")
+    return named.join(F.broadcast(keys), ["doc_id", "named"]).dropDuplicates(["doc_id", "named"]).select("text", "y")
+
+
+def train(docs: DataFrame, labels: DataFrame, *, fold: int = 0, of: int = 5, most: int = 6000, most_bytes: int = 1 << 30) -> Ranker:
+    """Fit on at most `most` labelled rows of `most_bytes` bytes outside the fold; their features are made on the executors."""
     def vectors(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             x = features(batch.column("text"))
             yield pa.RecordBatch.from_arrays([pa.array(list(x), pa.list_(pa.float64())), batch.column("y").cast(pa.int32())], names=["x", "y"])
 
-    rows = sample(docs, labels, "quality", fold, of, most).mapInArrow(vectors, "x array<double>, y int").collect()
+    rows = sample(docs, labels, "quality", fold, of, most, most_bytes).mapInArrow(vectors, "x array<double>, y int").collect()
     rows = sorted((r.y, tuple(r.x)) for r in rows)
     x = np.array([r[1] for r in rows], dtype=float).reshape(-1, len(FEATURES))
     return fit(x, np.array([r[0] for r in rows], dtype=int))

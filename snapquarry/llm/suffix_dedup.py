@@ -396,7 +396,9 @@ def dedupe(docs: DataFrame, *keep: str, block_bytes: int = 8 << 20, hot: int = H
     """doc_id, further kept columns, n_bytes, spans (array of start, end: maximal removed byte runs) and kept (the other
     bytes): every byte is removed that a 50-byte string covers which also starts in a document with a smaller doc_id.
 
-    Texts are dealt once, over blocks of about `block_bytes`. A window of 50 bytes is named by the smallest hash of its
+    Texts are dealt once, by a hash of their running number, over blocks of about `block_bytes`; so repeated rows and rows without ids
+    spread as others do. The number is that of a row in the table as it is read, which is the same when a task is run again; docs that
+    come out of a shuffle are to be stored first. A window of 50 bytes is named by the smallest hash of its
     20-byte grams; neighbouring windows of one name form a string. Blocks send names alone to their shards and hear
     which of them several documents have; they send the strings of these, each different one once, with its smallest
     document. A shard sorts the suffixes of the different strings of shared names, reads off equal windows from their
@@ -412,8 +414,8 @@ def dedupe(docs: DataFrame, *keep: str, block_bytes: int = 8 << 20, hot: int = H
     blocks, shards = blocks_for(size, block_bytes), max(16, blocks_for(size, 3 << 20))
     n_blocks, n_shards = tasks_for(spark, blocks), tasks_for(spark, shards)
     cols = list(dict.fromkeys(["doc_id", *keep]))
-    rows = _placed(bounded(docs).select(*cols, "text"))
-    dealt = rows.withColumn("block", F.pmod(F.xxhash64("doc_id", "text"), F.lit(blocks)).cast("int")).repartition(n_blocks, "block")
+    block = F.pmod(F.xxhash64(F.monotonically_increasing_id()), F.lit(blocks)).cast("int")
+    dealt = _placed(bounded(docs).select(*cols, "text", block.alias("block"))).repartition(n_blocks, "block")
     # all columns go along each time, so that the texts are shuffled once and the exchange is used again
     named = dealt.sortWithinPartitions("block").mapInArrow(_named(shards), "shard int, block int, plain binary, more binary, marks binary")
     told = named.repartition(n_shards, "shard").sortWithinPartitions("shard").mapInArrow(_repeated(hot), "block int, shard int, names binary, often binary")

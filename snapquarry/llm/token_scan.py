@@ -15,6 +15,8 @@ from .tokens import encoded, tokenizer_path
 #: Bytes of a block (blocks are cut without regard to documents), blocks under one running sum, and the largest file that
 #: one task reads whole.
 BLOCK, RANGE, SMALL = 1 << 20, 1024, 64 << 20
+#: Least bytes of a record of a large file.
+LEAST = 1 << 12
 
 
 def write_flat(docs: DataFrame, *, path: str | None = None, end_id: int = 50256, block: int = BLOCK) -> tuple[DataFrame, DataFrame]:
@@ -57,8 +59,17 @@ def read_flat(spark: SparkSession, path: str, *, block: int = BLOCK, small: int
     """blocks(file, block, payload) of flat token files in any store that Spark reads. Names and lengths are listed (one
     row per file comes to the driver, no content). A file of up to `small` bytes is read and cut by one task; a larger
     one is read as records of a fixed length, each range of them by its own task, so files may exceed what a row or a
-    task holds. The record is the largest divisor of the file's length that fits a block."""
+    task holds. The record is the largest divisor of the file's length that fits a block. Where that is under LEAST bytes (the length
+    is nearly a prime), the file is read by one task, which is an error beyond 2 GB: pad such files by end ids. A file whose length isn't
+    a multiple of `width` is damaged, and an error that names it."""
     whole = spark.read.format("binaryFile").load(path)
+    damaged = whole.filter(F.col("length") % width != 0).select("path", "length").first()
+    if damaged:
+        raise ValueError(f"{damaged.path}: {damaged.length} bytes are no whole number of {width}-byte ids")
+    records = [(r.path, next((d for d in range(block - block % width, 0, -width) if r.length % d == 0))) for r in whole.filter(F.col("length") > small).select("path", "length").toLocalIterator()]
+    large = {p: d for p, d in records if d >= min(LEAST, block)}
+    if too_large := whole.filter((F.col("length") >= 1 << 31) & ~F.col("path").isin(*large or [""])).select("path").first():
+        raise ValueError(f"{too_large.path}: its length has no divisor to cut it by; pad it with end ids")
 
     def cut(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
@@ -66,13 +77,12 @@ def read_flat(spark: SparkSession, path: str, *, block: int = BLOCK, small: int
                 for i in range(0, len(data), block):
                     yield pa.RecordBatch.from_arrays([pa.array([name]), pa.array([i // block], pa.int64()), pa.array([data[i : i + block]], pa.binary())], names=["file", "block", "payload"])
 
-    out = whole.filter(F.col("length") <= small).select("path", "content").mapInArrow(cut, "file string, block long, payload binary")
-    for r in whole.filter(F.col("length") > small).select("path", "length").toLocalIterator():
-        record = next(d for d in range(block - block % width, 0, -width) if r.length % d == 0)
+    out = whole.filter(~F.col("path").isin(*large or [""])).select("path", "content").mapInArrow(cut, "file string, block long, payload binary")
+    for name, record in large.items():
         conf = {"org.apache.spark.input.FixedLengthBinaryInputFormat.recordLength": str(record)}
-        records = spark.sparkContext.newAPIHadoopFile(r.path, "org.apache.spark.input.FixedLengthBinaryInputFormat", "org.apache.hadoop.io.LongWritable", "org.apache.hadoop.io.BytesWritable", conf=conf)
-        rows = spark.createDataFrame(records.map(lambda kv: (kv[0], bytearray(kv[1]))), "block long, payload binary")
-        out = out.unionByName(rows.select(F.lit(r.path).alias("file"), "block", "payload"))
+        ranges = spark.sparkContext.newAPIHadoopFile(name, "org.apache.spark.input.FixedLengthBinaryInputFormat", "org.apache.hadoop.io.LongWritable", "org.apache.hadoop.io.BytesWritable", conf=conf)
+        rows = spark.createDataFrame(ranges.map(lambda kv: (kv[0], bytearray(kv[1]))), "block long, payload binary")
+        out = out.unionByName(rows.select(F.lit(name).alias("file"), "block", "payload"))
     return out
 
 

@@ -158,7 +158,7 @@ def test_local_search():
         cut = [n for _ in range(40) for n in np.diff([0, *sorted(rng.sample(range(1, 100), rng.randint(1, 3))), 100]).tolist()]
         found = packing.search(cut, 100)
         assert sorted(i for b in found for i in b) == list(range(len(cut))) and all(sum(cut[i] for i in b) <= 100 for b in found)
-        assert len(found) <= min(len(packing.search(cut, 100, exchanges=0)), 42)
+        assert len(found) <= min(len(packing.best_fit(cut, 100)[0]), 42)
 
 
 def test_fingerprint(docs, none, spark, rows):
