@@ -73,7 +73,7 @@ def extension(url: Column) -> Column:
 def asset_path(url: Column, kind: Column) -> Column:
     """Place of an asset: type, two characters of its hash, hash, suffix."""
     h = F.sha2(url, 256)
-    return F.concat_ws("/", kind, F.substring(h, 1, 2), F.concat(F.substring(h, 1, 24), F.when(extension(url) != "", F.concat(F.lit("."), extension(url))).otherwise("")))
+    return F.concat_ws("/", kind, F.substring(h, 1, 2), F.concat(h, F.when(extension(url) != "", F.concat(F.lit("."), extension(url))).otherwise("")))
 
 
 def split_name(name: Column, default: str = "") -> Column:

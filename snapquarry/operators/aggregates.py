@@ -34,25 +34,28 @@ def definitions(tooltips: DataFrame) -> DataFrame:
 def conflicts(tooltips: DataFrame) -> DataFrame:
     """conflict_type, key, severity, occurrence_ids (in order): same title with several texts, same text with several
     titles (null counts as one), duplicate id, missing text, hash mismatch (its key is the file). White space is made
-    alike line by line first."""
-    tooltips = _alike(tooltips)
-    text = tooltips.filter("tooltip_text is not null")
-    ids, own = F.array_sort(F.collect_list("occurrence_id")).alias("ids"), F.array("occurrence_id").alias("ids")
-    kind = lambda df, name, key, severity: df.select(F.lit(name).alias("conflict_type"), F.col(key).cast("string").alias("key"), F.lit(severity).alias("severity"), F.col("ids").alias("occurrence_ids"))
-    title = text.filter("tooltip_title is not null").groupBy("tooltip_title").agg(F.count_distinct("tooltip_text").alias("k"), ids).filter("k > 1")
-    same = text.groupBy("tooltip_text").agg(F.count_distinct(F.coalesce(F.concat(F.lit("v"), "tooltip_title"), F.lit("n"))).alias("k"), ids).filter("k > 1")
-    twice = tooltips.groupBy("occurrence_id").agg(F.count(F.lit(1)).alias("k"), ids).filter("k > 1")
-    out = kind(title, "same_title_different_text", "tooltip_title", "review").unionByName(kind(same, "same_text_different_title", "tooltip_text", "review"))
-    out = out.unionByName(kind(twice, "duplicate_occurrence_id", "occurrence_id", "error")).unionByName(kind(tooltips.filter("tooltip_text is null").withColumn("ids", own), "missing_tooltip_text", "occurrence_id", "review"))
-    return out.unionByName(kind(tooltips.filter("source.hash_match = false").withColumn("ids", own), "source_hash_mismatch", "source.html_file", "review"))
-
-
-def first_n(df: DataFrame, keys: list[str], value: str, n: int, spread: int = 64) -> DataFrame:
-    """Rows with the n smallest values of each key. They are found in `spread` parts of a key first, and then among what
-    these leave, so a key that most rows have is no single task's work."""
-    part = F.pmod(F.xxhash64(value), F.lit(spread))
-    some = df.withColumn("_part", part).withColumn("_n", F.row_number().over(Window.partitionBy(*keys, "_part").orderBy(value))).filter(F.col("_n") <= n)
-    return some.withColumn("_n", F.row_number().over(Window.partitionBy(*keys).orderBy(value))).filter(F.col("_n") <= n).drop("_part", "_n")
+    alike line by line first.
+
+    Texts are cleaned once and go by their hash; one grouping of (kind, key) tells the first three kinds apart, and a text is looked up again
+    for the few groups that are told."""
+    rows = _alike(tooltips).select("tooltip_title", "tooltip_text", "occurrence_id", F.col("source.html_file").alias("file"), F.col("source.hash_match").alias("match"), F.sha2("tooltip_text", 256).alias("h"))
+    kind = lambda name, severity, when, key, value, text=None: F.when(when, F.struct(F.lit(name).alias("conflict_type"), F.lit(severity).alias("severity"), key.cast("string").alias("key"), value.cast("string").alias("value"), (F.lit(None).cast("string") if text is None else text).alias("text")))
+    there, own = F.col("h").isNotNull(), F.col("occurrence_id")
+    every = F.array_compact(F.array(
+        kind("same_title_different_text", "review", there & F.col("tooltip_title").isNotNull(), F.col("tooltip_title"), F.col("h")),
+        kind("same_text_different_title", "review", there, F.col("h"), F.coalesce(F.concat(F.lit("v"), "tooltip_title"), F.lit("n")), F.col("tooltip_text")), kind("duplicate_occurrence_id", "error", own.isNotNull(), own, F.lit("")),
+        kind("missing_tooltip_text", "review", ~there, own, F.lit("")), kind("source_hash_mismatch", "review", ~F.col("match"), F.col("file"), F.lit(""))))
+    each = rows.select("occurrence_id", F.explode(every).alias("c")).select("occurrence_id", "c.*")
+    alone = F.col("conflict_type").isin("missing_tooltip_text", "source_hash_mismatch")
+    g = each.filter(~alone).groupBy("conflict_type", "severity", "key").agg(F.array_sort(F.collect_list("occurrence_id")).alias("occurrence_ids"), F.min("value").alias("a"), F.max("value").alias("b"), F.first("text").alias("text"))
+    told = g.filter((F.col("a") != F.col("b")) | ((F.col("conflict_type") == "duplicate_occurrence_id") & (F.size("occurrence_ids") > 1)))
+    out = told.select("conflict_type", F.coalesce("text", "key").alias("key"), "severity", "occurrence_ids")
+    return out.unionByName(each.filter(alone).select("conflict_type", "key", "severity", F.array("occurrence_id").alias("occurrence_ids")))
+
+
+def first_n(df: DataFrame, keys: list[str], value: str, n: int) -> DataFrame:
+    """Rows with the n smallest values of each key; Spark keeps n of each before it deals them by key."""
+    return df.withColumn("_n", F.row_number().over(Window.partitionBy(*keys).orderBy(value))).filter(F.col("_n") <= n)
 
 
 def link_targets(links: DataFrame, n: int = 5) -> DataFrame:
@@ -80,10 +83,11 @@ def asset_summary(assets: DataFrame) -> DataFrame:
 
 
 def duplicate_groups(df: DataFrame, keys: list[str], value: str, n: int = 5) -> DataFrame:
-    """Keys with more than one row: row count and smallest examples."""
+    """Keys with more than one row: row count and smallest examples. Both are cut before they are dealt by key, so a key that very
+    many rows have is no task's burden."""
     each = df.groupBy(*keys).agg(F.count(F.lit(1)).alias("n")).filter("n > 1")
-    some = df.join(each, keys).withColumn("_n", F.row_number().over(Window.partitionBy(*keys).orderBy(value))).filter(F.col("_n") <= n)
-    return some.groupBy(*keys, "n").agg(F.array_sort(F.collect_list(value)).alias("examples"))
+    first = first_n(df.select(*keys, value), keys, value, n).groupBy(*keys).agg(F.array_sort(F.collect_list(value)).alias("examples"))
+    return each.join(first, keys)
 
 
 def same_text_groups(df: DataFrame, text: str, key: str) -> DataFrame:

@@ -2,9 +2,12 @@
 
 from __future__ import annotations
 
+from dataclasses import dataclass
+
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
+from ..functions.text import clean
 from .relational import first_by
 
 
@@ -76,18 +79,79 @@ def dedup_report(groups: DataFrame) -> DataFrame:
     return g.groupBy(level.alias("confidence"), F.when(level == "medium", medium_class(F.col("sources"))).alias("class"), F.coalesce(group_category(F.col("sources")), F.lit("null")).alias("category")).agg(F.count(F.lit(1)).alias("groups"), F.sum("n").alias("sources"))
 
 
-def enrich(entities: DataFrame, facts: DataFrame) -> DataFrame:
-    """Category, title and summary put over by the kind fact of lowest priority.
-    facts(route, kind, priority, category, title, summary)."""
-    best = facts.groupBy("route").agg(F.min_by(F.struct("kind", "category", "title", "summary"), F.struct("priority", "kind")).alias("f"))
-    out = entities.join(best, "route", "left")
-    return out.select("route", F.coalesce("f.title", "title").alias("title"), "owner", F.coalesce("f.category", "category").alias("category"), "confidence", "sources", F.col("f.kind").alias("entity_type"), F.col("f.summary").alias("clean_summary"))
+@dataclass(frozen=True)
+class Kind:
+    """What a kind of entity says of the entities that are of it. Of several kinds an entity is of the first in the table.
+    shows: it is visible whatever its route is; names: its title is put over the shown title; titles: over the entity's title too. A fact may name another
+    subcategory."""
+
+    name: str
+    entity_type: str
+    category: str
+    subcategory: str
+    sources: tuple[tuple[str, str], ...] = ()
+    shows: bool = True
+    names: bool = True
+    titles: bool = False
+
+
+# Kinds in order of precedence.
+KINDS = (
+    Kind("fate", "fate", "pact_spirit", "pact_spirit_destiny", shows=False, names=False),
+    Kind("pact_spirit", "pact_spirit", "pact_spirit", "pact_spirit_entity", shows=False, names=False),
+    Kind("equipment", "equipment", "equipment", "equipment_craft", (("inventory", "base_equipment"), ("craft", "craft_affixes")), shows=False, names=False),
+    Kind("legendary", "legendary_equipment", "equipment", "equipment_legendary", (("legendary_gear", "main_effect"), ("corrosion", "corrosion"))),
+    Kind("vorax", "equipment", "equipment", "equipment_vorax", (("vorax", "equipment_data"),)),
+    Kind("talent", "talent", "talent_board", "talent_hero", (("talent", "talent_effects"),)),
+    Kind("prism", "talent_system", "talent_board", "talent_ethereal_prism", (("ethereal_prism", "system_data"),)),
+    Kind("hero", "hero", "hero", "hero_trait", (("hero", "hero_trait"),), titles=True),
+    Kind("memory", "memory_system", "memory", "hero_memory", (("hero_memory", "base_memory_affixes"), ("revival", "revival_affixes")), titles=True),
+    Kind("related_system", "equipment_related_system", "equipment_related", "equipment_related", (("help", "affix_system"),)),
+)
+
+
+def record_facts(records: DataFrame, titles: DataFrame, kind: str, parts: dict[str, list[str]], labels: dict[str, str] | None = None, needed: list[str] | None = None) -> DataFrame:
+    """A fact of a kind for each entity: route, kind, title, summary (the title, then for each part its label, if it has one, and the
+    different texts of its record types, in order) and counts (rows of each part). An entity for which a needed part has
+    no text has none. records(route, record_type, row_index, text), titles(route, title)."""
+    labels = labels or {}
+    rows = records.withColumn("text", clean(F.col("text"))).filter("text <> ''")
+    every = [t for types in parts.values() for t in types]
+    listed = {p: F.transform(F.array_sort(F.collect_list(F.when(F.col("record_type").isin(*types), F.struct("row_index", "record_type", "text")))), lambda r: r["text"]).alias(f"_{p}") for p, types in parts.items()}
+    g = rows.filter(F.col("record_type").isin(*every)).groupBy("route").agg(*listed.values())
+    for p in needed or []:
+        g = g.filter(F.size(f"_{p}") > 0)
+    said = [F.when(F.size(f"_{p}") > 0, F.concat(F.array(F.lit(labels[p])) if p in labels else F.array().cast("array<string>"), F.array_distinct(f"_{p}"))).otherwise(F.array().cast("array<string>")) for p in parts]
+    j = g.join(titles.select("route", "title"), "route")
+    counts = F.map_from_entries(F.array(*[F.struct(F.lit(p), F.size(f"_{p}").cast("long")) for p in parts]))
+    return j.select("route", F.lit(kind).alias("kind"), "title", F.lit(None).cast("string").alias("subcategory"), clean(F.array_join(F.flatten(F.array(F.array("title"), *said)), " ")).alias("summary"), counts.alias("counts"))
+
+
+def enrich(entities: DataFrame, facts: DataFrame, kinds: tuple[Kind, ...] = KINDS) -> DataFrame:
+    """entities(route, title, owner, category, confidence, sources) with what the first of their kinds says:
+    entity_type, title, shown_title, category, subcategory, clean_summary, sources (system_id, role), shows and counts. facts(route, kind, title,
+    subcategory, summary, counts map of long); of several facts of a kind the smallest title counts, then summary. A fact's
+    null leaves the entity's own value; facts of no known kind and of no entity are passed over. All kinds are one table, and one aggregate finds
+    each entity's fact."""
+    rule = F.create_map(*[x for i, k in enumerate(kinds) for x in (F.lit(k.name), F.struct(
+        F.lit(i).alias("rank"), F.lit(k.entity_type).alias("entity_type"), F.lit(k.category).alias("category"), F.lit(k.subcategory).alias("subcategory"), F.lit(k.shows).alias("shows"), F.lit(k.names).alias("names"), F.lit(k.titles).alias("titles"),
+        F.array(*[F.struct(F.lit(s).alias("system_id"), F.lit(r).alias("role")) for s, r in k.sources]).cast("array<struct<system_id:string,role:string>>").alias("sources")))])
+    known = facts.withColumn("r", F.try_element_at(rule, F.col("kind"))).filter("r is not null")
+    # maps have no order, so the rest of a fact is carried, not compared
+    best = known.groupBy("route").agg(F.min_by(F.struct("title", "subcategory", "summary", "counts", "r"), F.struct("r.rank", F.coalesce("title", F.lit("")), F.coalesce("summary", F.lit("")), F.coalesce("subcategory", F.lit("")))).alias("f"))
+    j = entities.join(best, "route", "left")
+    name = F.nullif(F.trim("f.title"), F.lit(""))
+    return j.select(
+        "route", F.coalesce(F.when(F.col("f.r.titles"), name), "title").alias("title"), F.coalesce(F.when(F.col("f.r.names") | F.col("f.r.titles"), name), "title").alias("shown_title"), "owner", F.col("f.r.entity_type").alias("entity_type"),
+        F.coalesce("f.r.category", "category").alias("category"), F.coalesce("f.subcategory", "f.r.subcategory").alias("subcategory"), "confidence", F.nullif(F.trim("f.summary"), F.lit("")).alias("clean_summary"),
+        F.when(F.size("f.r.sources") > 0, F.col("f.r.sources")).otherwise(F.col("sources")).alias("sources"), F.coalesce("f.r.shows", F.lit(False)).alias("shows"), "f.counts")
 
 
 def entity_visibility(entities: DataFrame, directories: DataFrame) -> DataFrame:
-    """An entity is hidden iff its route is a directory page."""
+    """An entity is hidden iff its route is a directory page, unless its kind shows it (column `shows`, if there is one)."""
     j = entities.join(directories.select("route", F.lit(True).alias("_d")).distinct(), "route", "left")
-    return j.withColumn("visibility", F.when(F.col("_d"), "hidden").otherwise("visible")).drop("_d")
+    shows = F.coalesce("shows", F.lit(False)) if "shows" in entities.columns else F.lit(False)
+    return j.withColumn("visibility", F.when(F.coalesce("_d", F.lit(False)) & ~shows, "hidden").otherwise("visible")).drop("_d")
 
 
 def classify(pages: DataFrame) -> DataFrame:

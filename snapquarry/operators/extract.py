@@ -2,14 +2,13 @@
 
 from __future__ import annotations
 
-import pandas as pd
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from ..functions.hashing import signature
 from ..functions.text import clean, extract_number, has_han
 from ..functions.urls import is_tracking, resolve_url
-from .dom import dom_nodes, stored_nodes
+from .dom import dom_nodes, marked_nodes, stored_nodes
 
 # Elements that part lines, elements without visible text, kinds of script calls.
 BLOCKS = ["address", "article", "aside", "blockquote", "br", "dd", "div", "dl", "dt", "footer", "h1", "h2", "h3", "h4", "h5", "h6", "header", "hr", "li", "nav", "ol", "p", "section", "table", "td", "th", "tr", "ul"]
@@ -132,12 +131,18 @@ def lines(nodes: DataFrame) -> DataFrame:
     return rows.groupBy("page_id", "line_no").agg(F.min("node_id").alias("first_node"), clean(F.array_join(text, "")).alias("line")).filter("line <> ''")
 
 
-def headings(nodes: DataFrame) -> DataFrame:
-    """page_id, title, first heading, first heading with Han characters."""
-    h = nodes.filter(F.col("tag").rlike("^h[1-6]$") & (F.col("text") != ""))
-    first = h.groupBy("page_id").agg(F.min_by("text", "node_id").alias("heading"), F.min_by(F.when(has_han(F.col("text")), F.col("text")), F.when(has_han(F.col("text")), F.col("node_id"))).alias("han_heading"))
-    title = nodes.filter("tag = 'title'").groupBy("page_id").agg(F.min_by("text", "node_id").alias("title"))
-    return title.join(first, "page_id", "full_outer")
+def _heading(tag, attrs, classes):
+    return tag if tag in ("title", "h1", "h2", "h3", "h4", "h5", "h6") else None
+
+
+def headings(pages: DataFrame) -> DataFrame:
+    """page_id, title, first heading, first heading with Han characters. One pass: of the parse, only titles and headings go on,
+    and one aggregate tells them apart."""
+    h = marked_nodes(pages, {"h": _heading}, {"h"}).filter("h.node = node_id")
+    named, title = (F.col("tag") != "title") & (F.col("text") != ""), F.col("tag") == "title"
+    han = named & has_han(F.col("text"))
+    first = lambda c, name: F.min_by("text", F.when(c, F.col("node_id"))).alias(name)
+    return h.groupBy("page_id").agg(first(title, "title"), first(named, "heading"), first(han, "han_heading")).filter("title is not null or heading is not null")
 
 
 def section_rows(nodes: DataFrame) -> DataFrame:
@@ -240,29 +245,3 @@ def page_features(pages: DataFrame, keep: bool = False) -> DataFrame:
     html = F.col("html")
     return pages.select("*" if keep else "page_id", html.contains("data-bs-toggle=\"tooltip\"").alias("has_tooltip"), html.contains("collapse").alias("has_collapse"), html.contains("tab-pane").alias("has_tab"),
                         html.contains("dropdown").alias("has_dropdown"), html.rlike("(?i)datatable").alias("has_table"), html.contains('class="ad"').alias("has_ad"), html.contains("<nav").alias("has_nav"))
-
-
-def rewrite_pages(pages: DataFrame, targets: DataFrame) -> DataFrame:
-    """page_id, html, n_refs, n_rewritten, n_unresolved: references of src, href, srcset, poster and url() put to
-    local paths. targets(url, path) holds pages and assets by resolved URL; references are resolved by a join, and only
-    substitution in the text of a page runs in Python. Tracking scripts go."""
-    found = F.regexp_extract_all("html", F.lit(r"""(?:src|href|poster)="([^"]+)"|url\(\s*['"]?([^'")]+)"""), F.lit(0))
-    refs = pages.select("page_id", "url", F.explode(F.array_distinct(found)).alias("whole"))
-    refs = refs.withColumn("ref", F.regexp_replace("whole", r"""^(?:src|href|poster)="|"$|^url\(\s*['"]?""", "")).withColumn("target", resolve_url(F.col("ref"), F.col("url"))).filter("target is not null")
-    known = refs.join(targets.select(F.col("url").alias("target"), "path"), "target", "left")
-    per = known.groupBy("page_id").agg(F.count(F.lit(1)).alias("n_refs"), F.count("path").alias("n_rewritten"), F.map_from_entries(F.collect_set(F.when(F.col("path").isNotNull(), F.struct("ref", "path")))).alias("paths"))
-
-    @F.pandas_udf("string")
-    def put(html: pd.Series, paths: pd.Series) -> pd.Series:
-        import re
-
-        track = re.compile(r'(?is)<script[^>]*(?:analytics|googletagmanager|doubleclick)[^>]*>.*?</script>')
-        ref = re.compile(r"""((?:src|href|poster)="|url\(\s*['"]?)([^"')]+)""")
-        def one(h, p):
-            p = dict(p) if p is not None else {}
-            return None if h is None else ref.sub(lambda m: m[1] + p.get(m[2], m[2]), track.sub("", h))
-        return pd.Series([one(h, p) for h, p in zip(html, paths)], dtype=object)
-
-    out = pages.join(per, "page_id", "left")
-    zero = lambda c: F.coalesce(c, F.lit(0)).cast("long")
-    return out.select("page_id", put("html", "paths").alias("html"), zero("n_refs").alias("n_refs"), zero("n_rewritten").alias("n_rewritten"), (zero("n_refs") - zero("n_rewritten")).alias("n_unresolved"))

@@ -8,8 +8,9 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from ..functions.text import asset_type, clean, ratio
-from ..functions.urls import canonical_page, host, is_static, path
+from ..functions.urls import canonical_page, host, is_static, is_tracking, path, resolve_url
 from .aggregates import count_profile, duplicate_groups, same_text_groups, template_summary
+from .extract import call_urls, css_refs
 
 
 def check_header(df: DataFrame, *, version: int, season: str, declared: int) -> None:
@@ -70,6 +71,39 @@ def dependency_audit(calls: DataFrame, names: list[str]) -> DataFrame:
     return out.withColumn("verdict", F.when(reduce(lambda a, b: a | b, [F.col(c) > 0 for c in names]), "needs_runtime").otherwise("static"))
 
 
+def readiness(pages: DataFrame, assets: DataFrame, sheets: DataFrame, scripts: DataFrame) -> tuple[DataFrame, DataFrame]:
+    """Q08: (one row a system: counts, verdict, blocking and remaining reasons; dependency classes by system and host).
+    pages(system_id, page_id, url, html), assets(system_id, url, type, present, has_meta), sheets and scripts(system_id, url, text) of what is present.
+
+    A system isn't ready while assets or their metadata are missing, while style sheets or style elements refer to what isn't there, or
+    while scripts call endpoints that are no tracking; it is ready_with_minor_gaps while sheets or pages still refer to anything by absolute URL;
+    else it is ready."""
+    own = assets.groupBy("system_id").agg(F.count(F.lit(1)).alias("assets"), F.count_if(~F.coalesce("present", F.lit(False))).alias("missing_files"), F.count_if(~F.coalesce("has_meta", F.lit(False))).alias("missing_meta"))
+    inline = pages.select("system_id", "url", F.array_join(F.regexp_extract_all("html", F.lit(r"(?is)<style[^>]*>(.*?)</style>"), F.lit(1)), "\n").alias("css")).filter("css <> ''")
+    css = sheets.select("system_id", "url", F.col("text").alias("css")).unionByName(inline)
+    at = F.struct("system_id", "url").alias("url")
+    refs = css_refs(css.select(at, "css")).select("url.system_id", F.col("url.url").alias("base"), "kind", "ref").withColumn("target", resolve_url(F.col("ref"), F.col("base"))).filter("target is not null")
+    there = assets.filter("present").select("system_id", F.col("url").alias("target"), F.lit(True).alias("_t")).distinct()
+    second = refs.groupBy("system_id", "target").agg(F.count(F.lit(1)).alias("k"), F.max(F.lower("ref").rlike("^(https?:)?//")).alias("remote")).join(there, ["system_id", "target"], "left")
+    second = second.groupBy("system_id").agg(F.sum("k").alias("secondary_refs"), F.count_if(F.col("_t").isNull()).alias("missing_secondary"), F.count_if("remote").alias("remote_css"))
+    told = pages.select(F.struct("system_id", "page_id").alias("page_id"), "url", "html").unionByName(scripts.select(F.struct("system_id", F.col("url").cast(pages.schema["page_id"].dataType).alias("page_id")).alias("page_id"), "url", F.concat(F.lit("<script>"), "text").alias("html")))
+    calls = call_urls(told).select("page_id.system_id", "target", "kind").distinct()
+    run = calls.groupBy("system_id").agg(F.count_if(F.col("kind") == "endpoint").alias("endpoints"), F.count_if(F.col("kind") == "tracking").alias("tracking"))
+    markup = r"""(?i)<(?:link|script|img|source|video|audio)\s[^>]*?(?:href|src)\s*=\s*["'](?:https?:)?//"""
+    seen = pages.groupBy("system_id").agg(F.count(F.lit(1)).alias("pages"), F.count_if(F.coalesce(F.rlike("html", F.lit(markup)), F.lit(False))).alias("remote_pages"))
+    out = seen
+    for more in (own, second, run):
+        out = out.join(more, "system_id", "full_outer")
+    counts = ["pages", "remote_pages", "assets", "missing_files", "missing_meta", "secondary_refs", "missing_secondary", "remote_css", "endpoints", "tracking"]
+    out = out.fillna(0, counts)
+    reasons = lambda *names: F.array_compact(F.array(*[F.when(F.col(n) > 0, F.concat(F.col(n).cast("string"), F.lit(f" {n}"))) for n in names]))
+    out = out.withColumn("blocking", reasons("missing_files", "missing_meta", "missing_secondary", "endpoints")).withColumn("remaining", reasons("remote_css", "remote_pages"))
+    verdict = F.when(F.size("blocking") > 0, "not_ready").when(F.size("remaining") > 0, "ready_with_minor_gaps").otherwise("ready")
+    category = F.when(is_tracking(F.col("url")), "tracking/ads").when(F.col("type").isin("script", "javascript"), "required_for_interaction").otherwise("required_for_rendering")
+    classes = assets.select("system_id", category.alias("category"), host(F.col("url")).alias("host")).unionByName(calls.filter("kind = 'endpoint'").select("system_id", F.lit("required_for_interaction").alias("category"), host(F.col("target")).alias("host")))
+    return out.select("system_id", *counts, verdict.alias("verdict"), "blocking", "remaining"), classes.groupBy("system_id", "category", "host").agg(F.count(F.lit(1)).alias("n"))
+
+
 def manifest_audit(entries: DataFrame, checks: dict[str, Column]) -> DataFrame:
     """Q09: how many rows fail each check, the failed checks, and the decision."""
     counts = [F.count_if(~F.coalesce(c, F.lit(False))).alias(n) for n, c in checks.items()]
@@ -96,15 +130,36 @@ def route_conflicts(pages: DataFrame, route: str, content: str) -> DataFrame:
     return pages.groupBy(route).agg(F.count_distinct(F.sha2(content, 256)).alias("contents"), F.count(F.lit(1)).alias("pages")).filter("contents > 1")
 
 
-def family_audit(records: DataFrame, pages: DataFrame) -> dict[str, DataFrame]:
-    """Q12: the audit of one family of pages: completeness, templates, records a page, duplicate ids, shared texts.
-    records(page_id, record_id, text), pages(page_id, template)."""
-    per = records.groupBy("page_id").agg(F.count(F.lit(1)).alias("n"))
+def samples(df: DataFrame, strata: list[str], key: str, k: int = 5) -> DataFrame:
+    """Q12: the k rows of each stratum with the smallest hash of their key (ties by the key): the same on every run and however the
+    rows are dealt, and as samples of parts can be put together and cut again, no stratum is gathered."""
+    w = Window.partitionBy(*strata).orderBy(F.xxhash64(F.col(key).cast("string")), key)
+    return df.withColumn("sample_no", F.row_number().over(w)).filter(F.col("sample_no") <= k)
+
+
+def family_audit(records: DataFrame, pages: DataFrame, k: int = 5) -> dict[str, DataFrame]:
+    """Q12: the audit of one family of pages. records(page_id, record_id, record_type, key, text, region, selected),
+    pages(page_id, template, historical_cards, related_cards).
+
+    completeness: pages, those with records, share; templates, profile: pages and records a page by template; duplicates: ids that occur
+    twice; shared_texts; identity: per record type the records, those with a key of their own (not row:<n>), different keys within their pages, and
+    the share; history: cards that don't count, records that stand in them and how many of these were selected (none, if the
+    rules hold); samples: k pages of each template by hash, with their records. Only selected records are counted, but
+    for history."""
+    taken = records.filter("selected")
+    per = taken.groupBy("page_id").agg(F.count(F.lit(1)).alias("n"))
     all_pages = pages.join(per, "page_id", "left").fillna(0, ["n"])
+    keyed = F.coalesce(F.col("key") != "", F.lit(False)) & ~F.coalesce(F.startswith("key", F.lit("row:")), F.lit(False))
+    page = taken.groupBy("record_type", "page_id").agg(F.count(F.lit(1)).alias("n"), F.count_if(keyed).alias("keyed"), F.count_distinct(F.when(keyed, F.col("key"))).alias("different"))
+    identity = page.groupBy("record_type").agg(F.sum("n").alias("records"), F.sum("keyed").alias("keyed"), F.sum("different").alias("different"))
+    old = records.filter(F.col("region").isin("historical", "related")).agg(F.count(F.lit(1)).alias("records"), F.count_if("selected").alias("selected"))
+    cards = pages.agg(F.coalesce(F.sum("historical_cards"), F.lit(0)).alias("historical_cards"), F.coalesce(F.sum("related_cards"), F.lit(0)).alias("related_cards"))
     return {
         "completeness": all_pages.agg(F.count(F.lit(1)).alias("pages"), F.count_if(F.col("n") > 0).alias("with_records"), ratio(F.count_if(F.col("n") > 0), F.count(F.lit(1))).alias("coverage")),
         "templates": template_summary(pages, "template", "page_id"), "profile": count_profile(all_pages, "template", "page_id", "n"),
-        "duplicates": duplicate_groups(records, ["record_id"], "page_id"), "shared_texts": same_text_groups(records, "text", "record_id"),
+        "duplicates": duplicate_groups(taken, ["record_id"], "page_id"), "shared_texts": same_text_groups(taken, "text", "record_id"),
+        "identity": identity.withColumn("coverage", ratio(F.col("different"), F.col("records"))), "history": cards.join(old),
+        "samples": samples(all_pages, ["template"], "page_id", k).select("template", "page_id", "sample_no", F.col("n").alias("records")),
     }
 
 
@@ -162,7 +217,3 @@ def legendary_templates() -> list[tuple[str, Column]]:
 def talent_templates(root: list[str], nested: list[str]) -> list[tuple[str, Column]]:
     """kinds of talent pages, by lists of slugs."""
     return [("talent_root_container", F.col("slug").isin(*root)), ("talent_active_pane_with_nested_modifiers", F.col("slug").isin(*nested)), ("talent_active_pane", F.lit(True))]
-
-
-def numbered(df: DataFrame, group: list[str], order: list) -> DataFrame:
-    return df.withColumn("n", F.row_number().over(Window.partitionBy(*group).orderBy(*order)))

@@ -187,14 +187,3 @@ def priority_sets(s, d):
     w = table(s, d, "orders").groupBy(F.col("o_custkey").alias("k")).agg(v.alias("v"))
     known = F.array(F.lit("1-URGENT"), F.lit("2-HIGH"))
     return w.select("k", F.size(nested.distinct_nonempty(F.col("v"))).cast("long").alias("kinds"), F.array_join(nested.first_sorted(F.col("v"), 3), ",").alias("smallest"), F.size(nested.missing_from(F.col("v"), known)).cast("long").alias("others"))
-
-
-@query("""SELECT s.part, s.n FROM (SELECT 'pages' AS part, count(*) AS n FROM orders UNION ALL SELECT 'with_records', count(DISTINCT l_orderkey) FROM lineitem WHERE l_orderkey IN (SELECT o_orderkey FROM orders)
-UNION ALL SELECT 'duplicates', count(*) FROM (SELECT l_partkey FROM lineitem GROUP BY 1 HAVING count(*) > 1) UNION ALL SELECT 'templates', count(DISTINCT o_orderpriority) FROM orders) s""")
-def order_family(s, d):
-    """The audit of a family of pages: orders with their lines as records"""
-    records = table(s, d, "lineitem").select(F.col("l_orderkey").alias("page_id"), F.col("l_partkey").cast("string").alias("record_id"), F.col("l_returnflag").alias("text"))
-    found = quality.family_audit(records, table(s, d, "orders").select(F.col("o_orderkey").alias("page_id"), F.col("o_orderpriority").alias("template")))
-    whole = found["completeness"].select(F.expr("stack(2, 'pages', pages, 'with_records', with_records) as (part, n)"))
-    counted = lambda name: found[name].agg(F.count(F.lit(1)).alias("n")).select(F.lit(name).alias("part"), "n")
-    return whole.unionByName(counted("duplicates")).unionByName(counted("templates"))

@@ -6,8 +6,11 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from ..functions import urls
-from ..operators import directory, extract, graph, quality, regions
+from ..functions import text, urls
+from ..operators import aggregates as agg
+from ..operators import directory, entities, extract, graph, modifiers, quality, regions, rewrite
+from ..sources import readers
+from ..sources.scratch import new_folder
 from .function_queries import SITE, told
 from .queries import query, table
 
@@ -325,3 +328,150 @@ def recovered_routes(s, d):
     found = graph.converge(pages, manifested, lambda pending: pending.join(there, "route"))
     from_ = found.provenance.groupBy("route").agg(F.count(F.lit(1)).alias("sources"), F.min("page_id").alias("first_source"))
     return found.routes.join(from_, "route")
+
+
+# ---- T16
+
+
+@query("""SELECT c_custkey AS page_id, '<A HREF=' || chr(39) || CASE WHEN n < 20 THEN 'pages/c' || c_custkey ELSE '/en/c' || c_custkey END || '?x=1#s' || chr(39) || ' data-src="/i/n' || n || '.png">c &amp; d</A><img srcset="assets/n' || n || '.png 1x, /i/none.png 2x" ' || CASE WHEN m = 'BUILDING' THEN 'src="/i/none.png" integrity="q"' ELSE
+'src="assets/n' || n || '.png#f" ' END || '/><style>@import "assets/s.css";p{background:url( assets/n' || n || '.png )}</style><p style="background:url(https://far.example/x.png)">text<br></P >' AS html,
+CASE WHEN m = 'BUILDING' THEN 8 ELSE 8 END AS n_refs, CASE WHEN m = 'BUILDING' THEN 3 ELSE 4 END AS n_assets, (n < 20)::INT AS n_pages, CASE WHEN m = 'BUILDING' THEN 3 ELSE 2 END AS n_remote, 1 + (n >= 20)::INT AS n_unknown_pages, 2 AS n_removed, (m <> 'BUILDING')::INT AS n_integrity
+FROM (SELECT c_custkey, c_nationkey AS n, c_mktsegment AS m FROM customer)""".replace("'/><style>", "'/><style>").replace("text<br></P >'", "text<a href=\"/en/none\">n</a><br></P >'"))
+def rewritten_pages(s, d):
+    """Pages with their references put to local paths: links, sources, candidates of srcset, styles and imports; trackers go"""
+    k, n = F.col("c_custkey"), F.col("c_nationkey")
+    source = F.when(F.col("c_mktsegment") == "BUILDING", 'src="/i/none.png"').otherwise(told('src="/i/n', n, '.png#f"'))
+    html = told("<A HREF='/en/c", k, "?x=1#s' data-src=\"/i/n", n, '.png">c &amp; d</A><img srcset="/i/n', n, '.png 1x, /i/none.png 2x" ', source, ' integrity="q"/><script src="https://www.google-analytics.com/a.js">if (a < b) x("</p>")</script><style>@import "/s.css";p{background:url( /i/n', n,
+                '.png )}</style><img src="https://x.doubleclick.net/p.gif"><p style="background:url(https://far.example/x.png)">text<a href="/en/none">n</a><br></P >')
+    pages = table(s, d, "customer").select(k.alias("page_id"), told(SITE, "c", k).alias("url"), html.alias("html"))
+    nations = table(s, d, "nation").select(told("https://w.example/i/n", F.col("n_nationkey"), ".png").alias("url"), told("assets/n", F.col("n_nationkey"), ".png").alias("path"))
+    assets = nations.unionByName(s.range(1).select(F.lit("https://w.example/s.css").alias("url"), F.lit("assets/s.css").alias("path")))
+    routes = table(s, d, "customer").filter("c_nationkey < 20").select(told("/en/c", k).alias("route"), told("pages/c", k).alias("path"))
+    return rewrite.rewrite_pages(pages, assets, routes)
+
+
+# ---- N09, N10, Q08, Q12, S05
+
+
+_KINDS = "['fate', 'pact_spirit', 'equipment', 'legendary_equipment', 'equipment', 'talent', 'talent_system', 'hero', 'memory_system', 'equipment_related_system']"
+_CATEGORIES = "['pact_spirit', 'pact_spirit', 'equipment', 'equipment', 'equipment', 'talent_board', 'talent_board', 'hero', 'memory', 'equipment_related']"
+_SUBCATEGORIES = "['pact_spirit_destiny', 'pact_spirit_entity', 'equipment_craft', 'equipment_legendary', 'equipment_vorax', 'talent_hero', 'talent_ethereal_prism', 'hero_trait', 'hero_memory', 'equipment_related']"
+ENRICHED = f"""WITH r AS (SELECT l_partkey AS k, l_orderkey * 10 + l_linenumber AS i, CASE WHEN l_returnflag = 'R' THEN 'main' ELSE 'more' END AS t, 'line ' || l_linenumber || ' ' || l_linestatus AS x FROM lineitem),
+u AS (SELECT k, t, x, min(i) AS f, count(*) AS n FROM r GROUP BY 1, 2, 3),
+s AS (SELECT k, string_agg(CASE WHEN t = 'main' THEN x END, ' ' ORDER BY f, x) AS m, string_agg(CASE WHEN t = 'more' THEN x END, ' ' ORDER BY f, x) AS o, sum(CASE WHEN t = 'main' THEN n ELSE 0 END)::BIGINT AS n_main, sum(CASE WHEN t = 'more' THEN n ELSE 0 END)::BIGINT AS n_more FROM u GROUP BY 1),
+w AS (SELECT p_partkey AS k, p_brand, p_size, s.*, CASE WHEN s.k IS NOT NULL THEN list_filter(range(0, 10), lambda i: p_size % (i + 2) = 0 AND (i <> 3 OR m IS NOT NULL))[1] END AS i FROM part LEFT JOIN s ON s.k = p_partkey),
+j AS (SELECT '/en/p' || k AS route, CASE WHEN i IN (7, 8) THEN 'K' || i || ' ' || k ELSE 'Part ' || k END AS title, CASE WHEN i >= 3 THEN 'K' || i || ' ' || k ELSE 'Part ' || k END AS shown_title, {_KINDS}[i + 1] AS entity_type, coalesce({_CATEGORIES}[i + 1], p_brand) AS category,
+{_SUBCATEGORIES}[i + 1] AS subcategory, CASE WHEN i IS NOT NULL THEN 'P ' || k || coalesce(' Main ' || m, '') || coalesce(' ' || o, '') END AS clean_summary, CASE WHEN i IS NOT NULL THEN n_main END AS n_main, CASE WHEN i IS NOT NULL THEN n_more END AS n_more,
+CASE WHEN p_size % 7 = 0 AND coalesce(i, 0) < 3 THEN 'hidden' ELSE 'visible' END AS visibility FROM w)"""
+
+
+def enriched(s: SparkSession, d: str) -> DataFrame:
+    """Parts as entities of ten kinds, with their lines as records."""
+    k, size = F.col("p_partkey"), F.col("p_size")
+    parts = table(s, d, "part").withColumn("route", told("/en/p", k))
+    own = F.array(F.struct(F.lit("parts").alias("system_id"), F.lit("primary").alias("role")))
+    entity = parts.select("route", told("Part ", k).alias("title"), F.lit("parts").alias("owner"), F.col("p_brand").alias("category"), F.lit("primary").alias("confidence"), own.alias("sources"))
+    li = table(s, d, "lineitem")
+    rows = li.select(told("/en/p", F.col("l_partkey")).alias("route"), (F.col("l_orderkey") * 10 + F.col("l_linenumber")).alias("row_index"), F.when(F.col("l_returnflag") == "R", "main").otherwise("more").alias("record_type"), told("line ", F.col("l_linenumber"), " ", F.col("l_linestatus")).alias("text"))
+    known = entities.record_facts(rows, parts.select("route", told("P ", k).alias("title")), "any", {"main": ["main"], "more": ["more"]}, {"main": "Main"})
+    of = F.filter(F.array(*[F.when(size % (i + 2) == 0, F.struct(F.lit(kind.name).alias("kind"), F.lit(i).alias("i"))) for i, kind in enumerate(entities.KINDS)]), lambda x: x.isNotNull())
+    kinds = parts.select("route", k.alias("k"), F.explode(of).alias("x"))
+    facts = known.drop("kind", "title").join(kinds, "route").withColumn("kind", F.col("x.kind")).withColumn("title", told("K", F.col("x.i"), " ", F.col("k"))).filter("kind <> 'legendary' or counts['main'] > 0")
+    directories = parts.filter(size % 7 == 0).select("route")
+    return entities.entity_visibility(entities.enrich(entity, facts), directories)
+
+
+@query(f"{ENRICHED} SELECT * FROM j")
+def enriched_entities(s, d):
+    """What the first kind of each entity says of it, field by field, and whether it is shown"""
+    e = enriched(s, d)
+    return e.select("route", "title", "shown_title", "entity_type", "category", "subcategory", "clean_summary", F.col("counts")["main"].alias("n_main"), F.col("counts")["more"].alias("n_more"), "visibility")
+
+
+@query(f"{ENRICHED} SELECT entity_type, count(*) AS n, count(*) FILTER (clean_summary <> '') AS enriched, count(*) FILTER (clean_summary IS NULL) AS missing, min(route) AS sample FROM j GROUP BY 1")
+def entity_enrichment(s, d):
+    """Entities by kind, with and without a summary"""
+    return agg.entity_report(enriched(s, d).withColumn("entity_id", F.col("route")))
+
+
+@query("""WITH c AS (SELECT c_nationkey AS k, count(*) AS pages FROM customer GROUP BY 1), a AS (SELECT s_nationkey AS k, count(*) AS assets, count(*) FILTER (s_acctbal < 0) AS low FROM supplier GROUP BY 1),
+n AS (SELECT n_nationkey AS k, n_regionkey AS r, coalesce(pages, 0) AS pages, coalesce(assets, 0) AS assets, coalesce(low, 0) AS low FROM nation LEFT JOIN c ON c.k = n_nationkey LEFT JOIN a ON a.k = n_nationkey WHERE pages IS NOT NULL OR assets IS NOT NULL),
+x AS (SELECT *, CASE WHEN r = 4 THEN low ELSE 0 END AS missing_files, CASE WHEN r = 3 THEN assets ELSE 0 END AS missing_secondary, CASE WHEN r = 2 AND pages > 0 THEN 1 ELSE 0 END AS endpoints, CASE WHEN r = 1 THEN pages ELSE 0 END AS remote_pages FROM n)
+SELECT k AS system_id, pages, assets, missing_files, missing_secondary, endpoints, remote_pages, CASE WHEN missing_files + missing_secondary + endpoints > 0 THEN 'not_ready' WHEN remote_pages > 0 THEN 'ready_with_minor_gaps' ELSE 'ready' END AS verdict,
+concat_ws(', ', CASE WHEN missing_files > 0 THEN missing_files || ' missing_files' END, CASE WHEN missing_secondary > 0 THEN missing_secondary || ' missing_secondary' END, CASE WHEN endpoints > 0 THEN endpoints || ' endpoints' END) AS blocking FROM x""")
+def system_readiness(s, d):
+    """Q08: whether the pages of each nation can do without a server, and why not"""
+    region = table(s, d, "nation").select("n_nationkey", F.col("n_regionkey").alias("r"))
+    c = table(s, d, "customer").join(region, F.col("n_nationkey") == F.col("c_nationkey"))
+    html = told("<p>x</p>", F.when(F.col("r") == 1, '<img src="https://cdn.example/x.png">').when(F.col("r") == 2, told("<script>fetch('/api/n", F.col("c_nationkey"), "'); new WebSocket('wss://www.google-analytics.com/s')</script>")).otherwise(""))
+    pages = c.select(F.col("c_nationkey").alias("system_id"), F.col("c_custkey").cast("string").alias("page_id"), told(SITE, "c", F.col("c_custkey")).alias("url"), html.alias("html"))
+    a = table(s, d, "supplier").join(region, F.col("n_nationkey") == F.col("s_nationkey")).withColumn("url", told("https://w.example/a/s", F.col("s_suppkey"), ".css")).withColumn("present", (F.col("r") != 4) | (F.col("s_acctbal") >= 0))
+    ref = F.when(F.col("r") == 3, told("missing", F.col("s_suppkey"), ".png")).otherwise(told("s", F.col("s_suppkey"), ".css"))
+    sheets = a.filter("present").select(F.col("s_nationkey").alias("system_id"), "url", told("p{background:url(/a/", ref, ")}").alias("text"))
+    assets = a.select(F.col("s_nationkey").alias("system_id"), "url", F.lit("style").alias("type"), "present", F.lit(True).alias("has_meta"))
+    out, _ = quality.readiness(pages, assets, sheets, sheets.limit(0))
+    return out.select("system_id", "pages", "assets", "missing_files", "missing_secondary", "endpoints", "remote_pages", "verdict", F.array_join("blocking", ", ").alias("blocking"))
+
+
+@query("""WITH l AS (SELECT l_orderkey AS p, l_partkey::VARCHAR AS id, l_returnflag <> 'R' AS sel, l_linestatus = 'F' AS keyed FROM lineitem), t AS (SELECT * FROM l WHERE sel), o AS (SELECT o_orderpriority AS t, count(*) AS n FROM orders GROUP BY 1)
+SELECT part, n::BIGINT AS n FROM (SELECT 'pages' AS part, count(*) AS n FROM orders UNION ALL SELECT 'with_records', count(DISTINCT p) FROM t WHERE p IN (SELECT o_orderkey FROM orders)
+UNION ALL SELECT 'duplicates', count(*) FROM (SELECT id FROM t GROUP BY 1 HAVING count(*) > 1) UNION ALL SELECT 'templates', count(*) FROM o UNION ALL SELECT 'shared_texts', count(*) FROM (SELECT 1 FROM t GROUP BY keyed HAVING count(DISTINCT id) > 1)
+UNION ALL SELECT 'identity.records', count(*) FROM t UNION ALL SELECT 'identity.keyed', count(*) FILTER (keyed) FROM t UNION ALL SELECT 'identity.different', count(DISTINCT (p, id)) FILTER (keyed) FROM t
+UNION ALL SELECT 'history.historical_cards', sum(o_custkey % 3) FROM orders UNION ALL SELECT 'history.related_cards', count(*) FILTER (o_orderstatus = 'P') FROM orders
+UNION ALL SELECT 'history.records', count(*) FILTER (NOT sel) FROM l UNION ALL SELECT 'history.selected', 0 UNION ALL SELECT 'samples', sum(least(n, 5)) FROM o)""")
+def order_family(s, d):
+    """All parts of the audit of a family of pages: orders with their lines as records, returned ones as history"""
+    flag = F.col("l_returnflag") == "R"
+    key = F.when(F.col("l_linestatus") == "F", told("modifier:", F.col("l_partkey"))).otherwise(told("row:", F.col("l_linenumber")))
+    records = table(s, d, "lineitem").select(F.col("l_orderkey").alias("page_id"), F.col("l_partkey").cast("string").alias("record_id"), F.lit("line").alias("record_type"), key.alias("key"), F.col("l_linestatus").alias("text"), F.when(flag, "historical").otherwise("current").alias("region"), (~flag).alias("selected"))
+    pages = table(s, d, "orders").select(F.col("o_orderkey").alias("page_id"), F.col("o_orderpriority").alias("template"), (F.col("o_custkey") % 3).alias("historical_cards"), F.when(F.col("o_orderstatus") == "P", 1).otherwise(0).cast("long").alias("related_cards"))
+    found = quality.family_audit(records, pages)
+    told_ = lambda name, df, *columns: df.select(F.explode(F.array(*[F.struct(F.lit(f"{name}{c}").alias("part"), F.col(c).cast("long").alias("n")) for c in columns])).alias("x")).select("x.*")
+    counted = lambda name: found[name].agg(F.count(F.lit(1)).alias("n")).select(F.lit(name).alias("part"), "n")
+    out = told_("", found["completeness"], "pages", "with_records").unionByName(told_("identity.", found["identity"], "records", "keyed", "different")).unionByName(told_("history.", found["history"], "historical_cards", "related_cards", "records", "selected"))
+    for name in ("duplicates", "templates", "shared_texts", "samples"):
+        out = out.unionByName(counted(name))
+    return out
+
+
+@query("""SELECT (o_custkey // 100)::VARCHAR AS file, sum(1 + (o_orderpriority LIKE '5%')::INT) OVER (PARTITION BY o_custkey // 100 ORDER BY o_orderkey)::BIGINT AS line, CASE WHEN o_orderstatus <> 'P' THEN o_orderkey END AS k, o_orderstatus = 'P' AS bad FROM orders""")
+def numbered_json(s, d):
+    """Lines of JSON files with their numbers, blank lines counted and bad ones kept"""
+    path = new_folder(s, "numbered")
+    line = F.when(F.col("o_orderstatus") == "P", told('{"k": ', F.col("o_orderkey"), ', "p')).otherwise(told('{"k": ', F.col("o_orderkey"), "}"))
+    rows = table(s, d, "orders").select((F.col("o_custkey") / 100).cast("long").cast("string").alias("f"), "o_orderkey", F.concat(F.when(_is("5"), "\n").otherwise(""), line).alias("value"))
+    rows.repartition("f").sortWithinPartitions("f", "o_orderkey").drop("o_orderkey").write.partitionBy("f").text(path)
+    got = readers.read_occurrences(s, path, "k long", strict=False)
+    return got.select(F.regexp_extract("_file", "/f=([0-9]+)/", 1).alias("file"), F.col("_line").alias("line"), "k", F.col("_corrupt_record").isNotNull().alias("bad"))
+
+
+# ---- single functions
+
+
+@query("""SELECT p_partkey AS k, 'image/' || substring(h, 1, 2) || '/' || h || CASE p_size % 3 WHEN 0 THEN '.png' WHEN 1 THEN '.jpg' ELSE '' END AS path
+FROM (SELECT p_partkey, p_size, sha256('https://w.example/i/' || p_partkey || CASE p_size % 3 WHEN 0 THEN '.PNG?v=1' WHEN 1 THEN '.jpg' ELSE '' END) AS h FROM part)""")
+def asset_paths(s, d):
+    """The places of assets, told by their type and the hash of their URL"""
+    suffix = F.when(F.col("p_size") % 3 == 0, ".PNG?v=1").when(F.col("p_size") % 3 == 1, ".jpg").otherwise("")
+    return table(s, d, "part").select(F.col("p_partkey").alias("k"), text.asset_path(told("https://w.example/i/", F.col("p_partkey"), suffix), F.lit("image")).alias("path"))
+
+
+@query("""SELECT doc_id, sha256(regexp_replace(text, '(en)', '<mark>\\1</mark>', 'gi')) AS marked FROM documents""")
+def marked_hits(s, d):
+    """Hits marked in whole texts"""
+    return table(s, d, "documents").select("doc_id", F.sha2(text.highlight(F.col("text"), "en"), 256).alias("marked"))
+
+
+@query("""SELECT l_orderkey AS context_id, l_suppkey AS target_node, sum(CASE WHEN l_linestatus = 'F' THEN -l_linenumber ELSE l_linenumber END)::BIGINT AS total FROM lineitem WHERE l_returnflag <> 'R' GROUP BY 1, 2""")
+def node_sums(s, d):
+    """Signed sums of matched modifiers over the keys of each node"""
+    rows = table(s, d, "lineitem").select(F.col("l_orderkey").alias("context_id"), F.col("l_suppkey").alias("target_node"), F.col("l_partkey").alias("aggregation_key"), F.when(F.col("l_linestatus") == "F", "subtract").otherwise("add").alias("operation"), F.col("l_linenumber").cast("long").alias("value"), (F.col("l_returnflag") != "R").alias("matched"))
+    return modifiers.node_totals(modifiers.aggregate_modifiers(rows))
+
+
+@query("""SELECT lang, count(*) AS pages, count(*) FILTER (source IN ('src1', 'src2')) AS without_content FROM documents GROUP BY 1""")
+def content_routes(s, d):
+    """routes that hold no content of their own"""
+    last = F.when(F.col("source") == "src1", "Login/").when(F.col("source") == "src2", "search").otherwise(told("d", F.col("doc_id")))
+    rows = table(s, d, "documents").select("lang", urls.is_non_content(told(SITE, last)).alias("none"))
+    return rows.groupBy("lang").agg(F.count(F.lit(1)).alias("pages"), F.count_if("none").alias("without_content"))

@@ -102,7 +102,7 @@ def dom_profile(s, d):
 trim(replace(replace(replace(regexp_extract(html, '<h1>([^<]*)</h1>', 1), '&lt;', '<'), '&gt;', '>'), '&amp;', '&')) AS heading FROM pages""")
 def page_headings(s, d):
     """T01, T08"""
-    return extract.headings(dom.stored_nodes(table(s, d, "pages"))).select("page_id", "title", "heading")
+    return extract.headings(table(s, d, "pages")).select("page_id", "title", "heading")
 
 
 @query()
@@ -131,14 +131,6 @@ def page_entries(s, d):
     return report.join(entries.groupBy("page_id").agg(F.count(F.lit(1)).alias("entries")), "page_id", "left")
 
 
-@query()
-def rewritten_pages(s, d):
-    """T16"""
-    p = table(s, d, "pages")
-    targets = page_links(s, d).select(F.col("target").alias("url")).distinct().withColumn("path", F.concat(F.lit("pages/"), F.substring(F.sha2("url", 256), 1, 16)))
-    return extract.rewrite_pages(p, targets).select("page_id", "n_refs", "n_rewritten", "n_unresolved", F.sha2("html", 256).alias("html_hash"))
-
-
 @query(r"""SELECT doc_id, trim(regexp_replace(split_part(text, chr(10), 1), '[\s\x0B\x{85}\x{A0}]+', ' ', 'g')) AS title, regexp_matches(text, '[\x{3400}-\x{9fff}]') AS han,
 length(text) AS n_chars, sha256(replace(lower(text), 'ß', 'ss')) AS folded FROM documents""")
 def document_titles(s, d):
@@ -325,6 +317,15 @@ def order_regression(s, d):
     return quality.regression(*order_sides(s, d), "k", ["v"])
 
 
+@query("SELECT count(*) AS n, true AS same_again, false AS same_as_changed FROM orders")
+def order_determinism(s, d):
+    """Q10: the hash of a table is the same for the same rows in another order, and another one if a value changes"""
+    o = table(s, d, "orders")
+    one, again, changed = (quality.table_hash(x) for x in (o, o.repartition(5, "o_custkey"), o.withColumn("o_custkey", F.col("o_custkey") + (F.col("o_orderkey") == 0).cast("long"))))
+    both = one.join(again.select(F.col("hash").alias("h2"))).join(changed.select(F.col("hash").alias("h3")))
+    return both.select("n", (F.col("hash") == F.col("h2")).alias("same_again"), (F.col("hash") == F.col("h3")).alias("same_as_changed"))
+
+
 @query("""SELECT c_custkey, coalesce(a.v, b.v) AS v, CASE WHEN a.v IS NOT NULL THEN 0 WHEN b.v IS NOT NULL THEN 1 END AS from_lookup FROM customer c
 LEFT JOIN (SELECT o_custkey AS k, max(o_orderkey) AS v FROM orders WHERE o_orderstatus = 'F' GROUP BY 1) a ON a.k = c_custkey LEFT JOIN (SELECT o_custkey AS k, max(o_orderkey) AS v FROM orders WHERE o_orderstatus = 'P' GROUP BY 1) b ON b.k = c_custkey""")
 def order_fallback(s, d):
@@ -526,11 +527,11 @@ def conversions(s, d):
 def listing(s: SparkSession, d: str) -> DataFrame:
     """Documents as listing entries: route from the whole first line, system and role from the source."""
     return table(s, d, "documents").select(
-        F.concat(F.lit("/en/"), F.substring(F.sha2(F.split_part("text", F.lit("\n"), F.lit(1)), 256), 1, 12), F.lit("/")).alias("route"), F.col("source").alias("system_id"), F.when(F.col("source").isin("src1", "src2", "src3", "src4", "src5"), "primary").otherwise("entry").alias("role"),
+        F.concat(F.lit("/en/"), F.sha2(F.split_part("text", F.lit("\n"), F.lit(1)), 256), F.lit("/")).alias("route"), F.col("source").alias("system_id"), F.when(F.col("source").isin("src1", "src2", "src3", "src4", "src5"), "primary").otherwise("entry").alias("role"),
         F.split_part("text", F.lit("\n"), F.lit(1)).alias("title"), F.col("lang").alias("category"), F.sha2(F.split_part("text", F.lit("\n"), F.lit(1)), 256).alias("title_hash"), F.sha2("text", 256).alias("body_hash"), F.col("doc_id").alias("source_order"), F.col("doc_id").alias("page_id"))
 
 
-ONCE = """WITH e AS (SELECT '/en/' || substring(sha256(split_part(text, chr(10), 1)), 1, 12) || '/' AS route, source AS sys, source IN ('src1', 'src2', 'src3', 'src4', 'src5') AS prim, lang AS cat, sha256(text) AS b, doc_id FROM documents),
+ONCE = """WITH e AS (SELECT '/en/' || sha256(split_part(text, chr(10), 1)) || '/' AS route, source AS sys, source IN ('src1', 'src2', 'src3', 'src4', 'src5') AS prim, lang AS cat, sha256(text) AS b, doc_id FROM documents),
 o AS (SELECT * FROM (SELECT *, row_number() OVER (PARTITION BY route, sys ORDER BY doc_id) AS k FROM e) WHERE k = 1),
 g AS (SELECT route, count(*) AS n, count(DISTINCT b) = 1 AS high, CASE WHEN count(DISTINCT cat) = 1 THEN min(cat) WHEN count(DISTINCT cat) > 1 THEN 'mixed' END AS category, count(*) FILTER (prim) AS np,
 arg_min(sys, doc_id) FILTER (prim) AS own FROM o GROUP BY 1)"""
@@ -550,7 +551,15 @@ def entity_index(s, d):
     return entities.build_entities(listing(s, d)).select("route", "category", "confidence", "owner")
 
 
-@query("""WITH p AS (SELECT '/en/' || substring(sha256(split_part(text, chr(10), 1)), 1, 12) || '/' AS route, doc_id, source, lang, n_chars FROM documents)
+@query(f"""{ONCE}, v1 AS (SELECT route, category, CASE WHEN n >= 2 THEN CASE WHEN high THEN 'high' ELSE 'medium' END ELSE 'primary' END AS confidence FROM g WHERE (n >= 2 AND (high OR (category <> 'mixed' AND np >= 2))) OR (n = 1 AND np > 0))
+SELECT * FROM v1 UNION ALL SELECT route, arg_min(cat, doc_id), 'primary' FROM e WHERE prim AND route NOT IN (SELECT route FROM v1) GROUP BY route""")
+def entity_index_v2(s, d):
+    """N06, second version: with the first primary page of each route that no entity covers"""
+    pages = rel.first_by(listing(s, d).filter("role = 'primary'"), ["route"], ["page_id"])
+    return entities.with_uncovered(entities.build_entities(listing(s, d)), pages).select("route", "category", "confidence")
+
+
+@query("""WITH p AS (SELECT '/en/' || sha256(split_part(text, chr(10), 1)) || '/' AS route, doc_id, source, lang, n_chars FROM documents)
 SELECT reason, count(*) AS n FROM (SELECT CASE WHEN source = 'src0' THEN 'hidden_system' WHEN source NOT IN ('src1', 'src2', 'src3', 'src4', 'src5') THEN 'not_primary' WHEN route IN (SELECT route FROM p WHERE lang = 'de') THEN 'already_entity' WHEN row_number() OVER (PARTITION BY route ORDER BY doc_id) > 1 THEN 'duplicate' ELSE 'candidate' END AS reason FROM p) GROUP BY 1""")
 def entity_coverage(s, d):
     """N07"""
@@ -558,15 +567,6 @@ def entity_coverage(s, d):
     return entities.coverage(p, p.filter("category = 'de'").select("route")).groupBy("reason").agg(F.count(F.lit(1)).alias("n"))
 
 
-@query()
-def entity_enrichment(s, d):
-    """N09, N10, G24, W05"""
-    e = entities.build_entities(listing(s, d))
-    facts = listing(s, d).select("route", F.col("system_id").alias("kind"), F.when(F.col("role") == "primary", 0).otherwise(100).alias("priority"), "category", "title", F.lit("summary").alias("summary"))
-    out = entities.entity_visibility(entities.enrich(e, facts), listing(s, d).filter("role = 'primary'")).withColumn("entity_id", F.col("route"))
-    return agg.entity_report(out)
-
-
 @query("""SELECT reason, count(*) AS n FROM (SELECT CASE WHEN n_chars > 3000 AND source <> 'src3' THEN 'entity_override' WHEN lang = 'de' THEN 'route_override' WHEN source = 'src2' THEN 'craft_rejected' WHEN source = 'src3' THEN 'inventory_unclassified' ELSE 'system_fallback' END AS reason FROM documents) GROUP BY 1""")
 def page_classification(s, d):
     """W05"""
@@ -574,10 +574,10 @@ def page_classification(s, d):
     return entities.classify(p).groupBy("reason").agg(F.count(F.lit(1)).alias("n"))
 
 
-@query("SELECT '/en/' || substring(sha256(split_part(text, chr(10), 1)), 1, 12) || '/' AS route, count(DISTINCT text) AS contents, count(*) AS pages FROM documents GROUP BY 1 HAVING count(DISTINCT text) > 1")
+@query("SELECT '/en/' || sha256(split_part(text, chr(10), 1)) || '/' AS route, count(DISTINCT text) AS contents, count(*) AS pages FROM documents GROUP BY 1 HAVING count(DISTINCT text) > 1")
 def route_conflicts(s, d):
     """Q11"""
-    docs = table(s, d, "documents").withColumn("route", F.concat(F.lit("/en/"), F.substring(F.sha2(F.split_part("text", F.lit("\n"), F.lit(1)), 256), 1, 12), F.lit("/")))
+    docs = table(s, d, "documents").withColumn("route", F.concat(F.lit("/en/"), F.sha2(F.split_part("text", F.lit("\n"), F.lit(1)), 256), F.lit("/")))
     return quality.route_conflicts(docs, "route", "text")
 
 

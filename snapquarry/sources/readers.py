@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 
@@ -37,14 +37,27 @@ def union_sources(main: DataFrame, extra: DataFrame, kind: str) -> DataFrame:
     return main.withColumn("source_type", F.lit("manifest")).unionByName(extra.withColumn("source_type", F.lit(kind)), allowMissingColumns=True)
 
 
+def numbered_lines(spark: SparkSession, path: str) -> DataFrame:
+    """Value, file, line (from 1) of text files of any size, which are read in byte ranges: a first look counts the lines of each range,
+    and a line's number is its place in its range plus the lines of the ranges before. One row a range is broadcast."""
+    lines = spark.read.text(path).select("value", F.col("_metadata.file_path").alias("file"), F.col("_metadata.file_block_start").alias("_start"), F.monotonically_increasing_id().alias("_at"))
+    ranges = lines.groupBy("file", "_start").agg(F.count(F.lit(1)).alias("_n"), F.min("_at").alias("_first"))
+    before = F.coalesce(F.sum("_n").over(Window.partitionBy("file").orderBy("_start").rowsBetween(Window.unboundedPreceding, -1)), F.lit(0))
+    known = ranges.select("file", "_start", (before - F.col("_first") + 1).alias("_shift"))
+    return lines.join(F.broadcast(known), ["file", "_start"]).select("value", "file", (F.col("_at") + F.col("_shift")).alias("line"))
+
+
 def read_occurrences(spark: SparkSession, path: str, schema: str, strict: bool = True) -> DataFrame:
-    """JSON lines; blank lines go. strict: a bad line is an error that names its file; else it is kept in
-    _corrupt_record."""
-    rows = spark.read.schema(f"{schema}, _corrupt_record string").option("columnNameOfCorruptRecord", "_corrupt_record").json(path).withColumn("_file", F.col("_metadata.file_path"))
+    """JSON lines; blank lines go. strict: a bad line is an error that names its file and line; else it is kept in
+    _corrupt_record, with _file and _line."""
+    rows = numbered_lines(spark, path).filter(F.trim("value") != "")
+    told = F.from_json("value", f"{schema}, _corrupt_record string", {"mode": "PERMISSIVE", "columnNameOfCorruptRecord": "_corrupt_record"})
+    rows = rows.select(told.alias("j"), F.col("file").alias("_file"), F.col("line").alias("_line"), "value").select("j.*", "_file", "_line")
     if not strict:
         return rows
-    ok = F.when(F.col("_corrupt_record").isNotNull(), F.raise_error(F.concat(F.lit("bad line in "), F.col("_file"), F.lit(": "), F.col("_corrupt_record"))).cast("boolean")).otherwise(True)
-    return rows.filter(ok).drop("_corrupt_record", "_file")
+    said = F.concat(F.lit("bad line "), "_file", F.lit(":"), F.col("_line").cast("string"), F.lit(": "), "_corrupt_record")
+    ok = F.when(F.col("_corrupt_record").isNotNull(), F.raise_error(said).cast("boolean")).otherwise(True)
+    return rows.filter(ok).drop("_corrupt_record", "_file", "_line")
 
 
 TREE = "categories array<struct<id:string,visible:boolean,children:array<struct<id:string,systems:array<string>>>>>"

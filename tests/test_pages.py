@@ -87,9 +87,3 @@ def test_directory(spark):
     assert [r.route for r in entries.orderBy("source_order").collect()] == ["/en/p1", "/en/p2", "/en/p3"]
     r = report.first()
     assert (r.occurrences, r.n_unique, r.displayed, r.duplicates, r.confidence) == (4, 3, 3, 1, 0.84)
-
-
-def test_rewrite(spark, pages):
-    targets = spark.createDataFrame([("https://s.example/c.png", "assets/c.png")], "url string, path string")
-    r = extract.rewrite_pages(pages.filter("page_id = 3"), targets).first()
-    assert 'src="assets/c.png"' in r.html and r.n_rewritten == 1 and r.n_unresolved == r.n_refs - 1
