@@ -4,7 +4,6 @@ from __future__ import annotations
 
 import html as markup
 import re
-from bisect import bisect_right
 from collections import Counter
 from collections.abc import Iterator
 from html.parser import HTMLParser
@@ -33,7 +32,7 @@ class _References(HTMLParser):
         self.lines = [0, *(m.end() for m in re.finditer("\n", text))]
         self.spans: list[tuple[int, int, str, str]] = []
         self.gone: list[tuple[int, int]] = []
-        self.candidates: set[int] = set()  # where candidates of srcset start; integrity isn't about these
+        self.own: dict[int, int] = {}  # where the one asset of a tag is named, and the tag starts; integrity is about these
         self.skipped: list | None = None  # [tag, depth, start]
         self.style = False
         self.feed(text)
@@ -71,10 +70,10 @@ class _References(HTMLParser):
                 for part in re.finditer(r"[^\s,][^\s]*(?:\s+[^,]*)?", value):
                     url = re.match(r"\S+", part.group())
                     size = len(url.group().rstrip(","))
-                    self.candidates.add(at + part.start())
                     self.spans.append((at + part.start(), at + part.start() + size, "asset", markup.unescape(url.group()[:size])))
             elif name in ASSETS.get(tag, ()):
                 self.spans.append((at, at + len(value), "asset", markup.unescape(value)))
+                self.own[at] = start
             elif tag == "a" and name == "href":
                 self.spans.append((at, at + len(value), "page", markup.unescape(value)))
             elif name == "style":
@@ -113,7 +112,7 @@ def _put(text: str, known: dict[str, str | None]) -> tuple[str, Counter]:
     found, stats = _References(text), Counter()
     stats["n_removed"] = len(found.gone)
     edits = [(a, b, "") for a, b in found.gone]
-    tags, changed = sorted({int(v) for _, _, kind, v in found.spans if kind == "integrity"}), set()
+    changed = set()
     for a, b, kind, value in found.spans:
         if kind == "integrity":
             continue
@@ -126,8 +125,7 @@ def _put(text: str, known: dict[str, str | None]) -> tuple[str, Counter]:
         query, fragment = _parts(value)
         stats["n_assets" if kind == "asset" else "n_pages"] += 1
         edits.append((a, b, path + (query if kind == "page" else "") + fragment))
-        if tags and kind == "asset" and a not in found.candidates and (k := bisect_right(tags, a)):
-            changed.add(tags[k - 1])
+        changed.add(found.own.get(a))
     for a, b, kind, value in found.spans:
         if kind == "integrity" and int(value) in changed:
             stats["n_integrity"] += 1
