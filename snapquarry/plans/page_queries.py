@@ -8,7 +8,7 @@ from pyspark.sql import functions as F
 
 from ..functions import text, urls
 from ..operators import aggregates as agg
-from ..operators import directory, entities, extract, graph, modifiers, quality, regions, rewrite
+from ..operators import directory, dom, entities, extract, graph, modifiers, quality, regions, rewrite, search
 from ..sources import readers
 from ..sources.scratch import new_folder
 from .function_queries import SITE, told
@@ -475,3 +475,74 @@ def content_routes(s, d):
     last = F.when(F.col("source") == "src1", "Login/").when(F.col("source") == "src2", "search").otherwise(told("d", F.col("doc_id")))
     rows = table(s, d, "documents").select("lang", urls.is_non_content(told(SITE, last)).alias("none"))
     return rows.groupBy("lang").agg(F.count(F.lit(1)).alias("pages"), F.count_if("none").alias("without_content"))
+
+
+# ---- parse, lines, lists, entries, shells, search pages
+
+
+@query("""WITH l AS (SELECT o_orderkey AS k, count(l_orderkey) AS n FROM orders LEFT JOIN lineitem ON l_orderkey = o_orderkey GROUP BY 1), t AS (SELECT sum(n) AS lines, count(*) AS pages FROM l)
+SELECT x.tag, x.n::BIGINT AS n, x.nav::BIGINT AS in_navigation, x.depth FROM (SELECT unnest([{'tag': 'nav', 'n': pages, 'nav': 0, 'depth': 1}, {'tag': 'div', 'n': pages * 2, 'nav': 0, 'depth': 1}, {'tag': 'a', 'n': pages * 3 + lines, 'nav': pages * 2, 'depth': 3},
+{'tag': 'ul', 'n': pages, 'nav': 0, 'depth': 1}, {'tag': 'li', 'n': lines, 'nav': 0, 'depth': 2}, {'tag': '#text', 'n': pages * 3 + lines, 'nav': pages * 2, 'depth': 4}, {'tag': 'body', 'n': pages, 'nav': 0, 'depth': 0}, {'tag': 'span', 'n': pages, 'nav': pages, 'depth': 2}]) AS x FROM t)""")
+def tag_profile(s, d):
+    """Nodes of each tag of all pages, and how many stand in navigation, told by tag, class or role"""
+    item = told('<li><a href="p', F.col("l_partkey"), '">x</a></li>')
+    lines = listed(table(s, d, "lineitem"), "l_orderkey", item, "l_linenumber", "l_partkey")
+    o = table(s, d, "orders").join(lines, F.col("page_id") == F.col("o_orderkey"), "left")
+    html = told('<body><nav><a href="1">a</a></nav><div role="x-Menu"><span><a href="2">b</a></span></div><div class="plain"><a href="3">c</a></div><ul>', F.coalesce("rows", F.lit("")), "</ul></body>")
+    n = dom.dom_nodes(o.select(F.col("o_orderkey").alias("page_id"), html.alias("html")))
+    return n.groupBy("tag").agg(F.count(F.lit(1)).alias("n"), F.count_if(dom.in_navigation()).alias("in_navigation"), F.max("depth").alias("depth"))
+
+
+@query("""SELECT page_id, row_number() OVER (PARTITION BY page_id ORDER BY i) AS n, x AS line FROM (SELECT o_orderkey AS page_id, unnest(['order ' || o_orderkey, 'c' || o_custkey, CASE WHEN o_orderstatus = 'F' THEN 'done' END, 'one two', o_orderpriority, 'tail']) AS x, unnest(range(6)) AS i FROM orders) WHERE x IS NOT NULL""")
+def text_lines(s, d):
+    """Lines between block elements; inline elements don't part them, empty ones are dropped"""
+    html = told("<div>order  <b>", F.col("o_orderkey"), "</b><p>c", F.col("o_custkey"), "</p><p>", F.when(F.col("o_orderstatus") == "F", "done").otherwise(" "), "</p>one<i>\n two</i><br>", F.col("o_orderpriority"), "</div>tail<hr>")
+    rows = extract.lines(dom.dom_nodes(order_pages(s, d, html)))
+    n = F.row_number().over(_by("page_id", "first_node")).cast("long")
+    return rows.select("page_id", n.alias("n"), "line")
+
+
+@query("""SELECT 'inner' || o_orderstatus AS list, count(*) AS links FROM orders GROUP BY 1 UNION ALL SELECT 'outer', 2 * count(*) FROM orders UNION ALL SELECT NULL, count(*) FROM orders""")
+def nearest_lists(s, d):
+    """Links by the nearest list around them"""
+    html = told('<ul id="outer"><li><a href="1">x</a><ol id="inner', F.col("o_orderstatus"), '"><li><b><a href="2">x</a></b></li></ol><a href="3">x</a></li></ul><a href="4">x</a>')
+    nodes = dom.marked_nodes(order_pages(s, d, html), {"list": lambda t, a, c: a.get("id", "") if t in ("ul", "ol") else None})
+    return nodes.filter("tag = 'a'").groupBy(F.col("list.value").alias("list")).agg(F.count(F.lit(1)).alias("links"))
+
+
+@query("""WITH o AS (SELECT o_custkey AS k, count(*) AS n, count(*) FILTER (o_orderstatus = 'F') AS double FROM orders GROUP BY 1), p AS (SELECT c_custkey AS page_id, c_nationkey < 5 AS wrong, n AS n_unique, double AS duplicates, n + double AS occurrences FROM customer JOIN o ON k = c_custkey),
+q AS (SELECT *, CASE WHEN NOT wrong THEN n_unique WHEN n_unique + 1 <= occurrences THEN n_unique + 1 END::INT AS displayed FROM p)
+SELECT page_id, n_unique, occurrences, duplicates, displayed, n_unique AS entries, round(greatest(0::DOUBLE, least(0.99::DOUBLE, 0.70::DOUBLE + (CASE WHEN n_unique >= 10 THEN 0.20 WHEN n_unique >= 2 THEN 0.10 ELSE 0 END)::DOUBLE
++ (CASE WHEN displayed IS NULL THEN 0 WHEN displayed = n_unique THEN 0.09 ELSE -0.05 END)::DOUBLE - 0.20::DOUBLE * least(duplicates::DOUBLE / occurrences::DOUBLE, 1::DOUBLE)))::VARCHAR::DECIMAL(20, 18), 2)::DOUBLE AS confidence FROM q""")
+def directory_entries(s, d):
+    """Different entries of directory pages, with what their headings say and how sure they are"""
+    link = told('<li><a href="/en/o', F.col("o_orderkey"), '">o</a></li>')
+    rows = listed(table(s, d, "orders"), "o_custkey", F.concat(link, F.when(F.col("o_orderstatus") == "F", link).otherwise("")), "o_orderkey").join(table(s, d, "orders").groupBy(F.col("o_custkey").alias("page_id")).agg(F.count(F.lit(1)).alias("n")), "page_id")
+    c = table(s, d, "customer").join(rows, F.col("page_id") == F.col("c_custkey"))
+    html = told('<nav><a href="/en/nav">n</a></nav><main><div><h2>Orders / ', F.col("n") + (F.col("c_nationkey") < 5).cast("long"), "</h2><ul>", F.col("rows"), '</ul></div></main><p><a href="https://o.example/en/x">x</a></p>')
+    entries, report = directory.entries_from_pages(c.select("page_id", told(SITE, "c", F.col("page_id")).alias("url"), html.alias("html")))
+    return report.join(entries.groupBy("page_id").agg(F.count(F.lit(1)).alias("entries")), "page_id").select("page_id", "n_unique", "occurrences", "duplicates", "displayed", "entries", "confidence")
+
+
+@query("SELECT count(*) AS pages, min(o_orderkey) AS first_page FROM orders GROUP BY o_orderstatus, o_orderpriority, o_orderpriority LIKE '1%'")
+def shell_kinds(s, d):
+    """Pages by the signature of what frames them: style sheets, scripts, navigation; their own texts don't count"""
+    html = told('<link rel="s" href="/', F.col("o_orderstatus"), '.css"><script src="/', F.col("o_orderpriority"), '.js"></script>', F.when(_is("1"), "<nav>x</nav>").otherwise(""), "<p>", F.col("o_orderkey"), "</p>")
+    shells = extract.page_shell(order_pages(s, d, html))
+    return shells.groupBy("shell").agg(F.count(F.lit(1)).alias("pages"), F.min("page_id").alias("first_page")).drop("shell")
+
+
+@query("""WITH p AS (SELECT doc_id, '/en/' || sha256(split_part(text, chr(10), 1)) AS route, split_part(text, chr(10), 1) AS title, source, lang, text FROM documents), f AS (SELECT * FROM (SELECT *, row_number() OVER (PARTITION BY route ORDER BY doc_id) AS n FROM p) WHERE n = 1),
+e AS (SELECT route, min(doc_id) AS k, CASE WHEN min(lang) = 'en' THEN 'skill' ELSE 'item' END AS kind, CASE WHEN max(source) = 'src9' THEN 'Summary ' || min(doc_id) WHEN max(source) = 'src8' THEN ' ' END AS summary FROM p WHERE source <> 'src0' GROUP BY 1)
+SELECT doc_id AS page_id, CASE WHEN kind = 'skill' THEN 'main' ELSE source END AS system_id, 'e' || k AS entity_id, CASE WHEN k IS NULL THEN sha256(title) ELSE sha256('Entity ' || k) END AS title, CASE WHEN k IS NULL THEN 'system ' || source ELSE 'cat ' || kind END AS category, sha256(coalesce(nullif(trim(summary), ''), text)) AS text
+FROM f LEFT JOIN e ON e.route = f.route""")
+def search_pages_built(s, d):
+    """One search page for each route, with its entity's title, category and summary, and pages of one kind given over to its system"""
+    route = F.concat(F.lit("/en/"), F.sha2(F.split_part("text", F.lit("\n"), F.lit(1)), 256))
+    p = table(s, d, "documents").select(F.col("doc_id").alias("page_id"), route.alias("route"), F.col("source").alias("system_id"), F.split_part("text", F.lit("\n"), F.lit(1)).alias("title"), F.col("text").alias("cached_text"), "lang")
+    g = p.filter("system_id <> 'src0'").groupBy("route").agg(F.min("page_id").alias("k"), F.min("lang").alias("lang"), F.max("system_id").alias("top"))
+    kind = F.when(F.col("lang") == "en", "skill").otherwise("item")
+    e = g.select("route", told("e", F.col("k")).alias("entity_id"), told("Entity ", F.col("k")).alias("title"), told("cat ", kind).alias("category"), kind.alias("entity_type"), F.when(F.col("top") == "src9", told("Summary ", F.col("k"))).when(F.col("top") == "src8", " ").alias("clean_summary"))
+    systems = p.select("system_id").distinct().withColumn("category", F.concat(F.lit("system "), "system_id"))
+    built = search.refresh_ownership(search.build_search_pages(p.drop("lang"), e, systems), e, "skill", "main")
+    return built.select("page_id", "system_id", "entity_id", F.sha2("title", 256).alias("title"), "category", F.sha2("text", 256).alias("text"))
