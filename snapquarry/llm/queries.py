@@ -148,4 +148,64 @@ SELECT d.doc_id, strlen(d.h) // 2 AS n_bytes, coalesce(a.n_removed, 0) AS n_remo
 FROM d LEFT JOIN a USING (doc_id) LEFT JOIN t USING (doc_id)
 """
 
-ORACLE_SQL = {"op5_ngram_join": OP5, "op5_ngram_links": OP5_LINKS, "op9_rules": OP9, "op10_suffix_dedup": OP10}
+_P = [11400714785074694791, 14029467366897019727, 1609587929392839161, 9650029242287828579, 2870177450012600261]  # fixed values: the primes of XXH64
+_MOD = 1 << 64
+
+
+def _xxh64(seed: int) -> str:
+    """CTEs that make xx(sh, x), the XXH64 of each sh of s, in wide whole numbers modulo 2^64: four lanes over stripes of 32 bytes,
+    their merge, and what is left in steps of eight, four and one byte."""
+    one, two, three, four, five = _P
+    num = lambda n: f"{n % _MOD}::UHUGEINT"
+    low = lambda x: f"(({x}) % {_MOD}::UHUGEINT)"
+    turn = lambda x, r: low(f"(({x}) << {r}) | (({x}) >> {64 - r})")
+    times = lambda x, p: low(f"({x}) * {num(p)}")
+    byte = lambda i: f"substr(h, 2 * ({i}) + 1, 2)"
+    word = lambda i, n=8: f"('0x' || {' || '.join(byte(f'{i} + {k}') for k in reversed(range(n)))})::UBIGINT::UHUGEINT"
+    mixed = lambda w: times(turn(times(w, two), 31), one)
+    lane = lambda j, begin: f"list_reduce(list_prepend({num(begin)}, list_transform(range(0, n // 32), lambda i: {word(f'32 * i + {8 * j}')})), lambda a, w: {times(turn(low(f'a + {times('w', two)}'), 31), one)})"
+    merged = ["a1", "m1", "m2", "m3", "m4"]
+    steps = "".join(f"{merged[k]} AS (SELECT * REPLACE ({low(f'{times(f'xor(c, {mixed(f'v{k}')})', one)} + {num(four)}')} AS c) FROM {merged[k - 1]}),\n" for k in range(1, 5))
+    return f"""a0 AS (SELECT sh, h, n, {lane(0, seed + one + two)} AS v1, {lane(1, seed + two)} AS v2, {lane(2, seed)} AS v3, {lane(3, seed - one)} AS v4 FROM (SELECT sh, hex(encode(sh)) AS h, strlen(sh) AS n FROM (SELECT DISTINCT sh FROM s))),
+a1 AS (SELECT *, {low(f"{turn('v1', 1)} + {turn('v2', 7)} + {turn('v3', 12)} + {turn('v4', 18)}")} AS c FROM a0),
+{steps}c0 AS (SELECT sh, h, n, n // 32 * 32 AS p, {low(f"(CASE WHEN n >= 32 THEN c ELSE {num(seed + five)} END) + n::UHUGEINT")} AS c FROM m4),
+c1 AS (SELECT sh, h, n, p + (n - p) // 8 * 8 AS p, list_reduce(list_prepend(c, list_transform(range(0, (n - p) // 8), lambda i: {mixed(word('p + 8 * i'))})), lambda a, k: {low(f"{times(turn('xor(a, k)', 27), one)} + {num(four)}")}) AS c FROM c0),
+c2 AS (SELECT sh, h, n, p + (n - p) // 4 * 4 AS p, CASE WHEN n - p >= 4 THEN {low(f"{times(turn(f'xor(c, {times(word('p', 4), one)})', 23), two)} + {num(three)}")} ELSE c END AS c FROM c1),
+c3 AS (SELECT sh, list_reduce(list_prepend(c, list_transform(range(p, n), lambda i: {times(f"('0x' || {byte('i')})::UBIGINT::UHUGEINT", five)})), lambda a, k: {times(turn('xor(a, k)', 11), one)}) AS c FROM c2),
+c4 AS (SELECT sh, {times('xor(c, c >> 33)', two)} AS c FROM c3), c5 AS (SELECT sh, {times('xor(c, c >> 29)', three)} AS c FROM c4), xx AS (SELECT sh, xor(c, c >> 32)::UBIGINT AS x FROM c5)"""
+
+
+_BITS = " + ".join(f"(CASE WHEN 2 * sum(k * ((x >> {b}) & 1)) > sum(k) THEN {1 << b} ELSE 0 END)::UBIGINT" for b in range(64))
+
+OP12 = rf"""
+WITH RECURSIVE d AS (SELECT doc_id, translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz') AS t FROM documents),
+w AS (SELECT doc_id, {_WORDS} AS ws FROM d),
+s AS (SELECT doc_id, array_to_string(ws[i : i + 2], ' ') AS sh FROM (SELECT doc_id, ws, unnest(range(1, greatest(len(ws) - 2, least(len(ws), 1)) + 1)) AS i FROM w)),
+{_xxh64(42)},
+b AS (SELECT doc_id, {_BITS} AS f FROM (SELECT doc_id, sh, count(*) AS k FROM s GROUP BY ALL) JOIN xx USING (sh) GROUP BY 1),
+p AS (SELECT w.doc_id, coalesce(f, 0::UBIGINT) AS f FROM w LEFT JOIN b USING (doc_id)), u AS (SELECT f, min(doc_id) AS least FROM p GROUP BY 1),
+l AS (SELECT x.f AS a, y.f AS b FROM u x JOIN u y ON bit_count(xor(x.f, y.f)::HUGEINT) BETWEEN 1 AND 2),
+r AS (SELECT f AS a, f AS b FROM u UNION SELECT r.a, l.b FROM r JOIN l ON r.b = l.a)
+SELECT doc_id, lower(lpad(hex(p.f), 16, '0')) AS fingerprint, c.component_id FROM p JOIN (SELECT a, min(least) AS component_id FROM r JOIN u ON u.f = r.b GROUP BY 1) c ON c.a = p.f
+"""
+
+OP13 = r"""
+WITH RECURSIVE step(i, k, c) AS (SELECT i, 0, i FROM range(256) AS r(i) UNION ALL SELECT i, k + 1, CASE WHEN c & 1 = 1 THEN xor(c >> 1, 3988292384) ELSE c >> 1 END FROM step WHERE k < 8),
+tab AS (SELECT list(c ORDER BY i) AS crcs FROM step WHERE k = 8),
+texts AS (SELECT 0 AS part, doc_id AS id, coalesce(text, '') AS t FROM documents UNION ALL SELECT 1, item_id, coalesce(text, '') FROM benchmark),
+w AS (SELECT part, id, regexp_extract_all(translate(t, 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'), '[^\x00-\x2F\x3A-\x60\x7B-\x7F]+') AS ws FROM texts),
+f AS (SELECT part, id, unnest(list_concat(ws, list_transform(range(1, len(ws)), lambda i: ws[i] || ' ' || ws[i + 1]))) AS feature FROM w),
+n AS (SELECT part, id, feature, count(*) AS n FROM f GROUP BY ALL),
+b AS (SELECT feature, xor(list_reduce(list_prepend(4294967295, list_transform(range(0, strlen(feature)), lambda i: ('0x' || substr(hex(encode(feature)), 2 * i + 1, 2))::BIGINT)), lambda a, x: xor(a >> 8, crcs[(xor(a, x) & 255) + 1])), 4294967295) % 10000 AS bucket
+      FROM (SELECT DISTINCT feature FROM n), tab),
+m AS (SELECT part, id, bucket, n FROM n JOIN b USING (feature)),
+s AS (SELECT bucket, sum(CASE WHEN part = 0 THEN n ELSE 0 END)::DOUBLE AS s, sum(CASE WHEN part = 1 THEN n ELSE 0 END)::DOUBLE AS t FROM m GROUP BY 1),
+g AS (SELECT bucket, floor(1000 * ln((t + 1) * (sum(s) OVER () + 10000) / ((s + 1) * (sum(t) OVER () + 10000))))::BIGINT AS gain FROM s),
+x AS (SELECT id, sum(n)::BIGINT AS n_features, floor(sum(n * gain)::DOUBLE / sum(n))::BIGINT AS weight FROM m JOIN g USING (bucket) WHERE part = 0 GROUP BY 1),
+y AS (SELECT id AS doc_id, len(ws) >= 20 AS able, coalesce(n_features, 0) AS n_features, coalesce(weight, 0) AS weight,
+      coalesce(weight, 0) + floor(-1000 * ln(-ln((('0x' || substr(sha256('7:' || id), 1, 8))::BIGINT::DOUBLE + 0.5::DOUBLE) / 4294967296::DOUBLE)))::BIGINT AS score FROM w LEFT JOIN x USING (id) WHERE part = 0),
+r AS (SELECT *, row_number() OVER (PARTITION BY able ORDER BY score DESC, doc_id) AS place, count(*) FILTER (able) OVER () AS many FROM y)
+SELECT doc_id, n_features, weight, score, CASE WHEN able AND place <= 25 * many // 100 THEN place END AS rank FROM r
+"""
+
+ORACLE_SQL = {"op5_ngram_join": OP5, "op5_ngram_links": OP5_LINKS, "op9_rules": OP9, "op10_suffix_dedup": OP10, "op12_simhash": OP12, "op13_resampling": OP13}
