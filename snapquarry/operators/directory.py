@@ -8,17 +8,13 @@ from pyspark.sql import functions as F
 from ..functions.text import clean, extract_number
 from ..functions.urls import canonical_page, host, href_reason, resolve_url
 from .aggregates import discovery_confidence
-from .dom import dom_nodes, in_navigation, marked_nodes, stored_nodes
-from .extract import links
+from .dom import Mark, around, marked_nodes, navigation
 from .relational import append_missing, first_by, unique_ids
 
 
-def classified_links(pages: DataFrame, nodes: DataFrame | None = None) -> DataFrame:
-    """Links of pages(page_id, url, html) with target, reason, route and whether they stand in navigation; nodes: the pages'
-    nodes, where they are known."""
-    a = links(dom_nodes(pages) if nodes is None else nodes).join(pages.select("page_id", "url"), "page_id")
-    a = a.withColumn("target", resolve_url(F.col("href"), F.col("url"))).withColumn("reason", href_reason(F.col("href"), F.col("url"), F.col("target")))
-    return a.withColumn("route", canonical_page(F.col("target"))).withColumn("nav", in_navigation())
+def classified_links(pages: DataFrame) -> DataFrame:
+    """Links of pages(page_id, url, html) in order: node_id, href, anchor_text, target, reason, route and whether they stand in navigation."""
+    return anchors(pages, context=navigation).filter("href is not null").withColumnRenamed("text", "anchor_text")
 
 
 # What in an element's id, classes or role makes it a place of links to systems, a list of entries, or a relation.
@@ -44,17 +40,16 @@ def _hinted(tag, attrs, classes):
     return "" if any(h in _said(attrs, "id", "class") for h in LIST_HINTS) else None
 
 
-def anchors(pages: DataFrame, marks: dict | None = None) -> DataFrame:
+def anchors(pages: DataFrame, marks: dict[str, Mark] | None = None, context: Mark = _context) -> DataFrame:
     """Nodes of pages(page_id, url, html) dealt by page, with href, target, reason and route on anchors, and whether a link stands in
-    a context of systems (nav). Further columns of pages stay in `page`."""
+    an element that `context` marks (nav). Further columns of pages stay in `page`."""
     rest = [c for c in pages.columns if c != "html"]
-    every = {"context": _context, "a": _anchor} | (marks or {})
+    every = {"context": context, "a": _anchor} | (marks or {})
     nodes = marked_nodes(pages.select(F.struct(*rest).alias("page_id"), "html"), every).withColumnRenamed("page_id", "page").withColumn("page_id", F.col("page.page_id")).repartition("page_id")
     url, href = F.col("page.url"), F.when(F.col("a.node") == F.col("node_id"), F.col("a.value"))
     nodes = nodes.withColumn("href", href).withColumn("target", resolve_url(F.col("href"), url))
     nodes = nodes.withColumn("reason", F.when(F.col("href").isNotNull(), href_reason(F.col("href"), url, F.col("target")))).withColumn("route", F.when(F.col("href").isNotNull(), canonical_page(F.col("target"))))
-    outside = F.when(F.col("context.node") == F.col("node_id"), F.col("context.outer")).otherwise(F.col("context.node"))
-    return nodes.withColumn("nav", outside.isNotNull())
+    return nodes.withColumn("nav", around("context").isNotNull())
 
 
 def systems_from_pages(pages: DataFrame, known: DataFrame, utility: list[str]) -> DataFrame:
@@ -90,29 +85,27 @@ def max_repeat(counted: DataFrame, containers: DataFrame) -> DataFrame:
     return inside.groupBy("page_id", F.concat_ws(".", "tag", classes).alias("_s")).agg(F.count(F.lit(1)).alias("n")).groupBy("page_id").agg(F.max("n").alias("repeats"))
 
 
-def list_container(nodes: DataFrame, eligible: DataFrame) -> DataFrame:
-    """page_id, container, displayed: from a heading `label / N` up to the first ancestor that holds N eligible links
-    or more; the smallest of these, else the ancestor with most links. eligible(page_id, anc_ids)."""
-    counts = eligible.select("page_id", F.explode("anc_ids").alias("container")).groupBy("page_id", "container").agg(F.count(F.lit(1)).alias("n"))
-    size = nodes.select("page_id", F.col("node_id").alias("container"), (F.col("last_id") - F.col("node_id")).alias("size"), "depth")
-    marks = nodes.filter(F.col("tag").rlike("^h[1-6]$")).select("page_id", "node_id", "anc_ids", extract_number(F.col("text"), r"/\s*(\d+)\s*$").alias("displayed")).filter("displayed is not null")
-    up = marks.select("page_id", "node_id", "displayed", F.explode("anc_ids").alias("container")).join(counts, ["page_id", "container"]).join(size, ["page_id", "container"])
-    fit = up.filter("n >= displayed")
-    near = first_by(fit, ["page_id", "node_id"], [F.desc("depth")])
-    best = first_by(near, ["page_id"], ["size", "container"]).select("page_id", "container", "displayed")
-    most = first_by(counts.join(size, ["page_id", "container"]), ["page_id"], [F.desc("n"), "size", "container"]).select("page_id", "container", F.lit(None).cast("int").alias("displayed"))
-    return best.unionByName(most.join(best, "page_id", "left_anti"))
+def list_container(counted: DataFrame) -> DataFrame:
+    """page_id, node_id, last_id, displayed: from a heading `label / N` up to the first element around it that holds N eligible links
+    or more; the smallest of these, else the element with most links. counted: links_below, with the text of headings."""
+    heads = counted.filter(F.col("tag").rlike("^h[1-6]$")).select("page_id", F.col("node_id").alias("_h"), extract_number(F.col("text"), r"/\s*(\d+)\s*$").alias("displayed")).filter("displayed is not null")
+    some = counted.filter("n_below > 0").select("page_id", "node_id", "last_id", "n_below", (F.col("last_id") - F.col("node_id")).alias("size"))
+    up = heads.join(some, "page_id").filter(F.col("_h").between(F.col("node_id") + 1, F.col("last_id")) & (F.col("n_below") >= F.col("displayed")))
+    place = F.struct("size", "node_id", "last_id", "displayed")
+    near = up.groupBy("page_id", "_h").agg(F.max_by(place, "node_id").alias("p")).groupBy("page_id").agg(F.min("p").alias("best"))
+    most = some.groupBy("page_id").agg(F.min_by(F.struct("node_id", "last_id"), F.struct(-F.col("n_below"), "size", "node_id")).alias("most"))
+    j = most.join(near, "page_id", "left")
+    return j.select("page_id", F.coalesce("best.node_id", "most.node_id").alias("node_id"), F.coalesce("best.last_id", "most.last_id").alias("last_id"), "best.displayed")
 
 
 def entries_from_pages(pages: DataFrame) -> tuple[DataFrame, DataFrame]:
     """(entries of each directory page: different accepted links in its container, in order; report with counts and
     confidence G22)."""
-    nodes = stored_nodes(pages)
-    ok = classified_links(pages, nodes).filter("reason = 'accepted' and not nav")
-    box = list_container(nodes, ok)
-    inside = ok.join(box, "page_id").filter(F.array_contains("anc_ids", F.col("container")))
-    once = first_by(inside, ["page_id", "route"], ["pos"]).select("page_id", "route", "pos", clean(F.col("anchor_text")).alias("name"))
-    entries = once.withColumn("source_order", F.row_number().over(Window.partitionBy("page_id").orderBy("pos")) - 1).drop("pos")
+    nodes = anchors(pages, {"said": _wanted}, navigation).withColumn("ok", F.coalesce((F.col("reason") == "accepted") & ~F.col("nav"), F.lit(False)))
+    box = list_container(links_below(nodes, "ok")).select("page_id", F.col("node_id").alias("_c"), F.col("last_id").alias("_l"), "displayed")
+    inside = nodes.filter("ok").join(box, "page_id").filter(F.col("node_id").between(F.col("_c") + 1, F.col("_l")))
+    once = inside.groupBy("page_id", "route").agg(F.min("node_id").alias("_n"), F.min_by("text", "node_id").alias("text"))
+    entries = once.select("page_id", "route", clean(F.col("text")).alias("name"), (F.row_number().over(Window.partitionBy("page_id").orderBy("_n")) - 1).alias("source_order"))
     report = inside.groupBy("page_id").agg(F.count(F.lit(1)).alias("occurrences"), F.count_distinct("route").alias("n_unique"), F.max("displayed").alias("displayed")).withColumn("duplicates", F.col("occurrences") - F.col("n_unique"))
     report = pages.select("page_id").join(report, "page_id", "left").withColumn("has_container", F.col("n_unique").isNotNull()).fillna(0, ["occurrences", "n_unique", "duplicates"])
     return entries, discovery_confidence(report)

@@ -1,7 +1,8 @@
-"""Pages to DOM nodes in one pass (T01), and what is read off the nodes' ancestors."""
+"""Pages to DOM nodes in one pass (T01), with what stands around each node."""
 
 from __future__ import annotations
 
+import re
 from collections.abc import Callable, Iterator
 from html.parser import HTMLParser
 
@@ -11,114 +12,26 @@ from pyspark.sql import functions as F
 
 from ..sources.scratch import new_folder
 
-# Elements without an end tag, and elements whose whole text is kept on the node.
+# Elements without an end tag, and elements that part lines.
 VOID = {"area", "base", "br", "col", "embed", "hr", "img", "input", "link", "meta", "param", "source", "track", "wbr"}
 BLOCKS = {"address", "article", "aside", "blockquote", "br", "dd", "div", "dl", "dt", "footer", "h1", "h2", "h3", "h4", "h5", "h6", "header", "hr", "li", "nav", "ol", "p", "section", "table", "td", "th", "tr", "ul"}
-TEXT = {"title", "h1", "h2", "h3", "h4", "h5", "h6", "a", "td", "th", "p", "li", "span", "b", "button", "label", "option"}
 
-NODE = pa.schema([
-    ("node_id", pa.int32()), ("parent_id", pa.int32()), ("last_id", pa.int32()), ("depth", pa.int32()), ("tag", pa.string()), ("attrs", pa.map_(pa.string(), pa.string())),
-    ("classes", pa.list_(pa.string())), ("own_text", pa.string()), ("text", pa.string()), ("anc_ids", pa.list_(pa.int32())), ("anc_tags", pa.list_(pa.string())), ("anc_classes", pa.list_(pa.string())), ("anc_hints", pa.list_(pa.string())),
-])
-SCHEMA = "node_id int, parent_id int, last_id int, depth int, tag string, attrs map<string,string>, classes array<string>, own_text string, text string, anc_ids array<int>, anc_tags array<string>, anc_classes array<string>, anc_hints array<string>"
+def navigation(tag: str, attrs: dict[str, str], classes: set[str]) -> str | None:
+    """nav and header, and what hints at navigation in its id, classes or role."""
+    return "" if tag in ("nav", "header") or re.search("nav|menu|sidebar|breadcrumb", " ".join(attrs.get(k, "") for k in ("id", "class", "role")).lower()) else None
 
 
-class _Nodes(HTMLParser):
-    """Elements and texts (tag #text) in document order. An end tag closes up to the nearest open tag of its name; one
-    that has none is passed over."""
-
-    def __init__(self) -> None:
-        super().__init__(convert_charrefs=True)
-        self.rows: list[dict] = []
-        self.open: list[dict] = []
-
-    def _add(self, tag: str, attrs: list, own: str | None) -> dict:
-        n = len(self.rows)
-        given = {k: v or "" for k, v in reversed(attrs)}
-        row = {"node_id": n, "parent_id": self.open[-1]["node_id"] if self.open else None, "last_id": n, "depth": len(self.open), "tag": tag, "attrs": list(given.items()),
-               "classes": given.get("class", "").split(), "own_text": own, "text": None, "anc_ids": [o["node_id"] for o in self.open], "anc_tags": [o["tag"] for o in self.open],
-               "anc_classes": [c for o in self.open for c in o["classes"]], "anc_hints": [h for o in self.open for h in o["hints"]], "hints": [given[k] for k in ("id", "role") if given.get(k)], "parts": []}
-        self.rows.append(row)
-        return row
-
-    def handle_starttag(self, tag, attrs):
-        row = self._add(tag, attrs, None)
-        if tag not in VOID:
-            self.open.append(row)
-
-    def handle_startendtag(self, tag, attrs):
-        self._add(tag, attrs, None)
-
-    def handle_endtag(self, tag):
-        for k in range(len(self.open) - 1, -1, -1):
-            if self.open[k]["tag"] == tag:
-                for row in self.open[k:]:
-                    row["last_id"] = len(self.rows) - 1
-                del self.open[k:]
-                return
-
-    def handle_data(self, data):
-        for o in self.open:
-            if o["tag"] in TEXT:
-                o["parts"].append(data)
-        self._add("#text", [], data)
-
-    def nodes(self, html: str) -> list[dict]:
-        self.feed(html)
-        self.close()
-        for row in self.open:
-            row["last_id"] = len(self.rows) - 1
-        for row in self.rows:
-            if row["tag"] in TEXT:
-                row["text"] = " ".join("".join(row["parts"]).split())
-        return self.rows
-
-
-def dom_nodes(pages: DataFrame) -> DataFrame:
-    """One row for each element and text of each page, with its ancestors; null pages give no rows. Only page_id
-    and html go to Python."""
-    kind = pages.schema["page_id"].dataType.simpleString()
-
-    def told(ids: list, rows: list[dict], page_type: pa.DataType) -> pa.RecordBatch:
-        return pa.RecordBatch.from_arrays([pa.array(ids, page_type), *[pa.array([r[f.name] for r in rows], f.type) for f in NODE]], names=["page_id", *NODE.names])
-
-    def parsed(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in batches:
-            ids, rows, page_type = [], [], batch.schema.field("page_id").type
-            for page, html in zip(batch.column("page_id").to_pylist(), batch.column("html").to_pylist()):
-                own = _Nodes().nodes(html) if html else []
-                ids += [page] * len(own)
-                rows += own
-                if len(rows) >= 5000:  # many short pages share a batch
-                    yield told(ids, rows, page_type)
-                    ids, rows = [], []
-            if rows:
-                yield told(ids, rows, page_type)
-
-    return pages.select("page_id", "html").mapInArrow(parsed, f"page_id {kind}, {SCHEMA}")
-
-
-def stored_nodes(pages: DataFrame) -> DataFrame:
-    """The same, written to the shared folder and read back: for operators that look at the nodes several times, as
-    parsing is the dearest step and Spark would do it for each look. Only the columns that are asked for are read."""
-    path = new_folder(pages.sparkSession, "nodes")
-    nodes = dom_nodes(pages)
-    nodes.write.parquet(path)
-    return pages.sparkSession.read.schema(nodes.schema).parquet(path)
-
-
-def in_navigation() -> Column:
-    """an ancestor is nav or header, or hints at navigation in its id, classes or role."""
-    hint = F.exists(F.concat("anc_classes", "anc_hints"), lambda c: F.lower(c).rlike("nav|menu|sidebar|breadcrumb"))
-    return F.exists("anc_tags", lambda t: t.isin("nav", "header")) | hint
+def around(mark: str) -> Column:
+    """The nearest marked element around a node, itself not included (null: none)."""
+    return F.when(F.col(f"{mark}.node") == F.col("node_id"), F.col(f"{mark}.outer")).otherwise(F.col(f"{mark}.node"))
 
 
-def nearest_ancestor(nodes: DataFrame, condition: Column, name: str) -> DataFrame:
-    """Nodes with the id of the nearest ancestor that meets a condition on the ancestor's own columns (null: none)."""
-    holders = nodes.filter(condition).select("page_id", F.col("node_id").alias("_h"))
-    steps = nodes.select("page_id", "node_id", F.explode("anc_ids").alias("_h")).join(holders, ["page_id", "_h"])
-    near = steps.groupBy("page_id", "node_id").agg(F.max("_h").alias(name))
-    return nodes.join(near, ["page_id", "node_id"], "left")
+def stored(df: DataFrame, name: str = "nodes") -> DataFrame:
+    """df, written to the shared folder and read back: for what several looks need, as parsing is the dearest step and Spark would do it
+    for each look. Only the columns that are asked for are read."""
+    path = new_folder(df.sparkSession, name)
+    df.write.parquet(path)
+    return df.sparkSession.read.schema(df.schema).parquet(path)
 
 
 #: Tells whether an element (tag, attributes, classes) is marked: null, or the value that what is inside gets to know.
@@ -131,7 +44,8 @@ _PLACE = pa.struct([("node", pa.int32()), ("top", pa.int32()), ("value", pa.stri
 
 
 class _Marked(HTMLParser):
-    """Elements and texts in document order; each knows, of every mark, the nearest and the outermost marked element that
+    """Elements and texts (tag #text) in document order; an end tag closes up to the nearest open tag of its name, and one that has
+    none is passed over. Each knows, of every mark, the nearest and the outermost marked element that
     it stands in, itself included. A node takes as much room as there are marks, however deep it stands."""
 
     def __init__(self, marks: dict[str, Mark]) -> None:
@@ -201,7 +115,7 @@ class _Marked(HTMLParser):
 
 
 def marked_nodes(pages: DataFrame, marks: dict[str, Mark], keep: set[str] | None = None) -> DataFrame:
-    """T01 for operators that look at what stands in what: page_id, node_id, parent_id, last_id, parent_last (the parent's
+    """page_id, node_id, parent_id, last_id, parent_last (the parent's
     last_id), depth, tag, attrs, own_text (of texts, tag #text), text (of marked elements: all text inside, with single
     blanks; scripts and styles are passed over), line (a number that goes up where a block element begins or ends), and for
     each mark a struct of that name: node and top, the nearest and the outermost marked element around the node, itself

@@ -2,16 +2,17 @@
 
 from __future__ import annotations
 
+import re
+
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from ..functions.hashing import signature
 from ..functions.text import clean, extract_number, has_han
 from ..functions.urls import is_tracking, resolve_url
-from .dom import dom_nodes, marked_nodes, stored_nodes
+from .dom import marked_nodes, stored
 
-# Elements that part lines, elements without visible text, kinds of script calls.
-BLOCKS = ["address", "article", "aside", "blockquote", "br", "dd", "div", "dl", "dt", "footer", "h1", "h2", "h3", "h4", "h5", "h6", "header", "hr", "li", "nav", "ol", "p", "section", "table", "td", "th", "tr", "ul"]
+# Elements without visible text, kinds of script calls.
 INVISIBLE = ["script", "style", "nav", "footer"]
 CALLS = {
     "fetch": r"(?i)\bfetch\s*\(", "xhr": r"\bXMLHttpRequest\b", "ajax": r"(?i)\$\.ajax\s*\(", "get": r"(?i)\$\.get\s*\(", "post": r"(?i)\$\.post\s*\(",
@@ -31,26 +32,26 @@ def raw_links(pages: DataFrame) -> DataFrame:
     return pages.select("page_id", "url", F.posexplode(F.regexp_extract_all("html", F.lit(HREF), F.lit(1))).alias("pos", "href"))
 
 
-def links(nodes: DataFrame) -> DataFrame:
+def links(pages: DataFrame) -> DataFrame:
     """page_id, node_id, pos, href, anchor text of each a[href]."""
-    a = nodes.filter((F.col("tag") == "a") & F.map_contains_key("attrs", F.lit("href")))
+    a = marked_nodes(pages, {"a": lambda t, attrs, classes: attrs["href"] if t == "a" and "href" in attrs else None}, {"a"}).filter("a.node = node_id")
     pos = F.row_number().over(Window.partitionBy("page_id").orderBy("node_id")) - 1
-    return a.select("page_id", "node_id", pos.alias("pos"), F.col("attrs")["href"].alias("href"), F.coalesce("text", F.lit("")).alias("anchor_text"), "anc_tags", "anc_classes", "anc_hints", "anc_ids")
+    return a.select("page_id", "node_id", pos.alias("pos"), F.col("a.value").alias("href"), F.coalesce("text", F.lit("")).alias("anchor_text"))
 
 
-def asset_refs(nodes: DataFrame) -> DataFrame:
-    """page_id, node_id, attribute, url of every reference to an asset; srcset gives each of its candidates."""
+def asset_refs(pages: DataFrame) -> DataFrame:
+    """page_id, node_id, attribute, url of every reference to an asset; srcset gives each of its candidates. One pass over the parse."""
+    nodes = marked_nodes(pages, {"style": lambda t, attrs, classes: "" if t == "style" else None})
     at = lambda k: F.try_element_at("attrs", F.lit(k))
+    css = lambda c: F.coalesce(F.regexp_extract_all(c, F.lit(r"url\(\s*['\"]?([^'\")]+)"), F.lit(1)), F.array().cast("array<string>"))
     srcset = F.transform(F.split(at("srcset"), ","), lambda p: F.split_part(F.trim(p), F.lit(" "), F.lit(1)))
-    css = F.when(F.col("tag") == "style", None).otherwise(at("style"))
     one = lambda name, v, *tags: F.when(F.col("tag").isin(*tags), F.struct(F.lit(name).alias("attribute"), v.alias("url")))
     single = F.array(one("src", at("src"), "img", "script", "source", "video", "audio", "embed"), one("href", at("href"), "link"), one("poster", at("poster"), "video"), one("data", at("data"), "object"))
     several = F.transform(F.coalesce(F.when(F.col("tag").isin("img", "source"), srcset), F.array()), lambda u: F.struct(F.lit("srcset").alias("attribute"), u.alias("url")))
-    styled = F.transform(F.coalesce(F.regexp_extract_all(css, F.lit(r"url\(\s*['\"]?([^'\")]+)"), F.lit(1)), F.array().cast("array<string>")), lambda u: F.struct(F.lit("style").alias("attribute"), u.alias("url")))
-    every = F.concat(single, several, styled)
-    rows = nodes.filter("tag <> '#text'").select("page_id", "node_id", F.explode(F.filter(every, lambda s: s.isNotNull() & s["url"].isNotNull() & (s["url"] != ""))).alias("r"))
-    sheets = nodes.filter("tag = '#text' and try_element_at(anc_tags, -1) = 'style'").select("page_id", "node_id", F.explode(F.regexp_extract_all("own_text", F.lit(r"url\(\s*['\"]?([^'\")]+)"), F.lit(1))).alias("url"))
-    return rows.select("page_id", "node_id", "r.attribute", "r.url").unionByName(sheets.select("page_id", "node_id", F.lit("style").alias("attribute"), "url"))
+    said = F.when(F.col("tag") == "style", None).when(F.col("tag") != "#text", at("style")).when(F.col("style").isNotNull(), F.col("own_text"))
+    styled = F.transform(css(said), lambda u: F.struct(F.lit("style").alias("attribute"), u.alias("url")))
+    every = F.filter(F.concat(single, several, styled), lambda s: s.isNotNull() & s["url"].isNotNull() & (s["url"] != ""))
+    return nodes.select("page_id", "node_id", F.explode(every).alias("r")).select("page_id", "node_id", "r.attribute", "r.url")
 
 
 def css_refs(sheets: DataFrame) -> DataFrame:
@@ -68,12 +69,12 @@ def css_refs(sheets: DataFrame) -> DataFrame:
 def tooltip_occurrences(pages: DataFrame, season: str = "s1", source_type: str = "page") -> DataFrame:
     """page_id, occurrence_id (season, source type, page, number in the page), method (missing, text or html), title, lines, text of every tooltip trigger. The
     payload of an attribute is parsed as a page of its own: with two or more children its first is the title."""
-    nodes = dom_nodes(pages)
-    t = nodes.filter(F.try_element_at("attrs", F.lit("data-bs-toggle")) == "tooltip").select("page_id", "node_id", F.try_element_at("attrs", F.lit("data-bs-title")).alias("payload"))
+    nodes = marked_nodes(pages, {"tip": lambda t, attrs, classes: "" if attrs.get("data-bs-toggle") == "tooltip" else None}, {"tip"})
+    t = nodes.filter("tip.node = node_id").select("page_id", "node_id", F.try_element_at("attrs", F.lit("data-bs-title")).alias("payload"))
     t = t.withColumn("n", F.row_number().over(Window.partitionBy("page_id").orderBy("node_id")) - 1)
     plain = F.trim("payload") != ""
     t = t.withColumn("method", F.when(F.col("payload").isNull(), "missing").when(plain & ~F.col("payload").contains("<"), "text").otherwise("html"))
-    inner = stored_nodes(t.filter("method = 'html'").select(F.struct("page_id", "n").alias("page_id"), F.col("payload").alias("html")))
+    inner = stored(marked_nodes(t.filter("method = 'html'").select(F.struct("page_id", "n").alias("page_id"), F.col("payload").alias("html")), {}))
     elements = inner.filter("tag <> '#text' and tag <> 'br'")
     root = elements.filter("depth = 0").groupBy("page_id").agg(F.count(F.lit(1)).alias("roots"))
     level = elements.join(root, "page_id").filter(F.col("depth") == F.when(F.col("roots") == 1, 1).otherwise(0))
@@ -87,25 +88,29 @@ def tooltip_occurrences(pages: DataFrame, season: str = "s1", source_type: str =
     return out.select("page_id", F.concat_ws(".", F.lit(season), F.lit("tooltip"), F.lit(source_type), "page_id", "n").alias("occurrence_id"), "method", "title", "lines", F.nullif(F.array_join("lines", "\n"), F.lit("")).alias("text"))
 
 
-def visible_text(nodes: DataFrame, excluded_ids: list[str] | None = None, strict: bool = False) -> DataFrame:
+def visible_text(pages: DataFrame, excluded_ids: list[str] | None = None, strict: bool = False) -> DataFrame:
     """page_id, text: texts outside invisible elements and excluded sections, in order. strict leaves out inactive
-    panes, historical cards, data tables and hidden nodes too, and whole cards whose header names a link list."""
-    at = lambda k: F.lower(F.coalesce(F.try_element_at("attrs", F.lit(k)), F.lit("")))
-    has = lambda *c: F.exists("classes", lambda x: F.lower(x).isin(*c))
-    gone = F.col("tag").isin(*INVISIBLE) | at("id").isin(*[i.lower() for i in excluded_ids or ["\0"]])
-    if strict:
-        gone = gone | (has("tab-pane") & ~has("active", "show")) | at("id").contains("npc") | F.exists("classes", lambda x: F.lower(x).contains("npc"))
-        gone = gone | ((F.col("tag") == "table") & has("datatable")) | has("previousitem", "history", "historical", "d-none")
-        gone = gone | F.map_contains_key("attrs", F.lit("hidden")) | (at("aria-hidden") == "true") | at("style").rlike(r"display:\s*none|visibility:\s*hidden")
-    hidden = nodes.filter(gone & (F.col("tag") != "#text")).select("page_id", F.col("node_id").alias("_a"))
+    panes, historical cards, data tables and hidden nodes too, and whole cards whose header names a link list. One sweep over each page."""
+    ids, invisible = {i.lower() for i in excluded_ids or []}, set(INVISIBLE)
+
+    def gone(tag: str, attrs: dict, classes: set) -> str | None:
+        if tag in invisible or attrs.get("id", "").lower() in ids:
+            return ""
+        if not strict:
+            return None
+        low, at = {c.lower() for c in classes}, {k: v.lower() for k, v in attrs.items()}
+        hidden = "tab-pane" in low and not low & {"active", "show"} or "npc" in at.get("id", "") or any("npc" in c for c in low) or tag == "table" and "datatable" in low
+        hidden = hidden or bool(low & {"previousitem", "history", "historical", "d-none"}) or "hidden" in attrs or at.get("aria-hidden") == "true"
+        return "" if hidden or re.search(r"display:\s*none|visibility:\s*hidden", at.get("style", "")) else None
+
+    has = lambda name: lambda tag, attrs, classes: "" if name in {c.lower() for c in classes} else None
+    nodes = marked_nodes(pages, {"gone": gone, "card": has("card"), "head": has("card-header")}).repartition("page_id")
     if strict:
-        named = nodes.filter((F.col("tag") == "#text") & F.lower(F.trim("own_text")).isin(*LINK_LISTS)).select("page_id", F.col("parent_id").alias("_h"))
-        heads = nodes.filter(has("card-header")).select("page_id", F.col("node_id").alias("_h"), F.explode("anc_ids").alias("_a")).join(named, ["page_id", "_h"])
-        near = heads.join(nodes.filter(has("card")).select("page_id", F.col("node_id").alias("_a")), ["page_id", "_a"])
-        hidden = hidden.unionByName(near.groupBy("page_id", "_h").agg(F.max("_a").alias("_a")).drop("_h")).distinct()
-    texts = nodes.filter((F.col("tag") == "#text") & (F.trim("own_text") != ""))
-    covered = texts.select("page_id", "node_id", F.explode("anc_ids").alias("_a")).join(hidden, ["page_id", "_a"]).select("page_id", "node_id").distinct()
-    kept = texts.join(covered, ["page_id", "node_id"], "left_anti")
+        named = (F.col("tag") == "#text") & F.col("head").isNotNull() & F.lower(F.trim("own_text")).isin(*LINK_LISTS)
+        nodes = nodes.withColumn("listed", F.count_if(named).over(Window.partitionBy("page_id", "card.node")) > 0)
+        lists = F.collect_list(F.when((F.col("card.node") == F.col("node_id")) & F.col("listed"), F.struct("node_id", "last_id"))).over(Window.partitionBy("page_id"))
+        nodes = nodes.withColumn("lists", lists).filter(~F.exists("lists", lambda c: F.col("node_id").between(c["node_id"], c["last_id"])))
+    kept = nodes.filter((F.col("tag") == "#text") & (F.trim("own_text") != "") & F.col("gone").isNull())
     ordered = F.transform(F.array_sort(F.collect_list(F.struct("node_id", "own_text"))), lambda x: x["own_text"])
     return kept.groupBy("page_id").agg(clean(F.array_join(ordered, " ")).alias("text"))
 
@@ -119,16 +124,10 @@ def visible_text_fast(html: Column) -> Column:
 
 
 def lines(nodes: DataFrame) -> DataFrame:
-    """page_id, line_no, first_node, line: texts between block elements, with single blanks, empty ones dropped."""
-    w = Window.partitionBy("page_id").orderBy("node_id")
-    # a block begins a segment, and so does the first node behind its end
-    block = F.when(F.col("tag").isin(*BLOCKS), 1).otherwise(0)
-    parent = F.coalesce(F.try_element_at(F.filter(F.arrays_zip("anc_ids", "anc_tags"), lambda a: a["anc_tags"].isin(*BLOCKS)), F.lit(-1))["anc_ids"], F.lit(-1))
-    rows = nodes.select("page_id", "node_id", "tag", "own_text", block.alias("_b"), parent.alias("_p")).filter("tag = '#text' or _b = 1")
-    moved = F.when((F.col("_b") == 1) | (F.col("_p") != F.lag("_p", 1, -2).over(w)), 1).otherwise(0)
-    rows = rows.withColumn("_m", moved).withColumn("line_no", F.sum("_m").over(w)).filter("tag = '#text'")
+    """page_id, line_no, first_node, line: texts of marked_nodes between block elements, with single blanks, empty ones dropped."""
     text = F.transform(F.array_sort(F.collect_list(F.struct("node_id", "own_text"))), lambda x: x["own_text"])
-    return rows.groupBy("page_id", "line_no").agg(F.min("node_id").alias("first_node"), clean(F.array_join(text, "")).alias("line")).filter("line <> ''")
+    rows = nodes.filter("tag = '#text'").groupBy("page_id", F.col("line").alias("line_no"))
+    return rows.agg(F.min("node_id").alias("first_node"), clean(F.array_join(text, "")).alias("line")).filter("line <> ''")
 
 
 def _heading(tag, attrs, classes):
@@ -145,22 +144,23 @@ def headings(pages: DataFrame) -> DataFrame:
     return h.groupBy("page_id").agg(first(title, "title"), first(named, "heading"), first(han, "han_heading")).filter("title is not null or heading is not null")
 
 
-def section_rows(nodes: DataFrame) -> DataFrame:
+def section_rows(pages: DataFrame) -> DataFrame:
     """page_id, section_id, table_no, row_index, headers, cells, stable_key, tier_value of every table row inside a
-    div with an id. Cells belong to the nearest row, rows to the nearest table."""
-    near = lambda tag: F.try_element_at(F.filter(F.arrays_zip("anc_ids", "anc_tags"), lambda a: a["anc_tags"] == tag), F.lit(-1))["anc_ids"]
-    sections = nodes.filter("tag = 'div' and map_contains_key(attrs, 'id')").select("page_id", F.col("node_id").alias("_s"), F.col("attrs")["id"].alias("section_id"))
-    tables = nodes.filter("tag = 'table'").select("page_id", F.col("node_id").alias("_t"), F.explode("anc_ids").alias("_s")).join(sections, ["page_id", "_s"])
-    tables = tables.groupBy("page_id", "_t").agg(F.max_by("section_id", "_s").alias("section_id"))
-    tables = tables.withColumn("table_no", F.row_number().over(Window.partitionBy("page_id", "section_id").orderBy("_t")) - 1)
-    cells = nodes.filter("tag in ('td', 'th')").select("page_id", "node_id", "tag", "text", near("tr").alias("_r"), near("table").alias("_t"))
-    listed = lambda tag: F.transform(F.array_sort(F.collect_list(F.when(F.col("tag") == tag, F.struct("node_id", "text")))), lambda x: x["text"])
-    rows = cells.groupBy("page_id", "_t", "_r").agg(listed("td").alias("cells"), listed("th").alias("ths"))
-    keys = nodes.filter("tag = 'tr'").select("page_id", F.col("node_id").alias("_r"), F.try_element_at("attrs", F.lit("data-modifier-id")).alias("stable_key"), F.try_element_at("attrs", F.lit("data-tier")).alias("tier_value"))
-    heads = rows.filter("size(ths) > 0").groupBy("page_id", "_t").agg(F.min_by("ths", "_r").alias("headers"))
-    body = rows.filter("size(cells) > 0").join(keys, ["page_id", "_r"]).join(heads, ["page_id", "_t"], "left").join(tables, ["page_id", "_t"])
+    div with an id. Cells belong to the nearest row, rows to the nearest table, tables to the nearest such div; tables are numbered within sections of
+    one id. Nodes are dealt by page once."""
+    tags = lambda *names: lambda t, attrs, classes: t if t in names else None
+    marks = {"section": lambda t, attrs, classes: attrs["id"] if t == "div" and "id" in attrs else None, "table": tags("table"), "row": tags("tr"), "cell": tags("td", "th")}
+    here = lambda m: F.col(f"{m}.node") == F.col("node_id")
+    nodes = marked_nodes(pages, marks, {"table"}).repartition("page_id")
+    section = F.max(F.when(here("table"), F.struct(F.col("section.value").alias("id")))).over(Window.partitionBy("page_id", "table.node"))["id"]
+    listed = lambda tag: F.transform(F.array_sort(F.collect_list(F.when(here("cell") & (F.col("tag") == tag), F.struct("node_id", "text")))), lambda x: x["text"])
+    attr = lambda k: F.max(F.when(here("row"), F.try_element_at("attrs", F.lit(k))))
+    rows = nodes.withColumn("section_id", section).filter("section_id is not null").groupBy("page_id", "section_id", F.col("table.node").alias("_t"), F.col("row.node").alias("_r"))
+    rows = rows.agg(listed("td").alias("cells"), listed("th").alias("ths"), attr("data-modifier-id").alias("stable_key"), attr("data-tier").alias("tier_value"))
+    rows = rows.withColumn("table_no", F.dense_rank().over(Window.partitionBy("page_id", "section_id").orderBy("_t")) - 1)
+    rows = rows.withColumn("headers", F.min_by("ths", F.when(F.size("ths") > 0, F.col("_r"))).over(Window.partitionBy("page_id", "section_id", "_t"))).filter(F.col("_r").isNotNull() & (F.size("cells") > 0))
     at = F.row_number().over(Window.partitionBy("page_id", "section_id", "table_no").orderBy("_r")) - 1
-    return body.select("page_id", "section_id", "table_no", at.alias("row_index"), F.coalesce("headers", F.array().cast("array<string>")).alias("headers"), "cells", "stable_key", "tier_value")
+    return rows.select("page_id", "section_id", "table_no", at.alias("row_index"), F.coalesce("headers", F.array().cast("array<string>")).alias("headers"), "cells", "stable_key", "tier_value")
 
 
 def section_descriptor(rows: DataFrame) -> DataFrame:

@@ -83,71 +83,6 @@ def effect_or_description(cards: DataFrame) -> DataFrame:
     return best.select("page_id", text.alias("text"), level.alias("locator_level")).filter("text is not null")
 
 
-def subtree_text(nodes: DataFrame, roots: DataFrame) -> DataFrame:
-    """page_id, node_id, text: all text below each of roots(page_id, node_id), in order, with single blanks."""
-    text = nodes.filter("tag = '#text'").select("page_id", F.col("node_id").alias("_t"), "own_text", F.explode("anc_ids").alias("node_id"))
-    parts = F.transform(F.array_sort(F.collect_list(F.struct("_t", "own_text"))), lambda x: x["own_text"])
-    return roots.select("page_id", "node_id").join(text, ["page_id", "node_id"]).groupBy("page_id", "node_id").agg(clean(F.array_join(parts, " ")).alias("text"))
-
-
-def outermost(found: DataFrame) -> DataFrame:
-    """Those of found(page_id, node_id, anc_ids) that stand in no other one of them."""
-    above = found.select("page_id", F.col("node_id").alias("_k"))
-    inside = found.select("page_id", "node_id", F.explode("anc_ids").alias("_k")).join(above, ["page_id", "_k"]).select("page_id", "node_id")
-    return found.join(inside, ["page_id", "node_id"], "left_anti")
-
-
-def fate_records(nodes: DataFrame) -> DataFrame:
-    """R08, from the DOM: one record a page: the first modifier of its current cards (div.ui_item.popupItem without
-    previousItem), else their first description block, located by section."""
-    has = lambda c: F.array_contains("classes", c)
-    attr = lambda k: F.try_element_at("attrs", F.lit(k))
-    cards = nodes.filter((F.col("tag") == "div") & has("ui_item") & has("popupItem")).select("page_id", F.col("node_id").alias("_c"), (~has("previousItem")).alias("current"))
-    modifier = F.nullif(attr("data-modifier-id"), F.lit(""))
-    marked = nodes.filter(modifier.isNotNull() | (attr("data-block") == "description2"))
-    marked = marked.select("page_id", "node_id", "anc_ids", modifier.alias("modifier_id"), F.explode(F.array_append("anc_ids", F.col("node_id"))).alias("_c"))
-    placed = marked.join(cards, ["page_id", "_c"]).groupBy("page_id", "node_id", "anc_ids", "modifier_id").agg(F.max_by("current", "_c").alias("current"))
-    own = outermost(placed.filter("current"))
-    said = own.join(subtree_text(nodes, own), ["page_id", "node_id"], "left").withColumn("text", F.coalesce("text", F.lit("")))
-    first = lambda c: F.min(F.when(c, F.struct("node_id", "modifier_id", "text")))
-    page = said.groupBy("page_id").agg(first(F.col("modifier_id").isNotNull()).alias("m"), first(F.col("modifier_id").isNull() & (F.col("text") != "")).alias("d")).filter("m is not null or d is not null")
-    known = F.col("m").isNotNull()
-    return page.select("page_id", F.when(known, "fate_effect").otherwise("fate_entity_effect").alias("record_type"),
-                       F.when(known, F.concat(F.lit("modifier:"), F.col("m.modifier_id"))).otherwise("section:current_description2").alias("key"), F.coalesce("m.text", "d.text").alias("text"),
-                       F.when(known, "record").otherwise("section").alias("locator_level"), F.when(known, "high").otherwise("medium").alias("confidence"))
-
-
-
-def talent_records(nodes: DataFrame, named_kinds: bool = False) -> DataFrame:
-    """R10, from the DOM: talents of a page in order. A talent is an outermost div.col outside inactive panes that holds an
-    element with data-talent-id, whose text is the name; behind it stand <n>pts, <a>/<b> and the effect. The kind is told
-    by how the name begins; with named_kinds (pages with supreme talents) others are `named`, else `major_named`."""
-    has = lambda c: F.array_contains("classes", c)
-    columns = outermost(nodes.filter((F.col("tag") == "div") & has("col")).select("page_id", "node_id", "anc_ids"))
-    panes = nodes.filter((F.col("tag") == "div") & has("tab-pane")).select("page_id", F.col("node_id").alias("_p"), (has("active") & has("show")).alias("active"))
-    shown = columns.select("page_id", "node_id", F.explode("anc_ids").alias("_p")).join(panes, ["page_id", "_p"]).groupBy("page_id", "node_id").agg(F.max_by("active", "_p").alias("active"))
-    kept = columns.join(shown, ["page_id", "node_id"], "left").filter(F.coalesce("active", F.lit(True))).select("page_id", "node_id")
-    mark = nodes.withColumn("talent_id", F.nullif(F.try_element_at("attrs", F.lit("data-talent-id")), F.lit(""))).filter("talent_id is not null")
-    names = mark.select("page_id", "node_id", "talent_id", F.explode(F.array_append("anc_ids", F.col("node_id"))).alias("_col")).join(kept.select("page_id", F.col("node_id").alias("_col")), ["page_id", "_col"])
-    names = names.join(subtree_text(nodes, mark), ["page_id", "node_id"], "left")
-    listed = F.transform(F.array_sort(F.collect_list(F.struct("node_id", "text"))), lambda x: F.coalesce(x["text"], F.lit("")))
-    cards = names.groupBy("page_id", F.col("_col").alias("node_id")).agg(F.max_by("talent_id", "node_id").alias("talent_id"), clean(F.array_join(listed, " ")).alias("name"))
-    cards = cards.join(subtree_text(nodes, kept), ["page_id", "node_id"], "left")
-    text = F.coalesce("text", F.lit(""))
-    rest = F.when((F.col("name") != "") & F.startswith(text, F.col("name")), F.trim(F.substr(text, F.length("name") + 1))).otherwise(text)
-    pattern = r"^(?:(\d+)pts\s*)?(\d+)/(\d+)\s*"
-    name = F.col("name")
-    kind = F.when(name.startswith("传奇中型"), "legendary_medium").when(name.startswith("中型"), "medium").when(name.startswith("小型"), "minor").otherwise("named" if named_kinds else "major_named")
-    if named_kinds:
-        kind = F.when(name.startswith("至臻"), "supreme").otherwise(kind)
-    at = F.row_number().over(Window.partitionBy("page_id").orderBy("node_id")) - 1
-    number = lambda i: extract_number(F.col("rest"), pattern, i)
-    return cards.withColumn("rest", rest).select("page_id", "talent_id", at.alias("row_index"), "name", number(1).alias("points"), number(2).alias("allocated"), number(3).alias("maximum"),
-                                                 F.trim(F.regexp_replace("rest", pattern, "")).alias("effect"), kind.alias("kind"))
-
-
-
-
 def record_documents(records: DataFrame, entities: DataFrame) -> DataFrame:
     """Records with their entity's title and category, landing, and text to search in."""
     out = records.join(entities.select("entity_id", "title", "category", "route"), "entity_id", "left")

@@ -1,4 +1,4 @@
-"""Regions of pages: cards and panes, and the records that are read off them.
+"""Regions of pages: cards and panes, and the records that are read off them.
 
 Every operator parses its pages once (`dom.marked_nodes`) and deals the nodes by page; what stands in which card, pane, row or
 box is known from the parse or from one sweep over a page in document order, so nothing is joined, and no other exchange
@@ -15,9 +15,11 @@ from ..functions.text import clean, extract_number
 from .dom import marked_nodes
 from .records import locator, stable_key, tier_name
 
-# What the pages call their panes, sections, kinds of talents and sequences, levels and controls.
+# How names of talents begin, and what the pages call their panes, sections, kinds of talents and sequences, levels and controls.
 SIGNS = {"hyperlink|name|30001": "corrosion", "Func_Tips_DropSource": "drop_source"}
 BASE_PANE, CRAFT_PANE, LEGENDARY_PANE = "基础词缀", "打造", "传奇品质"
+TALENT_NAMES = {"传奇中型": "legendary_medium", "中型": "medium", "小型": "minor"}
+SUPREME, POINTS = "至臻", r"^(?:(\d+)pts\s*)?(\d+)/(\d+)\s*"
 RECIPES, SEQUENCES = "调香秘仪", "高塔序列"
 TALENTS = {"中型天赋": "medium", "核心天赋": "core", "异香天赋": "exotic"}
 SEQUENCE_TIERS = {"中阶序列": "intermediate", "高阶序列": "advanced"}
@@ -326,3 +328,38 @@ def contract_records(pages: DataFrame) -> DataFrame:
     boxes = parts.groupBy("page_id", "box").agg(listed.alias("parts"), known("data-id").alias("id"), known("data-level").alias("level")).filter("id is not null and level is not null and size(parts) >= 2")
     rows = boxes.withColumn("text", F.trim(F.concat_ws(" ", F.get("parts", 0), F.get("parts", 1)))).withColumn("row_index", F.row_number().over(Window.partitionBy("page_id").orderBy("box")) - 1)
     return _record(rows, F.lit("contract"), F.lit(CONTRACTS), F.concat_ws(":", F.lit("contract"), "id", F.lit("level"), "level"), F.col("row_index"), F.get("parts", 0).alias("node_name"), F.get("parts", 2).alias("node_context"))
+
+
+# ---- R08, R10: fates and talents
+
+
+def fate_records(pages: DataFrame) -> DataFrame:
+    """One record a page: the first modifier of its current cards (div.ui_item.popupItem without
+    previousItem), else their first description block with a text, located by section. Of nested ones in a card the outer counts."""
+    own = lambda t, attrs, classes: ("old" if "previousItem" in classes else "current") if t == "div" and classes.issuperset(("ui_item", "popupItem")) else None
+    part = lambda t, attrs, classes: "modifier" if attrs.get("data-modifier-id") else "description" if attrs.get("data-block") == "description2" else None
+    nodes = marked_nodes(pages, {"own": own, "part": part}, {"own"}).filter(_here("part") & (F.col("own.value") == "current") & (F.coalesce("part.outer", F.lit(-1)) < F.col("own.node")))
+    known = F.struct(F.try_element_at("attrs", F.lit("data-modifier-id")).alias("modifier_id"), "text")
+    page = nodes.groupBy("page_id").agg(_sometime(known, F.col("part.value") == "modifier").alias("m"), _sometime(known, (F.col("part.value") == "description") & (F.col("text") != "")).alias("d")).filter("m is not null or d is not null")
+    has = F.col("m").isNotNull()
+    return page.select("page_id", F.when(has, "fate_effect").otherwise("fate_entity_effect").alias("record_type"), F.when(has, F.concat(F.lit("modifier:"), F.col("m.modifier_id"))).otherwise("section:current_description2").alias("key"),
+                       F.coalesce("m.text", "d.text").alias("text"), F.when(has, "record").otherwise("section").alias("locator_level"), F.when(has, "high").otherwise("medium").alias("confidence"))
+
+
+def talent_records(pages: DataFrame, named_kinds: bool = False) -> DataFrame:
+    """Talents of a page in order. A talent is an outermost div.col outside inactive panes that holds an
+    element with data-talent-id, whose text is the name; behind it stand <n>pts, <a>/<b> and the effect. The kind is told
+    by how the name begins; with named_kinds (pages with supreme talents) others are `named`, else `major_named`."""
+    shown = lambda t, attrs, classes: ("active" if classes.issuperset(("active", "show")) else "idle") if t == "div" and "tab-pane" in classes else None
+    nodes = _nodes(pages, {"col": _with("col", tag="div"), "shown": shown, "talent": _attr("data-talent-id")}, {"col"})
+    whole = nodes.groupBy("page_id", F.col("col.top").alias("node_id")).agg(
+        F.max(F.when(F.col("node_id") == F.col("col.top"), F.coalesce("shown.value", F.lit("active")))).alias("state"), _sometime(F.col("talent.value"), _here("talent"), last=True).alias("talent_id"),
+        clean(F.array_join(_in_order(_here("talent"), "text"), " ")).alias("name"), clean(F.array_join(_in_order(F.col("tag") == "#text", "own_text"), " ")).alias("text")).filter("state = 'active' and talent_id is not null")
+    rest = F.when((F.col("name") != "") & F.startswith("text", F.col("name")), F.trim(F.substr("text", F.length("name") + 1))).otherwise(F.col("text"))
+    kind = F.when(F.startswith("name", F.lit(SUPREME)), "supreme") if named_kinds else F
+    for begin, value in TALENT_NAMES.items():
+        kind = kind.when(F.startswith("name", F.lit(begin)), value)
+    at = F.row_number().over(Window.partitionBy("page_id").orderBy("node_id")) - 1
+    number = lambda i: extract_number(F.col("rest"), POINTS, i)
+    return whole.withColumn("rest", rest).select("page_id", "talent_id", at.alias("row_index"), "name", number(1).alias("points"), number(2).alias("allocated"), number(3).alias("maximum"),
+                                                 F.trim(F.regexp_replace("rest", POINTS, "")).alias("effect"), kind.otherwise("named" if named_kinds else "major_named").alias("kind"))

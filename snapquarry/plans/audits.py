@@ -11,7 +11,7 @@ from pyspark.sql import functions as F
 
 from ..functions import nested, text
 from ..operators import aggregates as agg
-from ..operators import directory, dom, extract, quality
+from ..operators import directory, extract, quality
 from .queries import page_links, query, table
 
 
@@ -27,14 +27,14 @@ def line_pages(s: SparkSession, d: str) -> DataFrame:
 l_linenumber || '|' || l_linestatus AS cells, l_partkey::VARCHAR AS stable_key, l_returnflag AS tier_value FROM lineitem""")
 def section_lines(s, d):
     """Rows of section tables"""
-    rows = extract.section_rows(dom.stored_nodes(line_pages(s, d)))
+    rows = extract.section_rows(line_pages(s, d))
     return rows.select("page_id", "section_id", F.col("row_index").cast("long").alias("row_index"), F.array_join("headers", "|").alias("headers"), F.array_join("cells", "|").alias("cells"), "stable_key", "tier_value")
 
 
 @query("""SELECT l_orderkey AS page_id, count(*) AS rows, count(*) AS keyed, count(*) AS n, min(l_linenumber)::BIGINT AS least, max(l_linenumber)::BIGINT AS greatest FROM lineitem GROUP BY 1""")
 def level_profiles(s, d):
     """Descriptor of each section, and the level table of each page"""
-    rows = extract.section_rows(dom.stored_nodes(line_pages(s, d)))
+    rows = extract.section_rows(line_pages(s, d))
     best = extract.level_tables(rows).select("page_id", "section_id", "n", F.col("least").cast("long").alias("least"), F.col("greatest").cast("long").alias("greatest"))
     return extract.section_descriptor(rows).join(best, ["page_id", "section_id"]).select("page_id", "rows", "keyed", "n", "least", "greatest")
 
@@ -53,7 +53,7 @@ ASSETS = """SELECT p_partkey AS page_id, unnest([{'a': 'href', 'u': '/c/' || (p_
 @query(f"SELECT r.a AS attribute, r.u AS url, count(*) AS refs, count(DISTINCT page_id) AS pages FROM ({ASSETS}) GROUP BY 1, 2")
 def asset_references(s, d):
     """References by attribute"""
-    refs = extract.asset_refs(dom.stored_nodes(asset_pages(s, d)))
+    refs = extract.asset_refs(asset_pages(s, d))
     return refs.groupBy("attribute", "url").agg(F.count(F.lit(1)).alias("refs"), F.count_distinct("page_id").alias("pages"))
 
 
@@ -61,7 +61,7 @@ def asset_references(s, d):
 SELECT t.url, CASE WHEN t.url LIKE '%.css' THEN 'style' WHEN t.url LIKE '%.js' THEN 'script' ELSE 'image' END AS type, ref_count, string_agg(CASE WHEN n <= 20 THEN page_id::VARCHAR END, ',' ORDER BY page_id) AS refs FROM t JOIN p ON p.url = t.url GROUP BY 1, 2, 3""")
 def asset_table(s, d):
     """Assets with type, count and first pages"""
-    refs = extract.asset_refs(dom.stored_nodes(asset_pages(s, d))).select("page_id", "url", text.asset_type(F.col("url")).alias("type"))
+    refs = extract.asset_refs(asset_pages(s, d)).select("page_id", "url", text.asset_type(F.col("url")).alias("type"))
     out = agg.assets(refs)
     return out.select("url", "type", "ref_count", F.array_join(F.transform("refs", lambda x: x.cast("string")), ",").alias("refs"))
 
@@ -70,7 +70,7 @@ def asset_table(s, d):
 SELECT 'type' AS kind, type AS value, count(*) AS n FROM r GROUP BY 2 UNION ALL SELECT 'host', 'w.example', count(*) FROM r UNION ALL SELECT 'duplicates', NULL, (sum(k) - count(*))::BIGINT FROM r""")
 def asset_summary(s, d):
     """Assets by type and host, and references beyond the first"""
-    refs = extract.asset_refs(dom.stored_nodes(asset_pages(s, d))).select("page_id", F.concat(F.lit("https://w.example"), "url").alias("url"), text.asset_type(F.col("url")).alias("type"))
+    refs = extract.asset_refs(asset_pages(s, d)).select("page_id", F.concat(F.lit("https://w.example"), "url").alias("url"), text.asset_type(F.col("url")).alias("type"))
     return agg.asset_summary(agg.assets(refs))
 
 
@@ -131,7 +131,7 @@ def strict_text(s, d):
     head = F.when(F.col("o_orderstatus") == "F", "Related Skills").otherwise("Head")
     active = F.when(F.col("o_orderpriority").startswith("5"), " active").otherwise("")
     html = F.concat(F.lit("<p>shown "), F.col("o_custkey").cast("string"), F.lit('</p><div class="card"><div class="card-header">'), head, F.lit('</div><ul><li>list</li></ul></div><div class="tab-pane'), active, F.lit('">pane</div><p hidden>gone</p>'))
-    return extract.visible_text(dom.stored_nodes(table(s, d, "orders").select(F.col("o_orderkey").alias("page_id"), html.alias("html"))), strict=True)
+    return extract.visible_text(table(s, d, "orders").select(F.col("o_orderkey").alias("page_id"), html.alias("html")), strict=True)
 
 
 @query("""SELECT event_type AS system_id, count(*) AS pages, count(*) FILTER (value >= 10) AS ok, count(*) FILTER (value < 10 OR value IS NULL) AS failed FROM events GROUP BY ROLLUP (event_type)""")

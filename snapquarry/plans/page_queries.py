@@ -489,15 +489,15 @@ def tag_profile(s, d):
     lines = listed(table(s, d, "lineitem"), "l_orderkey", item, "l_linenumber", "l_partkey")
     o = table(s, d, "orders").join(lines, F.col("page_id") == F.col("o_orderkey"), "left")
     html = told('<body><nav><a href="1">a</a></nav><div role="x-Menu"><span><a href="2">b</a></span></div><div class="plain"><a href="3">c</a></div><ul>', F.coalesce("rows", F.lit("")), "</ul></body>")
-    n = dom.dom_nodes(o.select(F.col("o_orderkey").alias("page_id"), html.alias("html")))
-    return n.groupBy("tag").agg(F.count(F.lit(1)).alias("n"), F.count_if(dom.in_navigation()).alias("in_navigation"), F.max("depth").alias("depth"))
+    n = dom.marked_nodes(o.select(F.col("o_orderkey").alias("page_id"), html.alias("html")), {"nav": dom.navigation})
+    return n.groupBy("tag").agg(F.count(F.lit(1)).alias("n"), F.count(dom.around("nav")).alias("in_navigation"), F.max("depth").alias("depth"))
 
 
 @query("""SELECT page_id, row_number() OVER (PARTITION BY page_id ORDER BY i) AS n, x AS line FROM (SELECT o_orderkey AS page_id, unnest(['order ' || o_orderkey, 'c' || o_custkey, CASE WHEN o_orderstatus = 'F' THEN 'done' END, 'one two', o_orderpriority, 'tail']) AS x, unnest(range(6)) AS i FROM orders) WHERE x IS NOT NULL""")
 def text_lines(s, d):
     """Lines between block elements; inline elements don't part them, empty ones are dropped"""
     html = told("<div>order  <b>", F.col("o_orderkey"), "</b><p>c", F.col("o_custkey"), "</p><p>", F.when(F.col("o_orderstatus") == "F", "done").otherwise(" "), "</p>one<i>\n two</i><br>", F.col("o_orderpriority"), "</div>tail<hr>")
-    rows = extract.lines(dom.dom_nodes(order_pages(s, d, html)))
+    rows = extract.lines(dom.marked_nodes(order_pages(s, d, html), {}))
     n = F.row_number().over(_by("page_id", "first_node")).cast("long")
     return rows.select("page_id", n.alias("n"), "line")
 

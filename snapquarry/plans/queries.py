@@ -94,8 +94,8 @@ def page_shells(s, d):
 @query()
 def dom_profile(s, d):
     """Nodes of each tag, and how many stand in navigation"""
-    n = dom.dom_nodes(table(s, d, "pages"))
-    return n.groupBy("tag").agg(F.count(F.lit(1)).alias("n"), F.count_if(dom.in_navigation()).alias("in_navigation"), F.max("depth").alias("depth"))
+    n = dom.marked_nodes(table(s, d, "pages"), {"nav": dom.navigation})
+    return n.groupBy("tag").agg(F.count(F.lit(1)).alias("n"), F.count(dom.around("nav")).alias("in_navigation"), F.max("depth").alias("depth"))
 
 
 @query(r"""SELECT page_id, trim(replace(replace(replace(regexp_extract(html, '<title>([^<]*)</title>', 1), '&lt;', '<'), '&gt;', '>'), '&amp;', '&')) AS title,
@@ -108,20 +108,20 @@ def page_headings(s, d):
 @query()
 def page_lines(s, d):
     """T07"""
-    return extract.lines(dom.dom_nodes(table(s, d, "pages")))
+    return extract.lines(dom.marked_nodes(table(s, d, "pages"), {}))
 
 
 @query()
 def dom_text(s, d):
     """T06 over nodes"""
-    return extract.visible_text(dom.stored_nodes(table(s, d, "pages")))
+    return extract.visible_text(table(s, d, "pages"))
 
 
 @query()
 def nearest_list(s, d):
     """Links by tag of the nearest list above them"""
-    n = dom.nearest_ancestor(dom.stored_nodes(table(s, d, "pages")), F.col("tag").isin("ul", "ol"), "list_id")
-    return n.filter("tag = 'a'").groupBy(F.col("list_id").isNotNull().alias("in_list")).agg(F.count(F.lit(1)).alias("links"))
+    n = dom.marked_nodes(table(s, d, "pages"), {"list": lambda tag, attrs, classes: "" if tag in ("ul", "ol") else None})
+    return n.filter("tag = 'a'").groupBy(F.col("list").isNotNull().alias("in_list")).agg(F.count(F.lit(1)).alias("links"))
 
 
 @query()

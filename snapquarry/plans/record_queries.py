@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from pyspark.sql import functions as F
 
-from ..operators import directory, dom, extract, quality, records
+from ..operators import extract, quality, records, regions
 from .audits import line_pages
 from .queries import query, table
 
@@ -12,7 +12,7 @@ LINES = "SELECT *, row_number() OVER (PARTITION BY l_orderkey ORDER BY l_linenum
 
 
 def line_rows(s, d):
-    return extract.section_rows(dom.stored_nodes(line_pages(s, d)))
+    return extract.section_rows(line_pages(s, d))
 
 
 @query(f"SELECT l_orderkey::VARCHAR AS entity_id, 'affix' AS record_type, 'lines' AS section_name, l_linenumber::VARCHAR AS text, 'modifier:' || l_partkey AS key, i::INT AS row_index, 'high' AS confidence FROM ({LINES})")
@@ -57,7 +57,7 @@ def talent_texts(s, d):
     card = lambda letter, name, points: F.concat(F.lit(f'<div class="col"><b data-talent-id="{letter}'), k, F.lit('">'), name, F.lit("</b> "), points, (F.col("p_partkey") % 4).cast("string"), F.lit("/5<br>adds  "), size, F.lit("</div>"))
     first = card("a", F.concat(kind, F.lit(" "), "p_brand"), F.concat((F.col("p_size") % 7).cast("string"), F.lit("pts ")))
     html = F.concat(F.lit('<div class="tab-pane active show">'), first, card("b", F.lit("Second"), F.lit("")), F.lit('<div class="col">none</div></div><div class="tab-pane">'), card("c", F.lit("Old"), F.lit("")), F.lit("</div>"))
-    return records.talent_records(dom.stored_nodes(table(s, d, "part").select(F.col("p_partkey").alias("page_id"), html.alias("html"))))
+    return regions.talent_records(table(s, d, "part").select(F.col("p_partkey").alias("page_id"), html.alias("html")))
 
 
 @query("""SELECT o_orderkey AS page_id, CASE WHEN o_orderstatus = 'F' THEN 'fate_entity_effect' ELSE 'fate_effect' END AS record_type, CASE WHEN o_orderstatus = 'F' THEN 'section:current_description2' ELSE 'modifier:' || o_custkey END AS key,
@@ -68,7 +68,7 @@ def fate_cards(s, d):
     old = F.lit('<div class="ui_item popupItem previousItem"><p data-modifier-id="old">was</p></div><div class="ui_item popupItem"><div data-block="description2">tells ')
     more = F.when(F.col("o_orderstatus") == "F", "").otherwise(F.concat(F.lit('<p data-modifier-id="'), F.col("o_custkey").cast("string"), F.lit('">gives <i data-modifier-id="in">'), "o_orderpriority", F.lit("</i></p>")))
     html = F.concat(old, "o_orderpriority", F.lit("</div>"), more, F.lit("</div>"))
-    return records.fate_records(dom.stored_nodes(table(s, d, "orders").select(F.col("o_orderkey").alias("page_id"), html.alias("html"))))
+    return regions.fate_records(table(s, d, "orders").select(F.col("o_orderkey").alias("page_id"), html.alias("html")))
 
 
 @query(f"SELECT l_orderkey::VARCHAR AS entity_id, i::INT AS row_index, 'lines' AS anchor, 'modifier:' || l_partkey AS key, 'Order ' || l_orderkey || ' lines ' || l_linenumber AS search_text FROM ({LINES})")

@@ -9,7 +9,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from ..operators import dom, extract, quality, records
+from ..operators import extract, quality, records
 from ..sources import readers, sinks
 from ..sources.scratch import new_folder
 from ..streaming import incremental
@@ -124,7 +124,7 @@ def extractor_records(s, d):
         return shape.select("page_id", F.lit("rows").alias("check"), F.when(F.col("rows") >= 3, "several").otherwise("few").alias("value"))
 
     family = records.Extractor("lines", "1", describe, {"rows": "several"}, lambda rows: records.section_affixes(rows, "lines"))
-    found, wrong = family.run(extract.section_rows(dom.stored_nodes(line_pages(s, d))))
+    found, wrong = family.run(extract.section_rows(line_pages(s, d)))
     failed = wrong.select(F.col("page_id").cast("string").alias("entity_id"), F.col("check").alias("key"), F.lit(None).cast("string").alias("parser"))
     return found.select("entity_id", "key", "parser").unionByName(failed)
 

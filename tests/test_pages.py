@@ -20,18 +20,13 @@ def pages(spark):
     return spark.createDataFrame([(1, "https://s.example/en/x", TABLE), (2, "https://s.example/en/y", TIPS), (3, "https://s.example/en/z", ASSETS), (4, "https://s.example/en/c", CARDS), (5, "https://s.example/en/n", None)], "page_id long, url string, html string")
 
 
-@pytest.fixture(scope="module")
-def nodes(pages):
-    return dom.dom_nodes(pages).cache()
-
-
 def test_nodes_close_at_nearest_open_tag(spark):
-    n = dom.dom_nodes(spark.createDataFrame([(1, "<div><p>a<br>b</div></i>c")], "page_id long, html string"))
+    n = dom.marked_nodes(spark.createDataFrame([(1, "<div><p>a<br>b</div></i>c")], "page_id long, html string"), {})
     assert [(r.tag, r.parent_id, r.last_id) for r in n.orderBy("node_id").collect()] == [("div", None, 4), ("p", 0, 4), ("#text", 1, 2), ("br", 1, 3), ("#text", 1, 4), ("#text", None, 5)]
 
 
-def test_section_rows_and_records(spark, nodes):
-    rows = extract.section_rows(nodes)
+def test_section_rows_and_records(spark, pages):
+    rows = extract.section_rows(pages)
     assert [(r.row_index, r.cells, r.stable_key, r.tier_value) for r in rows.orderBy("row_index").collect()] == [(0, ["1", "adds fire"], "m1", "0+"), (1, ["2", "adds cold"], None, "1"), (2, ["3", ""], None, None)]
     best = extract.level_tables(rows).collect()
     assert [(r.page_id, r.n, r.least, r.greatest) for r in best] == [(1, 3, 1, 3)]
@@ -50,8 +45,8 @@ def test_tooltips(pages):
     assert [(r.method, r.title, r.lines, r.text) for r in out] == [("html", "Title", ["one", "two"], "one\ntwo"), ("text", None, ["plain text"], "plain text"), ("missing", None, [], None)]
 
 
-def test_assets(spark, nodes):
-    refs = extract.asset_refs(nodes).filter("page_id = 3").collect()
+def test_assets(spark, pages):
+    refs = extract.asset_refs(pages).filter("page_id = 3").collect()
     assert sorted(r.url for r in refs) == ["/a.css", "/b.png", "/c.png", "/d.png", "/e.png", "/f.jpg", "/g.svg"]
     css = spark.createDataFrame([("u", "@import url('/i.css'); @font-face{src:url(/f.woff)} p{x:url(/p.png)}")], "url string, css string")
     assert sorted((r.kind, r.ref) for r in extract.css_refs(css).collect()) == [("font", "/f.woff"), ("import", "/i.css"), ("url", "/p.png")]
@@ -59,10 +54,9 @@ def test_assets(spark, nodes):
 
 def test_visible_text_and_lines(spark):
     p = spark.createDataFrame([(1, '<nav>no</nav><p>one <b>two</b></p>three<div id="skip">x</div><div class="tab-pane">y</div>')], "page_id long, html string")
-    n = dom.dom_nodes(p)
-    assert extract.visible_text(n, ["skip"]).first().text == "one two three y"
-    assert extract.visible_text(n, ["skip"], strict=True).first().text == "one two three"
-    assert [r.line for r in extract.lines(n).orderBy("line_no").collect()] == ["no", "one two", "three", "x", "y"]
+    assert extract.visible_text(p, ["skip"]).first().text == "one two three y"
+    assert extract.visible_text(p, ["skip"], strict=True).first().text == "one two three"
+    assert [r.line for r in extract.lines(dom.marked_nodes(p, {})).orderBy("line_no").collect()] == ["no", "one two", "three", "x", "y"]
 
 
 def test_urls(spark):
