@@ -17,10 +17,24 @@ def filter_reason() -> Column:
         .when(given("damage_types") & ~F.coalesce(F.array_contains("damage_types", F.col("damage_type")), F.lit(False)), "damage_type"))
 
 
+#: Most contexts that modifiers are put to at once.
+MOST_CONTEXTS = 1000
+
+
+def _literal(value, kind: str) -> Column:
+    return (F.array(*[F.lit(v) for v in value]) if isinstance(value, (list, tuple)) else F.lit(value)).cast(kind)
+
+
 def match_filters(modifiers: DataFrame, contexts: DataFrame) -> DataFrame:
     """Every modifier in every context with matched and reason; a trace keeps the rejected ones. contexts is a
-    stated set that each modifier is put to, a few rows, sent along only while its size is within Spark's own limit."""
-    pairs = modifiers.join(contexts, F.lit(True), "inner")
+    stated set that each modifier is put to: its rows become a literal, from which each modifier is spread without a join; more than
+    MOST_CONTEXTS are an error."""
+    rows = contexts.limit(MOST_CONTEXTS + 1).collect()
+    if len(rows) > MOST_CONTEXTS:
+        raise ValueError(f"more than {MOST_CONTEXTS} contexts")
+    kinds = dict(contexts.dtypes)
+    each = F.array(*[F.struct(*[_literal(r[c], k).alias(c) for c, k in kinds.items()]) for r in rows]).cast(f"array<{contexts.schema.simpleString()}>")
+    pairs = modifiers.withColumn("_context", F.explode(each)).select(*modifiers.columns, "_context.*")
     return pairs.withColumn("reason", filter_reason()).withColumn("matched", F.col("reason").isNull())
 
 

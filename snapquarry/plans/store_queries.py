@@ -151,4 +151,4 @@ def rejected_routes(s, d):
     for part in (rows, rows.filter("reason = 'R'").withColumn("reason", F.lit("again"))):
         part.write.mode("append").parquet(src)
         incremental.rejected_state(s.readStream.schema("route string, reason string, seq long").parquet(src), state, mark).awaitTermination()
-    return s.read.parquet(f"{state}/v1")
+    return incremental.rejected_routes(s, state).drop("bucket")

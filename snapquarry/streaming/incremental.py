@@ -44,13 +44,30 @@ def resume(results: DataFrame, candidates: DataFrame, key: str, stable: list[str
     return candidates.join(results.filter(F.col("status").isin(*stable)).select(key), key, "left_anti")
 
 
+#: Parts of a keyed state; a batch rewrites those that its keys fall into.
+BUCKETS = 64
+
+
+def rejected_routes(spark: SparkSession, state_path: str, before: int | None = None) -> DataFrame:
+    """Route, reason, bucket as the last batch (or the last one before a number) left them: of each bucket the newest version."""
+    state = spark.read.schema("route string, reason string, bucket int, version int").parquet(state_path)
+    state = state if before is None else state.filter(F.col("version") < before)
+    newest = state.select("bucket", "version").distinct().groupBy("bucket").agg(F.max("version").alias("version"))  # at most BUCKETS rows
+    return state.join(F.broadcast(newest), ["bucket", "version"]).select("route", "reason", "bucket")
+
+
 def rejected_state(stream: DataFrame, state_path: str, checkpoint: str) -> StreamingQuery:
-    """Keyed upsert of rejected routes; each batch writes the whole state as its own version."""
+    """Keyed upsert of rejected routes. The state is cut into BUCKETS by a hash of the route; a batch reads and writes only the
+    buckets of its own routes, each as a version of its own, so a batch that is run again writes the same."""
     def batch(rows: DataFrame, number: int) -> None:
         spark = rows.sparkSession
-        state = spark.read.parquet(f"{state_path}/v{number - 1}") if number else rows.limit(0)
-        merged = upsert(state.select("route", "reason"), rows.select("route", "reason", F.col("seq")), "route")
-        merged.write.mode("overwrite").parquet(f"{state_path}/v{number}")
+        dealt = rows.withColumn("bucket", F.pmod(F.xxhash64("route"), F.lit(BUCKETS)).cast("int")).persist()
+        touched = [r.bucket for r in dealt.select("bucket").distinct().collect()]
+        if touched:
+            state = rejected_routes(spark, state_path, number).filter(F.col("bucket").isin(touched)) if number else dealt.select("route", "reason", "bucket").limit(0)
+            merged = upsert(state.select("route", "reason"), dealt.select("route", "reason", "seq"), "route").withColumn("bucket", F.pmod(F.xxhash64("route"), F.lit(BUCKETS)).cast("int")).withColumn("version", F.lit(number))
+            merged.repartition("bucket").write.mode("overwrite").option("partitionOverwriteMode", "dynamic").partitionBy("bucket", "version").parquet(state_path)
+        dealt.unpersist()
 
     return stream.writeStream.foreachBatch(batch).option("checkpointLocation", checkpoint).trigger(availableNow=True).start()
 

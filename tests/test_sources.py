@@ -65,10 +65,15 @@ def test_incremental_pages(spark, tmp_path):
 def test_rejected_state(spark, tmp_path):
     src, state = str(tmp_path / "in"), str(tmp_path / "state")
     schema = "route string, reason string, seq long"
-    for part in ([("/a", "x", 1)], [("/a", "y", 2), ("/b", "z", 3)]):
+    first = [(f"/r{i}", "x", i) for i in range(300)] + [("/a", "x", 1)]
+    for part in (first, [("/a", "y", 2), ("/b", "z", 3), ("/a", "w", 1)]):
         spark.createDataFrame(part, schema).coalesce(1).write.mode("append").parquet(src)
         incremental.rejected_state(spark.readStream.schema(schema).parquet(src), state, str(tmp_path / "cp")).awaitTermination()
-    assert sorted(tuple(r) for r in spark.read.parquet(f"{state}/v1").collect()) == [("/a", "y"), ("/b", "z")]
+    want = {f"/r{i}": "x" for i in range(300)} | {"/a": "y", "/b": "z"}
+    assert {r.route: r.reason for r in incremental.rejected_routes(spark, state).collect()} == want and incremental.rejected_routes(spark, state).count() == 302
+    assert {r.route: r.reason for r in incremental.rejected_routes(spark, state, before=1).collect()} == {f"/r{i}": "x" for i in range(300)} | {"/a": "x"}
+    versions = spark.read.parquet(state).select("bucket", "version").distinct().groupBy("version").count().collect()
+    assert {r.version: r["count"] for r in versions}[1] <= 2  # only the buckets of the batch's own routes are written again
 
 
 def test_hits(spark):
