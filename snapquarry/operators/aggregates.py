@@ -39,7 +39,8 @@ def conflicts(tooltips: DataFrame) -> DataFrame:
     Texts are cleaned once and go by their hash; one grouping of (kind, key) tells the first three kinds apart, and a text is looked up again
     for the few groups that are told."""
     rows = _alike(tooltips).select("tooltip_title", "tooltip_text", "occurrence_id", F.col("source.html_file").alias("file"), F.col("source.hash_match").alias("match"), F.sha2("tooltip_text", 256).alias("h"))
-    kind = lambda name, severity, when, key, value, text=None: F.when(when, F.struct(F.lit(name).alias("conflict_type"), F.lit(severity).alias("severity"), key.cast("string").alias("key"), value.cast("string").alias("value"), (F.lit(None).cast("string") if text is None else text).alias("text")))
+    kind = lambda name, severity, when, key, value, text=None: F.when(when, F.struct(F.lit(name).alias("conflict_type"), F.lit(severity).alias("severity"), key.cast("string").alias("key"),
+        value.cast("string").alias("value"), (F.lit(None).cast("string") if text is None else text).alias("text")))
     there, own = F.col("h").isNotNull(), F.col("occurrence_id")
     every = F.array_compact(F.array(
         kind("same_title_different_text", "review", there & F.col("tooltip_title").isNotNull(), F.col("tooltip_title"), F.col("h")),
@@ -123,7 +124,8 @@ def extract_report(pages: DataFrame, tooltips: DataFrame) -> DataFrame:
     """Pages, pages with rows, rows, rows without title and without text."""
     per = tooltips.groupBy("page_id").agg(F.count(F.lit(1)).alias("n"), F.count_if(F.col("tooltip_title").isNull()).alias("t"), F.count_if(F.col("tooltip_text").isNull()).alias("x"))
     j = pages.select("page_id").join(per, "page_id", "left")
-    return j.agg(F.count(F.lit(1)).alias("pages"), F.count("n").alias("pages_with_rows"), F.coalesce(F.sum("n"), F.lit(0)).alias("rows"), F.coalesce(F.sum("t"), F.lit(0)).alias("missing_title"), F.coalesce(F.sum("x"), F.lit(0)).alias("missing_text"))
+    return j.agg(F.count(F.lit(1)).alias("pages"), F.count("n").alias("pages_with_rows"), F.coalesce(F.sum("n"), F.lit(0)).alias("rows"),
+        F.coalesce(F.sum("t"), F.lit(0)).alias("missing_title"), F.coalesce(F.sum("x"), F.lit(0)).alias("missing_text"))
 
 
 def extract_methods(tooltips: DataFrame) -> DataFrame:
@@ -140,7 +142,8 @@ def ordered_summary(rows: DataFrame, keys: list[str], order: str, text: str, sep
 
 def count_profile(df: DataFrame, group: str, key: str, value: str) -> DataFrame:
     """Least, greatest and median value in a group, and whose they are (ties by smallest key)."""
-    return df.groupBy(group).agg(F.min(value).alias("least"), F.max(value).alias("greatest"), F.median(value).alias("median"), F.min_by(key, F.struct(value, key)).alias("least_key"), F.max_by(key, F.struct(F.col(value), -F.col(key))).alias("greatest_key"))
+    return df.groupBy(group).agg(F.min(value).alias("least"), F.max(value).alias("greatest"), F.median(value).alias("median"), F.min_by(key, F.struct(value, key)).alias("least_key"),
+        F.max_by(key, F.struct(F.col(value), -F.col(key))).alias("greatest_key"))
 
 
 def feature_report(features: DataFrame, key: str, names: list[str], n: int = 10) -> DataFrame:

@@ -61,7 +61,8 @@ def systems_from_pages(pages: DataFrame, known: DataFrame, utility: list[str]) -
     a = a.select("page_id", "node_id", "route", "slug", "text", "nav").join(known.select("route", F.col("system_id").alias("_id")), "route", "left").filter("nav or _id is not null")
     first = first_by(a, ["route"], ["page_id", "node_id"])
     plain = F.nullif(F.regexp_replace(F.regexp_replace(F.lower(F.coalesce(F.try_url_decode("slug"), F.col("slug"))), "[^a-z0-9]+", "_"), "^_+|_+$", ""), F.lit(""))
-    rows = first.select(F.coalesce("_id", F.concat(F.lit("candidate_"), F.coalesce(plain, F.lit("unknown")))).alias("system_id"), F.col("text").alias("name"), "route", F.when(F.col("_id").isNotNull(), "confirmed").otherwise("candidate").alias("discovery_status"), "page_id", "node_id")
+    rows = first.select(F.coalesce("_id", F.concat(F.lit("candidate_"), F.coalesce(plain, F.lit("unknown")))).alias("system_id"), F.col("text").alias("name"), "route",
+        F.when(F.col("_id").isNotNull(), "confirmed").otherwise("candidate").alias("discovery_status"), "page_id", "node_id")
     return append_missing(unique_ids(rows, "system_id", ["page_id", "node_id"]).drop("page_id", "node_id"), known.select("system_id", "name", "route", F.lit("confirmed").alias("discovery_status")), "route")
 
 
@@ -192,7 +193,8 @@ def page_features(pages: DataFrame, inventory: list[str] | None = None) -> DataF
     accepted = F.col("reason") == "accepted"
     seen = nodes.groupBy("page_id").agg(
         F.count_if(accepted).alias("n_links"), F.count_if(accepted & F.col("nav")).alias("n_nav"), F.count_if(F.col("reason") == "external_domain").alias("n_external"), F.count_if(F.col("reason") == "static_resource").alias("n_static"),
-        F.count_if(own & (F.col("tag") == "p") & (F.col("text") != "")).alias("n_paragraphs"), F.sum(F.when((F.col("tag") == "#text") & F.col("mute").isNull(), F.length(clean(F.col("own_text"))) + (F.trim("own_text") != "").cast("int"))).alias("n_chars"),
+        F.count_if(own & (F.col("tag") == "p") & (F.col("text") != "")).alias("n_paragraphs"), F.sum(F.when((F.col("tag") == "#text") & F.col("mute").isNull(),
+            F.length(clean(F.col("own_text"))) + (F.trim("own_text") != "").cast("int"))).alias("n_chars"),
         F.min_by("text", F.when(own & (F.col("tag") == "title"), F.col("node_id"))).alias("title"))
     place = lambda c: F.struct(F.col("n_elements"), F.col("node_id"), F.col("last_id"), F.col("tag"), F.lower(F.concat_ws(" ", *[F.try_element_at("attrs", F.lit(k)) for k in ("id", "class", "role")])).alias("said"))
     heads = counted.filter(own & F.col("tag").rlike("^h[1-6]$")).select("page_id", F.col("node_id").alias("_h"), F.col("text").alias("label"), extract_number(F.col("text"), r"/\s*(\d+)").alias("displayed")).filter("displayed is not null")
@@ -203,16 +205,19 @@ def page_features(pages: DataFrame, inventory: list[str] | None = None) -> DataF
     box = shown.join(hinted, "page_id", "full_outer").select("page_id", F.coalesce("s.c", "c").alias("c"), F.col("s.label").alias("label"), F.col("s.displayed").alias("displayed"))
     box = box.select("page_id", "c.node_id", "c.last_id", "c.tag", "c.said", "label", "displayed")
     inside = nodes.select("page_id", F.col("node_id").alias("_n"), "ok", "route", F.col("tag").alias("_t")).join(box, "page_id").filter(F.col("_n").between(F.col("node_id"), F.col("last_id")))
-    held = inside.groupBy("page_id").agg(F.count_distinct(F.when(F.col("ok"), F.col("route"))).alias("n_unique"), F.count_if("ok").alias("occurrences"), F.bool_or(F.col("_t") == "table").alias("has_table"), F.first("displayed").alias("displayed"),
+    held = inside.groupBy("page_id").agg(F.count_distinct(F.when(F.col("ok"), F.col("route"))).alias("n_unique"), F.count_if("ok").alias("occurrences"),
+        F.bool_or(F.col("_t") == "table").alias("has_table"), F.first("displayed").alias("displayed"),
                                          F.first(F.concat_ws(" ", "said", F.lower(F.coalesce("label", F.lit(""))))).alias("hints"))
     flat = flat_directory(whole.filter(F.col("system_id").isin(*inventory))).groupBy("page_id").agg(F.first("entries").alias("_entries"), F.first("duplicates").alias("_double"))
     out = whole.drop("html").join(seen, "page_id", "left").join(held, "page_id", "left").join(max_repeat(counted, box), "page_id", "left").join(flat, "page_id", "left")
     relation = F.exists(F.array(*map(F.lit, RELATION_HINTS)), lambda h: F.contains(F.coalesce("hints", F.lit("")), h))
     zero = lambda *c: F.coalesce(*c, F.lit(0))
     return out.select(
-        "page_id", "system_id", "title", "status", (~canonical_page(F.col("final_url")).eqNullSafe(canonical_page(F.col("url"))) | (F.lower("final_url").rlike("^https?://") & (host(F.col("final_url")) != host(F.col("url"))))).alias("redirected"),
+        "page_id", "system_id", "title", "status",
+            (~canonical_page(F.col("final_url")).eqNullSafe(canonical_page(F.col("url"))) | (F.lower("final_url").rlike("^https?://") & (host(F.col("final_url")) != host(F.col("url"))))).alias("redirected"),
         F.greatest(zero("n_chars") - 1, F.lit(0)).alias("n_chars"), *[zero(c).alias(c) for c in ("n_links", "n_nav", "n_external", "n_static", "n_paragraphs", "repeats")], zero("_entries", "n_unique").alias("n_unique"),
-        zero("_double", F.col("occurrences") - F.col("n_unique")).alias("duplicates"), F.col("n_unique").isNotNull().alias("has_container"), F.coalesce("has_table", F.lit(False)).alias("has_table"), relation.alias("relation_hint"), "displayed", F.col("_entries").isNotNull().alias("flat"))
+        zero("_double", F.col("occurrences") - F.col("n_unique")).alias("duplicates"), F.col("n_unique").isNotNull().alias("has_container"),
+            F.coalesce("has_table", F.lit(False)).alias("has_table"), relation.alias("relation_hint"), "displayed", F.col("_entries").isNotNull().alias("flat"))
 
 
 def verify_pages(pages: DataFrame, inventory: list[str] | None = None) -> DataFrame:

@@ -53,7 +53,8 @@ def build_entities(entries: DataFrame) -> DataFrame:
     kept = g.withColumn("confidence", F.when(merged, F.col("level")).when((F.col("n") == 1) & (F.size(primary) > 0), "primary")).filter("confidence is not null")
     # sources are in order of source_order, so the first is the owner
     own = F.coalesce(F.get(primary, 0), F.get("sources", 0))
-    return kept.select(F.col("route"), own["title"].alias("title"), own["system_id"].alias("owner"), "category", "confidence", F.transform("sources", lambda s: F.struct(s["system_id"].alias("system_id"), s["role"].alias("role"))).alias("sources"))
+    return kept.select(F.col("route"), own["title"].alias("title"), own["system_id"].alias("owner"), "category", "confidence",
+        F.transform("sources", lambda s: F.struct(s["system_id"].alias("system_id"), s["role"].alias("role"))).alias("sources"))
 
 
 def with_uncovered(entities: DataFrame, primary_pages: DataFrame) -> DataFrame:
@@ -76,7 +77,8 @@ def dedup_report(groups: DataFrame) -> DataFrame:
     """Groups of two or more sources by confidence, class and category."""
     g = groups.filter("n >= 2")
     level = confidence(F.col("sources"))
-    return g.groupBy(level.alias("confidence"), F.when(level == "medium", medium_class(F.col("sources"))).alias("class"), F.coalesce(group_category(F.col("sources")), F.lit("null")).alias("category")).agg(F.count(F.lit(1)).alias("groups"), F.sum("n").alias("sources"))
+    return g.groupBy(level.alias("confidence"), F.when(level == "medium", medium_class(F.col("sources"))).alias("class"),
+        F.coalesce(group_category(F.col("sources")), F.lit("null")).alias("category")).agg(F.count(F.lit(1)).alias("groups"), F.sum("n").alias("sources"))
 
 
 @dataclass(frozen=True)
@@ -134,15 +136,18 @@ def enrich(entities: DataFrame, facts: DataFrame, kinds: tuple[Kind, ...] = KIND
     null leaves the entity's own value; facts of no known kind and of no entity are passed over. All kinds are one table, and one aggregate finds
     each entity's fact."""
     rule = F.create_map(*[x for i, k in enumerate(kinds) for x in (F.lit(k.name), F.struct(
-        F.lit(i).alias("rank"), F.lit(k.entity_type).alias("entity_type"), F.lit(k.category).alias("category"), F.lit(k.subcategory).alias("subcategory"), F.lit(k.shows).alias("shows"), F.lit(k.names).alias("names"), F.lit(k.titles).alias("titles"),
+        F.lit(i).alias("rank"), F.lit(k.entity_type).alias("entity_type"), F.lit(k.category).alias("category"), F.lit(k.subcategory).alias("subcategory"), F.lit(k.shows).alias("shows"),
+            F.lit(k.names).alias("names"), F.lit(k.titles).alias("titles"),
         F.array(*[F.struct(F.lit(s).alias("system_id"), F.lit(r).alias("role")) for s, r in k.sources]).cast("array<struct<system_id:string,role:string>>").alias("sources")))])
     known = facts.withColumn("r", F.try_element_at(rule, F.col("kind"))).filter("r is not null")
     # maps have no order, so the rest of a fact is carried, not compared
-    best = known.groupBy("route").agg(F.min_by(F.struct("title", "subcategory", "summary", "counts", "r"), F.struct("r.rank", F.coalesce("title", F.lit("")), F.coalesce("summary", F.lit("")), F.coalesce("subcategory", F.lit("")))).alias("f"))
+    best = known.groupBy("route").agg(F.min_by(F.struct("title", "subcategory", "summary", "counts", "r"),
+        F.struct("r.rank", F.coalesce("title", F.lit("")), F.coalesce("summary", F.lit("")), F.coalesce("subcategory", F.lit("")))).alias("f"))
     j = entities.join(best, "route", "left")
     name = F.nullif(F.trim("f.title"), F.lit(""))
     return j.select(
-        "route", F.coalesce(F.when(F.col("f.r.titles"), name), "title").alias("title"), F.coalesce(F.when(F.col("f.r.names") | F.col("f.r.titles"), name), "title").alias("shown_title"), "owner", F.col("f.r.entity_type").alias("entity_type"),
+        "route", F.coalesce(F.when(F.col("f.r.titles"), name), "title").alias("title"), F.coalesce(F.when(F.col("f.r.names") | F.col("f.r.titles"), name), "title").alias("shown_title"),
+            "owner", F.col("f.r.entity_type").alias("entity_type"),
         F.coalesce("f.r.category", "category").alias("category"), F.coalesce("f.subcategory", "f.r.subcategory").alias("subcategory"), "confidence", F.nullif(F.trim("f.summary"), F.lit("")).alias("clean_summary"),
         F.when(F.size("f.r.sources") > 0, F.col("f.r.sources")).otherwise(F.col("sources")).alias("sources"), F.coalesce("f.r.shows", F.lit(False)).alias("shows"), "f.counts")
 

@@ -165,7 +165,8 @@ def section_rows(pages: DataFrame) -> DataFrame:
 
 def section_descriptor(rows: DataFrame) -> DataFrame:
     """page_id, section_id, tables, rows, keyed rows, headers of the first table."""
-    return rows.groupBy("page_id", "section_id").agg(F.count_distinct("table_no").alias("tables"), F.count(F.lit(1)).alias("rows"), F.count("stable_key").alias("keyed"), F.min_by("headers", F.struct("table_no", "row_index")).alias("headers"))
+    return rows.groupBy("page_id", "section_id").agg(F.count_distinct("table_no").alias("tables"), F.count(F.lit(1)).alias("rows"), F.count("stable_key").alias("keyed"),
+        F.min_by("headers", F.struct("table_no", "row_index")).alias("headers"))
 
 
 def level_tables(rows: DataFrame, name: str = "level") -> DataFrame:

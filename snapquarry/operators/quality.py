@@ -86,7 +86,8 @@ def readiness(pages: DataFrame, assets: DataFrame, sheets: DataFrame, scripts: D
     there = assets.filter("present").select("system_id", F.col("url").alias("target"), F.lit(True).alias("_t")).distinct()
     second = refs.groupBy("system_id", "target").agg(F.count(F.lit(1)).alias("k"), F.max(F.lower("ref").rlike("^(https?:)?//")).alias("remote")).join(there, ["system_id", "target"], "left")
     second = second.groupBy("system_id").agg(F.sum("k").alias("secondary_refs"), F.count_if(F.col("_t").isNull()).alias("missing_secondary"), F.count_if("remote").alias("remote_css"))
-    told = pages.select(F.struct("system_id", "page_id").alias("page_id"), "url", "html").unionByName(scripts.select(F.struct("system_id", F.col("url").cast(pages.schema["page_id"].dataType).alias("page_id")).alias("page_id"), "url", F.concat(F.lit("<script>"), "text").alias("html")))
+    told = pages.select(F.struct("system_id", "page_id").alias("page_id"), "url", "html").unionByName(scripts.select(F.struct("system_id",
+        F.col("url").cast(pages.schema["page_id"].dataType).alias("page_id")).alias("page_id"), "url", F.concat(F.lit("<script>"), "text").alias("html")))
     calls = call_urls(told).select("page_id.system_id", "target", "kind").distinct()
     run = calls.groupBy("system_id").agg(F.count_if(F.col("kind") == "endpoint").alias("endpoints"), F.count_if(F.col("kind") == "tracking").alias("tracking"))
     markup = r"""(?i)<(?:link|script|img|source|video|audio)\s[^>]*?(?:href|src)\s*=\s*["'](?:https?:)?//"""
@@ -100,7 +101,8 @@ def readiness(pages: DataFrame, assets: DataFrame, sheets: DataFrame, scripts: D
     out = out.withColumn("blocking", reasons("missing_files", "missing_meta", "missing_secondary", "endpoints")).withColumn("remaining", reasons("remote_css", "remote_pages"))
     verdict = F.when(F.size("blocking") > 0, "not_ready").when(F.size("remaining") > 0, "ready_with_minor_gaps").otherwise("ready")
     category = F.when(is_tracking(F.col("url")), "tracking/ads").when(F.col("type").isin("script", "javascript"), "required_for_interaction").otherwise("required_for_rendering")
-    classes = assets.select("system_id", category.alias("category"), host(F.col("url")).alias("host")).unionByName(calls.filter("kind = 'endpoint'").select("system_id", F.lit("required_for_interaction").alias("category"), host(F.col("target")).alias("host")))
+    classes = assets.select("system_id", category.alias("category"), host(F.col("url")).alias("host")).unionByName(calls.filter("kind = 'endpoint'").select("system_id",
+        F.lit("required_for_interaction").alias("category"), host(F.col("target")).alias("host")))
     return out.select("system_id", *counts, verdict.alias("verdict"), "blocking", "remaining"), classes.groupBy("system_id", "category", "host").agg(F.count(F.lit(1)).alias("n"))
 
 

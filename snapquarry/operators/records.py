@@ -106,7 +106,8 @@ def validate_records(records: DataFrame) -> DataFrame:
     """Q02: records with the reasons why they break the contract (none: an empty array)."""
     loc = lambda f: F.col(f"source_locator.{f}")
     reasons = [F.when(F.coalesce(F.trim(F.col(c).cast("string")), F.lit("")) == "", F.lit(f"{c} missing")) for c in REQUIRED if c in records.columns]
-    reasons += [F.when(~F.coalesce(loc("locator_confidence").isin(*CONFIDENCE), F.lit(False)), F.lit("locator_confidence")), F.when(~F.coalesce(loc("locator_level").isin(*LEVELS), F.lit(False)), F.lit("locator_level")), F.when(F.coalesce(loc("row_index"), F.lit(-1)) < 0, F.lit("row_index"))]
+    reasons += [F.when(~F.coalesce(loc("locator_confidence").isin(*CONFIDENCE), F.lit(False)), F.lit("locator_confidence")),
+        F.when(~F.coalesce(loc("locator_level").isin(*LEVELS), F.lit(False)), F.lit("locator_level")), F.when(F.coalesce(loc("row_index"), F.lit(-1)) < 0, F.lit("row_index"))]
     return records.withColumn("reasons", F.filter(F.array(*reasons), lambda x: x.isNotNull()))
 
 

@@ -172,7 +172,8 @@ def pane_records(pages: DataFrame) -> DataFrame:
     rows = said.withColumn("text", text).filter(F.col("text").isNotNull() & (F.col("text") != ""))
     at = F.row_number().over(Window.partitionBy("page_id", "unit.kind").orderBy("unit.at")) - 1
     rows = rows.withColumn("row_index", at).withColumn("kind", F.col("unit.kind")).withColumn("page_id", F.col("page_id.page_id"))
-    section = F.when(F.col("kind") == "base_affix", BASE_PANE).when(F.col("kind") == "craft_affix", CRAFT_PANE).when(F.col("kind") == "legendary_affix", LEGENDARY_PANE).when(F.col("kind") == "base_stat", "entity_card").otherwise("special_mechanic")
+    section = F.when(F.col("kind") == "base_affix", BASE_PANE).when(F.col("kind") == "craft_affix", CRAFT_PANE).when(F.col("kind") == "legendary_affix",
+        LEGENDARY_PANE).when(F.col("kind") == "base_stat", "entity_card").otherwise("special_mechanic")
     key = F.when(F.col("kind") == "special_mechanic", "section:special_mechanic").otherwise(stable_key(F.col("modifier_id"), F.col("row_index")))
     tier = F.when(F.col("kind") == "craft_affix", F.coalesce(tier_name(F.col("tier_value")), F.lit("all")))
     return _record(rows, F.col("kind"), section, key, F.col("row_index"), tier.alias("tier"))
@@ -183,7 +184,8 @@ def pane_records(pages: DataFrame) -> DataFrame:
 
 def _listed(pages: DataFrame, section: str, unit: str) -> DataFrame:
     """One row for each card (outermost div.col) or table row inside a section, with what it holds, in order."""
-    marks = {"section": _attr("id", section), "unit": _with("col", tag="div") if unit == "col" else _tags(unit), "modifier": modifier, "link": lambda t, a, c: a["href"] if t == "a" and a.get("href") else None, "chip": _attr("data-chip"), "cell": _tags("td")}
+    marks = {"section": _attr("id", section), "unit": _with("col", tag="div") if unit == "col" else _tags(unit), "modifier": modifier, "link": lambda t, a,
+        c: a["href"] if t == "a" and a.get("href") else None, "chip": _attr("data-chip"), "cell": _tags("td")}
     nodes = _nodes(pages, marks, {"section"})
     outermost = _here("unit") & (F.coalesce("unit.outer", F.lit(-1)) < F.col("section.node"))
     begun = F.last(F.when(outermost, F.struct("node_id", "last_id")), True).over(Window.partitionBy("page_id").orderBy("node_id"))
@@ -192,7 +194,8 @@ def _listed(pages: DataFrame, section: str, unit: str) -> DataFrame:
     return inside.groupBy("page_id", F.col("u.node_id").alias("at")).agg(
         clean(F.array_join(_in_order(F.col("tag") == "#text", "own_text"), " ")).alias("whole"), F.array_distinct(_in_order(_here("modifier"), "modifier.value")).alias("modifiers"),
         F.array_join(F.filter(_in_order(_here("modifier"), "text"), lambda t: t != ""), "\n").alias("text"), F.array_distinct(_in_order(F.col("data_id").isNotNull(), "data_id")).alias("recipes"),
-        _in_order(_here("link"), "link.value", "text").alias("links"), F.array_distinct(_in_order(_here("chip"), "chip.value")).alias("chips"), F.array_join(F.filter(_in_order(_here("chip"), "text"), lambda t: t != ""), " ").alias("chip_text"), _in_order(_here("cell"), "text").alias("cells"),
+        _in_order(_here("link"), "link.value", "text").alias("links"), F.array_distinct(_in_order(_here("chip"), "chip.value")).alias("chips"),
+            F.array_join(F.filter(_in_order(_here("chip"), "text"), lambda t: t != ""), " ").alias("chip_text"), _in_order(_here("cell"), "text").alias("cells"),
     ).filter(F.size("modifiers") > 0)
 
 
@@ -294,8 +297,10 @@ def skill_pages(pages: DataFrame) -> DataFrame:
         F.array_distinct(_in_order(inside & _here("effect") & text, "text")).alias("effects"), _in_order(grown, "modifier.value", "first", "text").alias("growth"),
         _sometime(F.regexp_extract("own_text", SKILL_ID, 1), F.col("own_text").rlike(SKILL_ID)).alias("skill_id"))
     plain = F.filter("centred", lambda x: ~F.exists("tag_nodes", lambda t: (t > x["node_id"]) & (t <= x["last_id"])))
-    parts = F.flatten(F.array(F.array("title"), F.when(F.size("tags") > 0, F.array(F.concat(F.lit(TAGS), F.array_join("tags", "、")))).otherwise(F.array().cast("array<string>")), F.col("weapons"), F.array_distinct(F.transform(plain, lambda x: x["text"])), F.col("effects")))
-    effect = F.struct(F.lit("skill_effect").alias("kind"), F.lit(0).alias("row"), F.concat(F.lit("skill:"), F.coalesce("skill_id", F.lit(""))).alias("key"), F.array_join(F.filter(parts, lambda p: p != ""), " ").alias("text"), F.lit(None).cast("string").alias("tier"))
+    parts = F.flatten(F.array(F.array("title"), F.when(F.size("tags") > 0, F.array(F.concat(F.lit(TAGS), F.array_join("tags", "、")))).otherwise(F.array().cast("array<string>")),
+        F.col("weapons"), F.array_distinct(F.transform(plain, lambda x: x["text"])), F.col("effects")))
+    effect = F.struct(F.lit("skill_effect").alias("kind"), F.lit(0).alias("row"), F.concat(F.lit("skill:"), F.coalesce("skill_id", F.lit(""))).alias("key"),
+        F.array_join(F.filter(parts, lambda p: p != ""), " ").alias("text"), F.lit(None).cast("string").alias("tier"))
     twice = lambda g: F.size(F.filter("growth", lambda o: o["modifier_value"] == g["modifier_value"])) > 1
     key = lambda g: F.concat(F.lit("modifier:"), g["modifier_value"], F.when(twice(g), F.concat(F.lit(":tier:"), F.coalesce(g["first"], F.lit("")))).otherwise(""))
     growth = F.transform("growth", lambda g, i: F.struct(F.lit("skill_growth").alias("kind"), i.alias("row"), key(g).alias("key"), g["text"].alias("text"), F.coalesce(g["first"], F.lit("unknown")).alias("tier")))

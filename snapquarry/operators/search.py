@@ -88,7 +88,8 @@ def build_search_pages(pages: DataFrame, entities: DataFrame, systems: DataFrame
     first = pages.withColumn("_n", F.row_number().over(Window.partitionBy("route").orderBy("page_id"))).filter("_n = 1").drop("_n")
     j = first.join(entities.select("route", "entity_id", F.col("title").alias("entity_title"), F.col("category").alias("entity_category"), "entity_type", "clean_summary"), "route", "left")
     j = j.join(systems.select("system_id", F.col("category").alias("system_category")), "system_id", "left").withColumn("fresh_text", F.lit(None).cast("string"))
-    return j.select("page_id", "route", "system_id", "entity_id", F.coalesce("entity_title", "title").alias("title"), F.coalesce("entity_category", "system_category").alias("category"), search_text().alias("text"), F.lit("visible").alias("visibility"))
+    return j.select("page_id", "route", "system_id", "entity_id", F.coalesce("entity_title", "title").alias("title"), F.coalesce("entity_category", "system_category").alias("category"),
+        search_text().alias("text"), F.lit("visible").alias("visibility"))
 
 
 def refresh_ownership(pages: DataFrame, entities: DataFrame, kind: str, system: str) -> DataFrame:

@@ -17,7 +17,8 @@ from .queries import page_links, query, table
 
 def line_pages(s: SparkSession, d: str) -> DataFrame:
     """A page for each order: a section with a table of its lines."""
-    row = F.concat(F.lit('<tr data-modifier-id="'), F.col("l_partkey").cast("string"), F.lit('" data-tier="'), F.col("l_returnflag"), F.lit('"><td>'), F.col("l_linenumber").cast("string"), F.lit("</td><td>"), F.col("l_linestatus"), F.lit("</td></tr>"))
+    row = F.concat(F.lit('<tr data-modifier-id="'), F.col("l_partkey").cast("string"), F.lit('" data-tier="'), F.col("l_returnflag"), F.lit('"><td>'), F.col("l_linenumber").cast("string"),
+        F.lit("</td><td>"), F.col("l_linestatus"), F.lit("</td></tr>"))
     rows = F.array_join(F.transform(F.array_sort(F.collect_list(F.struct("l_linenumber", "l_partkey", "l_suppkey", row.alias("row")))), lambda r: r["row"]), "")
     lines = table(s, d, "lineitem").groupBy(F.col("l_orderkey").alias("page_id")).agg(rows.alias("rows"))
     return lines.select("page_id", F.concat(F.lit('<div id="lines"><table><tr><th>Level</th><th>Status</th></tr>'), "rows", F.lit("</table></div>")).alias("html"))
@@ -42,7 +43,8 @@ def level_profiles(s, d):
 def asset_pages(s: SparkSession, d: str) -> DataFrame:
     """A page for each part: an image with a larger one, a style sheet, a script and a styled box."""
     k = lambda n: (F.col("p_partkey") % n).cast("string")
-    html = F.concat(F.lit('<link href="/c/'), k(7), F.lit('.css"><img src="/i/'), k(97), F.lit('.png" srcset="/i/'), k(97), F.lit('@2.png 2x, /j/'), k(5), F.lit('.webp 3x"><script src="/s.js"></script><p style="background: url(/b/'), k(3), F.lit('.gif)">x</p>'))
+    html = F.concat(F.lit('<link href="/c/'), k(7), F.lit('.css"><img src="/i/'), k(97), F.lit('.png" srcset="/i/'), k(97), F.lit('@2.png 2x, /j/'), k(5),
+        F.lit('.webp 3x"><script src="/s.js"></script><p style="background: url(/b/'), k(3), F.lit('.gif)">x</p>'))
     return table(s, d, "part").select(F.col("p_partkey").alias("page_id"), html.alias("html"))
 
 
@@ -130,7 +132,8 @@ def strict_text(s, d):
     """Strict visible text; link-list cards and inactive panes are left out"""
     head = F.when(F.col("o_orderstatus") == "F", "Related Skills").otherwise("Head")
     active = F.when(F.col("o_orderpriority").startswith("5"), " active").otherwise("")
-    html = F.concat(F.lit("<p>shown "), F.col("o_custkey").cast("string"), F.lit('</p><div class="card"><div class="card-header">'), head, F.lit('</div><ul><li>list</li></ul></div><div class="tab-pane'), active, F.lit('">pane</div><p hidden>gone</p>'))
+    html = F.concat(F.lit("<p>shown "), F.col("o_custkey").cast("string"), F.lit('</p><div class="card"><div class="card-header">'), head,
+        F.lit('</div><ul><li>list</li></ul></div><div class="tab-pane'), active, F.lit('">pane</div><p hidden>gone</p>'))
     return extract.visible_text(table(s, d, "orders").select(F.col("o_orderkey").alias("page_id"), html.alias("html")), strict=True)
 
 
@@ -161,7 +164,8 @@ def runtime_dependencies(s, d):
 def type_warnings(s, d):
     """Content types that don't fit"""
     pick = lambda c, *v: F.element_at(F.array(*[F.lit(x) for x in v]), (c % 4 + 1).cast("int"))
-    assets = table(s, d, "part").select(F.concat(F.lit("/a/"), F.col("p_partkey").cast("string"), pick(F.col("p_partkey"), ".css", ".js", ".png", ".json")).alias("url"), pick(F.col("p_size"), "text/css", "application/javascript", "image/png", "application/json").alias("content_type"))
+    assets = table(s, d, "part").select(F.concat(F.lit("/a/"), F.col("p_partkey").cast("string"), pick(F.col("p_partkey"), ".css", ".js", ".png", ".json")).alias("url"),
+        pick(F.col("p_size"), "text/css", "application/javascript", "image/png", "application/json").alias("content_type"))
     return quality.type_warning(assets).select("url", "type")
 
 
@@ -186,4 +190,5 @@ def priority_sets(s, d):
     v = F.transform(F.array_sort(F.collect_list(F.struct("o_orderkey", "o_orderpriority"))), lambda x: x["o_orderpriority"])
     w = table(s, d, "orders").groupBy(F.col("o_custkey").alias("k")).agg(v.alias("v"))
     known = F.array(F.lit("1-URGENT"), F.lit("2-HIGH"))
-    return w.select("k", F.size(nested.distinct_nonempty(F.col("v"))).cast("long").alias("kinds"), F.array_join(nested.first_sorted(F.col("v"), 3), ",").alias("smallest"), F.size(nested.missing_from(F.col("v"), known)).cast("long").alias("others"))
+    return w.select("k", F.size(nested.distinct_nonempty(F.col("v"))).cast("long").alias("kinds"), F.array_join(nested.first_sorted(F.col("v"), 3), ",").alias("smallest"),
+        F.size(nested.missing_from(F.col("v"), known)).cast("long").alias("others"))

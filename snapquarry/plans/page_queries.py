@@ -50,7 +50,8 @@ def card_stats(s, d):
     """Base stats and affixes of current and corrosion cards; historical ones give none, nor do nested modifiers"""
     kind = F.when(_is("1"), "popupItem previousItem").when(_is("2"), "").otherwise("popupItem")
     sign = F.when(_is("2"), F.lit('<i data-i18n="x hyperlink|name|30001"></i>')).otherwise("")
-    html = told('<div class="card ', kind, '"><p data-modifier-id="b', F.col("o_custkey"), '">base ', F.col("o_orderstatus"), "</p>", sign, '<div class="tierParent"><p data-modifier-id="a', F.col("o_custkey"), '">affix <b data-modifier-id="in">', F.col("o_orderpriority"), "</b></p></div></div>")
+    html = told('<div class="card ', kind, '"><p data-modifier-id="b', F.col("o_custkey"), '">base ', F.col("o_orderstatus"), "</p>", sign, '<div class="tierParent"><p data-modifier-id="a',
+        F.col("o_custkey"), '">affix <b data-modifier-id="in">', F.col("o_orderpriority"), "</b></p></div></div>")
     r = regions.card_records(order_pages(s, d, html))
     return r.select("entity_id", "record_type", "key", "text", "variant", F.col("section_name").alias("section"))
 
@@ -73,11 +74,13 @@ def pane_affixes(s, d):
     lines = table(s, d, "lineitem").groupBy("l_orderkey").agg(rows.alias("r"))
     o = table(s, d, "orders").join(lines, F.col("l_orderkey") == F.col("o_orderkey"))
     title = told("P", F.col("o_orderkey"))
-    card = told('<div class="popupItem', F.when(F.col("o_orderstatus") == "F", " previousItem").otherwise(""), '"><p data-modifier-id="s', F.col("o_custkey"), '">stat ', F.col("o_orderpriority"), '</p><div data-block="detail">mechanic ', F.col("o_orderstatus"), "<hr>more</div></div>")
+    card = told('<div class="popupItem', F.when(F.col("o_orderstatus") == "F", " previousItem").otherwise(""), '"><p data-modifier-id="s', F.col("o_custkey"), '">stat ',
+        F.col("o_orderpriority"), '</p><div data-block="detail">mechanic ', F.col("o_orderstatus"), "<hr>more</div></div>")
     old = F.lit('<div class="popupItem previousItem"><p data-modifier-id="old">old</p></div>')
     part = lambda name, what: told(f'<div class="tab-pane" id="{name}">', what, "</div>")
     joined = lambda f: F.array_join(F.transform("r", lambda r: r[f]), "")
-    html = told('<div class="tab-pane active show" id="', title, '">', card, old, "</div>", part(regions.BASE_PANE, told("<table><tr><th>Tier</th></tr>", joined("base"), "</table>")), part(regions.CRAFT_PANE, told("<table>", joined("craft"), "</table>")),
+    html = told('<div class="tab-pane active show" id="', title, '">', card, old, "</div>", part(regions.BASE_PANE, told("<table><tr><th>Tier</th></tr>", joined("base"), "</table>")),
+        part(regions.CRAFT_PANE, told("<table>", joined("craft"), "</table>")),
                 part(regions.LEGENDARY_PANE, told('<p data-modifier-id="', F.col("o_custkey"), '">legend ', F.col("o_orderstatus"), "</p>")))
     r = regions.pane_records(o.select(F.col("o_orderkey").alias("page_id"), title.alias("title"), html.alias("html")))
     return r.select("entity_id", "record_type", "key", "text", "tier", F.col("source_locator.row_index").alias("row_index"))
@@ -107,7 +110,8 @@ def sequence_rows(s, d):
     """Rows of sequence tables"""
     tier = F.when(F.col("s_acctbal") >= 5000, "高阶序列 ").when(F.col("s_acctbal") >= 0, "中阶序列 ").otherwise("")
     row = told('<tr><td><p data-modifier-id="', F.col("s_suppkey"), '">tower ', F.col("s_name"), "</p></td><td>for ", F.col("s_nationkey"), '</td><td><b data-chip="c', F.col("s_suppkey"), '">', tier, "</b></td></tr>")
-    pages = listed(table(s, d, "supplier"), "s_nationkey", row, "s_suppkey").select("page_id", told('<table><tr><td data-modifier-id="x">x</td></tr></table>', f'<div id="{regions.SEQUENCES}"><table class="DataTable"><tr><th>Affix</th></tr>', F.col("rows"), "</table></div>").alias("html"))
+    pages = listed(table(s, d, "supplier"), "s_nationkey", row, "s_suppkey").select("page_id", told('<table><tr><td data-modifier-id="x">x</td></tr></table>',
+        f'<div id="{regions.SEQUENCES}"><table class="DataTable"><tr><th>Affix</th></tr>', F.col("rows"), "</table></div>").alias("html"))
     return regions.sequence_rows(pages).select("entity_id", "key", "text", "sequence_tier", "pattern", "equipment", F.col("source_locator.row_index").alias("row_index"))
 
 
@@ -120,7 +124,8 @@ def contract_boxes(s, d):
     """Contract boxes, badges and rows of tables left out; those of panes that are neither active nor shown give none"""
     k, n = F.col("s_suppkey"), F.col("s_nationkey")
     more = F.when(F.col("s_acctbal") > 0, told("<div>of ", F.col("s_name"), "</div>")).otherwise("")
-    box = told('<div class="d-flex border rounded"><span class="badge">9</span><img data-id="', k, '" data-level="', n, '"><div class="flex-grow-1 ms-2"><div>S', k, "</div><div>level <b>", n, "</b><table><tr><td>no</td></tr></table></div><p>no</p>", more, "</div></div>")
+    box = told('<div class="d-flex border rounded"><span class="badge">9</span><img data-id="', k, '" data-level="', n, '"><div class="flex-grow-1 ms-2"><div>S', k, "</div><div>level <b>",
+        n, "</b><table><tr><td>no</td></tr></table></div><p>no</p>", more, "</div></div>")
     html = F.when(n % 5 == 0, told('<div class="tab-pane" id="x_NPC">', box, "</div>")).when(n % 5 == 1, told('<div class="tab-pane show" id="x_NPC">', box, "</div>")).otherwise(box)
     r = regions.contract_records(table(s, d, "supplier").select(k.alias("page_id"), html.alias("html")))
     return r.select("entity_id", "key", "text", "node_context")
@@ -137,7 +142,8 @@ def trait_keys(s, d):
     tiers = told('<div><span class="tierLevel">等级 1</span>free<div>one <b>p', F.col("l_partkey"), '</b></div><hr><p>gone</p><span class="tierLevel">等级 2</span><div>two<br>s', F.col("l_suppkey"), "</div></div>")
     body = F.when(F.col("l_linestatus") == "O", tiers).otherwise(told("<div>plain <i>p", F.col("l_partkey"), "</i></div><span>展开</span><hr><p>end</p>"))
     box = told('<div class="d-flex border-top"><img alt="', F.col("l_returnflag"), '"><div class="flex-grow-1"><div class="fw-bold">T', F.col("i"), "</div><div>需求等级 ", F.col("l_partkey") % 60, "</div>", body, "</div></div>")
-    pages = listed(li.withColumn("i", rank), "l_orderkey", box, "i").select("page_id", told('<div class="card"><h5 class="card-header">Name - 英雄特性 /9</h5>', F.col("rows"), '</div><div class="d-flex border-top"><div class="flex-grow-1"><b class="fw-bold">x</b></div></div>').alias("html"))
+    pages = listed(li.withColumn("i", rank), "l_orderkey", box, "i").select("page_id", told('<div class="card"><h5 class="card-header">Name - 英雄特性 /9</h5>', F.col("rows"),
+        '</div><div class="d-flex border-top"><div class="flex-grow-1"><b class="fw-bold">x</b></div></div>').alias("html"))
     return regions.trait_levels(pages).select("entity_id", "key", "text", "node_name", "required_level")
 
 
@@ -153,7 +159,8 @@ def skill_pages(s: SparkSession, d: str) -> DataFrame:
     lines = listed(table(s, d, "lineitem"), "l_orderkey", row, "l_linenumber", "l_partkey", "l_suppkey")
     tag = lambda c: told('<span class="tag">', c, "</span>")
     card = told('<div class="tab-pane active show" id="now"><div class="popupItem"><h5 class="card-title">Order ', F.col("o_orderkey"), "</h5>", tag(F.col("o_orderstatus")), tag(F.col("o_orderpriority")), tag(F.col("o_orderstatus")),
-                '<div class="d-flex justify-content-center">', tag(F.col("o_orderstatus")), '</div><div class="d-flex justify-content-center">Cost ', F.col("o_custkey"), '</div><p class="explicitMod">hits c', F.col("o_custkey"), '</p><p class="explicitMod">hits c', F.col("o_custkey"), "</p></div></div>")
+                '<div class="d-flex justify-content-center">', tag(F.col("o_orderstatus")), '</div><div class="d-flex justify-content-center">Cost ', F.col("o_custkey"),
+                    '</div><p class="explicitMod">hits c', F.col("o_custkey"), '</p><p class="explicitMod">hits c', F.col("o_custkey"), "</p></div></div>")
     old = F.lit('<div class="tab-pane" id="cache-1"><div class="popupItem"><p class="explicitMod">no</p><b data-modifier-id="no">no</b></div></div>')
     two = F.when(F.col("o_orderstatus") == "P", F.lit('<div class="popupItem">second</div>')).otherwise("")
     o = table(s, d, "orders").join(lines, F.col("page_id") == F.col("o_orderkey"))
@@ -191,7 +198,8 @@ def directories(s: SparkSession, d: str) -> DataFrame:
     html = (F.when(n == 2, told('<div class="menu">', items, "</div>")).when(n == 3, told("<p>", F.lit("words " * 12), "</p><p>", F.lit("more " * 9), '<a href="/en/x">x</a></p>'))
             .when(n == 4, told('<table class="drop list">', items, "</table>")).when(n == 5, flats).when(n == 6, F.lit("<div> </div>")).otherwise(told('<h2>Things / ', F.coalesce("k", F.lit("0")), "</h2><ul>", items, "</ul>")))
     body = F.when(n == 7, told('<div class="entries">', items, "</div>")).otherwise(told("<div>", html, "</div>"))
-    return c.select(k.alias("page_id"), F.when(n == 5, "inventory").otherwise("other").alias("system_id"), url.alias("url"), F.when(n == 0, 404).otherwise(200).alias("status"), F.when(n == 1, told(SITE, "home")).otherwise(url).alias("final_url"), body.alias("html"))
+    return c.select(k.alias("page_id"), F.when(n == 5, "inventory").otherwise("other").alias("system_id"), url.alias("url"), F.when(n == 0, 404).otherwise(200).alias("status"),
+        F.when(n == 1, told(SITE, "home")).otherwise(url).alias("final_url"), body.alias("html"))
 
 
 @query("""WITH p AS (SELECT c_custkey AS page_id, c_nationkey AS n, count(o_orderkey) AS k FROM customer LEFT JOIN orders ON o_custkey = c_custkey GROUP BY 1, 2)
@@ -210,7 +218,8 @@ def repeated_rows(s, d):
     """How many elements of one kind in a page's list hold links; texts without a link don't count"""
     item = told('<li class="b  a"><a href="o', F.col("o_orderkey"), '">o</a></li><li class="c">no link</li><li class="c">nor here</li>')
     lists = listed(table(s, d, "orders"), "o_custkey", item, "o_orderkey")
-    pages = lists.select("page_id", F.lit("x").alias("system_id"), told(SITE, "c", F.col("page_id")).alias("url"), F.lit(200).alias("status"), F.lit(None).cast("string").alias("final_url"), told('<div class="list">', F.col("rows"), "</div>").alias("html"))
+    pages = lists.select("page_id", F.lit("x").alias("system_id"), told(SITE, "c", F.col("page_id")).alias("url"), F.lit(200).alias("status"), F.lit(None).cast("string").alias("final_url"),
+        told('<div class="list">', F.col("rows"), "</div>").alias("html"))
     return directory.page_features(pages).select("page_id", "repeats", F.col("n_unique").alias("rows"))
 
 
@@ -259,7 +268,9 @@ def external_links(s, d):
     """Q07: own pages that are linked by absolute URL, and whether the catalog has them; other hosts, other languages, images and
     relative links don't count"""
     c = F.col("o_custkey")
-    href = F.when(F.col("o_orderstatus") != "F", told("/en/c", c)).when(_is("1"), told("HTTPS://w.example/en/c", c)).when(_is("2"), told("http://www.w.example/en/c", c, "/?x=1#y")).when(_is("3"), told("https://other.example/en/c", c)).when(_is("4"), told("https://w.example/en/c", c, ".PNG")).otherwise(told("https://w.example/de/c", c))
+    href = F.when(F.col("o_orderstatus") != "F", told("/en/c", c)).when(_is("1"), told("HTTPS://w.example/en/c", c)).when(_is("2"),
+        told("http://www.w.example/en/c", c, "/?x=1#y")).when(_is("3"), told("https://other.example/en/c", c)).when(_is("4"),
+        told("https://w.example/en/c", c, ".PNG")).otherwise(told("https://w.example/de/c", c))
     catalog = table(s, d, "customer").filter("c_nationkey < 20").select(told("/en/c", F.col("c_custkey")).alias("route"))
     return quality.external_audit(table(s, d, "orders").select(href.alias("href")), catalog, ["w.example", "www.w.example"], "/en/")
 
@@ -303,7 +314,8 @@ def site(s: SparkSession, d: str) -> DataFrame:
     orders = listed(table(s, d, "orders"), "o_custkey", link("o", F.col("o_orderkey")), "o_orderkey")
     li = table(s, d, "lineitem")
     lines, made = listed(li, "l_orderkey", link("p", F.col("l_partkey")), "l_linenumber", "l_partkey"), listed(li.select("l_partkey", "l_suppkey").distinct(), "l_partkey", link("/en/s", F.col("l_suppkey")), "l_suppkey")
-    page = lambda df, letter, key, status, rows: df.select(told("/en/", letter, F.col(key)).alias("route"), status.alias("status"), told(letter, F.col(key)).alias("page_id"), told(SITE, letter, F.col(key)).alias("url"), rows.alias("html"))
+    page = lambda df, letter, key, status, rows: df.select(told("/en/", letter, F.col(key)).alias("route"), status.alias("status"), told(letter, F.col(key)).alias("page_id"),
+        told(SITE, letter, F.col(key)).alias("url"), rows.alias("html"))
     ok, rows = F.lit("available"), F.coalesce("rows", F.lit(""))
     c = page(table(s, d, "customer").join(orders, F.col("page_id") == F.col("c_custkey"), "left"), "c", "c_custkey", ok, rows)
     o = page(table(s, d, "orders").join(lines, F.col("page_id") == F.col("o_orderkey"), "left"), "o", "o_orderkey", F.when(F.col("o_orderstatus") == "P", "not_found").otherwise(ok), rows)
@@ -341,7 +353,8 @@ def rewritten_pages(s, d):
     """Pages with their references put to local paths: links, sources, candidates of srcset, styles and imports; trackers go"""
     k, n = F.col("c_custkey"), F.col("c_nationkey")
     source = F.when(F.col("c_mktsegment") == "BUILDING", 'src="/i/none.png"').otherwise(told('src="/i/n', n, '.png#f"'))
-    html = told("<A HREF='/en/c", k, "?x=1#s' data-src=\"/i/n", n, '.png">c &amp; d</A><img srcset="/i/n', n, '.png 1x, /i/none.png 2x" ', source, ' integrity="q"/><script src="https://www.google-analytics.com/a.js">if (a < b) x("</p>")</script><style>@import "/s.css";p{background:url( /i/n', n,
+    html = told("<A HREF='/en/c", k, "?x=1#s' data-src=\"/i/n", n, '.png">c &amp; d</A><img srcset="/i/n', n, '.png 1x, /i/none.png 2x" ', source,
+        ' integrity="q"/><script src="https://www.google-analytics.com/a.js">if (a < b) x("</p>")</script><style>@import "/s.css";p{background:url( /i/n', n,
                 '.png )}</style><img src="https://x.doubleclick.net/p.gif"><p style="background:url(https://far.example/x.png)">text<a href="/en/none">n</a><br></P >')
     pages = table(s, d, "customer").select(k.alias("page_id"), told(SITE, "c", k).alias("url"), html.alias("html"))
     nations = table(s, d, "nation").select(told("https://w.example/i/n", F.col("n_nationkey"), ".png").alias("url"), told("assets/n", F.col("n_nationkey"), ".png").alias("path"))
@@ -372,7 +385,8 @@ def enriched(s: SparkSession, d: str) -> DataFrame:
     own = F.array(F.struct(F.lit("parts").alias("system_id"), F.lit("primary").alias("role")))
     entity = parts.select("route", told("Part ", k).alias("title"), F.lit("parts").alias("owner"), F.col("p_brand").alias("category"), F.lit("primary").alias("confidence"), own.alias("sources"))
     li = table(s, d, "lineitem")
-    rows = li.select(told("/en/p", F.col("l_partkey")).alias("route"), (F.col("l_orderkey") * 10 + F.col("l_linenumber")).alias("row_index"), F.when(F.col("l_returnflag") == "R", "main").otherwise("more").alias("record_type"), told("line ", F.col("l_linenumber"), " ", F.col("l_linestatus")).alias("text"))
+    rows = li.select(told("/en/p", F.col("l_partkey")).alias("route"), (F.col("l_orderkey") * 10 + F.col("l_linenumber")).alias("row_index"),
+        F.when(F.col("l_returnflag") == "R", "main").otherwise("more").alias("record_type"), told("line ", F.col("l_linenumber"), " ", F.col("l_linestatus")).alias("text"))
     known = entities.record_facts(rows, parts.select("route", told("P ", k).alias("title")), "any", {"main": ["main"], "more": ["more"]}, {"main": "Main"})
     of = F.filter(F.array(*[F.when(size % (i + 2) == 0, F.struct(F.lit(kind.name).alias("kind"), F.lit(i).alias("i"))) for i, kind in enumerate(entities.KINDS)]), lambda x: x.isNotNull())
     kinds = parts.select("route", k.alias("k"), F.explode(of).alias("x"))
@@ -403,7 +417,8 @@ def system_readiness(s, d):
     """Q08: whether the pages of each nation can do without a server, and why not"""
     region = table(s, d, "nation").select("n_nationkey", F.col("n_regionkey").alias("r"))
     c = table(s, d, "customer").join(region, F.col("n_nationkey") == F.col("c_nationkey"))
-    html = told("<p>x</p>", F.when(F.col("r") == 1, '<img src="https://cdn.example/x.png">').when(F.col("r") == 2, told("<script>fetch('/api/n", F.col("c_nationkey"), "'); new WebSocket('wss://www.google-analytics.com/s')</script>")).otherwise(""))
+    html = told("<p>x</p>", F.when(F.col("r") == 1, '<img src="https://cdn.example/x.png">').when(F.col("r") == 2,
+        told("<script>fetch('/api/n", F.col("c_nationkey"), "'); new WebSocket('wss://www.google-analytics.com/s')</script>")).otherwise(""))
     pages = c.select(F.col("c_nationkey").alias("system_id"), F.col("c_custkey").cast("string").alias("page_id"), told(SITE, "c", F.col("c_custkey")).alias("url"), html.alias("html"))
     a = table(s, d, "supplier").join(region, F.col("n_nationkey") == F.col("s_nationkey")).withColumn("url", told("https://w.example/a/s", F.col("s_suppkey"), ".css")).withColumn("present", (F.col("r") != 4) | (F.col("s_acctbal") >= 0))
     ref = F.when(F.col("r") == 3, told("missing", F.col("s_suppkey"), ".png")).otherwise(told("s", F.col("s_suppkey"), ".css"))
@@ -423,12 +438,15 @@ def order_family(s, d):
     """All parts of the audit of a family of pages: orders with their lines as records, returned ones as history"""
     flag = F.col("l_returnflag") == "R"
     key = F.when(F.col("l_linestatus") == "F", told("modifier:", F.col("l_partkey"))).otherwise(told("row:", F.col("l_linenumber")))
-    records = table(s, d, "lineitem").select(F.col("l_orderkey").alias("page_id"), F.col("l_partkey").cast("string").alias("record_id"), F.lit("line").alias("record_type"), key.alias("key"), F.col("l_linestatus").alias("text"), F.when(flag, "historical").otherwise("current").alias("region"), (~flag).alias("selected"))
-    pages = table(s, d, "orders").select(F.col("o_orderkey").alias("page_id"), F.col("o_orderpriority").alias("template"), (F.col("o_custkey") % 3).alias("historical_cards"), F.when(F.col("o_orderstatus") == "P", 1).otherwise(0).cast("long").alias("related_cards"))
+    records = table(s, d, "lineitem").select(F.col("l_orderkey").alias("page_id"), F.col("l_partkey").cast("string").alias("record_id"), F.lit("line").alias("record_type"), key.alias("key"),
+        F.col("l_linestatus").alias("text"), F.when(flag, "historical").otherwise("current").alias("region"), (~flag).alias("selected"))
+    pages = table(s, d, "orders").select(F.col("o_orderkey").alias("page_id"), F.col("o_orderpriority").alias("template"), (F.col("o_custkey") % 3).alias("historical_cards"),
+        F.when(F.col("o_orderstatus") == "P", 1).otherwise(0).cast("long").alias("related_cards"))
     found = quality.family_audit(records, pages)
     told_ = lambda name, df, *columns: df.select(F.explode(F.array(*[F.struct(F.lit(f"{name}{c}").alias("part"), F.col(c).cast("long").alias("n")) for c in columns])).alias("x")).select("x.*")
     counted = lambda name: found[name].agg(F.count(F.lit(1)).alias("n")).select(F.lit(name).alias("part"), "n")
-    out = told_("", found["completeness"], "pages", "with_records").unionByName(told_("identity.", found["identity"], "records", "keyed", "different")).unionByName(told_("history.", found["history"], "historical_cards", "related_cards", "records", "selected"))
+    out = told_("", found["completeness"], "pages", "with_records").unionByName(told_("identity.", found["identity"], "records", "keyed", "different")).unionByName(told_("history.",
+        found["history"], "historical_cards", "related_cards", "records", "selected"))
     for name in ("duplicates", "templates", "shared_texts", "samples"):
         out = out.unionByName(counted(name))
     return out
@@ -465,7 +483,8 @@ def marked_hits(s, d):
 @query("""SELECT l_orderkey AS context_id, l_suppkey AS target_node, sum(CASE WHEN l_linestatus = 'F' THEN -l_linenumber ELSE l_linenumber END)::BIGINT AS total FROM lineitem WHERE l_returnflag <> 'R' GROUP BY 1, 2""")
 def node_sums(s, d):
     """Signed sums of matched modifiers over the keys of each node"""
-    rows = table(s, d, "lineitem").select(F.col("l_orderkey").alias("context_id"), F.col("l_suppkey").alias("target_node"), F.col("l_partkey").alias("aggregation_key"), F.when(F.col("l_linestatus") == "F", "subtract").otherwise("add").alias("operation"), F.col("l_linenumber").cast("long").alias("value"), (F.col("l_returnflag") != "R").alias("matched"))
+    rows = table(s, d, "lineitem").select(F.col("l_orderkey").alias("context_id"), F.col("l_suppkey").alias("target_node"), F.col("l_partkey").alias("aggregation_key"),
+        F.when(F.col("l_linestatus") == "F", "subtract").otherwise("add").alias("operation"), F.col("l_linenumber").cast("long").alias("value"), (F.col("l_returnflag") != "R").alias("matched"))
     return modifiers.node_totals(modifiers.aggregate_modifiers(rows))
 
 
@@ -517,7 +536,8 @@ SELECT page_id, n_unique, occurrences, duplicates, displayed, n_unique AS entrie
 def directory_entries(s, d):
     """Different entries of directory pages, with what their headings say and how sure they are"""
     link = told('<li><a href="/en/o', F.col("o_orderkey"), '">o</a></li>')
-    rows = listed(table(s, d, "orders"), "o_custkey", F.concat(link, F.when(F.col("o_orderstatus") == "F", link).otherwise("")), "o_orderkey").join(table(s, d, "orders").groupBy(F.col("o_custkey").alias("page_id")).agg(F.count(F.lit(1)).alias("n")), "page_id")
+    rows = listed(table(s, d, "orders"), "o_custkey", F.concat(link, F.when(F.col("o_orderstatus") == "F", link).otherwise("")),
+        "o_orderkey").join(table(s, d, "orders").groupBy(F.col("o_custkey").alias("page_id")).agg(F.count(F.lit(1)).alias("n")), "page_id")
     c = table(s, d, "customer").join(rows, F.col("page_id") == F.col("c_custkey"))
     html = told('<nav><a href="/en/nav">n</a></nav><main><div><h2>Orders / ', F.col("n") + (F.col("c_nationkey") < 5).cast("long"), "</h2><ul>", F.col("rows"), '</ul></div></main><p><a href="https://o.example/en/x">x</a></p>')
     entries, report = directory.entries_from_pages(c.select("page_id", told(SITE, "c", F.col("page_id")).alias("url"), html.alias("html")))
@@ -542,7 +562,8 @@ def search_pages_built(s, d):
     p = table(s, d, "documents").select(F.col("doc_id").alias("page_id"), route.alias("route"), F.col("source").alias("system_id"), F.split_part("text", F.lit("\n"), F.lit(1)).alias("title"), F.col("text").alias("cached_text"), "lang")
     g = p.filter("system_id <> 'src0'").groupBy("route").agg(F.min("page_id").alias("k"), F.min("lang").alias("lang"), F.max("system_id").alias("top"))
     kind = F.when(F.col("lang") == "en", "skill").otherwise("item")
-    e = g.select("route", told("e", F.col("k")).alias("entity_id"), told("Entity ", F.col("k")).alias("title"), told("cat ", kind).alias("category"), kind.alias("entity_type"), F.when(F.col("top") == "src9", told("Summary ", F.col("k"))).when(F.col("top") == "src8", " ").alias("clean_summary"))
+    e = g.select("route", told("e", F.col("k")).alias("entity_id"), told("Entity ", F.col("k")).alias("title"), told("cat ", kind).alias("category"), kind.alias("entity_type"),
+        F.when(F.col("top") == "src9", told("Summary ", F.col("k"))).when(F.col("top") == "src8", " ").alias("clean_summary"))
     systems = p.select("system_id").distinct().withColumn("category", F.concat(F.lit("system "), "system_id"))
     built = search.refresh_ownership(search.build_search_pages(p.drop("lang"), e, systems), e, "skill", "main")
     return built.select("page_id", "system_id", "entity_id", F.sha2("title", 256).alias("title"), "category", F.sha2("text", 256).alias("text"))

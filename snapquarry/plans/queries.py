@@ -176,7 +176,9 @@ def facet_distribution(s, d):
 def tooltips(s: SparkSession, d: str) -> DataFrame:
     """Documents as tooltip occurrences: the whole text, the source as title (none for one in seven)."""
     return table(s, d, "documents").select(F.concat(F.lit("o"), F.lpad(F.col("doc_id").cast("string"), 12, "0")).alias("occurrence_id"), F.when(F.col("doc_id") % 7 != 0, F.col("source")).alias("tooltip_title"),
-        F.col("text").alias("tooltip_text"), F.col("lang").alias("source_entity_id"), F.lit("doc").alias("source_type"), F.struct((F.length("text") == F.col("n_chars")).alias("hash_match"), F.concat(F.lit("f"), F.col("doc_id").cast("string")).alias("html_file")).alias("source"), F.col("doc_id").alias("page_id"))
+        F.col("text").alias("tooltip_text"), F.col("lang").alias("source_entity_id"), F.lit("doc").alias("source_type"),
+            F.struct((F.length("text") == F.col("n_chars")).alias("hash_match"), F.concat(F.lit("f"), F.col("doc_id").cast("string")).alias("html_file")).alias("source"),
+            F.col("doc_id").alias("page_id"))
 
 
 TIPS = r"SELECT 'o' || lpad(doc_id::VARCHAR, 12, '0') AS o, CASE WHEN doc_id % 7 <> 0 THEN source END AS t, nullif(array_to_string(list_filter(list_transform(string_split(text, chr(10)), lambda y: trim(regexp_replace(y, '[\s\x0B\x{85}\x{A0}]+', ' ', 'g'))), lambda y: y <> ''), chr(10)), '') AS x, length(text) = n_chars AS h, doc_id FROM documents"
@@ -263,7 +265,8 @@ def discovery_confidence(s, d):
 @query("SELECT o_orderstatus AS module, o_orderpriority AS record_type, count(*) AS records, count(DISTINCT o_custkey) AS entities, count(*) FILTER (o_totalprice > 100000) AS at_record_level FROM orders GROUP BY ROLLUP (o_orderstatus, o_orderpriority)")
 def module_report(s, d):
     """G23"""
-    o = table(s, d, "orders").select(F.col("o_orderstatus").alias("module"), F.col("o_orderpriority").alias("record_type"), F.col("o_custkey").alias("entity_id"), F.when(F.col("o_totalprice") > 100000, "record").otherwise("section").alias("locator_level"))
+    o = table(s, d, "orders").select(F.col("o_orderstatus").alias("module"), F.col("o_orderpriority").alias("record_type"), F.col("o_custkey").alias("entity_id"),
+        F.when(F.col("o_totalprice") > 100000, "record").otherwise("section").alias("locator_level"))
     return agg.module_report(o)
 
 
@@ -463,8 +466,10 @@ def longest_documents(s, d):
 def line_modifiers(s: SparkSession, d: str) -> DataFrame:
     """Order lines as modifiers: node is the supplier, key the return flag, value the discount in hundredths."""
     return table(s, d, "lineitem").select(
-        F.concat_ws("-", "l_orderkey", "l_linenumber").alias("id"), F.col("l_suppkey").alias("target_node"), F.col("l_returnflag").alias("aggregation_key"), F.when(F.col("l_linestatus") == "F", "subtract").otherwise("add").alias("operation"),
-        F.round(F.col("l_discount") * 100).cast("long").alias("value"), F.array("l_returnflag").alias("tags_all"), F.array().cast("array<string>").alias("tags_any"), F.array("l_linestatus").alias("tags_none"), F.array().cast("array<string>").alias("damage_types"))
+        F.concat_ws("-", "l_orderkey", "l_linenumber").alias("id"), F.col("l_suppkey").alias("target_node"), F.col("l_returnflag").alias("aggregation_key"),
+            F.when(F.col("l_linestatus") == "F", "subtract").otherwise("add").alias("operation"),
+        F.round(F.col("l_discount") * 100).cast("long").alias("value"), F.array("l_returnflag").alias("tags_all"), F.array().cast("array<string>").alias("tags_any"),
+            F.array("l_linestatus").alias("tags_none"), F.array().cast("array<string>").alias("damage_types"))
 
 
 def contexts(s: SparkSession) -> DataFrame:
@@ -507,9 +512,12 @@ def supplier_mechanics(s, d):
 FROM c LEFT JOIN (SELECT o_orderkey AS k, (o_custkey % 5) / 10.0 AS i, 1 + (o_custkey % 3) / 10.0 AS e FROM orders) ON k = h GROUP BY 1""")
 def hit_totals(s, d):
     """F07, G18"""
-    c = table(s, d, "lineitem").groupBy(F.col("l_orderkey").alias("hit_id"), F.col("l_linenumber").alias("component_id")).agg(F.sum("l_quantity").cast("double").alias("base_value")).select("hit_id", "component_id", "base_value", F.lit("physical").alias("current_type"), F.array(F.lit("physical")).alias("history"), F.array(F.lit("attack")).alias("hit_tags"))
+    c = table(s, d, "lineitem").groupBy(F.col("l_orderkey").alias("hit_id"),
+        F.col("l_linenumber").alias("component_id")).agg(F.sum("l_quantity").cast("double").alias("base_value")).select("hit_id", "component_id", "base_value",
+        F.lit("physical").alias("current_type"), F.array(F.lit("physical")).alias("history"), F.array(F.lit("attack")).alias("hit_tags"))
     o, none = table(s, d, "orders"), F.array().cast("array<string>")
-    m = lambda kind, v: o.select(F.col("o_orderkey").alias("hit_id"), F.lit(kind).alias("kind"), F.lit(None).cast("string").alias("extra_group"), v.alias("value"), F.array(F.lit("attack")).alias("required_tags"), none.alias("required_types"))
+    m = lambda kind, v: o.select(F.col("o_orderkey").alias("hit_id"), F.lit(kind).alias("kind"), F.lit(None).cast("string").alias("extra_group"), v.alias("value"),
+        F.array(F.lit("attack")).alias("required_tags"), none.alias("required_types"))
     mods = m("increased", (F.col("o_custkey") % 5) / 10.0).unionByName(m("extra", (F.col("o_custkey") % 3) / 10.0))
     return modifiers.hit_totals(c, mods).withColumn("total", F.round("total", 4))
 
@@ -527,8 +535,10 @@ def conversions(s, d):
 def listing(s: SparkSession, d: str) -> DataFrame:
     """Documents as listing entries: route from the whole first line, system and role from the source."""
     return table(s, d, "documents").select(
-        F.concat(F.lit("/en/"), F.sha2(F.split_part("text", F.lit("\n"), F.lit(1)), 256), F.lit("/")).alias("route"), F.col("source").alias("system_id"), F.when(F.col("source").isin("src1", "src2", "src3", "src4", "src5"), "primary").otherwise("entry").alias("role"),
-        F.split_part("text", F.lit("\n"), F.lit(1)).alias("title"), F.col("lang").alias("category"), F.sha2(F.split_part("text", F.lit("\n"), F.lit(1)), 256).alias("title_hash"), F.sha2("text", 256).alias("body_hash"), F.col("doc_id").alias("source_order"), F.col("doc_id").alias("page_id"))
+        F.concat(F.lit("/en/"), F.sha2(F.split_part("text", F.lit("\n"), F.lit(1)), 256), F.lit("/")).alias("route"), F.col("source").alias("system_id"),
+            F.when(F.col("source").isin("src1", "src2", "src3", "src4", "src5"), "primary").otherwise("entry").alias("role"),
+        F.split_part("text", F.lit("\n"), F.lit(1)).alias("title"), F.col("lang").alias("category"), F.sha2(F.split_part("text", F.lit("\n"), F.lit(1)), 256).alias("title_hash"),
+            F.sha2("text", 256).alias("body_hash"), F.col("doc_id").alias("source_order"), F.col("doc_id").alias("page_id"))
 
 
 ONCE = """WITH e AS (SELECT '/en/' || sha256(split_part(text, chr(10), 1)) || '/' AS route, source AS sys, source IN ('src1', 'src2', 'src3', 'src4', 'src5') AS prim, lang AS cat, sha256(text) AS b, doc_id FROM documents),
@@ -570,7 +580,8 @@ def entity_coverage(s, d):
 @query("""SELECT reason, count(*) AS n FROM (SELECT CASE WHEN n_chars > 3000 AND source <> 'src3' THEN 'entity_override' WHEN lang = 'de' THEN 'route_override' WHEN source = 'src2' THEN 'craft_rejected' WHEN source = 'src3' THEN 'inventory_unclassified' ELSE 'system_fallback' END AS reason FROM documents) GROUP BY 1""")
 def page_classification(s, d):
     """W05"""
-    p = table(s, d, "documents").select(F.when(F.col("source") == "src2", "craft").when(F.col("source") == "src3", "inventory").otherwise(F.col("source")).alias("system_id"), F.when(F.col("n_chars") > 3000, "x").alias("entity_category"), F.lit(0).alias("agreeing"), F.when(F.col("lang") == "de", "y").alias("route_category"), F.lit("z").alias("system_category"))
+    p = table(s, d, "documents").select(F.when(F.col("source") == "src2", "craft").when(F.col("source") == "src3", "inventory").otherwise(F.col("source")).alias("system_id"),
+        F.when(F.col("n_chars") > 3000, "x").alias("entity_category"), F.lit(0).alias("agreeing"), F.when(F.col("lang") == "de", "y").alias("route_category"), F.lit("z").alias("system_category"))
     return entities.classify(p).groupBy("reason").agg(F.count(F.lit(1)).alias("n"))
 
 
@@ -584,7 +595,9 @@ def route_conflicts(s, d):
 @query("""SELECT r AS reason, count(*) AS n FROM (SELECT unnest(list_filter([CASE WHEN trim(text) = '' OR text IS NULL THEN 'text missing' END, CASE WHEN n_chars % 10 < 3 THEN 'locator_confidence' END, CASE WHEN n_chars % 7 = 0 THEN 'row_index' END], lambda x: x IS NOT NULL)) AS r FROM documents) GROUP BY 1""")
 def record_contract(s, d):
     """Q02, E04"""
-    docs = table(s, d, "documents").select(hashing.record_id("record", doc=F.col("doc_id").cast("string")).alias("record_id"), "text", F.struct(F.when(F.col("n_chars") % 10 >= 3, "high").otherwise("none").alias("locator_confidence"), F.lit("record").alias("locator_level"), F.when(F.col("n_chars") % 7 == 0, -1).otherwise(1).alias("row_index")).alias("source_locator"))
+    docs = table(s, d, "documents").select(hashing.record_id("record", doc=F.col("doc_id").cast("string")).alias("record_id"), "text",
+        F.struct(F.when(F.col("n_chars") % 10 >= 3, "high").otherwise("none").alias("locator_confidence"), F.lit("record").alias("locator_level"),
+        F.when(F.col("n_chars") % 7 == 0, -1).otherwise(1).alias("row_index")).alias("source_locator"))
     return records.validate_records(docs).select(F.explode("reasons").alias("reason")).groupBy("reason").agg(F.count(F.lit(1)).alias("n"))
 
 
@@ -605,7 +618,8 @@ def document_issues(s, d):
 @query("""SELECT CASE WHEN strlen(text) = 0 THEN 'empty_body' WHEN strlen(text) <> n_chars THEN 'length_mismatch' WHEN doc_id % 9 = 0 THEN 'bad_status' ELSE 'valid' END AS health, count(*) AS n FROM documents GROUP BY 1""")
 def document_health(s, d):
     """F12"""
-    p = table(s, d, "documents").select(F.col("text").cast("binary").alias("content"), F.col("n_chars").alias("content_length"), F.sha2("text", 256).alias("html_sha256"), F.when(F.col("doc_id") % 9 == 0, 404).otherwise(200).alias("http_status"))
+    p = table(s, d, "documents").select(F.col("text").cast("binary").alias("content"), F.col("n_chars").alias("content_length"), F.sha2("text", 256).alias("html_sha256"),
+        F.when(F.col("doc_id") % 9 == 0, 404).otherwise(200).alias("http_status"))
     return quality.snapshot_health(p).groupBy("health").agg(F.count(F.lit(1)).alias("n"))
 
 
@@ -617,7 +631,9 @@ def cleanup_report(s, d):
 
 
 def search_table(s: SparkSession, d: str) -> DataFrame:
-    return table(s, d, "documents").select(F.col("doc_id").alias("page_id"), F.split_part("text", F.lit("\n"), F.lit(1)).alias("title"), "text", F.col("lang").alias("category"), F.lit(None).cast("string").alias("subcategory"), F.col("source").alias("system_id"), F.when(F.col("doc_id") % 3 == 0, F.concat(F.lit("e"), (F.col("doc_id") % 50).cast("string"))).alias("entity_id"),
+    return table(s, d, "documents").select(F.col("doc_id").alias("page_id"), F.split_part("text", F.lit("\n"), F.lit(1)).alias("title"), "text", F.col("lang").alias("category"),
+        F.lit(None).cast("string").alias("subcategory"), F.col("source").alias("system_id"), F.when(F.col("doc_id") % 3 == 0,
+        F.concat(F.lit("e"), (F.col("doc_id") % 50).cast("string"))).alias("entity_id"),
         F.concat(F.lit("/en/"), F.col("doc_id").cast("string")).alias("route"), F.when(F.col("source") == "src0", "hidden").otherwise("visible").alias("visibility"), F.col("doc_id").alias("record_id"))
 
 

@@ -42,7 +42,8 @@ def nested_keys(s, d):
 @query("""SELECT l_orderkey AS page_id, coalesce(arg_min(l_linestatus || l_linenumber, (l_linenumber, l_linestatus)) FILTER (l_returnflag = 'R'), min(l_linestatus)) AS text, CASE WHEN count(*) FILTER (l_returnflag = 'R') > 0 THEN 'record' ELSE 'section' END AS locator_level FROM lineitem GROUP BY 1""")
 def card_effects(s, d):
     """Effect of the first card that has one, else a description"""
-    cards = table(s, d, "lineitem").select(F.col("l_orderkey").alias("page_id"), F.when(F.col("l_returnflag") == "R", F.col("l_linenumber")).otherwise(0).alias("node_id"), F.when(F.col("l_returnflag") == "R", F.concat("l_linestatus", F.col("l_linenumber").cast("string"))).alias("effect"), F.col("l_linestatus").alias("description"))
+    cards = table(s, d, "lineitem").select(F.col("l_orderkey").alias("page_id"), F.when(F.col("l_returnflag") == "R", F.col("l_linenumber")).otherwise(0).alias("node_id"),
+        F.when(F.col("l_returnflag") == "R", F.concat("l_linestatus", F.col("l_linenumber").cast("string"))).alias("effect"), F.col("l_linestatus").alias("description"))
     return records.effect_or_description(cards)
 
 
@@ -54,7 +55,8 @@ def talent_texts(s, d):
     """Talents of pages, those in inactive panes left out"""
     k, size = F.col("p_partkey").cast("string"), F.col("p_size").cast("string")
     kind = F.element_at(F.array(*[F.lit(x) for x in ("小型", "中型", "传奇中型", "Own")]), (F.col("p_partkey") % 4 + 1).cast("int"))
-    card = lambda letter, name, points: F.concat(F.lit(f'<div class="col"><b data-talent-id="{letter}'), k, F.lit('">'), name, F.lit("</b> "), points, (F.col("p_partkey") % 4).cast("string"), F.lit("/5<br>adds  "), size, F.lit("</div>"))
+    card = lambda letter, name, points: F.concat(F.lit(f'<div class="col"><b data-talent-id="{letter}'), k, F.lit('">'), name, F.lit("</b> "), points,
+        (F.col("p_partkey") % 4).cast("string"), F.lit("/5<br>adds  "), size, F.lit("</div>"))
     first = card("a", F.concat(kind, F.lit(" "), "p_brand"), F.concat((F.col("p_size") % 7).cast("string"), F.lit("pts ")))
     html = F.concat(F.lit('<div class="tab-pane active show">'), first, card("b", F.lit("Second"), F.lit("")), F.lit('<div class="col">none</div></div><div class="tab-pane">'), card("c", F.lit("Old"), F.lit("")), F.lit("</div>"))
     return regions.talent_records(table(s, d, "part").select(F.col("p_partkey").alias("page_id"), html.alias("html")))

@@ -65,7 +65,8 @@ TREE = "categories array<struct<id:string,visible:boolean,children:array<struct<
 
 def load_content_tree(spark: SparkSession, path: str) -> DataFrame:
     """system_id, category_id, child_id; a system in two places is an error when it is read."""
-    rows = spark.read.schema(TREE).json(path, multiLine=True).select(F.explode("categories").alias("c")).select(F.col("c.id").alias("category_id"), F.explode("c.children").alias("k")).select("category_id", F.col("k.id").alias("child_id"), F.explode("k.systems").alias("system_id"))
+    rows = spark.read.schema(TREE).json(path, multiLine=True).select(F.explode("categories").alias("c")).select(F.col("c.id").alias("category_id"),
+        F.explode("c.children").alias("k")).select("category_id", F.col("k.id").alias("child_id"), F.explode("k.systems").alias("system_id"))
     g = rows.groupBy("system_id").agg(F.count(F.lit(1)).alias("n"), F.min(F.struct("category_id", "child_id")).alias("p"))
     one = F.when(F.col("n") > 1, F.raise_error(F.concat(F.lit("system in two categories: "), "system_id")).cast("boolean")).otherwise(True)
     return g.filter(one).select("system_id", "p.*")

@@ -58,7 +58,8 @@ def test_cards(told):
 def test_panes(told):
     row = '<tr data-modifier-id="{0}"{1}><td>{2}</td><td>{3}</td></tr>'
     page = (
-        '<div class="tab-pane" id="Blade"><p data-modifier-id="0">before</p>' + ITEM.format("", '<p data-modifier-id="1">Stat <b>one</b></p><div data-block="detail">Special<br>way<hr>after</div>') + '<p data-modifier-id="2">outside the card, still current</p>'
+        '<div class="tab-pane" id="Blade"><p data-modifier-id="0">before</p>' + ITEM.format("",
+            '<p data-modifier-id="1">Stat <b>one</b></p><div data-block="detail">Special<br>way<hr>after</div>') + '<p data-modifier-id="2">outside the card, still current</p>'
         + ITEM.format(" previousItem", '<p data-modifier-id="3">old</p><div data-block="detail">old way<hr></div>') + ITEM.format("", '<p data-modifier-id="4">later</p>') + "</div>"
         + f'<div class="tab-pane" id="{regions.BASE_PANE}"><table><tr><th>Tier</th><th>Modifier</th></tr>' + row.format("b1", "", "1", "base") + row.format("", "", "2", "keyless") + "</table></div>"
         + f'<div class="tab-pane" id="{regions.CRAFT_PANE}"><table>' + row.format("c1", ' data-tier="0+"', "1", "craft") + '<tr><td>2</td><td><i data-modifier-id="c2" data-tier="9">inner</i></td></tr>' + "</table></div>"
@@ -67,7 +68,8 @@ def test_panes(told):
     got = told(regions.pane_records, page, page, titles=["Blade", "Other"])
     key = lambda r: (r[0], r[1])
     mine = sorted(((r.record_type, r.key, r.text, r.tier, r.source_locator.row_index) for r in got if r.entity_id == "0"), key=key)
-    assert [m[:2] for m in mine] == [("base_affix", "modifier:b1"), ("base_affix", "row:1"), ("base_stat", "modifier:1"), ("base_stat", "modifier:2"), ("craft_affix", "modifier:c1"), ("craft_affix", "modifier:c2"), ("legendary_affix", "modifier:l1"), ("special_mechanic", "section:special_mechanic")]
+    assert [m[:2] for m in mine] == [("base_affix", "modifier:b1"), ("base_affix", "row:1"), ("base_stat", "modifier:1"), ("base_stat", "modifier:2"), ("craft_affix", "modifier:c1"),
+        ("craft_affix", "modifier:c2"), ("legendary_affix", "modifier:l1"), ("special_mechanic", "section:special_mechanic")]
     assert [m[2] for m in mine] == ["base", "keyless", "Stat one", "outside the card, still current", "craft", "inner", "Legend ary", "Special way"]
     assert [m[3] for m in mine] == [None, None, None, None, "t0_plus", "all", None, None]
     assert {r.record_type for r in got if r.entity_id == "1"} == {"base_affix", "craft_affix", "legendary_affix"}  # no pane of that title

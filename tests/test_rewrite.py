@@ -21,13 +21,17 @@ def put(spark):
 
 
 CASES = {
-    '<a href="a">x</a>': '<a href="en/a/">x</a>', "<a href='/en/a/?q=1#s'>x</a>": "<a href='en/a/?q=1#s'>x</a>", '<A  HREF = a >x</A >': '<A  HREF = en/a/ >x</A >', '<a href="/en/é">x</a>': '<a href="en/e/">x</a>', '<a href="#s">x</a>': None, '<a href="https://o.example/en/a">x</a>': None,
-    '<a data-href="a" href="none">x</a>': None, '<img src="/i.png">': '<img src="assets/i.png">', '<img data-src="/i.png" alt="/i.png">': None, '<img src="/i.png?v=2#f"/>': '<img src="assets/i2.png#f"/>', '<img src="r.png">': '<img src="assets/r.png">',
+    '<a href="a">x</a>': '<a href="en/a/">x</a>', "<a href='/en/a/?q=1#s'>x</a>": "<a href='en/a/?q=1#s'>x</a>", '<A  HREF = a >x</A >': '<A  HREF = en/a/ >x</A >',
+        '<a href="/en/é">x</a>': '<a href="en/e/">x</a>', '<a href="#s">x</a>': None, '<a href="https://o.example/en/a">x</a>': None,
+    '<a data-href="a" href="none">x</a>': None, '<img src="/i.png">': '<img src="assets/i.png">', '<img data-src="/i.png" alt="/i.png">': None,
+        '<img src="/i.png?v=2#f"/>': '<img src="assets/i2.png#f"/>', '<img src="r.png">': '<img src="assets/r.png">',
     '<img srcset="/i.png 1x, https://w.example/i.png?v=2 2x,/none.png 3x">': '<img srcset="assets/i.png 1x, assets/i2.png 2x,/none.png 3x">', '<source srcset="/i.png">': '<source srcset="assets/i.png">', '<p srcset="/i.png">': None,
     '<style>@import "/a.css"; @import url(\'/a.css\'); p { background: url( /i.png ) }</style>': '<style>@import "assets/a.css"; @import url(\'assets/a.css\'); p { background: url( assets/i.png ) }</style>',
     "<p style=\"background:url('/i.png')\">url(/i.png)</p>": "<p style=\"background:url('assets/i.png')\">url(/i.png)</p>", '<script>var a = \'<img src="/i.png">\';</script>': None, '<!-- <img src="/i.png"> -->': None,
-    '<script src="//c.example/f.js" integrity="x" defer></script>': '<script src="assets/f.js"  defer></script>', '<script src="/own.js" integrity="x"></script>': None, '<link rel="stylesheet" href="/a.css">': '<link rel="stylesheet" href="assets/a.css">',
-    'a<script src="https://www.google-analytics.com/x.js">x<b></script>b': "ab", '<iframe src="https://ad.doubleclick.net/"><iframe></iframe></iframe>!': "!", '<img src="https://x.doubleclick.net/1.gif">c': "c", "x<ins class='nitropay'>never closed": "x",
+    '<script src="//c.example/f.js" integrity="x" defer></script>': '<script src="assets/f.js"  defer></script>', '<script src="/own.js" integrity="x"></script>': None,
+        '<link rel="stylesheet" href="/a.css">': '<link rel="stylesheet" href="assets/a.css">',
+    'a<script src="https://www.google-analytics.com/x.js">x<b></script>b': "ab", '<iframe src="https://ad.doubleclick.net/"><iframe></iframe></iframe>!': "!",
+        '<img src="https://x.doubleclick.net/1.gif">c': "c", "x<ins class='nitropay'>never closed": "x",
     "<?pi x?><!DOCTYPE html><P CLASS=a>&amp; &#x41; &nosuch; < 3 </p  ><br/>\r\n\ttext": None, "": None,
 }
 
@@ -63,9 +67,11 @@ def test_enrichment(spark):
     """The first kind says all; what it leaves open stays the entity's own."""
     entity = [(f"r{i}", f"own {i}", "sys", f"cat{i}", "primary", [("sys", "primary")]) for i in range(8)]
     e = spark.createDataFrame(entity, "route string, title string, owner string, category string, confidence string, sources array<struct<system_id:string,role:string>>")
-    facts = [fact("r0", "hero", "Hero", "h", n=1), fact("r0", "fate", "Fate", "f"), fact("r1", "memory", "Mem", "m"), fact("r1", "hero", "Hero", "h", n=2), fact("r2", "talent", None, None, "talent_new_god"), fact("r2", "talent", "Zeta", "z"), fact("r3", "nonsense", "N", "n"), fact("r4", "legendary", "L", ""),
+    facts = [fact("r0", "hero", "Hero", "h", n=1), fact("r0", "fate", "Fate", "f"), fact("r1", "memory", "Mem", "m"), fact("r1", "hero", "Hero", "h", n=2),
+        fact("r2", "talent", None, None, "talent_new_god"), fact("r2", "talent", "Zeta", "z"), fact("r3", "nonsense", "N", "n"), fact("r4", "legendary", "L", ""),
              fact("r5", "related_system", "R", "r"), fact("r5", "related_system", "Q", "q"), fact("none", "hero", "x", "x"), fact("r6", "equipment", "E", "e", None, k=3), fact("r7", "prism", " ", "p")]
-    got = {r.route: r for r in entities.entity_visibility(entities.enrich(e, spark.createDataFrame(facts, "route string, kind string, title string, subcategory string, summary string, counts map<string,long>")), spark.createDataFrame([("r0",), ("r1",), ("r3",)], "route string")).collect()}
+    got = {r.route: r for r in entities.entity_visibility(entities.enrich(e, spark.createDataFrame(facts,
+        "route string, kind string, title string, subcategory string, summary string, counts map<string,long>")), spark.createDataFrame([("r0",), ("r1",), ("r3",)], "route string")).collect()}
     told = lambda r: (got[r].entity_type, got[r].title, got[r].shown_title, got[r].category, got[r].subcategory, got[r].clean_summary, got[r].visibility)
     assert told("r0") == ("fate", "own 0", "own 0", "pact_spirit", "pact_spirit_destiny", "f", "hidden") and [s.role for s in got["r0"].sources] == ["primary"]
     assert told("r1") == ("hero", "Hero", "Hero", "hero", "hero_trait", "h", "visible") and got["r1"].counts == {"n": 2} and [s.role for s in got["r1"].sources] == ["hero_trait"]
@@ -87,15 +93,21 @@ def test_record_facts(spark):
 
 
 def test_readiness(spark):
-    pages = [("ok", "1", "https://w.example/en/p", "<p>x</p><img src='/i.png'>"), ("far", "1", "https://w.example/en/p", '<img alt="x" src="//cdn.example/i.png">'), ("css", "1", "https://w.example/en/p", "<style>p{background:url(/none.png)}</style>"), ("api", "1", "https://w.example/en/p", "<script>fetch('/api/x')</script>"), ("ad", "1", "https://w.example/en/p", "<script>fetch('https://www.google-analytics.com/x')</script>"), ("remote", "1", "u", None)]
-    assets = [("ok", "https://w.example/i.png", "image", True, True), ("far", "https://w.example/f.js", "script", True, True), ("css", "https://w.example/i.png", "image", True, None), ("gone", "https://w.example/i.png", "image", False, False), ("remote", "https://cdn.example/i.png", "image", True, True)]
+    pages = [("ok", "1", "https://w.example/en/p", "<p>x</p><img src='/i.png'>"), ("far", "1", "https://w.example/en/p", '<img alt="x" src="//cdn.example/i.png">'),
+        ("css", "1", "https://w.example/en/p", "<style>p{background:url(/none.png)}</style>"), ("api", "1", "https://w.example/en/p", "<script>fetch('/api/x')</script>"),
+        ("ad", "1", "https://w.example/en/p", "<script>fetch('https://www.google-analytics.com/x')</script>"), ("remote", "1", "u", None)]
+    assets = [("ok", "https://w.example/i.png", "image", True, True), ("far", "https://w.example/f.js", "script", True, True), ("css", "https://w.example/i.png", "image", True, None),
+        ("gone", "https://w.example/i.png", "image", False, False), ("remote", "https://cdn.example/i.png", "image", True, True)]
     sheets = [("ok", "https://w.example/a.css", "p{background:url(i.png)}"), ("remote", "https://w.example/a.css", "p{background:url(https://cdn.example/i.png)}")]
     make = lambda rows, names: spark.createDataFrame(rows, names)
     texts = "system_id string, url string, text string"
     scripts = [("far", "https://w.example/f.js", "axios.get('/api/late')")]
-    out, classes = quality.readiness(make(pages, "system_id string, page_id string, url string, html string"), make(assets, "system_id string, url string, type string, present boolean, has_meta boolean"), make(sheets, texts), make(scripts, texts))
+    out, classes = quality.readiness(make(pages, "system_id string, page_id string, url string, html string"),
+        make(assets, "system_id string, url string, type string, present boolean, has_meta boolean"), make(sheets, texts), make(scripts, texts))
     got = {r.system_id: (r.verdict, r.blocking, r.remaining) for r in out.collect()}
-    assert got == {"ok": ("ready", [], []), "far": ("not_ready", ["1 endpoints"], ["1 remote_pages"]), "css": ("not_ready", ["1 missing_meta", "1 missing_secondary"], []), "api": ("not_ready", ["1 endpoints"], []), "ad": ("ready", [], []), "gone": ("not_ready", ["1 missing_files", "1 missing_meta"], []), "remote": ("ready_with_minor_gaps", [], ["1 remote_css"])}
+    assert got == {"ok": ("ready", [], []), "far": ("not_ready", ["1 endpoints"], ["1 remote_pages"]), "css": ("not_ready", ["1 missing_meta", "1 missing_secondary"], []),
+        "api": ("not_ready", ["1 endpoints"], []), "ad": ("ready", [], []), "gone": ("not_ready", ["1 missing_files", "1 missing_meta"], []),
+        "remote": ("ready_with_minor_gaps", [], ["1 remote_css"])}
     assert ("far", "required_for_interaction", "w.example", 2) in [tuple(r) for r in classes.collect()]
 
 
@@ -135,7 +147,9 @@ def test_samples(spark):
 
 def test_conflicts(spark):
     rows = [("1", "T", "a"), ("2", "T", " b "), ("3", None, "a"), ("3", "U", "c"), ("4", "U", "c"), ("5", None, None), ("6", "V", " "), ("7", None, "d"), ("8", None, "d")]
-    df = spark.createDataFrame([(i, t, x, "e", "s", (i != "7", "f" + i)) for i, t, x in rows], "occurrence_id string, tooltip_title string, tooltip_text string, source_entity_id string, source_type string, source struct<hash_match:boolean,html_file:string>")
+    df = spark.createDataFrame([(i, t, x, "e", "s", (i != "7", "f" + i)) for i, t, x in rows],
+        "occurrence_id string, tooltip_title string, tooltip_text string, source_entity_id string, source_type string, source struct<hash_match:boolean,html_file:string>")
     got = sorted((r.conflict_type, r.key, r.severity, r.occurrence_ids) for r in aggregates.conflicts(df).collect())
-    assert got == [("duplicate_occurrence_id", "3", "error", ["3", "3"]), ("missing_tooltip_text", "5", "review", ["5"]), ("missing_tooltip_text", "6", "review", ["6"]), ("same_text_different_title", "a", "review", ["1", "3"]), ("same_title_different_text", "T", "review", ["1", "2"]), ("source_hash_mismatch", "f7", "review", ["7"])]
+    assert got == [("duplicate_occurrence_id", "3", "error", ["3", "3"]), ("missing_tooltip_text", "5", "review", ["5"]), ("missing_tooltip_text", "6", "review", ["6"]),
+        ("same_text_different_title", "a", "review", ["1", "3"]), ("same_title_different_text", "T", "review", ["1", "2"]), ("source_hash_mismatch", "f7", "review", ["7"])]
     assert re.match("same", got[3][0])

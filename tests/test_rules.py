@@ -12,7 +12,8 @@ from snapquarry.streaming import incremental
 def test_routes(spark):
     known = spark.createDataFrame([("/en/Sword:Blade",), ("/en/Axe",), ("/en/a%20b",), ("/en/A+B",)], "route string")
     cases = {"/en/Axe": ("existing", None), "/en/a b": ("encoding_mismatch", "/en/a%20b"), "/en/Sword/Sword:Blade": ("wrong_directory", "/en/Sword:Blade"), "/en/x/Axe": ("wrong_namespace", "/en/Axe"),
-             "/en/Sword/Sword%3ABlade": ("wrong_directory", "/en/Sword%3ABlade"), "/en/No/No:thing": ("wrong_directory", "/en/No:thing"), "/de/Axe": ("missing", None), "/en/parent:x": ("missing", None), "/de/x/Axe": ("missing", None), "/en/A%2BB": ("encoding_mismatch", "/en/A+B")}
+             "/en/Sword/Sword%3ABlade": ("wrong_directory", "/en/Sword%3ABlade"), "/en/No/No:thing": ("wrong_directory", "/en/No:thing"), "/de/Axe": ("missing", None),
+                 "/en/parent:x": ("missing", None), "/de/x/Axe": ("missing", None), "/en/A%2BB": ("encoding_mismatch", "/en/A+B")}
     got = quality.route_audit(spark.createDataFrame([(i, r) for i, r in enumerate(cases)], "page_id long, route string"), known).collect()
     assert {r.route: (r.result, r.suggested) for r in got} == cases
 
@@ -20,11 +21,13 @@ def test_routes(spark):
 def test_fetches(spark):
     u, home = "https://w.example/en/a", "https://w.example/en/home"
     cases = [(404, u, "x", "not_found"), (503, u, "x", "network_error"), (200, home, "x", "redirected"), (200, "https://o.example/en/a", "x", "redirected"), (200, u + "/?q#f", "x", "available"), (200, None, "x", "available"),
-             (200, u, "<title>404</title>", "invalid"), (200, u, "<TITLE>Page Not Found</TITLE>", "invalid"), (200, u, "页面不存在", "invalid"), (200, u, "it does not exist, page not found", "available"), (301, u, "x", "invalid"), (None, u, "x", "invalid"), (200, u, None, "available"),
+             (200, u, "<title>404</title>", "invalid"), (200, u, "<TITLE>Page Not Found</TITLE>", "invalid"), (200, u, "页面不存在", "invalid"),
+                 (200, u, "it does not exist, page not found", "available"), (301, u, "x", "invalid"), (None, u, "x", "invalid"), (200, u, None, "available"),
              (200, u, " " * 20_000 + "页面不存在", "available")]
     df = spark.createDataFrame(cases, "status int, final string, html string, want string")
     assert [r.want for r in df.filter(~urls.classify_fetch(F.col("status"), F.lit(u), F.col("final"), F.col("html")).eqNullSafe(F.col("want"))).collect()] == []
-    seen = df.sparkSession.createDataFrame([("T", None, "x", u, True), ("", None, "x", u, False), (None, None, None, u, False), ("404", None, "x", u, False), ("T", u + "/", "x", u, True), ("T", "/en/b", "x", u, False), ("T", None, "an Error Response", u, False), ("T", None, "x", home, False)],
+    seen = df.sparkSession.createDataFrame([("T", None, "x", u, True), ("", None, "x", u, False), (None, None, None, u, False), ("404", None, "x", u, False), ("T", u + "/", "x", u, True),
+        ("T", "/en/b", "x", u, False), ("T", None, "an Error Response", u, False), ("T", None, "x", home, False)],
                                            "title string, canonical string, text string, final string, want boolean")
     found = urls.is_content_page(F.lit(200), F.lit(u), F.col("final"), F.col("title"), F.col("canonical"), F.col("text"))
     assert [r.asDict() for r in seen.filter(found != F.col("want")).collect()] == []
@@ -79,7 +82,8 @@ KINDS = {
     "gone": (CARDS, 404, None, 1.0, None), "elsewhere": (CARDS, 200, "https://w.example/en/home", 1.0, None), "empty": ("<script>var x = 'long enough'</script><div> </div>", 200, None, 0.95, 0), "null": (None, 200, None, 0.95, 0),
     "texts": ('<div class="list"><li>one</li><li>two</li><li>three</li></div>', 200, None, 0.5, 0),
 }
-WANT = {"count differs": "confirmed_directory", "structural": "confirmed_directory", "single": "needs_review", "ambiguous": "needs_review", "gone": "empty_or_invalid", "elsewhere": "empty_or_invalid", "empty": "empty_or_invalid", "null": "empty_or_invalid", "texts": "needs_review"}
+WANT = {"count differs": "confirmed_directory", "structural": "confirmed_directory", "single": "needs_review", "ambiguous": "needs_review", "gone": "empty_or_invalid",
+    "elsewhere": "empty_or_invalid", "empty": "empty_or_invalid", "null": "empty_or_invalid", "texts": "needs_review"}
 
 
 def test_directory_kinds(spark):
@@ -125,8 +129,10 @@ def test_converges(spark):
     assert calls == [{"/en/a", "/en/bad"}, {"/en/b"}, {"/en/c"}, {"/en/late"}]
     calls.clear()
     got = converge(formal, own, lambda pending: pending.join(web, "route"), max_rounds=9)
-    assert {r.route: (r.state, r.round) for r in got.routes.collect()} == {"/en/home": ("manifested", 1), "/en/a": ("recovered", 1), "/en/bad": ("rejected", 1), "/en/b": ("recovered", 2), "/en/c": ("recovered", 3), "/en/late": ("recovered", 4)}
-    assert sorted((r.route, r.system_id, r.page_id, r.raw_href) for r in got.provenance.filter("route in ('/en/a', '/en/home')").collect()) == [("/en/a", "recovered", "b", "/en/a"), ("/en/a", "s", "home", "/en/a"), ("/en/home", "recovered", "c", "/en/home"), ("/en/home", "s", "home", "/en/home")]
+    assert {r.route: (r.state, r.round) for r in got.routes.collect()} == {"/en/home": ("manifested", 1), "/en/a": ("recovered", 1), "/en/bad": ("rejected", 1), "/en/b": ("recovered", 2),
+        "/en/c": ("recovered", 3), "/en/late": ("recovered", 4)}
+    assert sorted((r.route, r.system_id, r.page_id, r.raw_href) for r in got.provenance.filter("route in ('/en/a', '/en/home')").collect()) == [("/en/a", "recovered", "b", "/en/a"),
+        ("/en/a", "s", "home", "/en/a"), ("/en/home", "recovered", "c", "/en/home"), ("/en/home", "s", "home", "/en/home")]
     assert {r.page_id for r in got.pages.collect()} == {"a", "b", "c", "late"} and got.rounds == 5
 
 
