@@ -214,7 +214,8 @@ def members(packed: DataFrame) -> DataFrame:
                     raise ValueError("a sequence's pieces don't fill it")
             names = ["doc_id", "piece", "start", "length"]
             seq = np.repeat(batch.column("sequence_id").to_numpy(), counts)
-            yield pa.RecordBatch.from_arrays([*[inner.field(c) for c in names], pa.array(crc, pa.int64()), pa.array(ids, pa.binary()), pa.array(seq, pa.int64()), pa.array(offset, pa.int64())], names=[*names, "ids_crc32", "ids", "sequence_id", "offset"])
+            yield pa.RecordBatch.from_arrays([*[inner.field(c) for c in names], pa.array(crc, pa.int64()), pa.array(ids, pa.binary()), pa.array(seq, pa.int64()),
+                pa.array(offset, pa.int64())], names=[*names, "ids_crc32", "ids", "sequence_id", "offset"])
 
     kind = packed.schema["pieces"].dataType.elementType["doc_id"].dataType.simpleString()
     return packed.mapInArrow(found, f"doc_id {kind}, piece int, start long, length long, ids_crc32 long, ids binary, sequence_id long, offset long")

@@ -76,7 +76,8 @@ def pipeline(spark: SparkSession, sf_dir: str) -> DataFrame:
     return corpus_pipeline.run(spark, sf_dir)
 
 
-QUERIES = {f.__name__: f for f in (op1_quality, op2_mixing, op3_packing, op4_fingerprint, op5_ngram_join, op5_ngram_links, op6_content_store, op7_toxicity, op8_token_counts, op9_rules, op10_suffix_dedup, op11_whitening, op12_simhash, op13_resampling, pipeline)}
+QUERIES = {f.__name__: f for f in (op1_quality, op2_mixing, op3_packing, op4_fingerprint, op5_ngram_join, op5_ngram_links, op6_content_store, op7_toxicity, op8_token_counts, op9_rules,
+    op10_suffix_dedup, op11_whitening, op12_simhash, op13_resampling, pipeline)}
 
 _WORDS = r"regexp_extract_all(t, '[^\x20\x09-\x0D]+')"
 

@@ -171,7 +171,8 @@ def _named(shards: int):
                 names, marks = _low(one[part]), mark[part]
                 plain = marks == 2
                 out.append((s, _packed5(names[plain]), _packed5(names[~plain]), marks[~plain].astype("<u2").tobytes()))
-            yield pa.RecordBatch.from_arrays([pa.array([o[0] for o in out], pa.int32()), pa.array([block] * len(out), pa.int32()), *[pa.array([o[k] for o in out], pa.binary()) for k in (1, 2, 3)]], names=["shard", "block", "plain", "more", "marks"])
+            yield pa.RecordBatch.from_arrays([pa.array([o[0] for o in out], pa.int32()), pa.array([block] * len(out), pa.int32()),
+                *[pa.array([o[k] for o in out], pa.binary()) for k in (1, 2, 3)]], names=["shard", "block", "plain", "more", "marks"])
     return made
 
 

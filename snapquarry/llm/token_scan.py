@@ -101,7 +101,8 @@ def scan(blocks: DataFrame, *, end_id: int = 50256, width: int = 2) -> DataFrame
                 first.append(int(at[0]) if len(at) else None)
                 last.append(int(at[-1]) if len(at) else None)
                 inner.append(np.diff(at) - 1)
-            yield pa.RecordBatch.from_arrays([batch.column("file"), batch.column("block"), pa.array(size, pa.int64()), pa.array(first, pa.int64()), pa.array(last, pa.int64()), pa.array(inner, pa.list_(pa.int64()))], names=["file", "block", "size", "first", "last", "inner"])
+            yield pa.RecordBatch.from_arrays([batch.column("file"), batch.column("block"), pa.array(size, pa.int64()), pa.array(first, pa.int64()), pa.array(last, pa.int64()),
+                pa.array(inner, pa.list_(pa.int64()))], names=["file", "block", "size", "first", "last", "inner"])
 
     marks = store(bounded(blocks).mapInArrow(found, "file string, block long, size long, first long, last long, inner array<long>"), "marks")
     zero = lambda c: F.coalesce(c, F.lit(0))
