@@ -114,6 +114,17 @@ class _Marked(HTMLParser):
         return self.rows
 
 
+def _maps(rows: tuple) -> pa.Array:
+    """Lists of pairs as one array of maps."""
+    ends, keys, values = [0], [], []
+    for pairs in rows:
+        for k, v in pairs:
+            keys.append(k)
+            values.append(v)
+        ends.append(len(keys))
+    return pa.MapArray.from_arrays(pa.array(ends, pa.int32()), pa.array(keys, pa.string()), pa.array(values, pa.string()))
+
+
 def marked_nodes(pages: DataFrame, marks: dict[str, Mark], keep: set[str] | None = None) -> DataFrame:
     """page_id, node_id, parent_id, last_id, parent_last (the parent's
     last_id), depth, tag, attrs, own_text (of texts, tag #text), text (of marked elements: all text inside, with single
@@ -128,28 +139,33 @@ def marked_nodes(pages: DataFrame, marks: dict[str, Mark], keep: set[str] | None
     names = list(marks)
     chosen = [i for i, m in enumerate(names) if keep and m in keep]
 
-    def told(ids: list, rows: list[list], page_type: pa.DataType) -> pa.RecordBatch:
+    none = (None,) * len(_PLACE)
+
+    def told(pages_of: pa.Array, at: list[int], rows: list[list]) -> pa.RecordBatch:
         columns = list(zip(*rows))
-        places = [[None if p[i] is None else dict(zip(("node", "top", "value", "outer"), p[i])) for p in columns[10]] for i in range(len(names))]
-        arrays = [pa.array(columns[k], f.type) for k, f in enumerate(_FLAT)] + [pa.array(p, _PLACE) for p in places]
-        return pa.RecordBatch.from_arrays([pa.array(ids, page_type), *arrays], names=["page_id", *_FLAT.names, *names])
+        arrays = [_maps(columns[k]) if f.name == "attrs" else pa.array(columns[k], f.type) for k, f in enumerate(_FLAT)]
+        for i in range(len(names)):
+            places = [p[i] for p in columns[10]]
+            fields = zip(*[p or none for p in places])
+            arrays.append(pa.StructArray.from_arrays([pa.array(v, f.type) for v, f in zip(fields, _PLACE)], fields=list(_PLACE), mask=pa.array([p is None for p in places])))
+        return pa.RecordBatch.from_arrays([pages_of.take(pa.array(at, pa.int64())), *arrays], names=["page_id", *_FLAT.names, *names])
 
     def parsed(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            ids, rows, page_type = [], [], batch.schema.field("page_id").type
-            for page, html in zip(batch.column("page_id").to_pylist(), batch.column("html").to_pylist()):
+            at, rows, page_ids = [], [], batch.column("page_id")
+            for page, html in enumerate(batch.column("html").to_pylist()):
                 own = _Marked(marks).nodes(html) if html else []
                 if chosen:
                     own = [r for r in own if any(r[10][i] is not None for i in chosen)]
-                for at in range(0, len(own), 5000):
-                    part = own[at : at + 5000]
-                    ids += [page] * len(part)
+                for begin in range(0, len(own), 5000):
+                    part = own[begin : begin + 5000]
+                    at += [page] * len(part)
                     rows += part
                     if len(rows) >= 5000:
-                        yield told(ids, rows, page_type)
-                        ids, rows = [], []
+                        yield told(page_ids, at, rows)
+                        at, rows = [], []
             if rows:
-                yield told(ids, rows, page_type)
+                yield told(page_ids, at, rows)
 
     places = ", ".join(f"{m} struct<node: int, top: int, value: string, outer: int>" for m in names)
     return pages.select("page_id", "html").mapInArrow(parsed, f"page_id {kind}, {_FLAT_SQL}" + (f", {places}" if places else ""))
