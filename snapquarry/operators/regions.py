@@ -84,8 +84,8 @@ def _name(place: str = "pane") -> Column:
     return F.regexp_extract(f"{place}.value", r"\|(.*)$", 1)
 
 
-def _nodes(pages: DataFrame, marks: dict, keep: set[str] | None = None) -> DataFrame:
-    return marked_nodes(pages, marks, keep).repartition("page_id")
+def _nodes(pages: DataFrame, marks: dict, keep: set[str] | None = None, **asked) -> DataFrame:
+    return marked_nodes(pages, marks, keep, **asked).repartition("page_id")
 
 
 def _in_order(found: Column, *fields: str) -> Column:
@@ -119,7 +119,7 @@ def _kind(signed: Column) -> Column:
 def cards(pages: DataFrame) -> DataFrame:
     """page_id, node_id, last_id, kind of every card (div.card, or popupItem of any element): corrosion or drop_source by
     the text keys inside, historical, related, current, or other (no item)."""
-    nodes = _nodes(pages, {"card": card, "pane": pane, "sign": sign}, {"card"})
+    nodes = _nodes(pages, {"card": card, "pane": pane, "sign": sign}, {"card"}, fields=["last_id"], texts=False, plain=set())
     whole = nodes.groupBy("page_id", F.col("card.node").alias("n")).agg(
         F.max(F.when(_here("card"), F.struct("last_id", "card", "pane"))).alias("c"), _sometime(F.col("sign.value"), _here("sign"), last=True).alias("signed"))
     flat = whole.select("page_id", F.col("n").alias("node_id"), "c.*", "signed")
@@ -129,7 +129,7 @@ def cards(pages: DataFrame) -> DataFrame:
 def card_records(pages: DataFrame) -> DataFrame:
     """Records of current and corrosion cards, from their outermost modifiers with a text: a base stat outside tierParent,
     else an affix; the variant of a card is its first base stat."""
-    nodes = _nodes(pages, {"card": card, "pane": pane, "sign": sign, "modifier": modifier, "tier": _with("tierParent")}, {"card"})
+    nodes = _nodes(pages, {"card": card, "pane": pane, "sign": sign, "modifier": modifier, "tier": _with("tierParent")}, {"card"}, fields=["text"], texts=False, plain=set())
     w = Window.partitionBy("page_id", "card.node")
     rows = nodes.withColumn("kind", _kind(_sometime(F.col("sign.value"), _here("sign"), last=True).over(w)))
     rows = rows.filter(F.col("kind").isin("current", "corrosion") & _here("modifier") & (F.col("modifier.top") == F.col("node_id")) & (F.col("text") != ""))
@@ -150,8 +150,9 @@ def pane_records(pages: DataFrame) -> DataFrame:
     Stats and legendary affixes are outermost modifiers; a mechanic is what a block of kind detail says before its first
     rule; an affix is the second cell of a table row that has cells."""
     titled = pages.select(F.struct("page_id", "title").alias("page_id"), "html")
-    marks = {"pane": pane, "popup": popup, "modifier": modifier, "detail": _attr("data-block", "detail"), "row": _tags("tr"), "cell": _tags("td")}
-    nodes = _nodes(titled, marks, {"pane"}).withColumn("name", _name())
+    marks = {"pane": pane, "popup": popup, "modifier": modifier, "detail": _attr("data-block", "detail"), "row": _tags("tr"), "cell": _tags("td"),
+        "tiered": lambda t, a, c: a.get("data-tier")}
+    nodes = _nodes(titled, marks, {"pane"}, fields=["tag", "own_text", "text"], texts={"detail"}, plain={"hr"}).withColumn("name", _name())
     w = Window.partitionBy("page_id", "pane.node").orderBy("node_id")
     nodes = nodes.withColumn("begun", F.count_if(_here("popup") & (F.col("popup.value") == "current")).over(w))
     nodes = nodes.withColumn("over", F.count_if(_here("popup") & (F.col("popup.value") == "historical") & (F.col("begun") > 0)).over(w))
@@ -166,7 +167,7 @@ def pane_records(pages: DataFrame) -> DataFrame:
         unit(table.isNotNull() & F.col("row").isNotNull(), table, F.col("row.node")), unit((F.col("name") == LEGENDARY_PANE) & outer, F.lit("legendary_affix"), F.col("node_id"))))
     said = nodes.withColumn("unit", F.explode(units)).groupBy("page_id", "unit").agg(
         _sometime(F.col("text"), _here("modifier")).alias("own"), F.array_join(_in_order(F.col("tag") == "#text", "own_text"), " ").alias("whole"), _in_order(_here("cell"), "text").alias("cells"),
-        _sometime(F.col("modifier.value"), _here("modifier")).alias("modifier_id"), _sometime(F.try_element_at("attrs", F.lit("data-tier")), F.try_element_at("attrs", F.lit("data-tier")).isNotNull()).alias("tier_value"))
+        _sometime(F.col("modifier.value"), _here("modifier")).alias("modifier_id"), _sometime(F.col("tiered.value"), _here("tiered")).alias("tier_value"))
     affix = F.col("unit.kind").isin("base_affix", "craft_affix")
     text = F.when(affix, F.get("cells", 1)).when(F.col("unit.kind") == "special_mechanic", clean(F.col("whole"))).otherwise(F.col("own"))
     rows = said.withColumn("text", text).filter(F.col("text").isNotNull() & (F.col("text") != ""))
@@ -185,15 +186,14 @@ def pane_records(pages: DataFrame) -> DataFrame:
 def _listed(pages: DataFrame, section: str, unit: str) -> DataFrame:
     """One row for each card (outermost div.col) or table row inside a section, with what it holds, in order."""
     marks = {"section": _attr("id", section), "unit": _with("col", tag="div") if unit == "col" else _tags(unit), "modifier": modifier, "link": lambda t, a,
-        c: a["href"] if t == "a" and a.get("href") else None, "chip": _attr("data-chip"), "cell": _tags("td")}
-    nodes = _nodes(pages, marks, {"section"})
+        c: a["href"] if t == "a" and a.get("href") else None, "chip": _attr("data-chip"), "cell": _tags("td"), "named": _attr("data-id")}
+    nodes = _nodes(pages, marks, {"section"}, fields=["last_id", "tag", "own_text", "text"], texts={"unit"}, plain=set())
     outermost = _here("unit") & (F.coalesce("unit.outer", F.lit(-1)) < F.col("section.node"))
     begun = F.last(F.when(outermost, F.struct("node_id", "last_id")), True).over(Window.partitionBy("page_id").orderBy("node_id"))
     inside = nodes.withColumn("u", begun).filter(F.col("node_id") <= F.col("u.last_id"))
-    inside = inside.withColumn("data_id", F.nullif(F.try_element_at("attrs", F.lit("data-id")), F.lit("")))
     return inside.groupBy("page_id", F.col("u.node_id").alias("at")).agg(
         clean(F.array_join(_in_order(F.col("tag") == "#text", "own_text"), " ")).alias("whole"), F.array_distinct(_in_order(_here("modifier"), "modifier.value")).alias("modifiers"),
-        F.array_join(F.filter(_in_order(_here("modifier"), "text"), lambda t: t != ""), "\n").alias("text"), F.array_distinct(_in_order(F.col("data_id").isNotNull(), "data_id")).alias("recipes"),
+        F.array_join(F.filter(_in_order(_here("modifier"), "text"), lambda t: t != ""), "\n").alias("text"), F.array_distinct(_in_order(_here("named"), "named.value")).alias("recipes"),
         _in_order(_here("link"), "link.value", "text").alias("links"), F.array_distinct(_in_order(_here("chip"), "chip.value")).alias("chips"),
             F.array_join(F.filter(_in_order(_here("chip"), "text"), lambda t: t != ""), " ").alias("chip_text"), _in_order(_here("cell"), "text").alias("cells"),
     ).filter(F.size("modifiers") > 0)
@@ -237,11 +237,11 @@ def trait_levels(pages: DataFrame) -> DataFrame:
     in the same parent, up to the next such element or a rule; texts that stand free there belong to none. A box without
     such elements has one level: the lines of all but its title, without the demand of a level and controls."""
     marks = {"box": _with("d-flex", "border-top"), "grow": _with("flex-grow-1"), "bold": _with("fw-bold"), "tier": _with("tierLevel"), "header": lambda t, a, c: "" if t == "h5" and "card-header" in c else None}
-    nodes = _nodes(pages, marks)
+    nodes = _nodes(pages, marks, {"box", "header"}, fields=["parent_id", "last_id", "parent_last", "tag", "attrs", "own_text", "text", "line"], attrs={"alt"}, texts="[^ ]")
     page, box = Window.partitionBy("page_id"), Window.partitionBy("page_id", "box.node")
     header = F.min(F.when(_here("header") & F.col("text").rlike(TRAIT_HEADER), F.struct("node_id", "parent_id", "parent_last"))).over(page)
     rows = nodes.withColumn("h", header).filter(F.col("box").isNotNull() & (F.col("box.node") > F.col("h.parent_id")) & (F.col("node_id") <= F.col("h.parent_last")))
-    rows = rows.withColumn("c", F.min(F.when(_here("grow") & (F.col("parent_id") == F.col("box.node")), F.struct("node_id", "last_id", "text"))).over(box)).filter("c is not null")
+    rows = rows.withColumn("c", F.min(F.when(_here("grow") & (F.col("parent_id") == F.col("box.node")), F.struct("node_id", "last_id", extract_number(F.col("text"), REQUIRED_LEVEL).alias("required")))).over(box)).filter("c is not null")
     inside = F.col("node_id").between(F.col("c.node_id") + 1, F.col("c.last_id"))
     direct = F.col("parent_id") == F.col("c.node_id")
     rows = rows.withColumn("b", F.min(F.when(_here("bold") & direct, F.struct("node_id", "last_id"))).over(box)).filter("b is not null")
@@ -257,14 +257,14 @@ def trait_levels(pages: DataFrame) -> DataFrame:
     explicit = F.count_if(_here("tier") & F.col("t.level").isNotNull()).over(box) > 0
     rows = rows.withColumn("child", child).withColumn("explicit", explicit).withColumn("said", said)
     rows = rows.withColumn("lvl", F.when(F.col("tiered") & F.col("explicit"), F.struct("t.node_id", "t.level"))).filter(~(F.col("tiered") & F.col("explicit")) | F.col("lvl.level").isNotNull())
-    every = ["page_id", F.col("box.node").alias("box"), "title", "icon", F.col("c.text").alias("whole"), "tiered", "lvl"]
+    every = ["page_id", F.col("box.node").alias("box"), "title", "icon", F.col("c.required").alias("required"), "tiered", "lvl"]
     lines = rows.groupBy(*every, F.when(F.col("said"), F.struct("child", "line")).alias("at")).agg(clean(F.array_join(_in_order(F.col("said"), "own_text"), " ")).alias("line"))
     drop = ~F.col("tiered") & ((F.col("line") == F.col("title")) | F.col("line").rlike(f"^{REQUIRED_LEVEL}$") | F.col("line").isin(*CONTROLS))
     parts = F.transform(F.array_sort(F.collect_list(F.when(F.col("at").isNotNull() & (F.col("line") != "") & ~drop, F.struct("at", "line")))), lambda x: x["line"])
-    levels = lines.groupBy("page_id", "box", "title", "icon", "whole", "lvl").agg(clean(F.array_join(parts, " ")).alias("text"))
+    levels = lines.groupBy("page_id", "box", "title", "icon", "required", "lvl").agg(clean(F.array_join(parts, " ")).alias("text"))
     levels = levels.withColumn("occurrence", F.dense_rank().over(Window.partitionBy("page_id", "icon").orderBy("box"))).withColumn("row_index", F.row_number().over(Window.partitionBy("page_id").orderBy("box", "lvl.node_id")) - 1)
     key = F.concat(F.lit("asset:"), F.coalesce("icon", F.lit("")), F.lit(":occurrence:"), F.col("occurrence").cast("string"), F.lit(":level:"), F.coalesce(F.col("lvl.level").cast("string"), F.lit("unspecified")))
-    return _record(levels, F.lit("trait"), F.lit("trait"), key, F.col("row_index"), F.col("title").alias("node_name"), extract_number(F.col("whole"), REQUIRED_LEVEL).alias("required_level"),
+    return _record(levels, F.lit("trait"), F.lit("trait"), key, F.col("row_index"), F.col("title").alias("node_name"), F.col("required").alias("required_level"),
                    F.col("lvl.level").alias("trait_level"), "icon", F.col("occurrence").cast("int").alias("occurrence"))
 
 
@@ -280,7 +280,7 @@ def skill_pages(pages: DataFrame) -> DataFrame:
     twice on a page, the tier is part of the key. The effect's key is the id of its info card, skill:<id>."""
     marks = {"popup": popup, "pane": pane, "old": _with("previousItem"), "modifier": modifier, "row": _tags("tr"), "cell": _tags("td", "th"), "title": _with("card-title"), "tagged": _with("tag"),
              "weapon": _attr("data-block", "weapon_restrict_description"), "centred": _with("d-flex", "justify-content-center"), "effect": _with("explicitMod")}
-    nodes = _nodes(pages, marks)
+    nodes = _nodes(pages, marks, fields=["parent_id", "last_id", "own_text", "text"], texts="id:", plain=set())
     page = Window.partitionBy("page_id")
     away = F.coalesce(_state().isin("cached", "inactive"), F.lit(False))
     current = _here("popup") & (F.col("popup.value") == "current") & ~away
@@ -343,7 +343,7 @@ def fate_records(pages: DataFrame) -> DataFrame:
     previousItem), else their first description block with a text, located by section. Of nested ones in a card the outer counts."""
     own = lambda t, attrs, classes: ("old" if "previousItem" in classes else "current") if t == "div" and classes.issuperset(("ui_item", "popupItem")) else None
     part = lambda t, attrs, classes: "modifier" if attrs.get("data-modifier-id") else "description" if attrs.get("data-block") == "description2" else None
-    nodes = marked_nodes(pages, {"own": own, "part": part}, {"own"}).filter(_here("part") & (F.col("own.value") == "current") & (F.coalesce("part.outer", F.lit(-1)) < F.col("own.node")))
+    nodes = marked_nodes(pages, {"own": own, "part": part}, {"own"}, fields=["attrs", "text"], attrs={"data-modifier-id"}, texts=False, plain=set()).filter(_here("part") & (F.col("own.value") == "current") & (F.coalesce("part.outer", F.lit(-1)) < F.col("own.node")))
     known = F.struct(F.try_element_at("attrs", F.lit("data-modifier-id")).alias("modifier_id"), "text")
     page = nodes.groupBy("page_id").agg(_sometime(known, F.col("part.value") == "modifier").alias("m"), _sometime(known, (F.col("part.value") == "description") & (F.col("text") != "")).alias("d")).filter("m is not null or d is not null")
     has = F.col("m").isNotNull()
@@ -356,7 +356,7 @@ def talent_records(pages: DataFrame, named_kinds: bool = False) -> DataFrame:
     element with data-talent-id, whose text is the name; behind it stand <n>pts, <a>/<b> and the effect. The kind is told
     by how the name begins; with named_kinds (pages with supreme talents) others are `named`, else `major_named`."""
     shown = lambda t, attrs, classes: ("active" if classes.issuperset(("active", "show")) else "idle") if t == "div" and "tab-pane" in classes else None
-    nodes = _nodes(pages, {"col": _with("col", tag="div"), "shown": shown, "talent": _attr("data-talent-id")}, {"col"})
+    nodes = _nodes(pages, {"col": _with("col", tag="div"), "shown": shown, "talent": _attr("data-talent-id")}, {"col"}, fields=["tag", "own_text", "text"], plain=set())
     whole = nodes.groupBy("page_id", F.col("col.top").alias("node_id")).agg(
         F.max(F.when(F.col("node_id") == F.col("col.top"), F.coalesce("shown.value", F.lit("active")))).alias("state"), _sometime(F.col("talent.value"), _here("talent"), last=True).alias("talent_id"),
         clean(F.array_join(_in_order(_here("talent"), "text"), " ")).alias("name"), clean(F.array_join(_in_order(F.col("tag") == "#text", "own_text"), " ")).alias("text")).filter("state = 'active' and talent_id is not null")

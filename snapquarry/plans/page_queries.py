@@ -508,7 +508,7 @@ def tag_profile(s, d):
     lines = listed(table(s, d, "lineitem"), "l_orderkey", item, "l_linenumber", "l_partkey")
     o = table(s, d, "orders").join(lines, F.col("page_id") == F.col("o_orderkey"), "left")
     html = told('<body><nav><a href="1">a</a></nav><div role="x-Menu"><span><a href="2">b</a></span></div><div class="plain"><a href="3">c</a></div><ul>', F.coalesce("rows", F.lit("")), "</ul></body>")
-    n = dom.marked_nodes(o.select(F.col("o_orderkey").alias("page_id"), html.alias("html")), {"nav": dom.navigation})
+    n = dom.marked_nodes(o.select(F.col("o_orderkey").alias("page_id"), html.alias("html")), {"nav": dom.navigation}, fields=["tag", "depth"])
     return n.groupBy("tag").agg(F.count(F.lit(1)).alias("n"), F.count(dom.around("nav")).alias("in_navigation"), F.max("depth").alias("depth"))
 
 
@@ -516,7 +516,7 @@ def tag_profile(s, d):
 def text_lines(s, d):
     """Lines between block elements; inline elements don't part them, empty ones are dropped"""
     html = told("<div>order  <b>", F.col("o_orderkey"), "</b><p>c", F.col("o_custkey"), "</p><p>", F.when(F.col("o_orderstatus") == "F", "done").otherwise(" "), "</p>one<i>\n two</i><br>", F.col("o_orderpriority"), "</div>tail<hr>")
-    rows = extract.lines(dom.marked_nodes(order_pages(s, d, html), {}))
+    rows = extract.lines(dom.marked_nodes(order_pages(s, d, html), {}, fields=["tag", "own_text", "line"], plain=set()))
     n = F.row_number().over(_by("page_id", "first_node")).cast("long")
     return rows.select("page_id", n.alias("n"), "line")
 
@@ -525,7 +525,7 @@ def text_lines(s, d):
 def nearest_lists(s, d):
     """Links by the nearest list around them"""
     html = told('<ul id="outer"><li><a href="1">x</a><ol id="inner', F.col("o_orderstatus"), '"><li><b><a href="2">x</a></b></li></ol><a href="3">x</a></li></ul><a href="4">x</a>')
-    nodes = dom.marked_nodes(order_pages(s, d, html), {"list": lambda t, a, c: a.get("id", "") if t in ("ul", "ol") else None})
+    nodes = dom.marked_nodes(order_pages(s, d, html), {"list": lambda t, a, c: a.get("id", "") if t in ("ul", "ol") else None}, fields=["tag"], texts=False, plain={"a"})
     return nodes.filter("tag = 'a'").groupBy(F.col("list.value").alias("list")).agg(F.count(F.lit(1)).alias("links"))
 
 
