@@ -34,14 +34,15 @@ def raw_links(pages: DataFrame) -> DataFrame:
 
 def links(pages: DataFrame) -> DataFrame:
     """page_id, node_id, pos, href, anchor text of each a[href]."""
-    a = marked_nodes(pages, {"a": lambda t, attrs, classes: attrs["href"] if t == "a" and "href" in attrs else None}, {"a"}).filter("a.node = node_id")
+    a = marked_nodes(pages, {"a": lambda t, attrs, classes: attrs["href"] if t == "a" and "href" in attrs else None}, {"a"}, fields=["text"], texts=False, plain=set()).filter("a.node = node_id")
     pos = F.row_number().over(Window.partitionBy("page_id").orderBy("node_id")) - 1
     return a.select("page_id", "node_id", pos.alias("pos"), F.col("a.value").alias("href"), F.coalesce("text", F.lit("")).alias("anchor_text"))
 
 
 def asset_refs(pages: DataFrame) -> DataFrame:
     """page_id, node_id, attribute, url of every reference to an asset; srcset gives each of its candidates. One pass over the parse."""
-    nodes = marked_nodes(pages, {"style": lambda t, attrs, classes: "" if t == "style" else None})
+    nodes = marked_nodes(pages, {"style": lambda t, attrs, classes: "" if t == "style" else None}, fields=["tag", "attrs", "own_text"],
+        attrs={"src", "href", "poster", "data", "srcset", "style"}, texts={"style"})
     at = lambda k: F.try_element_at("attrs", F.lit(k))
     css = lambda c: F.coalesce(F.regexp_extract_all(c, F.lit(r"url\(\s*['\"]?([^'\")]+)"), F.lit(1)), F.array().cast("array<string>"))
     srcset = F.transform(F.split(at("srcset"), ","), lambda p: F.split_part(F.trim(p), F.lit(" "), F.lit(1)))
@@ -104,7 +105,7 @@ def visible_text(pages: DataFrame, excluded_ids: list[str] | None = None, strict
         return "" if hidden or re.search(r"display:\s*none|visibility:\s*hidden", at.get("style", "")) else None
 
     has = lambda name: lambda tag, attrs, classes: "" if name in {c.lower() for c in classes} else None
-    nodes = marked_nodes(pages, {"gone": gone, "card": has("card"), "head": has("card-header")}).repartition("page_id")
+    nodes = marked_nodes(pages, {"gone": gone, "card": has("card"), "head": has("card-header")}, fields=["last_id", "tag", "own_text"], texts="[^ ]", plain=set()).repartition("page_id")
     if strict:
         named = (F.col("tag") == "#text") & F.col("head").isNotNull() & F.lower(F.trim("own_text")).isin(*LINK_LISTS)
         nodes = nodes.withColumn("listed", F.count_if(named).over(Window.partitionBy("page_id", "card.node")) > 0)
@@ -134,10 +135,12 @@ def _heading(tag, attrs, classes):
     return tag if tag in ("title", "h1", "h2", "h3", "h4", "h5", "h6") else None
 
 
-def headings(pages: DataFrame) -> DataFrame:
+def headings(pages: DataFrame, references: list[str] | None = None) -> DataFrame:
     """page_id, title, first heading, first heading with Han characters. One pass: of the parse, only titles and headings go on,
-    and one aggregate tells them apart."""
-    h = marked_nodes(pages, {"h": _heading}, {"h"}).filter("h.node = node_id")
+    and one aggregate tells them apart. With `references` only character references of these names are read, others stay as written."""
+    if references:
+        pages = pages.withColumn("html", F.regexp_replace("html", rf"&(?!(?:{'|'.join(references)});)", "&amp;"))
+    h = marked_nodes(pages, {"h": _heading}, {"h"}, fields=["tag", "text"], texts=False, plain=set()).filter("h.node = node_id")
     named, title = (F.col("tag") != "title") & (F.col("text") != ""), F.col("tag") == "title"
     han = named & has_han(F.col("text"))
     first = lambda c, name: F.min_by("text", F.when(c, F.col("node_id"))).alias(name)
@@ -151,7 +154,7 @@ def section_rows(pages: DataFrame) -> DataFrame:
     tags = lambda *names: lambda t, attrs, classes: t if t in names else None
     marks = {"section": lambda t, attrs, classes: attrs["id"] if t == "div" and "id" in attrs else None, "table": tags("table"), "row": tags("tr"), "cell": tags("td", "th")}
     here = lambda m: F.col(f"{m}.node") == F.col("node_id")
-    nodes = marked_nodes(pages, marks, {"table"}).repartition("page_id")
+    nodes = marked_nodes(pages, marks, {"table"}, fields=["tag", "attrs", "text"], attrs={"data-modifier-id", "data-tier"}, texts=False, plain=set()).repartition("page_id")
     section = F.max(F.when(here("table"), F.struct(F.col("section.value").alias("id")))).over(Window.partitionBy("page_id", "table.node"))["id"]
     listed = lambda tag: F.transform(F.array_sort(F.collect_list(F.when(here("cell") & (F.col("tag") == tag), F.struct("node_id", "text")))), lambda x: x["text"])
     attr = lambda k: F.max(F.when(here("row"), F.try_element_at("attrs", F.lit(k))))
