@@ -3,14 +3,17 @@
 from __future__ import annotations
 
 import re
+from collections import Counter
+from collections.abc import Iterator
 
+import pyarrow as pa
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from ..functions.hashing import signature
 from ..functions.text import clean, extract_number, has_han
 from ..functions.urls import is_tracking, resolve_url
-from .dom import marked_nodes, stored
+from .dom import marked_nodes, page_rows, stored
 
 # Elements without visible text, kinds of script calls.
 INVISIBLE = ["script", "style", "nav", "footer"]
@@ -147,23 +150,47 @@ def headings(pages: DataFrame, references: list[str] | None = None) -> DataFrame
     return h.groupBy("page_id").agg(first(title, "title"), first(named, "heading"), first(han, "han_heading")).filter("title is not null or heading is not null")
 
 
+_STRINGS = pa.list_(pa.string())
+_ROWS = pa.schema([("section_id", pa.string()), ("table_no", pa.int32()), ("row_index", pa.int32()), ("headers", _STRINGS), ("cells", _STRINGS), ("stable_key", pa.string()), ("tier_value", pa.string())])
+_ROWS_SQL = "section_id string, table_no int, row_index int, headers array<string>, cells array<string>, stable_key string, tier_value string"
+
+
+def _table_rows(nodes: list[list]) -> Iterator[tuple]:
+    """The table rows of a page, from its tables, rows and cells in document order."""
+    section, number, tables, held, headers = {}, {}, Counter(), {}, {}  # held: cells, headers, key and tier by table and row
+    for n, tag, attrs, _, text, (div, table, row, cell) in nodes:
+        t, r = table[0], row and row[0]
+        if t == n:
+            section[t] = div and div[2]
+            number[t] = tables[section[t]]
+            tables[section[t]] += 1
+        if r is None or section[t] is None:
+            continue
+        one = held.setdefault((t, r), [[], [], None, None])
+        if r == n:
+            given = dict(attrs)
+            one[2:] = given.get("data-modifier-id"), given.get("data-tier")
+        elif cell and cell[0] == n:
+            one[tag == "th"].append(text)
+    order, at = sorted(held), Counter()
+    for t, r in order:
+        if held[t, r][1]:
+            headers.setdefault(t, held[t, r][1])
+    for t, r in order:
+        cells, _, key, tier = held[t, r]
+        if cells:
+            yield section[t], number[t], at[t], headers.get(t, []), cells, key, tier
+            at[t] += 1
+
+
 def section_rows(pages: DataFrame) -> DataFrame:
     """page_id, section_id, table_no, row_index, headers, cells, stable_key, tier_value of every table row inside a
     div with an id. Cells belong to the nearest row, rows to the nearest table, tables to the nearest such div; tables are numbered within sections of
-    one id. Nodes are dealt by page once."""
+    one id. Rows are told apart while a page is parsed, and nothing is dealt again."""
     tags = lambda *names: lambda t, attrs, classes: t if t in names else None
     marks = {"section": lambda t, attrs, classes: attrs["id"] if t == "div" and "id" in attrs else None, "table": tags("table"), "row": tags("tr"), "cell": tags("td", "th")}
-    here = lambda m: F.col(f"{m}.node") == F.col("node_id")
-    nodes = marked_nodes(pages, marks, {"table"}, fields=["tag", "attrs", "text"], attrs={"data-modifier-id", "data-tier"}, texts=False, plain=set()).repartition("page_id")
-    section = F.max(F.when(here("table"), F.struct(F.col("section.value").alias("id")))).over(Window.partitionBy("page_id", "table.node"))["id"]
-    listed = lambda tag: F.transform(F.array_sort(F.collect_list(F.when(here("cell") & (F.col("tag") == tag), F.struct("node_id", "text")))), lambda x: x["text"])
-    attr = lambda k: F.max(F.when(here("row"), F.try_element_at("attrs", F.lit(k))))
-    rows = nodes.withColumn("section_id", section).filter("section_id is not null").groupBy("page_id", "section_id", F.col("table.node").alias("_t"), F.col("row.node").alias("_r"))
-    rows = rows.agg(listed("td").alias("cells"), listed("th").alias("ths"), attr("data-modifier-id").alias("stable_key"), attr("data-tier").alias("tier_value"))
-    rows = rows.withColumn("table_no", F.dense_rank().over(Window.partitionBy("page_id", "section_id").orderBy("_t")) - 1)
-    rows = rows.withColumn("headers", F.min_by("ths", F.when(F.size("ths") > 0, F.col("_r"))).over(Window.partitionBy("page_id", "section_id", "_t"))).filter(F.col("_r").isNotNull() & (F.size("cells") > 0))
-    at = F.row_number().over(Window.partitionBy("page_id", "section_id", "table_no").orderBy("_r")) - 1
-    return rows.select("page_id", "section_id", "table_no", at.alias("row_index"), F.coalesce("headers", F.array().cast("array<string>")).alias("headers"), "cells", "stable_key", "tier_value")
+    return page_rows(pages, marks, _table_rows, _ROWS, _ROWS_SQL, {"table"}, attrs={"data-modifier-id", "data-tier"}, texts=False, plain=set(), said={"cell"},
+        loose={"data-modifier-id": '[^"&<>]+', "data-tier": '[^"&<>]+'}, cleaned={"cells", "headers"})
 
 
 def section_descriptor(rows: DataFrame) -> DataFrame:

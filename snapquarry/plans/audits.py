@@ -12,7 +12,7 @@ from pyspark.sql import functions as F
 from ..functions import nested, text
 from ..operators import aggregates as agg
 from ..operators import directory, extract, quality
-from .queries import page_links, query, table
+from .queries import dealt, page_links, query, table
 
 
 def line_pages(s: SparkSession, d: str) -> DataFrame:
@@ -20,7 +20,7 @@ def line_pages(s: SparkSession, d: str) -> DataFrame:
     row = F.concat(F.lit('<tr data-modifier-id="'), F.col("l_partkey").cast("string"), F.lit('" data-tier="'), F.col("l_returnflag"), F.lit('"><td>'), F.col("l_linenumber").cast("string"),
         F.lit("</td><td>"), F.col("l_linestatus"), F.lit("</td></tr>"))
     rows = F.array_join(F.transform(F.array_sort(F.collect_list(F.struct("l_linenumber", "l_partkey", "l_suppkey", row.alias("row")))), lambda r: r["row"]), "")
-    lines = table(s, d, "lineitem").groupBy(F.col("l_orderkey").alias("page_id")).agg(rows.alias("rows"))
+    lines = dealt(table(s, d, "lineitem"), "l_orderkey").groupBy(F.col("l_orderkey").alias("page_id")).agg(rows.alias("rows"))
     return lines.select("page_id", F.concat(F.lit('<div id="lines"><table><tr><th>Level</th><th>Status</th></tr>'), "rows", F.lit("</table></div>")).alias("html"))
 
 

@@ -64,3 +64,29 @@ def test_panes_and_recipes_read_marks_of_plain_elements(spark):
     html = f'<div class="tab-pane" id="{regions.CRAFT_PANE}"><table><tr><td>1</td><td><u data-tier="1">x</u></td></tr></table></div>'
     r = regions.pane_records(spark.createDataFrame([(1, "t", html)], "page_id int, title string, html string")).collect()
     assert [(x.text, x.tier) for x in r] == [("x", "t1")]
+
+
+def test_section_rows_without_exchange(spark):
+    """Pages of one shape give what each gives alone: texts and keys are filled in, and no node is dealt again."""
+    def page(k, td="td"):
+        return (f'<div id="s"><table><tr><th>a  {k}</th></tr><tr data-modifier-id="m{k}" data-tier="{k}"><td> x {k}<b>&amp; y</b></td><{td}></{td}></tr></table>'
+                f'<table><tr data-modifier-id=""><td>{"" if k == 2 else " "}</td></tr></table></div>')
+
+    pages = spark.createDataFrame([(k, page(k)) for k in range(6)] + [(6, page(6, "TD")), (7, page(7).replace('"s"', "'s'")), (8, "<div id='s'><table><tr><td>0"), (9, None)], "page_id int, html string").coalesce(1)
+    rows = extract.section_rows(pages)
+    assert "Exchange" not in rows._jdf.queryExecution().executedPlan().toString()
+    got = sorted(tuple(r) for r in rows.collect())
+    want = []
+    for k in range(8):
+        want += [(k, "s", 0, 0, [f"a {k}"], [f"x {k} & y", ""], f"m{k}", str(k)), (k, "s", 1, 0, [], [""], "", None)]
+    assert got == want + [(8, "s", 0, 0, [], ["0"], None, None)]
+
+
+def test_nested_keys_of_the_row(spark):
+    """Keys that stand in a row need no second parse and no join."""
+    from snapquarry.operators import records
+
+    rows = spark.createDataFrame([(1, "s", 0, 0, ["x"], "k", None, ["b", "a"]), (1, "s", 0, 1, ["y"], "", None, ["c"])],
+                                 "page_id int, section_id string, table_no int, row_index int, cells array<string>, stable_key string, tier_value string, inner array<string>")
+    got = records.nested_key_records(rows, rows["inner"])
+    assert [(r.key, r.nested_keys) for r in got.collect()] == [("modifier:k", ["a", "b"])] and "Join" not in got._jdf.queryExecution().executedPlan().toString()
