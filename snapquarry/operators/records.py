@@ -64,10 +64,15 @@ def merged_page_records(records: DataFrame, entity: str) -> DataFrame:
 
 
 
-def nested_key_records(rows: DataFrame, nested: DataFrame) -> DataFrame:
-    """Rows whose outer key is required, with the keys nested in them as an array."""
-    inner = nested.groupBy("page_id", "section_id", "row_index").agg(F.array_sort(F.collect_list("nested_key")).alias("nested_keys"))
-    out = rows.filter(F.coalesce("stable_key", F.lit("")) != "").join(inner, ["page_id", "section_id", "row_index"], "left")
+def nested_key_records(rows: DataFrame, nested: DataFrame | Column) -> DataFrame:
+    """Rows whose outer key is required, with the keys nested in them as an array. nested: one key a row (page_id, section_id, row_index,
+    nested_key), or an array of keys that stands in the rows themselves, which needs no join."""
+    out = rows.filter(F.coalesce("stable_key", F.lit("")) != "")
+    if isinstance(nested, Column):
+        out = out.withColumn("nested_keys", F.array_sort(nested))
+    else:
+        inner = nested.groupBy("page_id", "section_id", "row_index").agg(F.array_sort(F.collect_list("nested_key")).alias("nested_keys"))
+        out = out.join(inner, ["page_id", "section_id", "row_index"], "left")
     out = out.withColumn("key", stable_key(F.col("stable_key"), F.col("row_index"))).withColumn("text", clean(F.get("cells", 0))).withColumn("section_name", F.col("section_id"))
     return _finish(out, F.lit("prism"), "nested_keys")
 
