@@ -7,12 +7,16 @@ follows. A page goes as a whole to one task, as it does when it is parsed.
 
 from __future__ import annotations
 
+import re
+from collections.abc import Iterator
+
+import pyarrow as pa
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from ..functions.hashing import record_id
 from ..functions.text import clean, extract_number
-from .dom import marked_nodes
+from .dom import marked_nodes, page_rows
 from .records import locator, stable_key, tier_name
 
 # How names of talents begin, and what the pages call their panes, sections, kinds of talents and sequences, levels and controls.
@@ -26,6 +30,7 @@ SEQUENCE_TIERS = {"中阶序列": "intermediate", "高阶序列": "advanced"}
 TRAIT_HEADER, REQUIRED_LEVEL, TRAIT_LEVEL, CONTROLS = r"^.+?\s*-\s*英雄特性\s*/\s*\d+$", r"需求等级\s*(\d+)", r"^等级\s*(\d+)$", ["展开", "收起", "查看"]
 TAGS, SKILL_ID = "标签：", r"^\s*id:\s*(\S+)\s*$"
 CONTRACTS = "契约效果"
+_PANE_ID = re.compile(r"\|(.*)$")
 
 
 # ---- marks: null where an element isn't marked
@@ -142,42 +147,82 @@ def card_records(pages: DataFrame) -> DataFrame:
 # ---- R03: pages with panes
 
 
+_STRINGS = pa.list_(pa.string())
+_UNITS = pa.schema([("kinds", _STRINGS), ("panes", _STRINGS), ("own", _STRINGS), ("whole", _STRINGS), ("modifiers", _STRINGS), ("tiers", _STRINGS)])
+_UNITS_SQL = ", ".join(f"{f.name} array<string>" for f in _UNITS)
+_PANE_KINDS = ("base_affix", "base_stat", "craft_affix", "legendary_affix", "special_mechanic")
+
+
+def _pane_units(nodes: list[list]) -> Iterator[tuple]:
+    """What may be a record of a page with panes, by kind and in order: its kind, pane (state and id), the text of its own, all that its texts say (mechanics), modifier and
+    tier. Stats and mechanics of every pane are told, as the page's name tells which count."""
+    units, begun, over, ruled = {}, set(), set(), set()  # panes with a current card, and with an old one behind it; blocks with a rule
+    for n, tag, _, own, text, (pane_, popup_, modifier_, detail, row, cell, tiered) in nodes:
+        if popup_ and popup_[0] == n:
+            if popup_[2] == "current":
+                begun.add(pane_[0])
+            elif pane_[0] in begun:
+                over.add(pane_[0])
+        if tag == "hr" and detail:
+            ruled.add(detail[0])
+        now, here = pane_[0] in begun and pane_[0] not in over, modifier_ and modifier_[0] == n
+        outer, named = here and modifier_[1] == n, _PANE_ID.search(pane_[2])
+        name = named and named[1]
+        kind = "base_affix" if name == BASE_PANE else "craft_affix" if name == CRAFT_PANE else None
+        found = []
+        if now and outer:
+            found.append(("base_stat", n, pane_[2]))
+        if now and detail and detail[0] not in ruled:
+            found.append(("special_mechanic", detail[0], pane_[2]))
+        if kind and row:
+            found.append((kind, row[0], ""))
+        if name == LEGENDARY_PANE and outer:
+            found.append(("legendary_affix", n, ""))
+        for unit in found:
+            one = units.setdefault(unit, [None, [], [], None])  # first modifier with its text, texts, cells, tier
+            if here and one[0] is None:
+                one[0] = modifier_[2], text
+            if tag == "#text":
+                one[1].append(own)
+            if cell and cell[0] == n:
+                one[2].append(text)
+            if tiered and tiered[0] == n and one[3] is None:
+                one[3] = tiered[2]
+    rows = []
+    for unit in sorted(units):
+        first, texts, cells, tier = units[unit]
+        said = cells[1] if len(cells) > 1 else None
+        rows.append((unit[0], unit[2], said if unit[0] in ("base_affix", "craft_affix") else first and first[1], " ".join(texts), first and first[0], tier))
+    if rows:
+        yield tuple(zip(*rows))
+
+
 def pane_records(pages: DataFrame) -> DataFrame:
     """Records of pages(page_id, title, html) with panes: base stats and the special mechanic of the pane that is named
     like the page, from its first current card up to the next historical one; affixes of the base table and, with tiers, of the crafting
     tables; the list of legendary affixes. Columns of a record, and tier.
 
     Stats and legendary affixes are outermost modifiers; a mechanic is what a block of kind detail says before its first
-    rule; an affix is the second cell of a table row that has cells."""
+    rule; an affix is the second cell of a table row that has cells. A page's units are told while it is parsed, and numbered within its own row, so nothing is dealt."""
     titled = pages.select(F.struct("page_id", "title").alias("page_id"), "html")
     marks = {"pane": pane, "popup": popup, "modifier": modifier, "detail": _attr("data-block", "detail"), "row": _tags("tr"), "cell": _tags("td"),
         "tiered": lambda t, a, c: a.get("data-tier")}
-    nodes = _nodes(titled, marks, {"pane"}, fields=["tag", "own_text", "text"], texts={"detail"}, plain={"hr"}).withColumn("name", _name())
-    w = Window.partitionBy("page_id", "pane.node").orderBy("node_id")
-    nodes = nodes.withColumn("begun", F.count_if(_here("popup") & (F.col("popup.value") == "current")).over(w))
-    nodes = nodes.withColumn("over", F.count_if(_here("popup") & (F.col("popup.value") == "historical") & (F.col("begun") > 0)).over(w))
-    now = (F.col("name") == F.col("page_id.title")) & (F.col("begun") > 0) & (F.col("over") == 0)
-    outer = _here("modifier") & (F.col("modifier.top") == F.col("node_id"))
-    rules = F.count_if(F.col("tag") == "hr").over(Window.partitionBy("page_id", "detail.node").orderBy("node_id"))
-    nodes = nodes.withColumn("rules", F.when(F.col("detail").isNotNull(), rules))
-    table = F.when(F.col("name") == BASE_PANE, "base_affix").when(F.col("name") == CRAFT_PANE, "craft_affix")
-    unit = lambda when, kind, at: F.when(when, F.struct(kind.alias("kind"), at.alias("at")))
-    units = F.array_compact(F.array(
-        unit(now & outer, F.lit("base_stat"), F.col("node_id")), unit(now & F.col("detail").isNotNull() & (F.col("rules") == 0), F.lit("special_mechanic"), F.col("detail.node")),
-        unit(table.isNotNull() & F.col("row").isNotNull(), table, F.col("row.node")), unit((F.col("name") == LEGENDARY_PANE) & outer, F.lit("legendary_affix"), F.col("node_id"))))
-    said = nodes.withColumn("unit", F.explode(units)).groupBy("page_id", "unit").agg(
-        _sometime(F.col("text"), _here("modifier")).alias("own"), F.array_join(_in_order(F.col("tag") == "#text", "own_text"), " ").alias("whole"), _in_order(_here("cell"), "text").alias("cells"),
-        _sometime(F.col("modifier.value"), _here("modifier")).alias("modifier_id"), _sometime(F.col("tiered.value"), _here("tiered")).alias("tier_value"))
-    affix = F.col("unit.kind").isin("base_affix", "craft_affix")
-    text = F.when(affix, F.get("cells", 1)).when(F.col("unit.kind") == "special_mechanic", clean(F.col("whole"))).otherwise(F.col("own"))
-    rows = said.withColumn("text", text).filter(F.col("text").isNotNull() & (F.col("text") != ""))
-    at = F.row_number().over(Window.partitionBy("page_id", "unit.kind").orderBy("unit.at")) - 1
-    rows = rows.withColumn("row_index", at).withColumn("kind", F.col("unit.kind")).withColumn("page_id", F.col("page_id.page_id"))
-    section = F.when(F.col("kind") == "base_affix", BASE_PANE).when(F.col("kind") == "craft_affix", CRAFT_PANE).when(F.col("kind") == "legendary_affix",
-        LEGENDARY_PANE).when(F.col("kind") == "base_stat", "entity_card").otherwise("special_mechanic")
-    key = F.when(F.col("kind") == "special_mechanic", "section:special_mechanic").otherwise(stable_key(F.col("modifier_id"), F.col("row_index")))
-    tier = F.when(F.col("kind") == "craft_affix", F.coalesce(tier_name(F.col("tier_value")), F.lit("all")))
-    return _record(rows, F.col("kind"), section, key, F.col("row_index"), tier.alias("tier"))
+    loose = {"data-modifier-id": '[^"&<>]+', "data-tier": '[^"&<>]+', "id": rf'(?!(?:{BASE_PANE}|{CRAFT_PANE}|{LEGENDARY_PANE})")(?:(?!cache-)[^"&<>\r\n\x85\u2028\u2029])+'}
+    told = page_rows(titled, marks, _pane_units, _UNITS, _UNITS_SQL, {"pane"}, attrs=set(), texts={"detail"}, plain={"hr"}, said={"modifier", "cell"}, loose=loose, cleaned={"own"})
+    mechanic = lambda u: u["kinds"] == "special_mechanic"
+    whole = F.transform(F.arrays_zip(*_UNITS.names), lambda u: F.struct(
+        u["kinds"].alias("kind"), u["panes"].alias("pane"), F.when(mechanic(u), clean(u["whole"])).otherwise(u["own"]).alias("text"), u["modifiers"].alias("modifier_id"), u["tiers"].alias("tier_value")))
+    named = lambda u: F.coalesce(F.regexp_extract(u["pane"], r"\|(.*)$", 1) == F.col("page_id.title"), F.lit(False))
+    counts = lambda u: F.coalesce(u["text"] != "", F.lit(False)) & (~u["kind"].isin("base_stat", "special_mechanic") | named(u))
+    numbered = lambda kind: F.transform(F.filter("units", lambda u: u["kind"] == kind), lambda u, i: F.struct(u["kind"].alias("kind"), u["text"].alias("text"),
+        u["modifier_id"].alias("modifier_id"), u["tier_value"].alias("tier_value"), i.alias("row_index")))
+    units = told.select("page_id", whole.alias("units")).select("page_id", F.filter("units", counts).alias("units"))
+    rows = units.select(F.col("page_id.page_id").alias("page_id"), F.explode(F.concat(*[numbered(k) for k in _PANE_KINDS])).alias("u")).select("page_id", "u.*")
+    kind = F.col("kind")
+    section = F.when(kind == "base_affix", BASE_PANE).when(kind == "craft_affix", CRAFT_PANE).when(kind == "legendary_affix", LEGENDARY_PANE).when(kind == "base_stat", "entity_card").otherwise("special_mechanic")
+    key = F.when(kind == "special_mechanic", "section:special_mechanic").otherwise(stable_key(F.col("modifier_id"), F.col("row_index")))
+    tier = F.when(kind == "craft_affix", F.coalesce(tier_name(F.col("tier_value")), F.lit("all")))
+    return _record(rows, kind, section, key, F.col("row_index"), tier.alias("tier"))
 
 
 # ---- R05: recipe cards and sequence rows

@@ -12,7 +12,7 @@ from ..operators import directory, dom, entities, extract, graph, modifiers, qua
 from ..sources import readers
 from ..sources.scratch import new_folder
 from .function_queries import SITE, told
-from .queries import query, table
+from .queries import dealt, query, table
 
 
 def listed(df: DataFrame, key: str, html: Column, *order: str) -> DataFrame:
@@ -67,20 +67,20 @@ UNION ALL SELECT o_orderkey::VARCHAR, 'base_stat', 'modifier:s' || o_custkey, 's
 UNION ALL SELECT o_orderkey::VARCHAR, 'special_mechanic', 'section:special_mechanic', 'mechanic ' || o_orderstatus, NULL, 0 FROM orders WHERE o_orderkey IN (SELECT k FROM l) AND o_orderstatus <> 'F'""")
 def pane_affixes(s, d):
     """Stats, mechanic, affixes of two tables and legendary ones of pages with panes; a page whose card is old has no stats"""
-    tier = F.when(F.col("l_returnflag") == "R", ' data-tier="0+"').when(F.col("l_returnflag") == "A", ' data-tier="1"').otherwise("")
-    key = F.when(F.col("l_linestatus") == "O", "").otherwise(told(' data-modifier-id="', F.col("l_suppkey"), '"'))
-    base, craft = told("<tr", key, "><td>1</td><td>base ", F.col("l_partkey"), "</td></tr>"), told("<tr", tier, '><td>1</td><td><i data-modifier-id="', F.col("l_partkey"), '">craft ', F.col("l_suppkey"), "</i></td></tr>")
-    rows = F.transform(F.array_sort(F.collect_list(F.struct("l_linenumber", "l_partkey", "l_suppkey", base.alias("base"), craft.alias("craft")))), lambda r: F.struct(r["base"].alias("base"), r["craft"].alias("craft")))
-    lines = table(s, d, "lineitem").groupBy("l_orderkey").agg(rows.alias("r"))
+    tier = lambda r: F.when(r["l_returnflag"] == "R", ' data-tier="0+"').when(r["l_returnflag"] == "A", ' data-tier="1"').otherwise("")
+    key = lambda r: F.when(r["l_linestatus"] == "O", "").otherwise(told(' data-modifier-id="', r["l_suppkey"], '"'))
+    base = lambda r: told("<tr", key(r), "><td>1</td><td>base ", r["l_partkey"], "</td></tr>")
+    craft = lambda r: told("<tr", tier(r), '><td>1</td><td><i data-modifier-id="', r["l_partkey"], '">craft ', r["l_suppkey"], "</i></td></tr>")
+    lines = dealt(table(s, d, "lineitem"), "l_orderkey").groupBy("l_orderkey").agg(F.array_sort(F.collect_list(F.struct("l_linenumber", "l_partkey", "l_suppkey", "l_returnflag", "l_linestatus"))).alias("r"))
     o = table(s, d, "orders").join(lines, F.col("l_orderkey") == F.col("o_orderkey"))
     title = told("P", F.col("o_orderkey"))
     card = told('<div class="popupItem', F.when(F.col("o_orderstatus") == "F", " previousItem").otherwise(""), '"><p data-modifier-id="s', F.col("o_custkey"), '">stat ',
         F.col("o_orderpriority"), '</p><div data-block="detail">mechanic ', F.col("o_orderstatus"), "<hr>more</div></div>")
     old = F.lit('<div class="popupItem previousItem"><p data-modifier-id="old">old</p></div>')
     part = lambda name, what: told(f'<div class="tab-pane" id="{name}">', what, "</div>")
-    joined = lambda f: F.array_join(F.transform("r", lambda r: r[f]), "")
-    html = told('<div class="tab-pane active show" id="', title, '">', card, old, "</div>", part(regions.BASE_PANE, told("<table><tr><th>Tier</th></tr>", joined("base"), "</table>")),
-        part(regions.CRAFT_PANE, told("<table>", joined("craft"), "</table>")),
+    joined = lambda f: F.array_join(F.transform("r", f), "")
+    html = told('<div class="tab-pane active show" id="', title, '">', card, old, "</div>", part(regions.BASE_PANE, told("<table><tr><th>Tier</th></tr>", joined(base), "</table>")),
+        part(regions.CRAFT_PANE, told("<table>", joined(craft), "</table>")),
                 part(regions.LEGENDARY_PANE, told('<p data-modifier-id="', F.col("o_custkey"), '">legend ', F.col("o_orderstatus"), "</p>")))
     r = regions.pane_records(o.select(F.col("o_orderkey").alias("page_id"), title.alias("title"), html.alias("html")))
     return r.select("entity_id", "record_type", "key", "text", "tier", F.col("source_locator.row_index").alias("row_index"))

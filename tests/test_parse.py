@@ -90,3 +90,17 @@ def test_nested_keys_of_the_row(spark):
                                  "page_id int, section_id string, table_no int, row_index int, cells array<string>, stable_key string, tier_value string, inner array<string>")
     got = records.nested_key_records(rows, rows["inner"])
     assert [(r.key, r.nested_keys) for r in got.collect()] == [("modifier:k", ["a", "b"])] and "Join" not in got._jdf.queryExecution().executedPlan().toString()
+
+
+def test_pane_records_without_exchange(spark):
+    """Units of a page are numbered in its own row; pages of one shape give what each gives alone."""
+    def page(k):
+        return (f'<div class="tab-pane active show" id="T{k}"><div class="popupItem"><p data-modifier-id="s{k}">stat &amp; {k}</p><div data-block="detail">does {k}<hr>more</div></div></div>'
+                f'<div class="tab-pane" id="{regions.BASE_PANE}"><table><tr><td>1</td><td> </td></tr><tr><td>1</td><td>base  {k}</td></tr></table></div>')
+
+    pages = spark.createDataFrame([(k, f"T{k}" if k < 4 else "other", page(k)) for k in range(5)], "page_id int, title string, html string").coalesce(1)
+    r = regions.pane_records(pages)
+    assert "Exchange" not in r._jdf.queryExecution().executedPlan().toString()
+    got = sorted((x.entity_id, x.record_type, x.key, x.text, x.source_locator.row_index) for x in r.collect())
+    stats = [(str(k), kind, key, text, 0) for k in range(4) for kind, key, text in (("base_stat", f"modifier:s{k}", f"stat & {k}"), ("special_mechanic", "section:special_mechanic", f"does {k}"))]
+    assert got == sorted(stats + [(str(k), "base_affix", "row:0", f"base {k}", 0) for k in range(5)])
