@@ -85,13 +85,14 @@ def component_match() -> Column:
 def hit_totals(components: DataFrame, modifiers: DataFrame) -> DataFrame:
     """hit_id, total: the sum over components of base x (1 + sum of increased) x product over extra groups of
     (1 + sum). components(hit_id, component_id, base_value, current_type, history, hit_tags), modifiers(hit_id, kind,
-    extra_group, value, required_tags, required_types); a null group is one shared group."""
+    extra_group, value, required_tags, required_types); a null group is one shared group; a hit's component_id, type and value name one component.
+    Components meet modifiers once, and all that follows stays with the hit's task."""
     key = ["hit_id", "component_id", "current_type", "base_value"]
-    hits = components.join(modifiers, "hit_id").filter(component_match())
-    increased = hits.filter("kind = 'increased'").groupBy(*key).agg(F.sum("value").alias("increased"))
-    groups = hits.filter("kind = 'extra'").groupBy(*key, "extra_group").agg(F.sum("value").alias("total"))
-    extra = extra_multiplier(groups, key)
-    parts = components.select(*key).join(increased, key, "left").join(extra, key, "left")
+    hits = components.join(modifiers.withColumnRenamed("hit_id", "_hit"), (F.col("hit_id") == F.col("_hit")) & component_match(), "left")
+    sums = hits.groupBy(*key, "kind", "extra_group").agg(F.sum("value").alias("total"))
+    factor = F.when(F.col("kind") == "extra", 1 + F.col("total"))
+    ok = F.when(factor < 0, F.raise_error(F.lit("negative multiplier")).cast("double")).otherwise(factor)
+    parts = sums.groupBy(*key).agg(F.sum(F.when(F.col("kind") == "increased", F.col("total"))).alias("increased"), F.product(ok).alias("multiplier"))
     value = F.col("base_value") * (1 + F.coalesce("increased", F.lit(0.0))) * F.coalesce("multiplier", F.lit(1.0))
     return parts.groupBy("hit_id").agg(F.sum(value).alias("total"))
 
