@@ -55,10 +55,13 @@ def with_fallbacks(df: DataFrame, lookups: list[DataFrame], key: str, value: str
 
 def owned_elsewhere(section_keys: DataFrame, owners: DataFrame) -> DataFrame:
     """page_id, section, owned: a section is owned elsewhere iff all its keys are known, they have one single owner,
-    and this owner's route is another page. section_keys(page_id, route, section, key), owners(key, owner, owner_route)."""
-    joined = section_keys.join(owners, "key", "left")
-    return joined.groupBy("page_id", "section").agg(
-        (F.bool_and(F.col("owner").isNotNull()) & (F.count_distinct("owner") == 1) & ~F.bool_or(F.col("owner_route").eqNullSafe(F.col("route")))).alias("owned"))
+    and this owner's route is another page. section_keys(page_id, route, section, key), owners(key, owner, owner_route). Of a key's owners
+    the least, the greatest and their routes tell all that a section asks, so no key is joined with more than one row."""
+    whose = owners.groupBy("key").agg(F.min("owner").alias("_least"), F.max("owner").alias("_most"), F.bool_and(F.col("owner").isNotNull()).alias("_known"),
+        F.collect_set("owner_route").alias("_routes"), F.bool_or(F.col("owner_route").isNull()).alias("_unrouted"))
+    joined = section_keys.join(whose, "key", "left")
+    same = F.when(F.col("route").isNull(), F.coalesce("_unrouted", F.lit(True))).otherwise(F.coalesce(F.array_contains("_routes", F.col("route")), F.lit(False)))
+    return joined.groupBy("page_id", "section").agg((F.bool_and(F.coalesce("_known", F.lit(False))) & (F.min("_least") == F.max("_most")) & ~F.bool_or(same)).alias("owned"))
 
 
 def with_exclusions(entries: DataFrame, excluded: DataFrame, keys: list[str]) -> DataFrame:
