@@ -256,11 +256,13 @@ def i18n_resources(pages: DataFrame, base: str) -> DataFrame:
     template = F.col("raw").contains("${lang}")
     filled = F.transform(F.array(*map(F.lit, langs)).cast("array<string>"), lambda v: F.replace("raw", F.lit("${lang}"), v))
     each = named.select("page_id", F.when(template, "runtime_language_loader").otherwise("direct_json").alias("type"), F.explode(F.when(template, filled).otherwise(F.array("raw"))).alias("name"))
-    each = each.select("page_id", "type", resolve_url(F.col("name"), F.lit(base)).alias("resource_url")).distinct()
-    w = Window.partitionBy("resource_url").orderBy("page_id")
-    ranked = each.groupBy("resource_url", "page_id").agg(F.min("type").alias("type")).withColumn("_n", F.row_number().over(w))
-    first = F.array_sort(F.collect_list(F.when(F.col("_n") <= 5, F.col("page_id"))))
-    return ranked.groupBy("resource_url").agg(F.min("type").alias("reference_type"), F.count(F.lit(1)).alias("pages"), first.alias("source_pages"))
+    each = each.select("page_id", "type", resolve_url(F.col("name"), F.lit(base)).alias("resource_url"))
+    once = each.groupBy("resource_url", "page_id").agg(F.min("type").alias("type"))
+    # A name that all pages have must not meet in one task: each task gives its first five of a name, and its count.
+    first = once.withColumn("_n", F.row_number().over(Window.partitionBy("resource_url").orderBy("page_id"))).filter("_n <= 5")
+    first = first.groupBy(F.col("resource_url").alias("_url")).agg(F.array_sort(F.collect_list("page_id")).alias("source_pages"))
+    counted = once.groupBy("resource_url").agg(F.min("type").alias("reference_type"), F.count(F.lit(1)).alias("pages"))
+    return counted.join(first, F.col("resource_url").eqNullSafe(F.col("_url"))).select("resource_url", "reference_type", "pages", "source_pages")
 
 
 def page_shell(pages: DataFrame) -> DataFrame:

@@ -301,7 +301,7 @@ def language_resources(s, d):
     key = F.when(m != "MACHINERY", F.lit('<b data-i18n="k">x</b>')).otherwise("")
     load = F.when(m == "BUILDING", F.lit("load(`/i18n/${lang}.json`);")).otherwise("")
     html = told('<html lang="l', n, '">', key, "<script>", load, "get('/data/prices.json'); get(\"/res/locale", n, '.json")</script></html>')
-    out = extract.i18n_resources(table(s, d, "customer").select(F.col("c_custkey").alias("page_id"), html.alias("html")), "https://w.example/")
+    out = extract.i18n_resources(dealt(table(s, d, "customer"), "c_custkey", each=20_000).select(F.col("c_custkey").alias("page_id"), html.alias("html")), "https://w.example/")
     return out.withColumn("source_pages", F.array_join(F.transform("source_pages", lambda p: p.cast("string")), ","))
 
 
@@ -356,7 +356,7 @@ def rewritten_pages(s, d):
     html = told("<A HREF='/en/c", k, "?x=1#s' data-src=\"/i/n", n, '.png">c &amp; d</A><img srcset="/i/n', n, '.png 1x, /i/none.png 2x" ', source,
         ' integrity="q"/><script src="https://www.google-analytics.com/a.js">if (a < b) x("</p>")</script><style>@import "/s.css";p{background:url( /i/n', n,
                 '.png )}</style><img src="https://x.doubleclick.net/p.gif"><p style="background:url(https://far.example/x.png)">text<a href="/en/none">n</a><br></P >')
-    pages = table(s, d, "customer").select(k.alias("page_id"), told(SITE, "c", k).alias("url"), html.alias("html"))
+    pages = dealt(table(s, d, "customer"), "c_custkey", each=20_000).select(k.alias("page_id"), told(SITE, "c", k).alias("url"), html.alias("html"))
     nations = table(s, d, "nation").select(told("https://w.example/i/n", F.col("n_nationkey"), ".png").alias("url"), told("assets/n", F.col("n_nationkey"), ".png").alias("path"))
     assets = nations.unionByName(s.range(1).select(F.lit("https://w.example/s.css").alias("url"), F.lit("assets/s.css").alias("path")))
     routes = table(s, d, "customer").filter("c_nationkey < 20").select(told("/en/c", k).alias("route"), told("pages/c", k).alias("path"))
