@@ -163,10 +163,12 @@ def rewrite_pages(pages: DataFrame, assets: DataFrame, routes: DataFrame) -> Dat
 
     Parser events tell the spans of a page that may change; all else stays byte for byte, so a page that needs no change comes out as it is.
     References are resolved and looked up by joins, and what a page gets back is a map of its own references. Null pages stay null."""
-    refs = page_references(pages).withColumn("target", resolve_url(F.col("ref"), F.col("url"))).filter("target is not null")
+    # Resolving is the dearest step here; as a row's only element it is worked out once, where filters would each repeat it.
+    once = lambda c: F.explode_outer(F.array(c))
+    refs = page_references(pages).withColumn("target", once(resolve_url(F.col("ref"), F.col("url")))).filter("target is not null")
     own = F.when((F.col("kind") == "page") & (host(F.col("target")) == host(F.col("url"))), canonical_page(F.col("target")))
     tracked = (F.col("kind") == "asset") & is_tracking(F.col("target"))
-    refs = refs.withColumn("route", own).filter(((F.col("kind") == "asset") & ~tracked & F.col("target").rlike("^https?:")) | F.col("route").isNotNull())
+    refs = refs.withColumn("route", once(own)).filter(((F.col("kind") == "asset") & ~tracked & F.col("target").rlike("^https?:")) | F.col("route").isNotNull())
     j = refs.join(assets.select(F.col("url").alias("target"), F.col("path").alias("_asset")), "target", "left").join(routes.select("route", F.col("path").alias("_page")), "route", "left")
     entry = F.struct(F.concat_ws(" ", "kind", "ref").alias("k"), F.when(F.col("kind") == "asset", F.col("_asset")).otherwise(F.col("_page")).alias("v"))
     known = j.groupBy("page_id").agg(F.map_from_entries(F.collect_list(entry)).alias("known"))

@@ -143,3 +143,47 @@ def test_structure_rules(spark):
     got = sorted(tuple(r) for r in structure_check(seen, {"a": "x", "b": "y"}, ("b",)).select("page_id", "check", "severity").collect())
     assert got == [(2, "a", "mismatch"), (2, "b", "warning"), (3, "a", "mismatch"), (3, "b", "warning"), (4, "a", "mismatch"), (4, "b", "warning")]
     assert structure_check(seen.limit(0), {"a": "x"}).count() == 0
+
+
+def test_hits_meet_modifiers_once(spark):
+    """One join for all kinds of modifiers; components without any, or with a null type, count by their base."""
+    from snapquarry.operators import modifiers
+
+    c = spark.createDataFrame([(1, 1, 10.0, "fire", ["fire"], ["a"]), (1, 2, 5.0, None, None, ["a"]), (2, 1, 7.0, "cold", ["cold"], None)],
+                              "hit_id int, component_id int, base_value double, current_type string, history array<string>, hit_tags array<string>")
+    m = spark.createDataFrame([(1, "increased", None, 0.5, ["a"], None), (1, "extra", "x", 0.1, None, None), (1, "extra", "x", 0.1, None, None), (1, "extra", None, 1.0, ["b"], None)],
+                              "hit_id int, kind string, extra_group string, value double, required_tags array<string>, required_types array<string>")
+    out = modifiers.hit_totals(c, m)
+    assert out._jdf.queryExecution().optimizedPlan().toString().count("Join ") == 1
+    assert {r.hit_id: round(r.total, 9) for r in out.collect()} == {1: 27.0, 2: 7.0}
+
+
+def test_keys_of_sections_meet_one_row_each(spark):
+    """Owners of a key are one row before sections meet them, however many there are."""
+    from snapquarry.operators import relational
+
+    s = spark.createDataFrame([(1, "r1", "a", "k1"), (1, "r1", "b", "k2"), (2, "r2", "a", "k1"), (3, "r3", "a", "k3"), (4, None, "a", "k1"), (5, None, "a", "k4"), (6, "r6", "a", "k1"), (6, "r6", "a", "k5")],
+                              "page_id int, route string, section string, key string")
+    o = spark.createDataFrame([("k1", "x", "r2"), ("k2", "x", "r9"), ("k2", "y", "r8"), ("k4", "x", None), ("k5", None, "r5")], "key string, owner string, owner_route string")
+    out = relational.owned_elsewhere(s, o)
+    assert {(r.page_id, r.section): r.owned for r in out.collect()} == {(1, "a"): True, (1, "b"): False, (2, "a"): False, (3, "a"): False, (4, "a"): True, (5, "a"): False, (6, "a"): False}
+    joined = spark.createDataFrame([(1, "r1", "a", "k")], s.schema), spark.createDataFrame([("k", str(i), str(i)) for i in range(50)], o.schema)
+    assert "collect_set" in relational.owned_elsewhere(*joined)._jdf.queryExecution().optimizedPlan().toString()
+
+
+def test_first_pages_of_a_name_without_all_in_one_task(spark):
+    from snapquarry.operators.extract import i18n_resources
+
+    pages = spark.createDataFrame([(k, f"<script>get('/res/locale.json'); get('/res/locale{k % 2}.json')</script>") for k in range(40)], "page_id int, html string").repartition(4)
+    out = i18n_resources(pages, "https://w.example/")
+    assert "WindowGroupLimit" in out._jdf.queryExecution().executedPlan().toString()
+    got = {r.resource_url[-12:-5]: (r.pages, r.source_pages) for r in out.collect()}
+    assert got == {"/locale": (40, [0, 1, 2, 3, 4]), "locale0": (20, [0, 2, 4, 6, 8]), "locale1": (20, [1, 3, 5, 7, 9])}
+
+
+def test_small_files_are_dealt_by_their_rows(spark):
+    """One file is read by one task; what is made of its rows is dealt over as many as there are rows for."""
+    from snapquarry.plans.queries import dealt
+
+    rows = spark.range(30000).coalesce(1)
+    assert dealt(rows, "id", each=2000).rdd.getNumPartitions() == 16 and dealt(rows, "id").rdd.getNumPartitions() == 8 and dealt(spark.range(10), "id").rdd.getNumPartitions() == 1
