@@ -81,3 +81,11 @@ def test_directory(spark):
     assert [r.route for r in entries.orderBy("source_order").collect()] == ["/en/p1", "/en/p2", "/en/p3"]
     r = report.first()
     assert (r.occurrences, r.n_unique, r.displayed, r.duplicates, r.confidence) == (4, 3, 3, 1, 0.84)
+
+
+def test_directory_of_one_link(spark):
+    html = '<h2>Things / 2</h2><ul><li><a href="/en/p">P</a></li></ul>'
+    entries, report = directory.entries_from_pages(spark.createDataFrame([(1, "https://s.example/en/dir", html)], "page_id long, url string, html string"))
+    assert [(r.route, r.name, r.source_order) for r in entries.collect()] == [("/en/p", "P", 0)]
+    r = report.first()
+    assert (r.occurrences, r.n_unique, r.displayed, r.has_container, r.confidence) == (1, 1, None, True, 0.7)
