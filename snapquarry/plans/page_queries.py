@@ -534,14 +534,19 @@ q AS (SELECT *, CASE WHEN NOT wrong THEN n_unique WHEN n_unique + 1 <= occurrenc
 SELECT page_id, n_unique, occurrences, duplicates, displayed, n_unique AS entries, round(greatest(0::DOUBLE, least(0.99::DOUBLE, 0.70::DOUBLE + (CASE WHEN n_unique >= 10 THEN 0.20 WHEN n_unique >= 2 THEN 0.10 ELSE 0 END)::DOUBLE
 + (CASE WHEN displayed IS NULL THEN 0 WHEN displayed = n_unique THEN 0.09 ELSE -0.05 END)::DOUBLE - 0.20::DOUBLE * least(duplicates::DOUBLE / occurrences::DOUBLE, 1::DOUBLE)))::VARCHAR::DECIMAL(20, 18), 2)::DOUBLE AS confidence FROM q""")
 def directory_entries(s, d):
-    """Different entries of directory pages, with what their headings say and how sure they are"""
-    link = told('<li><a href="/en/o', F.col("o_orderkey"), '">o</a></li>')
-    rows = listed(table(s, d, "orders"), "o_custkey", F.concat(link, F.when(F.col("o_orderstatus") == "F", link).otherwise("")),
-        "o_orderkey").join(table(s, d, "orders").groupBy(F.col("o_custkey").alias("page_id")).agg(F.count(F.lit(1)).alias("n")), "page_id")
-    c = table(s, d, "customer").join(rows, F.col("page_id") == F.col("c_custkey"))
-    html = told('<nav><a href="/en/nav">n</a></nav><main><div><h2>Orders / ', F.col("n") + (F.col("c_nationkey") < 5).cast("long"), "</h2><ul>", F.col("rows"), '</ul></div></main><p><a href="https://o.example/en/x">x</a></p>')
-    entries, report = directory.entries_from_pages(c.select("page_id", told(SITE, "c", F.col("page_id")).alias("url"), html.alias("html")))
-    return report.join(entries.groupBy("page_id").agg(F.count(F.lit(1)).alias("entries")), "page_id").select("page_id", "n_unique", "occurrences", "duplicates", "displayed", "entries", "confidence")
+    """Different entries of directory pages, with what their headings say and how sure they are. SQL takes each row for an entry or a
+    page, so links tell an order's place too, and pages which of a key's rows they are: keys may be missing or repeat."""
+    def links(o, i):
+        link = told('<li><a href="/en/o', F.coalesce(o["o_orderkey"].cast("string"), F.lit("")), "-", i, '">o</a></li>')
+        return F.concat(link, F.when(o["o_orderstatus"] == "F", link).otherwise(""))
+
+    o = dealt(table(s, d, "orders"), "o_custkey").groupBy("o_custkey").agg(F.array_sort(F.collect_list(F.struct("o_orderkey", "o_orderstatus"))).alias("orders"))
+    c = dealt(table(s, d, "customer"), "c_custkey").withColumn("copy", F.row_number().over(_by("c_custkey", "c_nationkey"))).join(o, F.col("o_custkey") == F.col("c_custkey"))
+    wrong = F.coalesce(F.col("c_nationkey") < 5, F.lit(True))
+    html = told('<nav><a href="/en/nav">n</a></nav><main><div><h2>Orders / ', F.size("orders") + wrong.cast("int"), "</h2><ul>", F.array_join(F.transform("orders", links), ""), '</ul></div></main><p><a href="https://o.example/en/x">x</a></p>')
+    entries, report = directory.entries_from_pages(c.select(F.struct("c_custkey", "copy").alias("page_id"), told(SITE, "c", F.col("c_custkey")).alias("url"), html.alias("html")))
+    out = report.join(entries.groupBy("page_id").agg(F.count(F.lit(1)).alias("entries")), "page_id")
+    return out.select(F.col("page_id.c_custkey").alias("page_id"), "n_unique", "occurrences", "duplicates", "displayed", "entries", "confidence")
 
 
 @query("SELECT count(*) AS pages, min(o_orderkey) AS first_page FROM orders GROUP BY o_orderstatus, o_orderpriority, o_orderpriority LIKE '1%'")

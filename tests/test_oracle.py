@@ -31,3 +31,13 @@ def test_query(spark, db, name):
         assert sorted(want.columns) == columns
         at = [want.columns.index(c) for c in columns]
         assert told(rows) == told([[r[i] for i in at] for r in want.fetchall()])
+
+
+def test_directory_entries_of_odd_keys(spark, tmp_path):
+    con, name = duckdb.connect(), "directory_entries"
+    con.sql("CREATE TABLE customer AS SELECT * FROM (VALUES (1::BIGINT, 7), (1, 2), (1, 2), (2, NULL), (3, NULL), (4, 3), (5, 3), (NULL, 1)) AS t(c_custkey, c_nationkey)")
+    con.sql("CREATE TABLE orders AS SELECT * FROM (VALUES (1::BIGINT, 1::BIGINT, 'F'), (1, 1, 'O'), (NULL, 1, 'F'), (NULL, 1, NULL), (2, 2, 'O'), (2, 3, 'F'), (3, 4, 'O'), (4, NULL, 'F')) AS t(o_orderkey, o_custkey, o_orderstatus)")
+    for t in ("customer", "orders"):
+        con.sql(f"COPY {t} TO '{tmp_path}/{t}.parquet'")
+    want = con.sql(registry.ORACLE_SQL[name])
+    assert sorted(map(tuple, registry.QUERIES[name](spark, str(tmp_path)).select(*want.columns).collect()), key=repr) == sorted(want.fetchall(), key=repr)
