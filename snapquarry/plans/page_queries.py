@@ -244,7 +244,7 @@ def flat_directories(s, d):
     """Entries of pages with many links to leaves beside them, some of them texts of item types"""
     mark = F.when(F.col("l_returnflag") == "R", "item_type_list|name|").otherwise("item")
     link = told('<a data-i18n="', mark, '7" href="p', F.col("l_partkey"), '">item</a><a href="/en/p">item</a><a href="a/b">b</a><a href="#x">x</a><a href="..">up</a>')
-    pages = listed(table(s, d, "lineitem"), "l_orderkey", link, "l_linenumber", "l_partkey").select("page_id", told(SITE, "o", F.col("page_id")).alias("url"), F.col("rows").alias("html"))
+    pages = listed(dealt(table(s, d, "lineitem"), "l_orderkey"), "l_orderkey", link, "l_linenumber", "l_partkey").select("page_id", told(SITE, "o", F.col("page_id")).alias("url"), F.col("rows").alias("html"))
     return directory.flat_directory(pages, 3, 2).select("page_id", "route", "source_order", "entries", "markers", "duplicates")
 
 

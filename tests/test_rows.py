@@ -7,6 +7,11 @@ TRAITS = '<div class="card"><h5 class="card-header">Name - 英雄特性 /9</h5>{
 BOX = '<div class="d-flex border-top"><img alt="{}"><div class="flex-grow-1"><div class="fw-bold">{}</div><div>需求等级 {}</div>{}</div></div>'
 
 
+def _dealt(df):
+    """Exchanges by key of a plan that hasn't run."""
+    return df._jdf.queryExecution().executedPlan().toString().count("Exchange hash")
+
+
 def test_page_entries_gives_the_entries(spark, tmp_path):
     """Which container a page's entries stand in, their routes, names and order are part of the result."""
     page = lambda k, rows: (k, f"https://s.example/en/d{k}", f"<main><ul>{rows}</ul></main>")
@@ -16,3 +21,12 @@ def test_page_entries_gives_the_entries(spark, tmp_path):
     got = {r.page_id: r for r in queries.QUERIES["page_entries"](spark, str(tmp_path)).collect()}
     assert [(x.source_order, x.route, x.name) for x in got[1].listed] == [(0, "/en/b", "B b"), (1, "/en/a", "A")]
     assert (got[1].container, got[1].entries, got[2].container, got[2].listed) == (1, 2, None, None)
+
+
+def test_flat_directory_deals_only_links_to_leaves(spark):
+    html = '<a href="/en/x">x</a><a href="#y">y</a><a href="a/b">z</a>' * 20 + '<a href="p1" data-i18n="item_type_list|name|1">P <b>1</b></a><a href=" p2?x=/ ">2</a><a href="p2"></a><a href="..">u</a>'
+    pages = spark.createDataFrame([(k, "https://s.example/en/d", html.replace("p1", f"p{k}")) for k in (5, 6, 7)], "page_id long, url string, html string")
+    got = directory.flat_directory(pages, 2, 1)
+    assert _dealt(got) == 1
+    assert sorted((r.page_id, r.source_order, r.route, r.name, r.entries, r.markers, r.duplicates) for r in got.collect()) == [
+        x for k in (5, 6, 7) for x in ((k, 0, f"/en/p{k}", "P 1", 2, 1, 1), (k, 1, "/en/p2", "2", 2, 1, 1))]
