@@ -273,6 +273,75 @@ def sequence_rows(pages: DataFrame) -> DataFrame:
 # ---- R09: traits
 
 
+_INTS = pa.list_(pa.int32())
+_TRAITS = pa.schema([("heads", _STRINGS), ("boxes", _INTS), ("under", _INTS), ("required", _STRINGS), ("icons", _STRINGS), ("titles", _STRINGS), ("title_of", _INTS), ("tiers", _STRINGS), ("tier_of", _INTS),
+    ("lines", _STRINGS), ("line_of", _INTS), ("line_tier", _INTS)])
+
+
+def _sql(schema: pa.Schema) -> str:
+    kinds = {_STRINGS: "array<string>", _INTS: "array<int>", pa.int32(): "int", pa.string(): "string"}
+    return ", ".join(f"{f.name} {kinds[f.type]}" for f in schema)
+
+
+def _trait_boxes(nodes: list[list]) -> Iterator[tuple]:
+    """Boxes of a page by number, with all that trait_levels looks at: texts of headers, and the headers that each box stands beside (under: box * headers + header); texts of
+    the boxes' parts, of names, of level marks and of lines, each with the box (and the mark) that it belongs to. A line's texts are as written."""
+    heads, boxes = [], {}
+    for node in nodes:
+        n, _, _, _, text, (box, _, _, _, header) = node[:6]
+        if header and header[0] == n:
+            heads.append((text, node[6], node[8]))
+        if box:
+            boxes.setdefault(box[0], []).append(node)
+    out = [[] for _ in _TRAITS]
+    heads_, names, under, required, icons, titles, title_of, tiers, tier_of, lines, line_of, line_tier = out
+    heads_ += [h[0] for h in heads]
+    for at in sorted(boxes):
+        rows = boxes[at]
+        grow = next((r for r in rows if r[5][1] and r[5][1][0] == r[0] and r[6] == at), None)
+        if grow is None:
+            continue
+        c, last = grow[0], grow[7]
+        bolds = [r for r in rows if r[5][2] and r[5][2][0] == r[0] and r[6] == c]
+        if not bolds:
+            continue
+        k = len(names)
+        names.append(at)
+        under += [k * len(heads) + i for i, (_, parent, end) in enumerate(heads) if parent is not None and parent < at <= end]
+        required.append(grow[4])
+        image = next((r for r in rows if r[1] == "img"), None)
+        icons.append(next((v for key, v in image[2] if key == "alt"), None) if image else None)
+        inside = [r for r in rows if c < r[0] <= last]
+        named = [r[4] for r in inside if r[5][2] and r[5][2][0] == r[0]]
+        titles += named
+        title_of += [k] * len(named)
+        tiered = any(r[5][3] and r[5][3][0] == r[0] for r in inside)
+        tier, closed, child, said = None, False, -1, {}
+        for r in inside:
+            n, tag, parent = r[0], r[1], r[6]
+            if r[5][3] and r[5][3][0] == n:
+                tier, closed = r, False
+                tiers.append(r[4])
+                tier_of.append(k)
+            if tag != "#text" and parent == c:
+                child = n
+            if tag == "hr" and tier and parent == tier[6]:
+                closed = True
+            if tag != "#text":
+                continue
+            if not tiered:
+                if parent != c and not bolds[0][0] <= n <= bolds[0][7]:
+                    said.setdefault((-1, child, r[9]), []).append(r[3])
+            elif tier and not closed and n <= tier[8] and parent != tier[6] and (not r[5][3] or r[5][3][0] != tier[0]):
+                said.setdefault((len(tiers) - 1, child, r[9]), []).append(r[3])
+        for key in sorted(said):
+            lines.append(" ".join(said[key]))
+            line_of.append(k)
+            line_tier.append(key[0])
+    if names and heads:
+        yield tuple(out)
+
+
 def trait_levels(pages: DataFrame) -> DataFrame:
     """One record for each level of each trait of a hero's page: node_name, required_level, trait_level (null: the
     trait has none), icon and occurrence, key asset:<icon>:occurrence:<n>:level:<level or unspecified>.
@@ -280,37 +349,35 @@ def trait_levels(pages: DataFrame) -> DataFrame:
     Traits are the boxes (d-flex, border-top, with a direct flex-grow-1 that has a direct fw-bold) of the card whose h5 header is
     `<name> - <trait> / <n>`. A level begins at a tierLevel element that names it and takes the elements that follow it
     in the same parent, up to the next such element or a rule; texts that stand free there belong to none. A box without
-    such elements has one level: the lines of all but its title, without the demand of a level and controls."""
+    such elements has one level: the lines of all but its title, without the demand of a level and controls. A page's boxes are told while it is parsed, so nothing is dealt."""
     marks = {"box": _with("d-flex", "border-top"), "grow": _with("flex-grow-1"), "bold": _with("fw-bold"), "tier": _with("tierLevel"), "header": lambda t, a, c: "" if t == "h5" and "card-header" in c else None}
-    nodes = _nodes(pages, marks, {"box", "header"}, fields=["parent_id", "last_id", "parent_last", "tag", "attrs", "own_text", "text", "line"], attrs={"alt"}, texts="[^ ]")
-    page, box = Window.partitionBy("page_id"), Window.partitionBy("page_id", "box.node")
-    header = F.min(F.when(_here("header") & F.col("text").rlike(TRAIT_HEADER), F.struct("node_id", "parent_id", "parent_last"))).over(page)
-    rows = nodes.withColumn("h", header).filter(F.col("box").isNotNull() & (F.col("box.node") > F.col("h.parent_id")) & (F.col("node_id") <= F.col("h.parent_last")))
-    rows = rows.withColumn("c", F.min(F.when(_here("grow") & (F.col("parent_id") == F.col("box.node")), F.struct("node_id", "last_id", extract_number(F.col("text"), REQUIRED_LEVEL).alias("required")))).over(box)).filter("c is not null")
-    inside = F.col("node_id").between(F.col("c.node_id") + 1, F.col("c.last_id"))
-    direct = F.col("parent_id") == F.col("c.node_id")
-    rows = rows.withColumn("b", F.min(F.when(_here("bold") & direct, F.struct("node_id", "last_id"))).over(box)).filter("b is not null")
-    rows = rows.withColumn("title", F.coalesce(_sometime(F.col("text"), _here("bold") & inside & (F.col("text") != "")).over(box), F.lit("")))
-    rows = rows.withColumn("icon", F.nullif(clean(_sometime(F.try_element_at("attrs", F.lit("alt")), F.col("tag") == "img").over(box)), F.lit(""))).filter(inside)
-    event = F.when(_here("tier"), F.struct("node_id", "parent_id", "parent_last", extract_number(F.col("text"), TRAIT_LEVEL).alias("level")))
-    rows = rows.withColumn("tiered", F.count_if(_here("tier")).over(box) > 0).withColumn("t", F.last(event, True).over(box.orderBy("node_id")))
-    closed = F.count_if((F.col("tag") == "hr") & (F.col("parent_id") == F.col("t.parent_id"))).over(Window.partitionBy("page_id", "box.node", "t.node_id").orderBy("node_id")) > 0
-    follows = (F.col("node_id") <= F.col("t.parent_last")) & ~closed & (F.col("parent_id") != F.col("t.parent_id")) & (F.coalesce("tier.node", F.lit(-1)) != F.col("t.node_id"))
-    body = ~direct & ~F.col("node_id").between(F.col("b.node_id"), F.col("b.last_id"))
-    said = (F.col("tag") == "#text") & (F.trim("own_text") != "") & F.when(F.col("tiered"), F.col("t.level").isNotNull() & follows).otherwise(body)
-    child = F.last(F.when(F.col("tag").isNotNull() & (F.col("tag") != "#text") & direct, F.col("node_id")), True).over(box.orderBy("node_id"))
-    explicit = F.count_if(_here("tier") & F.col("t.level").isNotNull()).over(box) > 0
-    rows = rows.withColumn("child", child).withColumn("explicit", explicit).withColumn("said", said)
-    rows = rows.withColumn("lvl", F.when(F.col("tiered") & F.col("explicit"), F.struct("t.node_id", "t.level"))).filter(~(F.col("tiered") & F.col("explicit")) | F.col("lvl.level").isNotNull())
-    every = ["page_id", F.col("box.node").alias("box"), "title", "icon", F.col("c.required").alias("required"), "tiered", "lvl"]
-    lines = rows.groupBy(*every, F.when(F.col("said"), F.struct("child", "line")).alias("at")).agg(clean(F.array_join(_in_order(F.col("said"), "own_text"), " ")).alias("line"))
-    drop = ~F.col("tiered") & ((F.col("line") == F.col("title")) | F.col("line").rlike(f"^{REQUIRED_LEVEL}$") | F.col("line").isin(*CONTROLS))
-    parts = F.transform(F.array_sort(F.collect_list(F.when(F.col("at").isNotNull() & (F.col("line") != "") & ~drop, F.struct("at", "line")))), lambda x: x["line"])
-    levels = lines.groupBy("page_id", "box", "title", "icon", "required", "lvl").agg(clean(F.array_join(parts, " ")).alias("text"))
-    levels = levels.withColumn("occurrence", F.dense_rank().over(Window.partitionBy("page_id", "icon").orderBy("box"))).withColumn("row_index", F.row_number().over(Window.partitionBy("page_id").orderBy("box", "lvl.node_id")) - 1)
-    key = F.concat(F.lit("asset:"), F.coalesce("icon", F.lit("")), F.lit(":occurrence:"), F.col("occurrence").cast("string"), F.lit(":level:"), F.coalesce(F.col("lvl.level").cast("string"), F.lit("unspecified")))
-    return _record(levels, F.lit("trait"), F.lit("trait"), key, F.col("row_index"), F.col("title").alias("node_name"), F.col("required").alias("required_level"),
-                   F.col("lvl.level").alias("trait_level"), "icon", F.col("occurrence").cast("int").alias("occurrence"))
+    told = page_rows(pages, marks, _trait_boxes, _TRAITS, _sql(_TRAITS), {"box", "header"}, attrs={"alt"}, loose={"alt": '[^"&<>]+'}, cleaned={"heads", "required", "titles", "tiers"}, placed=True)
+    first = F.get(F.filter(F.transform("heads", lambda h, i: F.struct(i.alias("i"), h.alias("h"))), lambda h: h["h"].rlike(TRAIT_HEADER)), 0)["i"]
+    zipped = lambda *c: F.arrays_zip(*[F.col(x).alias(x) for x in c])
+    of = lambda part, i: F.filter(part, lambda x: x["of"] == i)
+    # Behind explode, as Spark would put what stands here into the functions below, and work it out for each box.
+    parts = told.select("page_id", F.explode(F.array(F.struct("boxes", "required", "icons", "under", F.size("heads").alias("n_heads"), first.alias("first"),
+        F.transform(zipped("titles", "title_of"), lambda x: F.struct(x["title_of"].alias("of"), x["titles"].alias("title"))).alias("names"),
+        F.transform(zipped("tiers", "tier_of"), lambda x, i: F.struct(x["tier_of"].alias("of"), i.alias("i"), extract_number(x["tiers"], TRAIT_LEVEL).alias("level"))).alias("marked"),
+        F.transform(zipped("lines", "line_of", "line_tier"), lambda x: F.struct(x["line_of"].alias("of"), x["line_tier"].alias("i"), clean(x["lines"]).alias("line"))).alias("told")))).alias("p")).select("page_id", "p.*")
+    box = lambda b, i: F.struct(b["boxes"].alias("box"), F.array_contains("under", i * F.col("n_heads") + F.col("first")).alias("there"),
+        F.coalesce(F.get(F.filter(of(F.col("names"), i), lambda x: x["title"] != ""), 0)["title"], F.lit("")).alias("title"), F.nullif(clean(b["icons"]), F.lit("")).alias("icon"),
+        extract_number(b["required"], REQUIRED_LEVEL).alias("required"), of(F.col("marked"), i).alias("marked"), of(F.col("told"), i).alias("told"))
+    boxes = parts.filter("first is not null").select("page_id", F.explode(F.array(F.filter(F.transform(zipped("boxes", "required", "icons"), box), lambda b: b["there"]))).alias("boxes"))
+    alike = lambda b, i: F.size(F.filter(F.slice(F.col("boxes"), 1, i + 1), lambda o: o["icon"].eqNullSafe(b["icon"])))
+    none = F.lit(None).cast("int")
+
+    def levels(b, i):
+        drop = lambda x: (F.size(b["marked"]) == 0) & ((x["line"] == b["title"]) | x["line"].rlike(f"^{REQUIRED_LEVEL}$") | x["line"].isin(*CONTROLS))
+        said = lambda found: clean(F.array_join(F.transform(F.filter(b["told"], lambda x: found(x) & (x["line"] != "") & ~drop(x)), lambda x: x["line"]), " "))
+        record = lambda level, text: F.struct(level.alias("level"), text.alias("text"), b["title"].alias("title"), b["icon"].alias("icon"), b["required"].alias("required"), alike(b, i).alias("occurrence"))
+        named = F.filter(b["marked"], lambda m: m["level"].isNotNull())
+        plain = F.when(F.size(b["marked"]) > 0, "").otherwise(said(lambda x: F.lit(True)))
+        return F.when(F.size(named) > 0, F.transform(named, lambda m: record(m["level"], said(lambda x: x["i"] == m["i"])))).otherwise(F.array(record(none, plain)))
+
+    rows = boxes.select("page_id", F.posexplode(F.flatten(F.transform("boxes", levels))).alias("row_index", "r")).select("page_id", "row_index", "r.*")
+    key = F.concat(F.lit("asset:"), F.coalesce("icon", F.lit("")), F.lit(":occurrence:"), F.col("occurrence").cast("string"), F.lit(":level:"), F.coalesce(F.col("level").cast("string"), F.lit("unspecified")))
+    return _record(rows, F.lit("trait"), F.lit("trait"), key, F.col("row_index"), F.col("title").alias("node_name"), F.col("required").alias("required_level"), F.col("level").alias("trait_level"), "icon", F.col("occurrence").cast("int").alias("occurrence"))
 
 
 # ---- R11: skills

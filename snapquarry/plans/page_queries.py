@@ -137,7 +137,7 @@ SELECT l_orderkey::VARCHAR AS entity_id, 'asset:' || l_returnflag || ':occurrenc
 'T' || i AS node_name, (l_partkey % 60)::INT AS required_level FROM (SELECT *, unnest(CASE WHEN l_linestatus = 'O' THEN ['1', '2'] ELSE ['unspecified'] END) AS v FROM b)""")
 def trait_keys(s, d):
     """Traits of pages by icon, occurrence and level, with what each level says"""
-    li = table(s, d, "lineitem")
+    li = dealt(table(s, d, "lineitem"), "l_orderkey")
     rank = F.row_number().over(_by("l_orderkey", "l_linenumber", "l_partkey", "l_suppkey"))
     tiers = told('<div><span class="tierLevel">等级 1</span>free<div>one <b>p', F.col("l_partkey"), '</b></div><hr><p>gone</p><span class="tierLevel">等级 2</span><div>two<br>s', F.col("l_suppkey"), "</div></div>")
     body = F.when(F.col("l_linestatus") == "O", tiers).otherwise(told("<div>plain <i>p", F.col("l_partkey"), "</i></div><span>展开</span><hr><p>end</p>"))

@@ -30,3 +30,25 @@ def test_flat_directory_deals_only_links_to_leaves(spark):
     assert _dealt(got) == 1
     assert sorted((r.page_id, r.source_order, r.route, r.name, r.entries, r.markers, r.duplicates) for r in got.collect()) == [
         x for k in (5, 6, 7) for x in ((k, 0, f"/en/p{k}", "P 1", 2, 1, 1), (k, 1, "/en/p2", "2", 2, 1, 1))]
+
+
+def test_traits_deal_no_nodes(spark):
+    boxes = BOX.format("A", "T", 3, "<div>one<br>two</div><hr><p>三</p>") + BOX.format("A", "", 4, '<p><span class="tierLevel">等级 2</span><b>x</b><i>y</i></p>')
+    other = boxes.replace("one", "other").replace(">T<", "> <")
+    pages = spark.createDataFrame([(k, TRAITS.format(h)) for k, h in enumerate((boxes, boxes, boxes, other, other))], "page_id long, html string")
+    traits = regions.trait_levels(pages)
+    assert _dealt(traits) == 0
+    got = sorted((r.entity_id, r.source_locator.row_index, r.key, r.text, r.node_name, r.required_level) for r in traits.collect())
+    assert got == [x for k in "01234" for x in ((k, 0, "asset:A:occurrence:1:level:unspecified", f"{'one' if k < '3' else 'other'} two 三", "T" if k < "3" else "", 3), (k, 1, "asset:A:occurrence:2:level:2", "x y", "", 4))]
+
+
+def test_placed_nodes(spark):
+    """A page's shape gives the same rows as its own parse."""
+    import pyarrow as pa
+
+    schema = pa.schema([("at", pa.list_(pa.int32()))])
+    read = lambda nodes: [([x for r in nodes for x in (r[0], -1 if r[6] is None else r[6], r[7], r[9])],)]
+    html = "<div>{}<p>b<br></p></div><i></i>"
+    pages = spark.createDataFrame([(k, html.format(f"t{k}")) for k in range(4)], "page_id long, html string").coalesce(1)
+    got = dom.page_rows(pages, {}, read, schema, "at array<int>", placed=True).collect()
+    assert len(got) == 4 and {tuple(r.at) for r in got} == {(0, -1, 4, 1, 1, 0, 1, 1, 2, 0, 4, 2, 3, 2, 3, 2, 4, 2, 4, 3, 5, -1, 5, 5)}
