@@ -383,6 +383,32 @@ def trait_levels(pages: DataFrame) -> DataFrame:
 # ---- R11: skills
 
 
+_SKILLS = pa.schema([("cards", pa.int32()), ("title", pa.string()), *[(k, _STRINGS) for k in ("tags", "weapons", "centred", "effects", "ids", "firsts", "grown", "texts")]])
+
+
+def _skill_parts(nodes: list[list]) -> Iterator[tuple]:
+    """What skill_pages looks at, of one page: how many current cards it has, and, if it is one, texts of the card's parts, modifiers with the first cell of their rows, and all texts."""
+    here = lambda r, k: r[5][k] and r[5][k][0] == r[0]
+    away = lambda r: bool(r[5][1]) and r[5][1][2].partition("|")[0] in ("cached", "inactive")
+    cards = [r for r in nodes if here(r, 0) and r[5][0][2] == "current" and not away(r)]
+    if len(cards) != 1:
+        yield len(cards), None, *[[]] * 8
+        return
+    begin, end = cards[0][0], cards[0][7]
+    inside = [r for r in nodes if begin < r[0] <= end]
+    firsts: dict[int, str] = {}
+    for r in nodes:
+        if here(r, 5) and r[5][4] and r[6] == r[5][4][0]:
+            firsts.setdefault(r[6], r[4])
+    texts = lambda k: [r[4] for r in inside if here(r, k)]
+    tagged = [r[0] for r in inside if here(r, 7)]
+    centred = [r[4] for r in inside if here(r, 9) and not any(r[0] < t <= r[7] for t in tagged)]
+    grown = [r for r in nodes if here(r, 3) and not r[5][2] and not away(r)]
+    titles = texts(6)
+    yield (1, titles[0] if titles else None, texts(7), texts(8), centred, texts(10), [r[5][3][2] for r in grown], [firsts.get(r[5][4][0]) if r[5][4] else None for r in grown], [r[4] for r in grown],
+           [r[3] for r in nodes if r[1] == "#text"])
+
+
 def skill_pages(pages: DataFrame) -> DataFrame:
     """Of each page with exactly one current card one effect record, and a growth record for each modifier outside old cards and
     inactive panes (in order of the page, nested ones too). Columns of a record, and tier.
@@ -392,25 +418,17 @@ def skill_pages(pages: DataFrame) -> DataFrame:
     twice on a page, the tier is part of the key. The effect's key is the id of its info card, skill:<id>."""
     marks = {"popup": popup, "pane": pane, "old": _with("previousItem"), "modifier": modifier, "row": _tags("tr"), "cell": _tags("td", "th"), "title": _with("card-title"), "tagged": _with("tag"),
              "weapon": _attr("data-block", "weapon_restrict_description"), "centred": _with("d-flex", "justify-content-center"), "effect": _with("explicitMod")}
-    nodes = _nodes(pages, marks, fields=["parent_id", "last_id", "own_text", "text"], texts="id:", plain=set())
-    page = Window.partitionBy("page_id")
-    away = F.coalesce(_state().isin("cached", "inactive"), F.lit(False))
-    current = _here("popup") & (F.col("popup.value") == "current") & ~away
-    rows = nodes.withColumn("cards", F.count_if(current).over(page)).filter("cards = 1").withColumn("c", F.min(F.when(current, F.struct("node_id", "last_id"))).over(page))
-    rows = rows.withColumn("first", _sometime(F.col("text"), _here("cell") & (F.col("parent_id") == F.col("row.node"))).over(Window.partitionBy("page_id", "row.node")))
-    rows = rows.withColumn("at", F.col("node_id"))
-    inside = F.col("node_id").between(F.col("c.node_id") + 1, F.col("c.last_id"))
-    text = F.col("text") != ""
-    grown = _here("modifier") & F.col("old").isNull() & ~away
-    tags = F.array_distinct(_in_order(inside & _here("tagged") & text, "text"))
-    whole = rows.groupBy("page_id").agg(
-        F.coalesce(_sometime(F.col("text"), inside & _here("title")), F.lit("")).alias("title"), tags.alias("tags"), _in_order(inside & _here("tagged"), "at").alias("tag_nodes"),
-        F.array_distinct(_in_order(inside & _here("weapon") & text, "text")).alias("weapons"), _in_order(inside & _here("centred") & text, "last_id", "text").alias("centred"),
-        F.array_distinct(_in_order(inside & _here("effect") & text, "text")).alias("effects"), _in_order(grown, "modifier.value", "first", "text").alias("growth"),
-        _sometime(F.regexp_extract("own_text", SKILL_ID, 1), F.col("own_text").rlike(SKILL_ID)).alias("skill_id"))
-    plain = F.filter("centred", lambda x: ~F.exists("tag_nodes", lambda t: (t > x["node_id"]) & (t <= x["last_id"])))
+    told = page_rows(pages, marks, _skill_parts, _SKILLS, _sql(_SKILLS), attrs=set(), plain=set(), loose={"data-modifier-id": '[^"&<>]+'},
+        cleaned={"title", "tags", "weapons", "centred", "effects", "firsts", "grown"}, placed=True)
+    some = lambda c: F.array_distinct(F.filter(c, lambda x: x != ""))
+    skill_id = F.regexp_extract(F.get(F.filter("texts", lambda x: x.rlike(SKILL_ID)), 0), SKILL_ID, 1)
+    growth = F.arrays_zip(F.col("ids").alias("modifier_value"), F.col("firsts").alias("first"), F.col("grown").alias("text"))
+    whole = told.select("page_id", "cards", F.coalesce("title", F.lit("")).alias("title"), some("tags").alias("tags"), some("weapons").alias("weapons"), some("centred").alias("centred"), some("effects").alias("effects"),
+        growth.alias("growth"), skill_id.alias("skill_id"))
+    # Pages that share an id are one page with all their cards.
+    whole = whole.withColumn("cards", F.sum("cards").over(Window.partitionBy("page_id"))).filter("cards = 1")
     parts = F.flatten(F.array(F.array("title"), F.when(F.size("tags") > 0, F.array(F.concat(F.lit(TAGS), F.array_join("tags", "、")))).otherwise(F.array().cast("array<string>")),
-        F.col("weapons"), F.array_distinct(F.transform(plain, lambda x: x["text"])), F.col("effects")))
+        F.col("weapons"), F.col("centred"), F.col("effects")))
     effect = F.struct(F.lit("skill_effect").alias("kind"), F.lit(0).alias("row"), F.concat(F.lit("skill:"), F.coalesce("skill_id", F.lit(""))).alias("key"),
         F.array_join(F.filter(parts, lambda p: p != ""), " ").alias("text"), F.lit(None).cast("string").alias("tier"))
     twice = lambda g: F.size(F.filter("growth", lambda o: o["modifier_value"] == g["modifier_value"])) > 1

@@ -156,7 +156,7 @@ def _by(key: str, *order: str):
 def skill_pages(s: SparkSession, d: str) -> DataFrame:
     """A page for each order: its card in the active pane, another in a cached one, and a growth table of its lines."""
     row = told("<tr><td>", F.col("l_linenumber"), '</td><td><i data-modifier-id="', F.col("l_suppkey"), '">grows ', F.col("l_returnflag"), "</i></td></tr>")
-    lines = listed(table(s, d, "lineitem"), "l_orderkey", row, "l_linenumber", "l_partkey", "l_suppkey")
+    lines = listed(dealt(table(s, d, "lineitem"), "l_orderkey"), "l_orderkey", row, "l_linenumber", "l_partkey", "l_suppkey")
     tag = lambda c: told('<span class="tag">', c, "</span>")
     card = told('<div class="tab-pane active show" id="now"><div class="popupItem"><h5 class="card-title">Order ', F.col("o_orderkey"), "</h5>", tag(F.col("o_orderstatus")), tag(F.col("o_orderpriority")), tag(F.col("o_orderstatus")),
                 '<div class="d-flex justify-content-center">', tag(F.col("o_orderstatus")), '</div><div class="d-flex justify-content-center">Cost ', F.col("o_custkey"),

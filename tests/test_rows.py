@@ -32,7 +32,7 @@ def test_flat_directory_deals_only_links_to_leaves(spark):
         x for k in (5, 6, 7) for x in ((k, 0, f"/en/p{k}", "P 1", 2, 1, 1), (k, 1, "/en/p2", "2", 2, 1, 1))]
 
 
-def test_traits_deal_no_nodes(spark):
+def test_traits_and_skills_deal_no_nodes(spark):
     boxes = BOX.format("A", "T", 3, "<div>one<br>two</div><hr><p>三</p>") + BOX.format("A", "", 4, '<p><span class="tierLevel">等级 2</span><b>x</b><i>y</i></p>')
     other = boxes.replace("one", "other").replace(">T<", "> <")
     pages = spark.createDataFrame([(k, TRAITS.format(h)) for k, h in enumerate((boxes, boxes, boxes, other, other))], "page_id long, html string")
@@ -40,6 +40,10 @@ def test_traits_deal_no_nodes(spark):
     assert _dealt(traits) == 0
     got = sorted((r.entity_id, r.source_locator.row_index, r.key, r.text, r.node_name, r.required_level) for r in traits.collect())
     assert got == [x for k in "01234" for x in ((k, 0, "asset:A:occurrence:1:level:unspecified", f"{'one' if k < '3' else 'other'} two 三", "T" if k < "3" else "", 3), (k, 1, "asset:A:occurrence:2:level:2", "x y", "", 4))]
+    skill = '<div class="popupItem"><h5 class="card-title">S</h5></div><table><tr><td>1</td><td><i data-modifier-id="4">grows</i></td></tr></table>id: k'
+    records = regions.skill_pages(spark.createDataFrame([(k, skill) for k in (1, 2, 3, 3)], "page_id long, html string"))
+    assert _dealt(records) == 1
+    assert sorted((r.entity_id, r.key, r.text, r.tier) for r in records.collect()) == [x for k in "12" for x in ((k, "modifier:4", "grows", "1"), (k, "skill:k", "S", None))]
 
 
 def test_placed_nodes(spark):
