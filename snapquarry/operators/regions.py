@@ -111,6 +111,11 @@ def _record(df: DataFrame, kind: Column, section: Column, key: Column, row: Colu
     return df.select(rid.alias("record_id"), entity.alias("entity_id"), kind.alias("record_type"), section.alias("section_name"), "text", key.alias("key"), place.alias("source_locator"), *more)
 
 
+def _sql(schema: pa.Schema) -> str:
+    kinds = {_STRINGS: "array<string>", _INTS: "array<int>", pa.int32(): "int", pa.string(): "string"}
+    return ", ".join(f"{f.name} {kinds[f.type]}" for f in schema)
+
+
 # ---- T11, R02: cards
 
 
@@ -147,7 +152,7 @@ def card_records(pages: DataFrame) -> DataFrame:
 # ---- R03: pages with panes
 
 
-_STRINGS = pa.list_(pa.string())
+_STRINGS, _INTS = pa.list_(pa.string()), pa.list_(pa.int32())
 _UNITS = pa.schema([("kinds", _STRINGS), ("panes", _STRINGS), ("own", _STRINGS), ("whole", _STRINGS), ("modifiers", _STRINGS), ("tiers", _STRINGS)])
 _UNITS_SQL = ", ".join(f"{f.name} array<string>" for f in _UNITS)
 _PANE_KINDS = ("base_affix", "base_stat", "craft_affix", "legendary_affix", "special_mechanic")
@@ -228,20 +233,45 @@ def pane_records(pages: DataFrame) -> DataFrame:
 # ---- R05: recipe cards and sequence rows
 
 
+def _of_unit(nodes: list[list]) -> Iterator[tuple]:
+    """Units of a section with a modifier, by number, with what they hold, in order: all texts as written, values and texts of modifiers, ids, targets and texts of links, values and texts of chips, and cells."""
+    units, end, now = [], -1, None
+    for r in nodes:
+        n, tag, _, own, text, (section, unit, *marks) = r[:6]
+        if unit and unit[0] == n and (-1 if unit[3] is None else unit[3]) < section[0]:
+            now, end = ([], [], [], [], [], [], [], [], []), r[7]
+            units.append(now)
+        if now is None or n > end:
+            continue
+        if tag == "#text":
+            now[0].append(own)
+            continue
+        modifier_, link, chip, cell, named = [m[2] if m and m[0] == n else None for m in marks]
+        for at, v in ((1, modifier_), (4, link), (6, chip)):
+            if v is not None:
+                now[at].append(v)
+                now[at + 1].append(text)
+        if named is not None:
+            now[3].append(named)
+        if cell is not None:
+            now[8].append(text)
+    for k, (texts, modifiers, said, recipes, links, names, chips, chip_texts, cells) in enumerate(u for u in units if u[1]):
+        yield k, " ".join(texts), modifiers, said, recipes, links, names, chips, chip_texts, cells
+
+
+_HELD = pa.schema([("row_index", pa.int32()), ("written", pa.string()), *[(k, _STRINGS) for k in ("modifiers", "said", "recipes", "links", "names", "chips", "chip_texts", "cells")]])
+
+
 def _listed(pages: DataFrame, section: str, unit: str) -> DataFrame:
-    """One row for each card (outermost div.col) or table row inside a section, with what it holds, in order."""
+    """One row for each card (outermost div.col) or table row inside a section that holds a modifier, with what it holds, in order, told while its page is parsed."""
     marks = {"section": _attr("id", section), "unit": _with("col", tag="div") if unit == "col" else _tags(unit), "modifier": modifier, "link": lambda t, a,
         c: a["href"] if t == "a" and a.get("href") else None, "chip": _attr("data-chip"), "cell": _tags("td"), "named": _attr("data-id")}
-    nodes = _nodes(pages, marks, {"section"}, fields=["last_id", "tag", "own_text", "text"], texts={"unit"}, plain=set())
-    outermost = _here("unit") & (F.coalesce("unit.outer", F.lit(-1)) < F.col("section.node"))
-    begun = F.last(F.when(outermost, F.struct("node_id", "last_id")), True).over(Window.partitionBy("page_id").orderBy("node_id"))
-    inside = nodes.withColumn("u", begun).filter(F.col("node_id") <= F.col("u.last_id"))
-    return inside.groupBy("page_id", F.col("u.node_id").alias("at")).agg(
-        clean(F.array_join(_in_order(F.col("tag") == "#text", "own_text"), " ")).alias("whole"), F.array_distinct(_in_order(_here("modifier"), "modifier.value")).alias("modifiers"),
-        F.array_join(F.filter(_in_order(_here("modifier"), "text"), lambda t: t != ""), "\n").alias("text"), F.array_distinct(_in_order(_here("named"), "named.value")).alias("recipes"),
-        _in_order(_here("link"), "link.value", "text").alias("links"), F.array_distinct(_in_order(_here("chip"), "chip.value")).alias("chips"),
-            F.array_join(F.filter(_in_order(_here("chip"), "text"), lambda t: t != ""), " ").alias("chip_text"), _in_order(_here("cell"), "text").alias("cells"),
-    ).filter(F.size("modifiers") > 0)
+    loose = {k: '[^"&<>]+' for k in ("data-modifier-id", "href", "data-chip", "data-id")}
+    told = page_rows(pages, marks, _of_unit, _HELD, _sql(_HELD), {"section"}, attrs=set(), texts={"unit"}, plain=set(), loose=loose, cleaned={"said", "names", "chip_texts", "cells"}, placed=True)
+    some = lambda c, by: F.array_join(F.filter(c, lambda t: t != ""), by)
+    # Behind explode, as Spark would clean the text again for each look at it.
+    return told.select("page_id", "row_index", F.explode(F.array(clean(F.col("written")))).alias("whole"), "modifiers", some("said", "\n").alias("text"), "recipes",
+        F.arrays_zip(F.col("links").alias("link_value"), F.col("names").alias("text")).alias("links"), "chips", some("chip_texts", " ").alias("chip_text"), "cells")
 
 
 def _one_of(names: dict[str, str], c: Column) -> Column:
@@ -255,7 +285,7 @@ def recipe_cards(pages: DataFrame) -> DataFrame:
     talent = F.regexp_extract("whole", rf"({'|'.join(TALENTS)})\s+Lv\.\d+", 1)
     amount = lambda m: F.nullif(F.call_function("regexp_extract", F.col("whole"), F.concat(F.lit(r"\Q"), m["text"], F.lit(r"\E\s*x(\d+)")), F.lit(1)), F.lit("")).cast("int")
     materials = F.transform("links", lambda m: F.struct(m["text"].alias("name"), F.concat(F.lit("/cn/"), m["link_value"], F.lit("/")).alias("route"), amount(m).alias("quantity")))
-    rows = cut.withColumn("row_index", F.row_number().over(Window.partitionBy("page_id").orderBy("at")) - 1).withColumn("materials", materials).withColumn("talent", F.nullif(talent, F.lit("")))
+    rows = cut.withColumn("materials", materials).withColumn("talent", F.nullif(talent, F.lit("")))
     return _record(rows, F.lit("recipe"), F.coalesce("talent", F.lit(RECIPES)), F.concat(F.lit("modifier:"), F.get("modifiers", 0)), F.col("row_index"),
                    _one_of(TALENTS, F.col("talent")).alias("talent_type"), F.get("recipes", 0).alias("recipe_id"), "materials")
 
@@ -265,7 +295,7 @@ def sequence_rows(pages: DataFrame) -> DataFrame:
     (second cell)."""
     cut = _listed(pages, SEQUENCES, "tr")
     tier = F.nullif(F.regexp_extract("chip_text", f"({'|'.join(SEQUENCE_TIERS)})", 1), F.lit(""))
-    rows = cut.withColumn("row_index", F.row_number().over(Window.partitionBy("page_id").orderBy("at")) - 1).withColumn("tier", tier).withColumn("pattern", F.get("chips", 0)).withColumn("equipment", F.get("cells", 1))
+    rows = cut.withColumn("tier", tier).withColumn("pattern", F.get("chips", 0)).withColumn("equipment", F.get("cells", 1))
     section = F.concat_ws(" · ", F.concat_ws(" ", "tier", "pattern"), "equipment")
     return _record(rows, F.lit("sequence"), section, F.concat(F.lit("modifier:"), F.get("modifiers", 0)), F.col("row_index"), _one_of(SEQUENCE_TIERS, F.col("tier")).alias("sequence_tier"), "pattern", "equipment")
 
@@ -273,16 +303,10 @@ def sequence_rows(pages: DataFrame) -> DataFrame:
 # ---- R09: traits
 
 
-_INTS = pa.list_(pa.int32())
 _TRAITS = pa.schema([("heads", _STRINGS), ("boxes", _INTS), ("under", _INTS), ("required", _STRINGS), ("icons", _STRINGS), ("titles", _STRINGS), ("title_of", _INTS), ("tiers", _STRINGS), ("tier_of", _INTS),
     ("lines", _STRINGS), ("line_of", _INTS), ("line_tier", _INTS)])
 
 
-def _sql(schema: pa.Schema) -> str:
-    kinds = {_STRINGS: "array<string>", _INTS: "array<int>", pa.int32(): "int", pa.string(): "string"}
-    return ", ".join(f"{f.name} {kinds[f.type]}" for f in schema)
-
-
 def _trait_boxes(nodes: list[list]) -> Iterator[tuple]:
     """Boxes of a page by number, with all that trait_levels looks at: texts of headers, and the headers that each box stands beside (under: box * headers + header); texts of
     the boxes' parts, of names, of level marks and of lines, each with the box (and the mark) that it belongs to. A line's texts are as written."""

@@ -95,7 +95,7 @@ SELECT o_custkey::VARCHAR AS entity_id, 'modifier:' || o_orderkey AS key, 'gains
 def recipe_cards(s, d):
     """Recipes of pages with materials and quantities, kinds of talents, ids"""
     material = told('<a href="p', F.col("l_partkey"), '">m', F.col("l_partkey"), "</a> x", F.col("l_linenumber"), " ")
-    m = listed(table(s, d, "lineitem"), "l_orderkey", material, "l_linenumber", "l_partkey").withColumnRenamed("page_id", "l_orderkey")
+    m = listed(dealt(table(s, d, "lineitem"), "l_orderkey"), "l_orderkey", material, "l_linenumber", "l_partkey").withColumnRenamed("page_id", "l_orderkey")
     o = table(s, d, "orders").join(m, F.col("l_orderkey") == F.col("o_orderkey"), "left")
     talent = F.when(_is("1"), "中型天赋").when(_is("2"), "核心天赋").when(_is("3"), "异香天赋").otherwise("天赋")
     card = told('<div class="col"><p data-id="r', F.col("o_orderkey"), '" data-modifier-id="', F.col("o_orderkey"), '">gains ', F.col("o_orderstatus"), "</p>", talent, " Lv.3 ", F.coalesce("rows", F.lit("")), "</div>")

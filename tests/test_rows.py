@@ -56,3 +56,15 @@ def test_placed_nodes(spark):
     pages = spark.createDataFrame([(k, html.format(f"t{k}")) for k in range(4)], "page_id long, html string").coalesce(1)
     got = dom.page_rows(pages, {}, read, schema, "at array<int>", placed=True).collect()
     assert len(got) == 4 and {tuple(r.at) for r in got} == {(0, -1, 4, 1, 1, 0, 1, 1, 2, 0, 4, 2, 3, 2, 3, 2, 4, 2, 4, 3, 5, -1, 5, 5)}
+
+
+def test_recipe_cards_and_sequences_deal_no_nodes(spark):
+    card = '<div class="col"><p data-modifier-id="{0}" data-id="r{0}">gains</p>中型天赋 Lv.3 <a href="p{0}">m</a> x{0}<div class="col"><b data-modifier-id="9"> in </b></div></div>'
+    recipes = '<div class="col" data-modifier-id="0">out</div><div id="调香秘仪">' + '<div class="col">none</div>' + card.format(4) + card.format(5) + "</div>"
+    rows = '<table id="高塔序列"><tr><td>none</td></tr><tr><td><p data-modifier-id="7">t</p></td><td>e</td><td><b data-chip="c">中阶序列</b></td></tr></table>'
+    pages = spark.createDataFrame([(k, recipes + rows) for k in range(3)], "page_id long, html string")
+    cards, sequences = regions.recipe_cards(pages), regions.sequence_rows(pages)
+    assert _dealt(cards) == _dealt(sequences) == 0
+    assert sorted((r.entity_id, r.source_locator.row_index, r.key, r.text, r.talent_type, r.recipe_id, [tuple(m) for m in r.materials]) for r in cards.collect()) == [
+        (k, i, f"modifier:{4 + i}", "gains\nin", "medium", f"r{4 + i}", [("m", f"/cn/p{4 + i}/", 4 + i)]) for k in "012" for i in (0, 1)]
+    assert sorted((r.entity_id, r.source_locator.row_index, r.key, r.text, r.sequence_tier, r.pattern, r.equipment) for r in sequences.collect()) == [(k, 0, "modifier:7", "t", "intermediate", "c", "e") for k in "012"]
