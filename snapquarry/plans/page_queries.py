@@ -336,7 +336,7 @@ def recovered_routes(s, d):
     nations = table(s, d, "nation").join(links, F.col("k") == F.col("n_nationkey"), "left")
     pages = nations.select(F.lit("nations").alias("system_id"), told("n", F.col("n_nationkey")).alias("page_id"), told(SITE, "n", F.col("n_nationkey")).alias("url"), F.coalesce("rows", F.lit("")).alias("html"))
     manifested = table(s, d, "nation").select(told("/en/n", F.col("n_nationkey")).alias("route"))
-    there = site(s, d)
+    there = dom.stored(site(s, d), "site")  # each round fetches from it
     found = graph.converge(pages, manifested, lambda pending: pending.join(there, "route"))
     from_ = found.provenance.groupBy("route").agg(F.count(F.lit(1)).alias("sources"), F.min("page_id").alias("first_source"))
     return found.routes.join(from_, "route")

@@ -1,7 +1,7 @@
 """Records and links that are told while pages are parsed, and what of them is dealt again."""
 
-from snapquarry.operators import directory, dom, regions
-from snapquarry.plans import queries
+from snapquarry.operators import directory, dom, graph, regions
+from snapquarry.plans import page_queries, queries  # noqa: F401  page_queries adds its own
 
 TRAITS = '<div class="card"><h5 class="card-header">Name - 英雄特性 /9</h5>{}</div>'
 BOX = '<div class="d-flex border-top"><img alt="{}"><div class="flex-grow-1"><div class="fw-bold">{}</div><div>需求等级 {}</div>{}</div></div>'
@@ -68,3 +68,17 @@ def test_recipe_cards_and_sequences_deal_no_nodes(spark):
     assert sorted((r.entity_id, r.source_locator.row_index, r.key, r.text, r.talent_type, r.recipe_id, [tuple(m) for m in r.materials]) for r in cards.collect()) == [
         (k, i, f"modifier:{4 + i}", "gains\nin", "medium", f"r{4 + i}", [("m", f"/cn/p{4 + i}/", 4 + i)]) for k in "012" for i in (0, 1)]
     assert sorted((r.entity_id, r.source_locator.row_index, r.key, r.text, r.sequence_tier, r.pattern, r.equipment) for r in sequences.collect()) == [(k, 0, "modifier:7", "t", "intermediate", "c", "e") for k in "012"]
+
+
+def test_rounds_fetch_from_stored_pages(spark, tmp_path, monkeypatch):
+    """recovered_routes makes its pages once, not in every round."""
+    tables = {"nation": ([(1,)], "n_nationkey int"), "customer": ([(1, 1)], "c_custkey long, c_nationkey int"), "orders": ([(3, 1, "O")], "o_orderkey long, o_custkey long, o_orderstatus string"),
+        "lineitem": ([(3, 1, 4, 5)], "l_orderkey long, l_linenumber int, l_partkey long, l_suppkey long"), "part": ([(4, 20)], "p_partkey long, p_size int"), "supplier": ([(5, 1)], "s_suppkey long, s_nationkey int")}
+    for name, (rows, schema) in tables.items():
+        spark.createDataFrame(rows, schema).coalesce(1).write.parquet(f"{tmp_path}/{name}.parquet")
+    fetched, whole = [], graph.converge
+    monkeypatch.setattr(graph, "converge", lambda pages, manifested, fetch: whole(pages, manifested, lambda pending: fetched.append(fetch(pending)) or fetched[-1]))
+    got = queries.QUERIES["recovered_routes"](spark, str(tmp_path)).collect()
+    assert sorted((r.route, r.state, r["round"], r.sources, r.first_source) for r in got) == [
+        ("/en/c1", "recovered", 1, 1, "n1"), ("/en/n1", "manifested", 5, 1, "s5"), ("/en/o3", "recovered", 2, 1, "c1"), ("/en/p4", "recovered", 3, 1, "o3"), ("/en/s5", "recovered", 4, 1, "p4")]
+    assert len(fetched) == 4 and not any(".parquet/" in f and str(tmp_path) in f for df in fetched for f in df.inputFiles())
